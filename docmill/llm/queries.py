@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from docmill.llm.bpe import op8_word_bpe
 from docmill.llm.quality import op1_quality_rules
+from docmill.llm.token_files import op3_rans_token_files
 from docmill.llm.toxicity import op2_weak_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_weak_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_weak_toxicity, op3_rans_token_files, op8_word_bpe)}
 SQL: dict[str, str] = {}

@@ -3,9 +3,32 @@
 from __future__ import annotations
 
 from docmill.llm.bpe import op8_word_bpe
+from docmill.llm.line_dedup import OP7_SQL, op7_line_dedup
+from docmill.llm.mixing import OP5_SQL, op5_poisson_mix
+from docmill.llm.pseudonyms import op10_feistel_pseudonyms
 from docmill.llm.quality import op1_quality_rules
 from docmill.llm.token_files import op3_rans_token_files
+from docmill.llm.top_k import OP6_SQL, op6_exact_top_k
 from docmill.llm.toxicity import op2_weak_toxicity
+from docmill.llm.url_filter import OP9_SQL, op9_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_weak_toxicity, op3_rans_token_files, op8_word_bpe)}
-SQL: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_weak_toxicity,
+        op3_rans_token_files,
+        op5_poisson_mix,
+        op6_exact_top_k,
+        op7_line_dedup,
+        op8_word_bpe,
+        op9_url_filter,
+        op10_feistel_pseudonyms,
+    )
+}
+SQL = {
+    "op5_poisson_mix": OP5_SQL,
+    "op6_exact_top_k": OP6_SQL,
+    "op7_line_dedup": OP7_SQL,
+    "op9_url_filter": OP9_SQL,
+}

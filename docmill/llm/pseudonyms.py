@@ -109,7 +109,7 @@ def _phone(key: str, m: Column) -> Column:
 def _ipv4(key: str, m: Column) -> Column:
     o = F.transform(F.split(m, r"\."), lambda x: x.cast("int"))
     half = _bind(o, lambda x: _feistel(key, F.lit("ipv4"), x[0] * 256 + x[1], x[2] * 256 + x[3], F.lit(65536), F.lit(65536)))
-    return _bind(half, lambda s: F.concat_ws(".", *[F.cast(F.floor(h / 256) if k == 0 else h % 256, "string") for h in (s.l, s.r) for k in (0, 1)]))
+    return _bind(half, lambda s: F.concat_ws(".", *[(F.floor(h / 256) if k == 0 else h % 256).cast("string") for h in (s.l, s.r) for k in (0, 1)]))
 
 
 def _date(key: str, m: Column) -> Column:

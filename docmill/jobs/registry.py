@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmill.jobs import pages, texts
+from docmill.jobs import catalogs, pages, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-for _module in (pages, texts):
+for _module in (pages, texts, catalogs):
     QUERIES |= _module.QUERIES
     SQL |= _module.SQL

@@ -67,7 +67,9 @@ def mix(docs: DataFrame, weights: DataFrame, seed: int = 17, total: float | None
     known = F.broadcast(known) if size <= BROADCAST_SOURCES else known
     u = uniform(seed, F.col("doc_id"))
     joined = docs.join(known, F.col("source").eqNullSafe(F.col(source))).withColumn("_u", u)
-    counted = joined.withColumn(n_copies, F.size(F.filter(cdf, lambda c: c <= F.col("_u"))).cast("long"))
+    # the inverse: how many running sums are below the number, which is where it would be put among them
+    place = F.array_position(F.sort_array(F.array_append(F.col(cdf), F.col("_u"))), F.col("_u"))
+    counted = joined.withColumn(n_copies, place.cast("long") - 1)
     copies = counted.where(F.col(n_copies) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n_copies).cast("int"))))
     keyed = copies.withColumn(key, F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col(copy).cast("string")).cast("binary")))
     return keyed.select(*docs.columns, rate, n_copies, copy, key).repartition(key).sortWithinPartitions(key, "doc_id")
@@ -92,7 +94,7 @@ WITH RECURSIVE counts AS (SELECT source, CAST(count(*) AS DOUBLE) AS n FROM docu
   SELECT d.*, CAST(CAST('0x' || substr(md5('17:' || CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS u FROM documents d
 ), counted AS (
   SELECT h.doc_id, h.text, h.lang, h.source, h.n_chars, c.rate, count(*) AS n_copies
-  FROM chosen h JOIN cdf c ON h.source IS NOT DISTINCT FROM c.source AND c.c <= h.u GROUP BY ALL
+  FROM chosen h JOIN cdf c ON h.source IS NOT DISTINCT FROM c.source AND c.c < h.u GROUP BY ALL
 )
 SELECT doc_id, text, lang, source, n_chars, rate, n_copies, CAST(copy AS INTEGER) AS copy, md5('17:' || CAST(doc_id AS VARCHAR) || ':' || CAST(copy AS VARCHAR)) AS shuffle_key
 FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM counted)

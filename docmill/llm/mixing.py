@@ -47,7 +47,8 @@ def rates(docs: DataFrame, weights: DataFrame, total: float | None = None) -> Da
         lambda s, k: F.struct((s.p * F.col("rate") / k).alias("p"), (s.c + s.p * F.col("rate") / k).alias("c"), F.concat(s["all"], F.array(s.c + s.p * F.col("rate") / k)).alias("all")),
         lambda s: s["all"],
     )
-    return out.select("source", "rate", cdf.alias("cdf"))
+    # terms of rates that mix() refuses are not worked out
+    return out.select("source", "rate", F.when(F.col("rate") <= LARGEST_RATE, cdf).alias("cdf"))
 
 
 def uniform(seed: int, *values: Column) -> Column:

@@ -27,8 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docmill.llm.bpe import Memo, byte_letters
+from docmill.llm.bpe import byte_letters
 from docmill.llm.common import scratch, stage, table
+from docmill.llm.memo import Memo
 
 END = 2
 BITS = 20
@@ -163,31 +164,43 @@ class ByteBpe:
         self.cut = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{digits}]+| ?[^ \n{letters}{digits}]+|[ \n]+(?![^ \n])|[ \n]+")
         self.byte = {b: c for b, c in enumerate(byte_letters())}
         self.specials = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.words = Memo(self._word, 500_000)
+        self.marks = re.compile("|".join(map(re.escape, self.specials)) or r"(?!)")
+        self.model = self.lib.model
+        # ids fit 16 bits in most vocabularies; a code is what one id looks like in a row of them
+        self.small = np.dtype("<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = [int(i).to_bytes(self.small.itemsize, "little") for i in range(self.lib.get_vocab_size())]
+        self.words = Memo(self._word, 300_000)
         self.pieces = Memo(self._piece, 300_000)
 
     def _word(self, word: str) -> bytes:
-        mapped = word.encode().decode("latin-1").translate(self.byte)
-        return np.array([t.id for t in self.lib.model.tokenize(mapped)], "<u4").tobytes()
+        code = self.code
+        return b"".join([code[t.id] for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.byte))])
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        plain = piece.replace("\n", "")
-        if not plain.isprintable() or (not plain.isascii() and max(plain) > "ÿ") or any(s in piece for s in self.specials):
+        code = self.code
+        return b"".join([code[i] for i in self.lib.encode(text, add_special_tokens=False).ids])
+
+    def _cut(self, piece: str) -> bytes:
+        if piece.isascii():
+            fine = piece.isprintable() or piece.replace("\n", "").isprintable()
+        else:
+            fine = max(piece) <= "ÿ" and piece.replace("\n", "").isprintable()
+        if not fine or self.marks.search(piece):
             return self._whole(piece)
         return b"".join(map(self.words.__getitem__, self.cut.findall(piece)))
 
+    def _piece(self, piece: str) -> bytes:
+        """The codes of a piece and the space before it."""
+        return self._cut(f" {piece}")
+
     def ids(self, text: str | None) -> bytes:
-        """All ids of a text, as little-endian unsigned 32-bit integers."""
+        """All ids of a text, as little-endian unsigned integers of the dtype ``small``."""
         if not text:
             return b""
         if ADJACENT.search(text) or any(" " in s for s in self.specials):
             return self._whole(text)
         first, *rest = text.split(" ")
-        get = self.pieces.__getitem__
-        return (get(first) if first else b"") + b"".join([get(f" {p}") for p in rest])
+        return (self._cut(first) if first else b"") + b"".join(map(self.pieces.__getitem__, rest))
 
 
 @functools.lru_cache(maxsize=2)
@@ -235,13 +248,13 @@ def tokenize(docs: DataFrame, path: str) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, shard, at = load(path), TaskContext.get().partitionId(), 0
-        small, counts = np.dtype("<u2" if bpe.lib.get_vocab_size() <= 1 << 16 else "<u4"), np.zeros(0, np.int64)
+        small, counts, end = bpe.small, np.zeros(0, np.int64), bpe.code[END]
         for b in batches:
             out = []
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = np.append(np.frombuffer(bpe.ids(text), "<u4"), np.uint32(END))
-                out.append((doc_id, shard, at, ids.astype(small).tobytes(), None))
-                at += len(ids)
+                ids = bpe.ids(text) + end
+                out.append((doc_id, shard, at, ids, None))
+                at += len(ids) // small.itemsize
                 if len(out) == 1000:
                     counts = summed(counts, out, small)
                     yield batch(ENCODED, out)
@@ -290,10 +303,10 @@ def write(docs: DataFrame, out: str, path: str | None = None) -> None:
     ids = np.array([i for i, _ in counted], np.int64)
     freq = scale(np.array([n for _, n in counted], np.int64)) if counted else np.zeros(0, np.int64)
     spark.createDataFrame([(int(i), int(f)) for i, f in zip(ids, freq, strict=True)], "id long, freq long").coalesce(1).write.parquet(f"{out}/tables")
-    wide = len(ids) and ids[-1] >= 1 << 16
+    small = load(path).small
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t, pending, size, small = Table.of(ids, freq), [], 0, np.dtype("<u4" if wide else "<u2")
+        t, pending, size = Table.of(ids, freq), [], 0
 
         def flush() -> pa.RecordBatch:
             shard, at = pending[0][1], pending[0][2]

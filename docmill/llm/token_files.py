@@ -33,7 +33,7 @@ from docmill.llm.memo import Memo
 
 END = 2
 BITS = 20
-LANES, EVERY, BLOCK = 1024, 512, 1 << 20
+LANES, EVERY, BLOCK = 4096, 256, 1 << 21
 LOW = np.uint64(1 << 31)
 HEAD = struct.Struct("<4sIIIQII")
 MAGIC = b"rns1"
@@ -83,8 +83,9 @@ def encode_block(ids: np.ndarray, t: Table) -> bytes:
     x = np.full(lanes, LOW, np.uint64)
     shift = np.uint64(63 - BITS)
     words, sizes, marks = [], np.zeros(steps, np.int64), []
+    places = ids.astype(np.intp)
     for s in range(steps - 1, -1, -1):
-        seg = ids[s * lanes : (s + 1) * lanes]
+        seg = places[s * lanes : (s + 1) * lanes]
         f, y = t.freq[seg], x[: len(seg)]
         full = y >= (f << shift)
         out = y[full].astype(np.uint32)
@@ -122,7 +123,7 @@ def decode_part(block: bytes, t: Table, k: int) -> np.ndarray:
         b = min(a + lanes, last)
         y = x[: b - a]
         slot = y & mask
-        sym = t.slots[slot]
+        sym = t.slots[slot.view(np.int64)].astype(np.intp)
         y = t.freq[sym] * (y >> bits) + slot - t.cum[sym]
         low = y < LOW
         m = int(np.count_nonzero(low))
@@ -165,12 +166,13 @@ class ByteBpe:
         self.byte = {b: c for b, c in enumerate(byte_letters())}
         self.specials = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.marks = re.compile("|".join(map(re.escape, self.specials)) or r"(?!)")
+        self.starts = {s[0] for s in self.specials}
         self.model = self.lib.model
         # ids fit 16 bits in most vocabularies; a code is what one id looks like in a row of them
         self.small = np.dtype("<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = [int(i).to_bytes(self.small.itemsize, "little") for i in range(self.lib.get_vocab_size())]
         self.words = Memo(self._word, 300_000)
-        self.pieces = Memo(self._piece, 300_000)
+        self.pieces = Memo(self._piece, 400_000)
 
     def _word(self, word: str) -> bytes:
         code = self.code
@@ -185,7 +187,7 @@ class ByteBpe:
             fine = piece.isprintable() or piece.replace("\n", "").isprintable()
         else:
             fine = max(piece) <= "ÿ" and piece.replace("\n", "").isprintable()
-        if not fine or self.marks.search(piece):
+        if not fine or (not self.starts.isdisjoint(piece) and self.marks.search(piece)):
             return self._whole(piece)
         return b"".join(map(self.words.__getitem__, self.cut.findall(piece)))
 

@@ -34,3 +34,17 @@ def test_title_case_and_slug_of_a_long_line(spark, documents):
     sf = documents([(7, f"{FILLER}final\nnext", "es", "a")])
     assert registry.QUERIES["whole_title_case"](spark, sf).first().titled == f"{'Palabra ' * 60}Final IVA PYME"
     assert registry.QUERIES["whole_dated_slug"](spark, sf).first().dated_slug == f"{'palabra-' * 60}final"
+
+
+def test_checks_see_the_end_of_a_text(spark, documents):
+    # ids divisible by 28 get a late phrase, 28k + 7 a placeholder, 28k + 14 a fence and a heading, 28k + 21 a date
+    sf = documents([(28, FILLER, "es", "a"), (35, FILLER, "es", "a"), (14, FILLER, "es", "a"), (21, FILLER, "es", "a"), (1, f"{FILLER}{{Nombre del alumno}}\n```\nReciba un cordial saludo", "es", "a")])
+    stale = {(r.doc_id, r.name, r.found) for r in registry.QUERIES["whole_stale_dates"](spark, sf).collect()}
+    rows = {name: {r.doc_id: r for r in registry.QUERIES[f"whole_{name}"](spark, sf).collect()} for name in ("structure_check", "prohibited_check", "placeholder_check", "document_check")}
+    assert rows["prohibited_check"][28].prohibited == "Es un placer informarle"
+    assert rows["prohibited_check"][1].prohibited == "Reciba un cordial saludo;code"
+    assert rows["prohibited_check"][14].prohibited == "code"
+    assert "{Fecha de inicio}" in rows["placeholder_check"][35].placeholders and "{Nombre del alumno}" in rows["placeholder_check"][1].placeholders
+    assert rows["structure_check"][14].missing == "Metadatos del Documento"
+    assert (21, "Aranceles e inscripción", "10/11/2024") in stale
+    assert rows["document_check"][1].n_errors > 2

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docmill.functions import keys, text, urls
 from docmill.jobs import sqltext as s
-from docmill.operators import crawl, links
+from docmill.operators import crawl, links, sync
 from docmill.sources.tables import table
 
 
@@ -83,8 +83,8 @@ def raw_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TXT-19, SNK-01: one raw text per host, its pages in order."""
     pages = links.process_pages(table(spark, sf_dir, "pages"), text.crop_main).withColumn("host", urls.host("url"))
     one = F.format_string("=== %s ===\n%s\n%s", "url", "title", "text")
-    out = pages.groupBy("host").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col("page_id"), one.alias("block")))), lambda x: x.block), "\n\n").alias("raw"), F.count("*").alias("n_pages"))
-    return out.select("host", "n_pages", keys.content_hash(F.col("raw")).alias("raw_hash"), F.length("raw").alias("raw_length"))
+    out = sync.stream_hash(pages.select("host", "page_id", one.alias("block")), ["host"], ["page_id", "block"], "block", "\n\n")
+    return out.select("host", F.col("n").alias("n_pages"), F.col("hash").alias("raw_hash"), F.col("length").alias("raw_length"))
 
 
 def url_checks(spark: SparkSession, sf_dir: str) -> DataFrame:

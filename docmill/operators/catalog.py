@@ -52,16 +52,27 @@ def counts_with_zero(dimension: DataFrame, facts: DataFrame, key: str, name: str
     return dimension.select(key).distinct().join(facts.groupBy(key).agg(F.count("*").alias(name)), key, "left").withColumn(name, F.coalesce(name, F.lit(0)))
 
 
+# Fixed value: ranges of places that are counted apart.
+BUCKETS = 1024
+
+
 def insert_positions(index: DataFrame, new: DataFrame, folder: Column) -> DataFrame:
     """(path, ord) of index (path, pos) and new (path) rows once each new row stands behind the last row of its folder (WIN-05)."""
     a = index.select("path", folder.alias("folder"), "pos")
     last = a.groupBy("folder").agg(F.max("pos").alias("last"))
     b = new.select("path", folder.alias("folder")).join(last, "folder", "left")
     both = a.select("path", F.col("pos").cast("double").alias("place"), F.lit(0).alias("is_new")).unionByName(b.select("path", F.coalesce(F.col("last").cast("double"), F.lit(float("inf"))).alias("place"), F.lit(1).alias("is_new")))
-    # the place is given by counting what comes before, with sums over folders instead of one global window
+    # the place is given by counting what comes before: sums over buckets of places, which are few, then a window inside each bucket
     before = both.groupBy("place").agg(F.count("*").alias("n"))
-    running = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    offset = before.withColumn("start", F.coalesce(F.sum("n").over(running), F.lit(0))).drop("n")
+    known = F.when(F.col("place") < float("inf"), F.col("place"))
+    ends = both.agg(F.min(known).alias("low"), F.max(known).alias("high"))  # one row
+    share = F.floor((F.col("place") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0)) * BUCKETS)
+    bucket = F.when(F.col("place") == float("inf"), BUCKETS).otherwise(F.least(F.coalesce(share, F.lit(0)), F.lit(BUCKETS - 1)))
+    before = before.crossJoin(F.broadcast(ends)).select("place", "n", bucket.alias("bucket"))
+    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = before.groupBy("bucket").agg(F.sum("n").alias("n")).select("bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
+    running = Window.partitionBy("bucket").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    offset = before.join(F.broadcast(starts), "bucket").select("place", (F.col("first") + F.coalesce(F.sum("n").over(running), F.lit(0))).alias("start"))
     inside = Window.partitionBy("place").orderBy("is_new", "path")
     return both.join(offset, "place").select("path", "is_new", (F.col("start") + F.row_number().over(inside)).alias("ord"))
 

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+from itertools import groupby
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def change_status(current: DataFrame, state: DataFrame, key: str) -> DataFrame:
@@ -39,16 +45,55 @@ def file_status(listing: DataFrame, state: DataFrame) -> DataFrame:
     return both.select("id", status.alias("status"))
 
 
+def stream_hash(df: DataFrame, by: list[str], order: list[str], value: str, separator: str) -> DataFrame:
+    """(by, n, length, hash): rows, characters and SHA-256 of each group's values in order, joined by separator; null values are left out.
+
+    Each group is sorted by Spark and goes through the hash row by row, so that no array or string holds a group.
+    The hash of a joined text is sequential: one task still reads each group once.
+    """
+    fields = [df.schema[c] for c in by]
+    schema = T.StructType([*fields, T.StructField("n", T.LongType()), T.StructField("length", T.LongType()), T.StructField("hash", T.StringType())])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, types = None, None
+        n, length, digest, first = 0, 0, hashlib.sha256(), True
+
+        def done() -> pa.RecordBatch:
+            values = [pa.array([k], t) for k, t in zip(key, types, strict=True)]
+            return pa.RecordBatch.from_arrays([*values, pa.array([n], pa.int64()), pa.array([length], pa.int64()), pa.array([digest.hexdigest()], pa.string())], names=schema.names)
+
+        for b in batches:
+            types = [b.schema.field(k).type for k in range(len(by))]
+            keys = zip(*[b.column(k).to_pylist() for k in range(len(by))], strict=True)
+            for now, run in groupby(zip(keys, b.column(len(by)).to_pylist(), strict=True), key=lambda x: x[0]):
+                if now != key:
+                    if key is not None:
+                        yield done()
+                    key, n, length, digest, first = now, 0, 0, hashlib.sha256(), True
+                for _, v in run:
+                    n += 1
+                    if v is not None:
+                        one = v if first else separator + v
+                        first = False
+                        length += len(one)
+                        digest.update(one.encode())
+        if key is not None:
+            yield done()
+
+    dealt = df.repartition(*by).sortWithinPartitions(*by, *order)
+    return dealt.select(*by, value).mapInArrow(rows, schema)
+
+
 def set_hash(df: DataFrame, by: list[str], key: str, value: str) -> DataFrame:
     """Order-insensitive hash of key:value pairs per group (AGG-08)."""
     pairs = F.concat_ws(":", F.col(key).cast("string"), F.col(value).cast("string"))
-    return df.groupBy(*by).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(pairs)), "|").cast("binary"), 256).alias("set_hash"))
+    return stream_hash(df.select(*by, pairs.alias("_pair")), by, ["_pair"], "_pair", "|").select(*by, F.col("hash").alias("set_hash"))
 
 
 def list_hash(df: DataFrame, by: list[str], order: str, value: str) -> DataFrame:
     """Order-sensitive hash of values per group (AGG-09)."""
-    values = F.transform(F.sort_array(F.collect_list(F.struct(order, value))), lambda x: x[value].cast("string"))
-    return df.groupBy(*by).agg(F.sha2(F.array_join(values, "\n").cast("binary"), 256).alias("list_hash"))
+    values = df.select(*by, F.col(order).alias("_order"), F.col(value).alias("_by"), F.col(value).cast("string").alias("_value"))
+    return stream_hash(values, by, ["_order", "_by"], "_value", "\n").select(*by, F.col("hash").alias("list_hash"))
 
 
 # Decisions in order of severity.

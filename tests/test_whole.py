@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 import pytest
+from helpers import SF
+from pyspark.sql import functions as F
 
 from docmill.jobs import registry
+from docmill.operators import catalog, sync
 
 FILLER = "palabra " * 60
 
@@ -48,3 +52,31 @@ def test_checks_see_the_end_of_a_text(spark, documents):
     assert rows["structure_check"][14].missing == "Metadatos del Documento"
     assert (21, "Aranceles e inscripción", "10/11/2024") in stale
     assert rows["document_check"][1].n_errors > 2
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hashes_hold_no_group(spark):
+    d = spark.createDataFrame([("a", i, None if i == 5 else i * 7) for i in range(30, 0, -1)] + [(None, 1, 2), ("b", 3, None)], "g string, k long, v long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        sets, lists = sync.set_hash(d, ["g"], "k", "v"), sync.list_hash(d, ["g"], "k", "v")
+        assert "collect_list" not in plan(sets) + plan(lists) + plan(registry.QUERIES["raw_envelope"](spark, SF))
+        got = {r.g: (r.set_hash, r.list_hash) for r in sets.join(lists, sets.g.eqNullSafe(lists.g)).select(sets.g, "set_hash", "list_hash").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    a = "|".join(sorted("5" if i == 5 else f"{i}:{i * 7}" for i in range(1, 31))), "\n".join(str(i * 7) for i in range(1, 31) if i != 5)
+    assert got == {"a": tuple(map(sha, a)), None: (sha("1:2"), sha("2")), "b": (sha("3"), sha(""))}
+
+
+def test_insert_positions_without_a_window_over_all_places(spark):
+    index = [(f"{'abc'[i % 3]}/{i}", p) for i, p in enumerate([-5, 0, 1, 2, 10**9, 10**9 + 1, 7, 3_000_000])]
+    new = ["a/x", "a/y", "b/x", "z/x"]
+    got = catalog.insert_positions(spark.createDataFrame(index, "path string, pos long"), spark.createDataFrame([(x,) for x in new], "path string"), F.substring_index("path", "/", 1))
+    assert not re.search(r"windowspecdefinition\(place#\d+ ASC", plan(got))
+    last = {f: max(p for x, p in index if x[0] == f) for f in "abc"}
+    want = sorted([(p, 0, x) for x, p in index] + [(last.get(x[0], float("inf")), 1, x) for x in new])
+    assert sorted((r.ord, r.path) for r in got.collect()) == [(k + 1, x) for k, (_, _, x) in enumerate(want)]

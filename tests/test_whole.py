@@ -80,3 +80,10 @@ def test_insert_positions_without_a_window_over_all_places(spark):
     last = {f: max(p for x, p in index if x[0] == f) for f in "abc"}
     want = sorted([(p, 0, x) for x, p in index] + [(last.get(x[0], float("inf")), 1, x) for x in new])
     assert sorted((r.ord, r.path) for r in got.collect()) == [(k + 1, x) for k, (_, _, x) in enumerate(want)]
+
+
+def test_counts_and_flags_take_every_row(spark, documents):
+    sf = documents([(7, "Same title", "de", "a"), (14, "Same title", "de", "a"), (8, "Other", "de", "a"), (1, "Third", "en", "b")])
+    assert {tuple(r) for r in registry.QUERIES["whole_sector_counts_zero"](spark, sf).select("source", "n").collect()} == {("a", 3), ("b", 0)}
+    assert {tuple(r) for r in registry.QUERIES["whole_category_counts"](spark, sf).select("category", "n").collect()} == {("de", 3), ("en", 1)}
+    assert {r.pos: (r.title_repeated, r.title_first) for r in registry.QUERIES["whole_dup_flags"](spark, sf).collect()} == {1: (False, 1), 7: (False, 7), 8: (False, 8), 14: (True, 7)}

@@ -12,8 +12,8 @@
    Jaccard similarity is LEAST or more; links' connected components are the classes.
 
 Words are runs without ASCII white space, in lower case. A text of one to four words has one shingle, all
-its words. Texts without words (null, empty) and rows without a doc_id are classes of their own and have no
-links. Rows sharing a doc_id and text are copies; rows sharing a doc_id but not the text share a class.
+its words. Texts without words (null, empty) are classes of their own and have no links; rows without a doc_id have
+no row in the result, and keep_representatives keeps them. Rows sharing a doc_id and text are copies; rows sharing a doc_id but not the text share a class.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,7 +100,7 @@ def word_memo() -> Memo:
 
 FEATURES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("embedding", T.BinaryType())])
 NODES = T.StructType([T.StructField("node", T.LongType()), T.StructField("rec", T.LongType())])
-FOUND = T.StructType([T.StructField("rec", T.LongType()), T.StructField("root", T.LongType()), T.StructField("links", T.LongType())])
+FOUND = T.StructType([T.StructField("rec", T.LongType()), T.StructField("root", T.LongType()), T.StructField("links", T.LongType()), T.StructField("digest", T.BinaryType())])
 
 
 def features(docs: DataFrame) -> DataFrame:
@@ -294,12 +294,16 @@ def intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
 
 
 def compare_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (family, one, two, own, rec, copies, hashes) to (rec, root, links) of each pair of blocks."""
-    out: list[list[np.ndarray]] = [[], [], []]
+    """Sorted (family, one, two, own, rec, copies, digest, hashes) to (rec, root, links, digest) of each pair of blocks; a record given twice counts once."""
+    out: list[list[np.ndarray]] = [[], [], [], []]
     for t in grouped(batches, 3):
         one, two = t.column(1)[0].as_py(), t.column(2)[0].as_py()
+        once: dict[tuple, int] = {}
+        for k, record in enumerate(zip(t.column(4).to_pylist(), t.column(6).to_pylist(), strict=True)):
+            once.setdefault(record, k)
+        t = t.take(list(once.values()))
         own, rec, copies = np.asarray(t.column(3)), np.asarray(t.column(4), np.int64), np.asarray(t.column(5), np.int64)
-        sets = [np.frombuffer(h, "<u8") for h in t.column(6).to_pylist()]
+        sets = [np.frombuffer(h, "<u8") for h in t.column(7).to_pylist()]
         left = np.arange(len(rec)) if one == two else np.flatnonzero(own == one)
         right = left if one == two else np.flatnonzero(own == two)
         links = np.zeros(len(rec), np.int64)
@@ -315,33 +319,35 @@ def compare_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 links[right] += linked.T @ copies[left]
             i, j = np.nonzero(linked)
             root = forest(rec, np.stack([left[i], right[j]], axis=1))
-        for column, new in zip(out, (rec, root, links), strict=True):
+        for column, new in zip(out, (rec, root, links, np.array(t.column(6).to_pylist(), object)), strict=True):
             column.append(new)
         if sum(map(len, out[0])) > 20_000:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=FOUND.names)
-            out = [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), kind) for c, kind in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=FOUND.names)
+            out = [[], [], [], []]
     if out[0]:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=FOUND.names)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), kind) for c, kind in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=FOUND.names)
 
 
-SETS = T.StructType([T.StructField("family", T.LongType()), T.StructField("n", T.LongType()), T.StructField("rec", T.LongType()), T.StructField("copies", T.LongType()), T.StructField("hashes", T.BinaryType())])
+SETS = T.StructType([T.StructField("family", T.LongType()), T.StructField("n", T.LongType()), T.StructField("rec", T.LongType()), T.StructField("copies", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("hashes", T.BinaryType())])
 
 
 def exact_sets(members: DataFrame, docs: DataFrame) -> DataFrame:
-    """(family, n, rec, copies) with each record's shingles, made anew from its text."""
+    """(family, n, rec, copies, digest) with each record's shingles, made anew from its text: of the rows of a doc_id, those with the record's set."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_memo()
         for b in batches:
-            hashes = [shingles(t, words).astype("<u8").tobytes() for t in b.column(4).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(hashes, pa.binary())], names=SETS.names)
+            sets = [shingles(t, words) for t in b.column(5).to_pylist()]
+            same = pa.array([len(s) > 0 and hashlib.blake2b(s.tobytes(), digest_size=16).digest() == d for s, d in zip(sets, b.column(4).to_pylist(), strict=True)])
+            hashes = [s.astype("<u8").tobytes() for s in sets]
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(hashes, pa.binary())], names=SETS.names).filter(same)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rec"), "text").where("rec IS NOT NULL AND text IS NOT NULL")
-    return members.join(texts, "rec").select("family", "n", "rec", "copies", "text").mapInArrow(rows, SETS)
+    return members.join(texts, "rec").select("family", "n", "rec", "copies", "digest", "text").distinct().mapInArrow(rows, SETS)
 
 
 def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
-    """(doc_id, class_id, n_links, is_representative) of every row of docs.
+    """(doc_id, class_id, n_links, is_representative) of every row of docs that has a doc_id.
 
     class_id: the smallest doc_id of the class. n_links: rows linked with this one, exact copies included.
     is_representative: one row of each class (rows alike in doc_id share it).
@@ -352,13 +358,13 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     # roots are members too
     listed = family.select(F.col("node").alias("rec"), F.col("root").alias("family")).unionByName(family.select(F.col("root").alias("rec"), F.col("root").alias("family")).distinct())
     counts = listed.groupBy("family").agg(F.count("*").alias("n"))
-    members = stage(listed.join(counts, "family").join(records.select("rec", "copies"), "rec").select("family", "n", "rec", "copies"), "members")
+    members = stage(listed.join(counts, "family").join(records.select("rec", "copies", "digest"), "rec").select("family", "n", "rec", "copies", "digest"), "members")
     sets = stage(exact_sets(members, docs), "sets")
-    dealt = blocks(sets, "family", "n", EXACT).select("family", "one", "two", "own", "rec", "copies", "hashes").repartition("family", "one", "two").sortWithinPartitions("family", "one", "two")
+    dealt = blocks(sets, "family", "n", EXACT).select("family", "one", "two", "own", "rec", "copies", "digest", "hashes").repartition("family", "one", "two").sortWithinPartitions("family", "one", "two")
     found = stage(dealt.mapInArrow(compare_sets, FOUND), "found")
     classes = components(found.select("rec", "root"), "rec", "root")
-    links = found.groupBy("rec").agg(F.sum("links").alias("links"))
-    known = records.join(classes.withColumnRenamed("node", "rec"), "rec", "left").join(links, "rec", "left").select("digest", F.coalesce("root", "rec").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    links = found.groupBy("digest").agg(F.sum("links").alias("links"))
+    known = records.join(classes.withColumnRenamed("node", "rec"), "rec", "left").join(links, "digest", "left").select("digest", F.coalesce("root", "rec").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = made.select("doc_id", "digest").join(known, "digest", "left")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), (F.coalesce("class_id", "doc_id") == F.col("doc_id")).alias("is_representative"))
 
@@ -368,7 +374,8 @@ def keep_representatives(docs: DataFrame) -> DataFrame:
     class_id, rank = fresh(docs, "dup_class", "dup_rank")
     gone = near_duplicates(docs).where(~F.col("is_representative")).select(F.col("doc_id").alias(class_id)).distinct()
     left = docs.join(gone, F.col("doc_id").cast("long") == F.col(class_id), "left_anti")
-    known = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    known = left.where("doc_id IS NOT NULL").withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).select(*docs.columns)
     return known.unionByName(left.where("doc_id IS NULL"))
 
 

@@ -3,7 +3,7 @@
 Merges run over a doubly linked symbol list with a priority queue of merge ranks; entries that a merge
 made stale are skipped when they surface. Decoding joins the vocabulary's strings. Text preparation
 follows the file's own steps (NFC, white space, lower case, split, byte letters); words repeat, so each
-worker keeps the codes of words it has met, up to a fixed number.
+worker keeps the codes of short ones it has met, up to a number of bytes, and gives out rows by bytes too.
 
 Null and empty texts have no codes: n_tokens 0, and the digests of empty strings. Texts are encoded
 whole, one by one; repeated rows give equal rows, and there is no shuffle.
@@ -17,21 +17,27 @@ import heapq
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docmill.llm.common import fresh, table
+from docmill.llm.common import fresh, slices, table
+from docmill.llm.memo import Memo
 
-#: Most entries that a worker keeps for chunks between white space, and for words.
-CHUNKS, WORDS = 300_000, 500_000
+#: Bytes that a worker keeps, in either generation, for chunks between white space, and for words.
+CHUNKS, WORDS = 24 << 20, 24 << 20
+#: Characters of text after which a worker hands on what it has made.
+BATCH = 4 << 20
 #: Unicode's White_Space, which differs from what str.split takes by U+001C to U+001F.
 SPACE = "\t-\r \x85\xa0  -     　"
 SPACES = re.compile(f"[{SPACE}]+")
+#: Symbols from which on a list of merge() is an array, which takes a fourth of the memory.
+LONG = 1 << 14
 ODD = re.compile("[\x1c-\x1f]")
 
 
@@ -42,51 +48,60 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
-def merge(ids: list[int], pairs: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+#: For each symbol, the symbols that may follow it: the rank of their merge, 32 bits to the left, and the merged symbol.
+Followers = list[dict[int, tuple[int, int]]]
+
+
+def followers(size: int, merges: list[tuple[int, int, int]]) -> Followers:
+    """Of merges (left, right, merged symbol) in order of rank, over symbols below size."""
+    none: dict = {}
+    out = [none] * size
+    for rank, (a, b, merged) in enumerate(merges):
+        if out[a] is none:
+            out[a] = {}
+        out[a][b] = rank << 32, merged
+    return out
+
+
+def merge(ids: list[int], after: Followers) -> list[int]:
     """Apply merges in order of rank, then of position, until none fits.
 
-    pairs: two neighbours' ids to (rank, id of the merged symbol). A queue entry holds rank and position in
-    one int; it is stale if the symbol there is gone or no longer starts a pair of that rank.
+    A queue entry holds rank and position in one int; it is stale if the symbol there is gone or no longer
+    starts a pair of that rank.
     """
     n = len(ids)
-    get = pairs.get
-    heap = [p[0] << 32 | i for i in range(n - 1) if (p := get((ids[i], ids[i + 1])))]
+    heap = [p[0] | i for i in range(n - 1) if (p := after[ids[i]].get(ids[i + 1]))]
     if not heap:
         return ids
     heapq.heapify(heap)
     push, pop = heapq.heappush, heapq.heappop
-    left, right = list(range(-1, n - 1)), list(range(1, n + 1))
+    hold = list if n < LONG else functools.partial(array, "q")
+    ids, left, right = hold(ids), hold(range(-1, n - 1)), hold(range(1, n + 1))
     while heap:
         entry = pop(heap)
         i = entry & 0xFFFFFFFF
         j = right[i]
-        if j >= n or ids[i] < 0 or not (p := get((ids[i], ids[j]))) or p[0] != entry >> 32:
+        if j >= n or ids[i] < 0:
+            continue  # stale
+        p = after[ids[i]].get(ids[j])
+        if p is None or p[0] != entry - i:
             continue  # stale
-        ids[i], ids[j] = p[1], -1
+        ids[i] = a = p[1]
+        ids[j] = -1
         right[i] = k = right[j]
         if k < n:
             left[k] = i
-            if p := get((ids[i], ids[k])):
-                push(heap, p[0] << 32 | i)
-        if (h := left[i]) >= 0 and (p := get((ids[h], ids[i]))):
-            push(heap, p[0] << 32 | h)
+            p = after[a].get(ids[k])
+            if p:
+                push(heap, p[0] | i)
+        h = left[i]
+        if h >= 0:
+            p = after[ids[h]].get(a)
+            if p:
+                push(heap, p[0] | h)
     return [i for i in ids if i >= 0]
 
 
-class Memo(dict):
-    """A dict that makes missing values, and starts anew when it has grown to ``most`` entries."""
-
-    def __init__(self, make, most: int) -> None:
-        super().__init__()
-        self.make, self.most = make, most
-
-    def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        self[key] = out = self.make(key)
-        return out
-
-
 class WordBpe:
     """The steps of a tokenizer file: NFC, white space, lower case, split, byte letters, BPE with word ends."""
 
@@ -96,7 +111,7 @@ class WordBpe:
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.pairs = {(self.vocab[a], self.vocab[b]): (k, self.vocab[a + b]) for k, (a, b) in enumerate(merges)}
+        self.after = followers(max(self.vocab.values()) + 1, [(self.vocab[a], self.vocab[b], self.vocab[a + b]) for a, b in merges])
         letters, end = byte_letters(), model["end_of_word_suffix"] or ""
         self.inner, self.last = [self.vocab[c] for c in letters], [self.vocab[c + end] for c in letters]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -105,16 +120,22 @@ class WordBpe:
         contractions = "'s|'t|'re|'ve|'m|'ll|'d"
         self.ascii = re.compile(rf"{contractions}|[a-z]+|[0-9]|[^a-z0-9]+")
         self.any = regex.compile(rf"{contractions}|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
+        # memos hold codes as bytes, which take a quarter of what lists or texts of them take
+        size = max(self.strings) + 1
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.code = [i.to_bytes(self.kind.itemsize, "little") for i in range(size)]
+        self.names, self.texts = [str(i) for i in range(size)], [self.strings.get(i, "") for i in range(size)]
         self.words = Memo(self._word, WORDS)
         self.chunks = Memo(self._chunk, CHUNKS)
 
-    def _word(self, word: str) -> list[int]:
-        data = word.encode("utf-8", "surrogatepass")
+    def _word(self, word: str) -> bytes:
+        data, code = word.encode("utf-8", "surrogatepass"), self.code
         ids = [self.inner[b] for b in data]
         ids[-1] = self.last[data[-1]]
-        return merge(ids, self.pairs)
+        return b"".join([code[i] for i in merge(ids, self.after)])
 
-    def _plain(self, chunk: str) -> list[int]:
+    def _plain(self, chunk: str) -> bytes:
+        """Codes of a chunk without white space and special strings."""
         if chunk.isascii():
             found = self.ascii.findall(chunk.lower())
         else:
@@ -122,35 +143,31 @@ class WordBpe:
                 chunk = unicodedata.normalize("NFC", chunk)
             chunk = "".join(c.lower() for c in chunk) if "Σ" in chunk else chunk.lower()
             found = self.any.findall(chunk)
-        return [i for w in found for i in self.words[w]]
-
-    def _chunk(self, chunk: str) -> tuple[int, str, str]:
-        """Number of ids, the ids as text, and the decoded text of what stands between white space."""
-        ids = self.ids(chunk) if "<" in chunk or ODD.search(chunk) else self._plain(chunk)
-        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+        return self.words[found[0]] if len(found) == 1 else b"".join(map(self.words.__getitem__, found))
 
-    def ids(self, chunk: str) -> list[int]:
-        """Codes of a text; special strings in it are their own codes, as the file says."""
-        if not self.specials or "<" not in chunk or not self.specials.search(chunk):
-            return [i for part in SPACES.split(chunk) if part for i in self._plain(part)]
+    def _chunk(self, chunk: str) -> bytes:
+        """Codes of what stands between white space; special strings in it are their own codes, as the file says."""
+        if "<" not in chunk and not ODD.search(chunk):
+            return self._plain(chunk)
         out, at = [], 0
-        for m in self.specials.finditer(chunk):
-            out += [i for part in SPACES.split(chunk[at : m.start()]) if part for i in self._plain(part)]
-            out.append(self.special[m.group()])
+        for m in self.specials.finditer(chunk) if self.specials else ():
+            out += [self._plain(part) for part in SPACES.split(chunk[at : m.start()]) if part]
+            out.append(self.code[self.special[m.group()]])
             at = m.end()
-        return out + [i for part in SPACES.split(chunk[at:]) if part for i in self._plain(part)]
+        out += [self._plain(part) for part in SPACES.split(chunk[at:]) if part]
+        return b"".join(out)
 
     def decode(self, ids: list[int]) -> str:
         """The vocabulary's strings, joined as the file's missing decoder joins them."""
-        return " ".join([self.strings[i] for i in ids])
+        return " ".join(map(self.texts.__getitem__, ids))
 
     def text(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, ids as text and decoded text of a whole text."""
         if not text:
             return 0, "", ""
         chunks = [c for c in SPACES.split(text) if c] if ODD.search(text) else text.split()
-        got = list(map(self.chunks.__getitem__, chunks))
-        return sum([g[0] for g in got]), " ".join([g[1] for g in got]), " ".join([g[2] for g in got])
+        ids = np.frombuffer(b"".join(map(self.chunks.__getitem__, chunks)), self.kind).tolist()
+        return len(ids), " ".join(map(self.names.__getitem__, ids)), self.decode(ids)
 
 
 @functools.lru_cache(maxsize=2)
@@ -164,31 +181,33 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """docs with ids (decimal codes joined by one space), n_tokens and decoded.
 
     A column of docs that has one of these names is kept, and the new one gets a leading underscore.
+    keep: columns of docs to give back (default: all); text that isn't among them never leaves the worker.
     """
-    return _add(docs, path, lambda got: [pa.array([g[1] for g in got], pa.string()), pa.array([g[0] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.string())], {"ids": T.StringType(), "n_tokens": T.LongType(), "decoded": T.StringType()})
+    return _add(docs, path, keep, lambda got: [pa.array([g[1] for g in got], pa.string()), pa.array([g[0] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.string())], {"ids": T.StringType(), "n_tokens": T.LongType(), "decoded": T.StringType()})
 
 
-def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """docs with n_tokens and the digests of ids and decoded text, made where the text is encoded."""
+def digests(docs: DataFrame, path: str | None = None, keep: list[str] | None = None) -> DataFrame:
+    """docs (or its columns keep) with n_tokens and the digests of ids and decoded text, made where the text is encoded."""
     sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
-    return _add(docs, path, lambda got: [pa.array([g[0] for g in got], pa.int64()), pa.array([sha(g[1]) for g in got], pa.string()), pa.array([sha(g[2]) for g in got], pa.string())], {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()})
+    return _add(docs, path, keep, lambda got: [pa.array([g[0] for g in got], pa.int64()), pa.array([sha(g[1]) for g in got], pa.string()), pa.array([sha(g[2]) for g in got], pa.string())], {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()})
 
 
-def _add(docs: DataFrame, path: str | None, columns, kinds: dict[str, T.DataType]) -> DataFrame:
+def _add(docs: DataFrame, path: str | None, keep: list[str] | None, columns, kinds: dict[str, T.DataType]) -> DataFrame:
     path = path or default_path()
-    names = fresh(docs, *kinds)
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in zip(names, kinds.values(), strict=True))])
-    at = docs.columns.index("text")
+    kept = docs.columns if keep is None else keep
+    names = fresh(docs.select(*kept), *kinds)
+    schema = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(n, k) for n, k in zip(names, kinds.values(), strict=True))])
+    at, own = docs.columns.index("text"), [docs.columns.index(c) for c in kept]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for b in batches:
+        for b in slices(batches, at, BATCH):
             got = [bpe.text(t) for t in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, *columns(got)], names=[*b.schema.names, *names])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in own), *columns(got)], names=[*kept, *names])
 
     return docs.mapInArrow(rows, schema)
 
@@ -202,7 +221,7 @@ def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None) -> Dat
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for b in batches:
+        for b in slices(batches, at, BATCH):
             texts = [bpe.decode([int(i) for i in (s or "").split()]) for s in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, name])
 
@@ -211,5 +230,4 @@ def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None) -> Dat
 
 def op8_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of every document."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id"), "text")
-    return digests(docs).drop("text")
+    return digests(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from docmill.sources.tables import table
 
-__all__ = ["fresh", "scratch", "stage", "table"]
+__all__ = ["fresh", "scratch", "slices", "stage", "table"]
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -36,6 +39,20 @@ def stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """batches cut so that no piece of several rows holds more than size bytes in a column of texts; longer texts stand alone."""
+    for b in batches:
+        lengths = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)
+        first, held = 0, 0
+        for k, n in enumerate(lengths.tolist()):
+            if held and held + n > size:
+                yield b.slice(first, k - first)
+                first, held = k, 0
+            held += n
+        if b.num_rows > first:
+            yield b.slice(first)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, each with underscores added until no column of df has it (case-insensitively)."""
     taken = {c.lower() for c in df.columns}

@@ -35,6 +35,8 @@ END = 2
 BITS = 20
 LANES, EVERY, BLOCK = 4096, 256, 1 << 21
 LOW = np.uint64(1 << 31)
+#: Bytes that a worker keeps, in either generation, for words, and for pieces between spaces.
+WORDS, PIECES = 48 << 20, 80 << 20
 HEAD = struct.Struct("<4sIIIQII")
 MAGIC = b"rns1"
 ADJACENT = re.compile(r" \s|\s ")
@@ -171,8 +173,8 @@ class ByteBpe:
         # ids fit 16 bits in most vocabularies; a code is what one id looks like in a row of them
         self.small = np.dtype("<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = [int(i).to_bytes(self.small.itemsize, "little") for i in range(self.lib.get_vocab_size())]
-        self.words = Memo(self._word, 300_000)
-        self.pieces = Memo(self._piece, 400_000)
+        self.words = Memo(self._word, WORDS)
+        self.pieces = Memo(self._piece, PIECES)
 
     def _word(self, word: str) -> bytes:
         code = self.code

@@ -1,13 +1,18 @@
 from __future__ import annotations
 
 import hashlib
+import random
+import re
+import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from docmill.llm import bpe, token_files
+from docmill.llm.common import slices
 from docmill.llm.memo import Memo
 
 ODD = ["", " ", "  a", "a ", "A<|endoftext|>b <|startoftext|> c", "don't I'LL 's\n't", "ΑΣ ΣΑΣ Σ", "a\x1cb\x1dc \x85 d\xa0e f　g", "é ́x 1234 ½²", "日本語テキスト 한국어", "👍🏽 x", "ﬁ Å Ω", "\n\n x\ny \n", "ª²x 12¼ ñ÷×", "<|ENDOFTEXT|> <|endoftext|", "\x00\x01 \x7f", "x" * 4000, "ab " * 400]
@@ -26,10 +31,18 @@ def test_word_bpe_equals_the_library(texts):
 
 
 def test_merge_takes_ranks_then_places():
-    pairs = {(1, 1): (5, 2), (2, 2): (1, 3), (2, 1): (9, 4)}
-    assert bpe.merge([1, 1, 1, 1], pairs) == [3]
-    assert bpe.merge([1, 1, 1], pairs) == [4]
-    assert bpe.merge([7], pairs) == [7] and bpe.merge([], pairs) == []
+    after = bpe.followers(8, [(2, 2, 3), (1, 1, 2), (2, 1, 4)])
+    assert bpe.merge([1, 1, 1, 1], after) == [3]
+    assert bpe.merge([1, 1, 1], after) == [4]
+    assert bpe.merge([7], after) == [7] and bpe.merge([], after) == []
+
+
+def test_long_words_merge_alike(monkeypatch):
+    own = bpe.WordBpe(bpe.default_path())
+    words = [re.sub(r"\W|\d|_", "", t.lower())[:3000] for t in ODD if len(t) > 50] + ["thequickbrownfox" * 40]
+    short = [own._word(w) for w in words]
+    monkeypatch.setattr(bpe, "LONG", 2)
+    assert [own._word(w) for w in words] == short
 
 
 def test_word_bpe_operator(spark, messy, empty):
@@ -40,16 +53,40 @@ def test_word_bpe_operator(spark, messy, empty):
     assert bpe.encode(empty).collect() == []
     d = bpe.digests(messy).collect()
     assert d[1].ids_sha256 == hashlib.sha256(b"").hexdigest()
+    assert bpe.encode(messy, keep=["lang"]).columns == ["lang", "ids", "n_tokens", "decoded"]
     clash = bpe.encode(messy.withColumnRenamed("score", "ids"))
     assert clash.first().ids == "x" and clash.first()["_ids"] == ""
 
 
 def test_memo_keeps_what_is_asked_for():
     made = []
-    m = Memo(lambda k: made.append(k) or k * 2, 3)
-    for k in (1, 2, 3, 1, 4, 1, 5, 6, 1, 7):
+    m = Memo(lambda k: made.append(k) or k * 2, 3 * 200)
+    for k in ("a", "b", "c", "a", "d", "a", "e", "f", "a", "g"):
         assert m[k] == k * 2
-    assert made.count(1) == 1 and len(m) <= 3 and len(m.old) <= 3
+    assert made.count("a") == 1 and len(m) <= 4 and len(m.old) <= 4
+
+
+def held(*memos):
+    """Bytes of what memos hold, objects and tables."""
+    return sum(sys.getsizeof(d) + sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in d.items()) for m in memos for d in (m, m.old))
+
+
+def test_memos_stay_below_their_bytes_on_unspaced_text(monkeypatch):
+    monkeypatch.setattr(bpe, "WORDS", 1 << 16)
+    monkeypatch.setattr(bpe, "CHUNKS", 1 << 16)
+    own, rng = bpe.WordBpe(bpe.default_path()), random.Random(2)
+    for _ in range(40):
+        own.text("".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(3000)))
+        own.text(" ".join("".join(rng.choices("abcdefgh", k=rng.randint(1, 30))) for _ in range(500)))
+    assert 0 < held(own.words) < 2 * (1 << 16) + 20_000 and 0 < held(own.chunks) < 2 * (1 << 16) + 20_000
+
+
+def test_slices_are_bounded_by_bytes():
+    sizes = [3, 0, 50, 1, 1, 9, 2, None, 4]
+    b = pa.RecordBatch.from_pydict({"k": list(range(9)), "t": [None if n is None else "é" * n for n in sizes]})
+    got = list(slices([b, b.slice(0, 0)], 1, 20))
+    assert pa.Table.from_batches(got) == pa.Table.from_batches([b])
+    assert all(p.num_rows == 1 or sum(len((t or "").encode()) for t in p.column(1).to_pylist()) <= 20 for p in got)
 
 
 def test_byte_bpe_equals_the_library(texts):

@@ -37,7 +37,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def word_codes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's codes, their number, and the text decoded from them."""
-    return bpe.encode(docs.select("doc_id", "source", "text")).drop("text")
+    return bpe.encode(docs.select("doc_id", "source", "text"), keep=["doc_id", "source"])
 
 
 STAGES = [

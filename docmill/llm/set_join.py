@@ -8,12 +8,14 @@
    split again, and those still large after LEVELS splits are compared block by block, so that no node is
    cut short. The whole is repeated with new hashes, as often as the target recall asks for.
 3. Records whose embeddings agree well enough are candidates, and connected candidates a family. Within
-   each family all pairs are compared by their exact sets, again block by block. A pair is a link if its
-   Jaccard similarity is LEAST or more; links' connected components are the classes.
+   each family all pairs whose sizes allow a link are compared by their exact sets, again block by block. A
+   pair is a link if its Jaccard similarity is LEAST or more; links' connected components are the classes.
 
 Words are runs without ASCII white space, in lower case. A text of one to four words has one shingle, all
-its words. Texts without words (null, empty) are classes of their own and have no links; rows without a doc_id have
-no row in the result, and keep_representatives keeps them. Rows sharing a doc_id and text are copies; rows sharing a doc_id but not the text share a class.
+its words. Texts without words (null, empty) are classes of their own and have no links. Every row counts,
+whatever its doc_id: repeated rows and rows with a null doc_id are copies like any others, and rows that
+share a doc_id but not the text are told apart by their sets. A class is named by its smallest doc_id (null
+if it has none), so two classes have one name only where different texts share that doc_id.
 """
 
 from __future__ import annotations
@@ -25,12 +27,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docmill.llm.bpe import Memo
-from docmill.llm.common import fresh, stage, table
+from docmill.llm.common import Space, fresh, table
 from docmill.llm.components import components
 
 WORDS_PER_SHINGLE, LEAST = 5, 0.8
@@ -58,13 +59,13 @@ FACTORS = np.array([_seeded(7, i) | 1 for i in range(COORDINATES)], np.uint64)
 POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(WORDS_PER_SHINGLE, 0, -1)], np.uint64)
 
 
-def shingles(text: str | None, words: dict[bytes, int]) -> np.ndarray:
+def shingles(text: str | None) -> np.ndarray:
     """The sorted distinct 64-bit hashes of a text's shingles."""
     got = text.lower().encode("utf-8", "surrogatepass").split() if text else []
     n = len(got)
     if not n:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(words.__getitem__, got), np.uint64, n)
+    h = np.fromiter(map(xxhash.xxh64_intdigest, got), np.uint64, n)
     if n < WORDS_PER_SHINGLE:
         return np.array([_seeded(n, *h.tolist())], np.uint64)
     m = n - WORDS_PER_SHINGLE + 1
@@ -94,24 +95,26 @@ def runs_for(recall: float = RECALL, levels: int = LEVELS) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - q))
 
 
-def word_memo() -> Memo:
-    return Memo(xxhash.xxh64_intdigest, 500_000)
-
-
-FEATURES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("embedding", T.BinaryType())])
+FEATURES = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("embedding", T.BinaryType()), T.StructField("size", T.LongType())])
 NODES = T.StructType([T.StructField("node", T.LongType()), T.StructField("rec", T.LongType())])
-FOUND = T.StructType([T.StructField("rec", T.LongType()), T.StructField("root", T.LongType()), T.StructField("links", T.LongType()), T.StructField("digest", T.BinaryType())])
+FOUND = T.StructType([T.StructField("rec", T.LongType()), T.StructField("root", T.LongType()), T.StructField("links", T.LongType())])
 
 
-def features(docs: DataFrame) -> DataFrame:
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_memo()
-        for b in batches:
-            sets = [shingles(t, words) for t in b.column(1).to_pylist()]
-            digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digests, pa.binary()), pa.array([embed(s).tobytes() if len(s) else None for s in sets], pa.binary())], names=FEATURES.names)
+def features(text: Column) -> Column:
+    """A struct of FEATURES of each text, of nulls where it has no words; other columns don't pass through Python."""
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL").mapInArrow(rows, FEATURES)
+    def made(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            digests, embeddings, sizes = [], [], []
+            for k in range(len(column)):
+                s = shingles(column[k].as_py())
+                some = len(s) > 0
+                digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if some else None)
+                embeddings.append(embed(s).tobytes() if some else None)
+                sizes.append(len(s) if some else None)
+            yield pa.StructArray.from_arrays([pa.array(digests, pa.binary()), pa.array(embeddings, pa.binary()), pa.array(sizes, pa.int64())], FEATURES.names)
+
+    return F.arrow_udf(made, FEATURES)(text)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -201,13 +204,33 @@ def forest(rec: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     return label
 
 
-def blocks(rows: DataFrame, key: str, size: str, block: int) -> DataFrame:
-    """rows once for each pair of blocks (one, two) of their group that they belong to; groups of one block have the pair (0, 0)."""
-    n = F.greatest(F.lit(1), F.ceil(F.col(size) / block).cast("int"))
-    own = F.pmod(F.xxhash64("rec", key), n).cast("int")
-    with_own = rows.withColumn("n_blocks", n).withColumn("own", own)
-    other = with_own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    return other.withColumn("one", F.least("own", "other")).withColumn("two", F.greatest("own", "other"))
+def paired(rows: DataFrame, own: Column, others: Column) -> DataFrame:
+    """rows once for each block of others, with own and both blocks in order (one, two)."""
+    each = rows.withColumn("own", own).withColumn("other", F.explode(others))
+    return each.withColumn("one", F.least("own", "other")).withColumn("two", F.greatest("own", "other"))
+
+
+def node_blocks(rows: DataFrame) -> DataFrame:
+    """rows (node, n, rec) for each pair of blocks of their node that they belong to; small nodes have the pair (0, 0)."""
+    n = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("long")
+    return paired(rows, F.pmod(F.xxhash64("rec", "node"), n), F.sequence(F.lit(0).cast("long"), n - 1))
+
+
+def band(size: Column) -> Column:
+    """Sizes of sets in steps of 1 / LEAST (a hair more, against rounding): linked sets are at most one step apart."""
+    return F.floor(F.log(size.cast("double")) / F.lit(math.log(1.0000001 / LEAST))).cast("int")
+
+
+def family_blocks(rows: DataFrame) -> DataFrame:
+    """rows (family, n, bands, band, rec) for each pair of blocks of their own and the neighbouring bands; small families have the pair (0, 0)."""
+    of = lambda b, k: b.cast("long") * F.lit(1 << 32) + k
+    parts = lambda n: F.ceil(n / EXACT).cast("long")
+    whole = F.col("n") <= EXACT
+    own = of(F.col("band"), F.pmod(F.xxhash64("rec", "family"), parts(F.element_at("bands", F.col("band")))))
+    near = F.filter(F.map_entries("bands"), lambda e: F.abs(e.key - F.col("band")) <= 1)
+    others = F.flatten(F.transform(near, lambda e: F.transform(F.sequence(F.lit(0).cast("long"), parts(e.value) - 1), lambda k: of(e.key, k))))
+    zero = F.lit(0).cast("long")
+    return paired(rows, F.when(whole, zero).otherwise(own), F.when(whole, F.array(zero)).otherwise(others))
 
 
 def compare_embeddings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,20 +263,22 @@ def compare_embeddings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_rec)), pa.array(np.concatenate(out_root))], names=["rec", "root"])
 
 
-def candidates(records: DataFrame, runs: int) -> DataFrame:
+def candidates(records: DataFrame, runs: int, space: Space) -> DataFrame:
     """(rec, root): edges that connect the records that chosen paths brought together and whose embeddings agree."""
-    nodes, leaves = roots(records, runs), None
+    nodes, leaves = space.write(roots(records, runs), "nodes"), None
     for level in range(1, LEVELS + 1):
-        sizes = nodes.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
-        met = stage(nodes.join(sizes, "node"), "nodes")
+        # written before the join, so that Spark may split a node that holds many records
+        sizes = space.write(nodes.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+        met = space.write(nodes.join(sizes, "node"), "met")
+        space.drop(nodes, sizes)
         ready = met if level == LEVELS else met.where(F.col("n") <= SMALL)
         leaves = ready if leaves is None else leaves.unionByName(ready)
         large = met.where(F.col("n") > SMALL)
         if level == LEVELS or large.isEmpty():
             break
-        nodes = stage(split(large, records), "split")
-    spread = blocks(leaves, "node", "n", BLOCK).join(records.select("rec", "embedding"), "rec")
-    dealt = spread.select("node", "one", "two", "own", "rec", "embedding").repartition("node", "one", "two").sortWithinPartitions("node", "one", "two")
+        nodes = space.write(split(large, records), "nodes")
+    known = leaves.join(records.select("rec", "embedding"), "rec")
+    dealt = node_blocks(known).select("node", "one", "two", "own", "rec", "embedding").repartition("node", "one", "two").sortWithinPartitions("node", "one", "two")
     return dealt.mapInArrow(compare_embeddings, "rec long, root long")
 
 
@@ -294,16 +319,12 @@ def intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
 
 
 def compare_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (family, one, two, own, rec, copies, digest, hashes) to (rec, root, links, digest) of each pair of blocks; a record given twice counts once."""
-    out: list[list[np.ndarray]] = [[], [], [], []]
+    """Sorted (family, one, two, own, rec, copies, hashes) to (rec, root, links) of each pair of blocks."""
+    out: list[list[np.ndarray]] = [[], [], []]
     for t in grouped(batches, 3):
         one, two = t.column(1)[0].as_py(), t.column(2)[0].as_py()
-        once: dict[tuple, int] = {}
-        for k, record in enumerate(zip(t.column(4).to_pylist(), t.column(6).to_pylist(), strict=True)):
-            once.setdefault(record, k)
-        t = t.take(list(once.values()))
         own, rec, copies = np.asarray(t.column(3)), np.asarray(t.column(4), np.int64), np.asarray(t.column(5), np.int64)
-        sets = [np.frombuffer(h, "<u8") for h in t.column(7).to_pylist()]
+        sets = [np.frombuffer(h, "<u8") for h in t.column(6).to_pylist()]
         left = np.arange(len(rec)) if one == two else np.flatnonzero(own == one)
         right = left if one == two else np.flatnonzero(own == two)
         links = np.zeros(len(rec), np.int64)
@@ -319,64 +340,90 @@ def compare_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 links[right] += linked.T @ copies[left]
             i, j = np.nonzero(linked)
             root = forest(rec, np.stack([left[i], right[j]], axis=1))
-        for column, new in zip(out, (rec, root, links, np.array(t.column(6).to_pylist(), object)), strict=True):
+        for column, new in zip(out, (rec, root, links), strict=True):
             column.append(new)
         if sum(map(len, out[0])) > 20_000:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), kind) for c, kind in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=FOUND.names)
-            out = [[], [], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=FOUND.names)
+            out = [[], [], []]
     if out[0]:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), kind) for c, kind in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=FOUND.names)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=FOUND.names)
 
 
-SETS = T.StructType([T.StructField("family", T.LongType()), T.StructField("n", T.LongType()), T.StructField("rec", T.LongType()), T.StructField("copies", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("hashes", T.BinaryType())])
-
-
-def exact_sets(members: DataFrame, docs: DataFrame) -> DataFrame:
-    """(family, n, rec, copies, digest) with each record's shingles, made anew from its text: of the rows of a doc_id, those with the record's set."""
+def with_sets(members: DataFrame) -> DataFrame:
+    """members (…, text) with hashes, the shingles made anew from the text, instead of it."""
+    fields = [f for f in members.schema.fields if f.name != "text"]
+    at = members.columns.index("text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_memo()
         for b in batches:
-            sets = [shingles(t, words) for t in b.column(5).to_pylist()]
-            same = pa.array([len(s) > 0 and hashlib.blake2b(s.tobytes(), digest_size=16).digest() == d for s, d in zip(sets, b.column(4).to_pylist(), strict=True)])
-            hashes = [s.astype("<u8").tobytes() for s in sets]
-            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(hashes, pa.binary())], names=SETS.names).filter(same)
+            for a in range(0, b.num_rows, 500):
+                part = b.slice(a, 500)
+                hashes = [shingles(t).astype("<u8").tobytes() for t in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in fields), pa.array(hashes, pa.binary())], names=[*(f.name for f in fields), "hashes"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("rec"), "text").where("rec IS NOT NULL AND text IS NOT NULL")
-    return members.join(texts, "rec").select("family", "n", "rec", "copies", "digest", "text").distinct().mapInArrow(rows, SETS)
+    return members.mapInArrow(rows, T.StructType([*fields, T.StructField("hashes", T.BinaryType())]))
 
 
-def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
-    """(doc_id, class_id, n_links, is_representative) of every row of docs that has a doc_id.
+def numbered(docs: DataFrame, space: Space) -> tuple[DataFrame, list[str]]:
+    """docs written with a number, digest, embedding and size of each row, and these columns' names.
 
-    class_id: the smallest doc_id of the class. n_links: rows linked with this one, exact copies included.
-    is_representative: one row of each class (rows alike in doc_id share it).
+    The numbers are made once and written, so they tell rows apart whatever the rows hold.
     """
-    made = stage(features(docs), "features")
-    records = stage(made.where("digest IS NOT NULL").groupBy("digest", "embedding").agg(F.min("doc_id").alias("rec"), F.count("*").alias("copies")), "records")
-    family = components(candidates(records, runs_for(recall)), "rec", "root")
+    row, made = fresh(docs, "row", "made")
+    got = space.write(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(made, features(F.col("text"))), "rows")
+    return got, [row, *(f"{made}.{name}" for name in FEATURES.names)]
+
+
+def classify(rows: DataFrame, space: Space, recall: float) -> DataFrame:
+    """(digest, copies, rec, root, n_links) of every different set of rows (row, doc_id, text, digest, embedding, size).
+
+    root: the class, by the number of one of its records; null where no other record is linked.
+    """
+    same = rows.where("digest IS NOT NULL").groupBy("digest", "embedding").agg(F.count("*").alias("copies"), F.min("row").alias("row"), F.max("size").alias("size"))
+    records = space.write(same.withColumn("rec", F.monotonically_increasing_id()), "records")
+    family = components(candidates(records, runs_for(recall), space), "rec", "root")
     # roots are members too
     listed = family.select(F.col("node").alias("rec"), F.col("root").alias("family")).unionByName(family.select(F.col("root").alias("rec"), F.col("root").alias("family")).distinct())
-    counts = listed.groupBy("family").agg(F.count("*").alias("n"))
-    members = stage(listed.join(counts, "family").join(records.select("rec", "copies", "digest"), "rec").select("family", "n", "rec", "copies", "digest"), "members")
-    sets = stage(exact_sets(members, docs), "sets")
-    dealt = blocks(sets, "family", "n", EXACT).select("family", "one", "two", "own", "rec", "copies", "digest", "hashes").repartition("family", "one", "two").sortWithinPartitions("family", "one", "two")
-    found = stage(dealt.mapInArrow(compare_sets, FOUND), "found")
+    banded = space.write(listed.join(records.select("rec", "row", "copies", band(F.col("size")).alias("band")), "rec"), "members")
+    counts = banded.groupBy("family", "band").agg(F.count("*").alias("k"))
+    # a family has as many bands as sizes have steps of a quarter: a few dozen
+    families = space.write(counts.groupBy("family").agg(F.sum("k").alias("n"), F.map_from_entries(F.collect_list(F.struct("band", "k"))).alias("bands")), "families")
+    members = banded.join(families, "family").join(rows.select("row", "text"), "row").select("family", "n", "bands", "band", "rec", "copies", "text")
+    dealt = family_blocks(with_sets(members)).select("family", "one", "two", "own", "rec", "copies", "hashes").repartition("family", "one", "two").sortWithinPartitions("family", "one", "two")
+    found = space.write(dealt.mapInArrow(compare_sets, FOUND), "found")
     classes = components(found.select("rec", "root"), "rec", "root")
-    links = found.groupBy("digest").agg(F.sum("links").alias("links"))
-    known = records.join(classes.withColumnRenamed("node", "rec"), "rec", "left").join(links, "digest", "left").select("digest", F.coalesce("root", "rec").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = made.select("doc_id", "digest").join(known, "digest", "left")
-    return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), (F.coalesce("class_id", "doc_id") == F.col("doc_id")).alias("is_representative"))
-
-
-def keep_representatives(docs: DataFrame) -> DataFrame:
-    """docs with one row of each class: the smallest doc_id, and of its rows one with the smallest text hash. Rows without a doc_id stay."""
-    class_id, rank = fresh(docs, "dup_class", "dup_rank")
-    gone = near_duplicates(docs).where(~F.col("is_representative")).select(F.col("doc_id").alias(class_id)).distinct()
-    left = docs.join(gone, F.col("doc_id").cast("long") == F.col(class_id), "left_anti")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    known = left.where("doc_id IS NOT NULL").withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).select(*docs.columns)
-    return known.unionByName(left.where("doc_id IS NULL"))
+    linked = classes.select(F.col("node").alias("rec"), "root").unionByName(classes.select(F.col("root").alias("rec"), "root").distinct())
+    links = found.groupBy("rec").agg(F.sum("links").alias("links"))
+    known = records.select("rec", "digest", "copies").join(linked, "rec", "left").join(links, "rec", "left")
+    return space.write(known.select("digest", "copies", "rec", "root", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "known")
+
+
+def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
+    """(doc_id, class_id, n_links, is_representative) of every row of docs.
+
+    class_id: the smallest doc_id of the class. n_links: rows linked with this one, exact copies included.
+    is_representative: one row of each class (rows alike in doc_id share it).
+    """
+    space = Space(docs.sparkSession, "set-join")
+    got, names = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), space)
+    rows = got.select(F.col(names[0]).alias("row"), "doc_id", "text", *[F.col(n).alias(k) for n, k in zip(names[1:], FEATURES.names, strict=True)])
+    known = classify(rows, space, recall)
+    own = space.write(rows.select("doc_id", "digest").join(known, "digest", "left").select("doc_id", "n_links", "digest", F.coalesce("root", "rec").alias("class")), "classed")
+    low = space.write(own.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("low")), "low")
+    out = own.join(low, "class", "left").withColumn("class_id", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("low")))
+    return out.select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("class_id").eqNullSafe(F.col("doc_id")).alias("is_representative"))
+
+
+def keep_representatives(docs: DataFrame, recall: float = RECALL) -> DataFrame:
+    """docs with one row of each class: of the smallest doc_id (null last), and of its rows one with the smallest text hash. Rows without words stay."""
+    space = Space(docs.sparkSession, "set-join")
+    got, names = numbered(docs, space)
+    rows = got.select(F.col(names[0]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(n).alias(k) for n, k in zip(names[1:], FEATURES.names, strict=True)])
+    shared = classify(rows, space, recall).where("copies > 1 OR root IS NOT NULL").select("digest", F.coalesce("root", "rec").alias("class"))
+    members = space.write(rows.select("row", "doc_id", F.xxhash64("text").alias("hash"), "digest").join(shared, "digest").select("class", "row", "doc_id", "hash"), "shared")
+    first = members.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "hash", "row")).alias("first"))
+    gone = members.select("row").join(first.select("first.row"), "row", "left_anti").select(F.col("row").alias(names[0]))
+    return got.join(gone, names[0], "left_anti").select(*docs.columns)
 
 
 def op4_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:

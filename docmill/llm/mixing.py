@@ -5,9 +5,10 @@ repeated as often as the inverse of a Poisson distribution with that mean says a
 from the seed and its doc_id: any task makes the same choice anywhere, with no state to lose. The copies
 are dealt and ordered by a hash of seed, doc_id and copy number, which is a global shuffle without sampling.
 
-Rows with equal doc_id (null is one value) and source get the same number of copies. A null source is a
-source; sources of weight 0 or without a weight get no copies. Texts may be null or empty. An empty table
-gives an empty one. A rate above 500 raises ValueError, since its Poisson terms don't fit doubles.
+Rows with equal doc_id and source get the same number of copies; rows without a doc_id stand for their text
+instead, so they are dealt and repeated one by one. A null source is a source; sources of weight 0 or without
+a weight get no copies. Texts may be null or empty. An empty table gives an empty one. A rate above SUMMAND,
+whose Poisson terms don't fit doubles, is the sum of equal smaller ones, each with a hashed number of its own.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from docmill.llm.common import fresh, stage, table
 
 #: The rates are sent to all tasks if there are at most so many sources; beyond that they are joined.
 BROADCAST_SOURCES = 20_000
-LARGEST_RATE = 500.0
+SUMMAND = 500.0
 
 
 def tempered(docs: DataFrame, power: float = 0.7) -> DataFrame:
@@ -28,7 +29,7 @@ def tempered(docs: DataFrame, power: float = 0.7) -> DataFrame:
 
 
 def rates(docs: DataFrame, weights: DataFrame, total: float | None = None) -> DataFrame:
-    """(source, rate, cdf): mean copies of a document, and the Poisson distribution's running sums up to where they reach 1.
+    """(source, rate, parts, cdf): mean copies of a document, the number of equal summands of that mean, and the running sums of one summand's Poisson distribution up to where they reach 1.
 
     total: wanted number of documents on average (default: as many as there are).
     """
@@ -37,18 +38,18 @@ def rates(docs: DataFrame, weights: DataFrame, total: float | None = None) -> Da
     sums = both.agg(F.sum("weight").alias("all_weight")).crossJoin(counts.agg(F.sum("n").alias("all_n")))  # one row
     wanted = F.lit(float(total)) if total is not None else F.col("all_n")
     rate = F.round(wanted * F.col("weight") / F.col("all_weight") / F.col("n"), 9)
-    out = both.crossJoin(F.broadcast(sums)).where("weight > 0").select("source", rate.alias("rate")).where("rate > 0")
-    top = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 40).cast("int")
-    first = F.exp(-F.col("rate"))
-    # term k is term k - 1 times rate / k
+    out = both.crossJoin(F.broadcast(sums)).where("weight > 0").select("source", rate.alias("rate")).where("rate > 0").withColumn("parts", F.ceil(F.col("rate") / SUMMAND).cast("int"))
+    out = out.withColumn("mean", F.when(F.col("parts") == 1, F.col("rate")).otherwise(F.col("rate") / F.col("parts")))
+    top = F.ceil(F.col("mean") + 12 * F.sqrt("mean") + 40).cast("int")
+    first = F.exp(-F.col("mean"))
+    # term k is term k - 1 times mean / k
     cdf = F.aggregate(
         F.sequence(F.lit(1), top),
         F.struct(first.alias("p"), first.alias("c"), F.array(first).alias("all")),
-        lambda s, k: F.struct((s.p * F.col("rate") / k).alias("p"), (s.c + s.p * F.col("rate") / k).alias("c"), F.concat(s["all"], F.array(s.c + s.p * F.col("rate") / k)).alias("all")),
+        lambda s, k: F.struct((s.p * F.col("mean") / k).alias("p"), (s.c + s.p * F.col("mean") / k).alias("c"), F.concat(s["all"], F.array(s.c + s.p * F.col("mean") / k)).alias("all")),
         lambda s: s["all"],
     )
-    # terms of rates that mix() refuses are not worked out
-    return out.select("source", "rate", F.when(F.col("rate") <= LARGEST_RATE, cdf).alias("cdf"))
+    return out.select("source", "rate", "parts", cdf.alias("cdf"))
 
 
 def uniform(seed: int, *values: Column) -> Column:
@@ -59,20 +60,27 @@ def uniform(seed: int, *values: Column) -> Column:
 
 def mix(docs: DataFrame, weights: DataFrame, seed: int = 17, total: float | None = None) -> DataFrame:
     """docs repeated and shuffled, with rate, n_copies, copy (from 1) and shuffle_key, by which each partition is in order."""
-    rate, n_copies, copy, key, source, cdf = fresh(docs, "rate", "n_copies", "copy", "shuffle_key", "mixed_source", "cdf")
+    rate, n_copies, copy, key, source, parts, cdf, who = fresh(docs, "rate", "n_copies", "copy", "shuffle_key", "mixed_source", "parts", "cdf", "who")
     known = stage(rates(docs.select("source"), weights, total), "rates")
-    size, largest = known.agg(F.count("*"), F.max("rate")).collect()[0]
-    if largest is not None and largest > LARGEST_RATE:
-        raise ValueError(f"a repetition rate of {largest:g} is above {LARGEST_RATE:g}")
-    known = known.select(F.col("source").alias(source), F.col("rate").alias(rate), F.col("cdf").alias(cdf))
+    size = known.count()
+    known = known.select(F.col("source").alias(source), F.col("rate").alias(rate), F.col("parts").alias(parts), F.col("cdf").alias(cdf))
     known = F.broadcast(known) if size <= BROADCAST_SOURCES else known
-    u = uniform(seed, F.col("doc_id"))
-    joined = docs.join(known, F.col("source").eqNullSafe(F.col(source))).withColumn("_u", u)
-    # the inverse: how many running sums are below the number, which is where it would be put among them
-    place = F.array_position(F.sort_array(F.array_append(F.col(cdf), F.col("_u"))), F.col("_u"))
-    counted = joined.withColumn(n_copies, place.cast("long") - 1)
+    # rows without an id are told apart by their text, so that they don't all go to one task
+    unknown = F.when(F.col("text").isNotNull(), F.concat(F.lit("text/"), F.md5("text"))).otherwise("") if "text" in docs.columns else F.lit("")
+    joined = docs.join(known, F.col("source").eqNullSafe(F.col(source))).withColumn(who, F.coalesce(F.col("doc_id").cast("string"), unknown))
+
+    def inverse(*values: Column) -> Column:
+        """How many running sums are below the number hashed from values, which is where it would be put among them."""
+        return F.aggregate(
+            F.array(uniform(seed, *values)),
+            F.lit(0).cast("long"),
+            lambda _, u: F.array_position(F.sort_array(F.array_append(F.col(cdf), u)), u) - 1,
+        )
+
+    summands = F.aggregate(F.sequence(F.lit(1), F.col(parts)), F.lit(0).cast("long"), lambda s, k: s + inverse(F.col(who), k))
+    counted = joined.withColumn(n_copies, F.when(F.col(parts) == 1, inverse(F.col(who))).otherwise(summands))
     copies = counted.where(F.col(n_copies) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n_copies).cast("int"))))
-    keyed = copies.withColumn(key, F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col(copy).cast("string")).cast("binary")))
+    keyed = copies.withColumn(key, F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(who), F.col(copy).cast("string")).cast("binary")))
     return keyed.select(*docs.columns, rate, n_copies, copy, key).repartition(key).sortWithinPartitions(key, "doc_id")
 
 

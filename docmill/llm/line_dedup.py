@@ -44,7 +44,8 @@ def windows(docs: DataFrame) -> DataFrame:
 def covered(docs: DataFrame) -> DataFrame:
     """(row, covered): the line numbers that later occurrences of repeated windows cover."""
     found = stage(windows(docs), "windows")
-    repeated = found.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("row", "lines")).alias("first")).where("n > 1").select("hash", "first")
+    # written before the join, so that Spark may split a window that is found everywhere
+    repeated = stage(found.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("row", "lines")).alias("first")).where("n > 1").select("hash", "first"), "repeated")
     later = found.join(repeated, "hash").where(F.struct("row", "lines") > F.col("first"))
     return later.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_set("lines"))).alias("covered"))
 

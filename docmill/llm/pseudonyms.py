@@ -160,8 +160,15 @@ def pseudonym(m: Column, key: str) -> Column:
     )
 
 
-def pseudonymize(docs: DataFrame, key: str = "docmill") -> DataFrame:
-    """docs with text rewritten, and n_private, the number of values found (renamed with a leading underscore if taken)."""
+#: The setting that holds the key, and the key of sessions that set none, as in tests: it hides nothing.
+KEY_SETTING, TEST_KEY = "spark.docmill.pseudonym.key", "not a secret"
+
+
+def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
+    """docs with text rewritten, and n_private, the number of values found (renamed with a leading underscore if taken).
+
+    key: who holds it can go back. It is a literal of the plan, so plans and event logs are to be kept as it is.
+    """
     name, found = fresh(docs, "n_private", "found")
     matches = F.when(F.col("text").rlike(FOUND), F.regexp_extract_all("text", F.lit(FOUND), F.lit(0)))
     marked = docs.withColumn(found, matches)
@@ -173,5 +180,5 @@ def pseudonymize(docs: DataFrame, key: str = "docmill") -> DataFrame:
 
 
 def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its private values replaced by linked pseudonyms."""
-    return pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Every document with its private values replaced by linked pseudonyms, by the key of the session's setting."""
+    return pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), spark.conf.get(KEY_SETTING, TEST_KEY))

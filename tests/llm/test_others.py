@@ -46,8 +46,26 @@ def test_mixing_edges(spark, messy, empty):
     rows = out.collect()
     assert all(r["copy"] == "x" and r["_copy"] >= 1 for r in rows) and any(r.source is None for r in rows)
     assert mixing.mix(empty, mixing.tempered(empty)).collect() == []
-    with pytest.raises(ValueError):
-        mixing.mix(messy, mixing.tempered(messy), total=1e6).collect()
+
+
+def test_large_rates_are_sums(spark):
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"))
+    n = [r.n_copies for r in mixing.mix(docs, mixing.tempered(docs), total=300 * 1300.0).where("copy = 1").collect()]
+    assert len(n) == 300 and abs(sum(n) / 300 - 1300) < 5 * (1300 / 300) ** 0.5 and 0.75 < np.var(n) / 1300 < 1.3
+
+
+def test_clashing_names_stay(spark):
+    taken = ("_u", "u", "rate", "n_copies", "copy", "shuffle_key", "mixed_source", "parts", "cdf", "who", "mean")
+    docs = spark.range(200).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("string").alias("source"), *[F.lit(f"own {c}").alias(c) for c in taken])
+    rows = mixing.mix(docs, mixing.tempered(docs)).collect()
+    assert all(r[c] == f"own {c}" for r in rows for c in taken) and all(1 <= r["_copy"] <= r["_n_copies"] for r in rows)
+
+
+def test_rows_without_an_id_are_dealt_by_text(spark):
+    docs = spark.range(400).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a").alias("source"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    mixed = mixing.mix(docs, mixing.tempered(docs))
+    rows = mixed.collect()
+    assert len({r.n_copies for r in rows}) > 2 and len({r.shuffle_key for r in rows}) == len(rows) and 300 < len(rows) < 500
 
 
 # --- line dedup
@@ -112,6 +130,27 @@ def test_top_k_equals_brute_force(spark, tmp_path, monkeypatch, cell):
     assert got == brute_top(rows)
 
 
+@pytest.mark.parametrize("size", [1e5, 2e6, 1e9, 1e30, 1e300])
+def test_top_k_is_exact_for_large_components(spark, tmp_path, size):
+    """Scores that differ by one unit in the last place, of both signs, with ties; those beyond a long are null but ranked."""
+    rng = np.random.default_rng(11)
+    rows = [(i, (rng.choice([-1, 1], 36) * size * (1 + rng.integers(0, 3, 36) / 1024)).tolist()) for i in range(120)]
+    rows += [(120 + i, [size] * 35 + [size + d / 1024]) for i, d in enumerate((1, 2, 3, 2, 1, 0))] + [(200, [size] * 36), (201, [1.0 / 1024] * 36), (202, [-size] * 36)]
+    want = brute_top(rows)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in sorted(top_k.op6_exact_top_k(spark, write_tables(tmp_path / "t", embeddings=df)).collect(), key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == {q: [(i, s if -(2**63) <= s < 2**63 else None) for i, s in best] for q, best in want.items()}
+
+
+def test_repeated_query_ids_get_their_own(spark, tmp_path):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), *((i, [float(i), 20.0 - i]) for i in range(1, 15))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r.rank, r.vec_id) for r in top_k.op6_exact_top_k(spark, write_tables(tmp_path / "t", embeddings=df)).collect() if r.query_id == 0)
+    assert got == sorted([(k + 1, 14 - k) for k in range(10)] + [(k + 1, k + 1) for k in range(10)])
+
+
 def test_top_k_of_few_rows(spark, tmp_path):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in top_k.op6_exact_top_k(spark, write_tables(tmp_path / "a", embeddings=df)).collect()] == [(0, 1, 1, 2048 * 1024)]
@@ -228,6 +267,6 @@ def test_feistel_equals_brute_force(spark):
 
 def test_pseudonym_edges(spark, messy, empty):
     clash = messy.withColumnRenamed("score", "found")
-    rows = pseudonyms.pseudonymize(clash).collect()
+    rows = pseudonyms.pseudonymize(clash, "k").collect()
     assert len(rows) == 9 and {r.found for r in rows} == {"x"} and all(r.n_private == 0 for r in rows)
-    assert pseudonyms.pseudonymize(empty).collect() == []
+    assert pseudonyms.pseudonymize(empty, "k").collect() == []

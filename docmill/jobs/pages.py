@@ -79,6 +79,21 @@ def crawl_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crawl.capped(edges, pages.where("page_id = 0").select(F.col("page_id").alias("node")), max_depth=4, max_pages=80)
 
 
+def site(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pages, links and roots of a site with faults: the tree of page ids with links back, one in eleven pages leads to the one before, one in thirteen can't be read."""
+    n = F.col("page_id")
+    pages = table(spark, sf_dir, "pages").select("page_id")
+    found = pages.select(n.alias("node"), F.when(n % 11 == 10, n - 1).otherwise(n).alias("final"), (n % 13 == 12).alias("failed"))
+    down = pages.where("page_id > 0").select(F.expr("(page_id - 1) div 3").alias("node"), (n % 3).cast("int").alias("ord"), n.alias("dst"))
+    back = pages.where("page_id > 0").select(n.alias("node"), F.lit(5).alias("ord"), F.expr("page_id div 2").alias("dst"))
+    return found, down.unionByName(back), pages.where("page_id = 0").select(n.alias("node"), F.lit(0).alias("ord"))
+
+
+def crawl_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GRF-01, SRC-05: a crawl of at most 200 pages with redirects, pages that fail, and links back; tested against a plain loop."""
+    return crawl.crawl(*site(spark, sf_dir), max_depth=6, max_pages=200)
+
+
 def raw_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TXT-19, SNK-01: one raw text per host, its pages in order."""
     pages = links.process_pages(table(spark, sf_dir, "pages"), text.crop_main).withColumn("host", urls.host("url"))
@@ -127,7 +142,7 @@ d AS (SELECT *, CASE WHEN len(parts) = 0 THEN 'english' ELSE {s.slug("array_to_s
 x AS (SELECT page_id, host, 'english-' || base AS slug, 'kb/' || base || '.md' AS path, row_number() OVER (PARTITION BY base ORDER BY page_id) > 1 AS collision,
   CASE WHEN text = '' THEN 'errored' WHEN archive THEN 'archive' WHEN length({s.squeeze('text')}) >= 200 THEN 'important' ELSE 'low' END AS class FROM d)"""
 
-QUERIES = {f.__name__: f for f in (page_extract, page_blog_extract, page_landing, menu_links, section_links, page_links, link_kinds, page_signals, section_documents, section_counts, crawl_reach, crawl_capped, raw_envelope, url_checks)}
+QUERIES = {f.__name__: f for f in (page_extract, page_blog_extract, page_landing, menu_links, section_links, page_links, link_kinds, page_signals, section_documents, section_counts, crawl_reach, crawl_capped, crawl_site, raw_envelope, url_checks)}
 SQL = {
     "page_extract": _pages_sql(s.crop_main("html")),
     "page_blog_extract": _pages_sql(s.blog_content("html"), "(SELECT page_id, url, replace(html, '<article>', '<div class=\"post blog-content\">') AS html FROM pages)"),
@@ -154,6 +169,11 @@ SELECT host, bool_or(regexp_matches(html, '(?i)<iframe\b')) AS has_iframe, bool_
     "section_documents": f"WITH {_SECTION} SELECT page_id, slug, path, class, collision FROM x",
     "section_counts": f"WITH {_SECTION} SELECT host, count_if(class = 'important') AS important, count_if(class = 'low') AS low, count_if(class = 'archive') AS archive, count_if(class = 'errored') AS errored FROM x GROUP BY host",
     "crawl_reach": "WITH RECURSIVE r AS (SELECT page_id AS node, 0 AS depth FROM pages WHERE page_id = 0 UNION ALL SELECT p.page_id, r.depth + 1 FROM pages p JOIN r ON p.page_id > 0 AND (p.page_id - 1) // 3 = r.node) SELECT node, CAST(depth AS INTEGER) AS depth FROM r",
+    "crawl_capped": """
+WITH RECURSIVE r AS (SELECT page_id AS node, 0 AS depth FROM pages WHERE page_id = 0 UNION ALL SELECT p.page_id, r.depth + 1 FROM pages p JOIN r ON p.page_id > 0 AND (p.page_id - 1) // 3 = r.node),
+f AS (SELECT node, depth FROM (SELECT *, row_number() OVER (ORDER BY depth, node) AS n FROM r WHERE depth <= 4) WHERE n <= 80)
+SELECT node, CAST(depth AS INTEGER) AS depth, 'fetched' AS status FROM f
+UNION ALL SELECT p.page_id, NULL, 'pending' FROM pages p WHERE p.page_id > 0 AND (p.page_id - 1) // 3 IN (SELECT node FROM f) AND p.page_id NOT IN (SELECT node FROM f)""",
     "raw_envelope": f"""
 WITH t AS ({_pages_sql(s.crop_main('html'))}), e AS (SELECT {_HOST} AS host, string_agg('=== ' || url || ' ===' || chr(10) || title || chr(10) || text, chr(10) || chr(10) ORDER BY page_id) AS raw, count(*) AS n_pages FROM t GROUP BY 1)
 SELECT host, n_pages, sha256(raw) AS raw_hash, length(raw) AS raw_length FROM e""",

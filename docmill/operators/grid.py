@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,29 +17,32 @@ COMMISSION = rf"(?iu)^com\.?{WS}*(n°|nº|nro)?{WS}*\d+"
 ND = "N/D"
 
 
+MARK = re.compile(r'[",\r\n]')
+
+
 def split_csv(body: str) -> list[list[str]]:
     """Rows of a CSV text (SRC-10): quotes toggle anywhere, a doubled one inside is itself, rows may differ in length."""
-    rows, row, cell, quoted, i = [], [], [], False, 0
-    while i < len(body):
-        c = body[i]
-        if quoted and c == '"' and body[i + 1 : i + 2] == '"':
-            cell.append(c)
-            i += 1
-        elif c == '"':
-            quoted = not quoted
-        elif quoted or c not in ",\r\n":
-            cell.append(c)
-        else:
+    rows, row, cell, quoted, at = [], [], [], False, 0
+    for m in MARK.finditer(body):
+        i, c = m.start(), m.group()
+        if i < at or (quoted and c != '"'):
+            continue
+        cell.append(body[at:i])
+        at = i + 1
+        if c != '"':
             row.append("".join(cell))
             cell = []
             if c != ",":
                 rows.append(row)
                 row = []
-                i += c == "\r" and body[i + 1 : i + 2] == "\n"
-        i += 1
-    if cell or row:
-        rows.append([*row, "".join(cell)])
-    return rows
+                at += c == "\r" and body[at : at + 1] == "\n"
+        elif quoted and body[at : at + 1] == '"':
+            cell.append(c)
+            at += 1
+        else:
+            quoted = not quoted
+    last = "".join([*cell, body[at:]])
+    return [*rows, [*row, last]] if last or row else rows
 
 
 def csv_cells(texts: DataFrame, key: str, body: str) -> DataFrame:
@@ -82,36 +86,45 @@ def exams(cells: DataFrame) -> DataFrame:
     return filled.where("NOT is_day AND c4 IS NOT NULL AND c5 IS NOT NULL").select("sheet", "r", "day", "date", "enrolment", F.col("c4").alias("code"), F.col("c5").alias("subject"), F.coalesce("c6", F.lit("")).alias("hour"))
 
 
+def _is_header(v: Column) -> Column:
+    return F.startswith(F.lower(trim(v)), F.lit("comision"))
+
+
 def headers(cells: DataFrame) -> DataFrame:
-    """(sheet, r, start, next_r) of each header cell, and the row where its range ends (JOI-09)."""
-    h = cells.where(F.startswith(F.lower(trim(F.col("v"))), F.lit("comision"))).select("sheet", "r", F.col("c").alias("start"))
-    rows = h.select("sheet", "r").distinct().withColumn("next_r", F.lead("r").over(Window.partitionBy("sheet").orderBy("r")))
-    return h.join(rows, ["sheet", "r"])
+    """(sheet, r, start) of each header cell."""
+    return cells.where(_is_header(F.col("v"))).select("sheet", "r", F.col("c").alias("start"))
+
+
+def governed(cells: DataFrame) -> DataFrame:
+    """cells with hr, the last row at or above theirs that holds a header, whose range goes on to the next such row (JOI-09)."""
+    above = Window.partitionBy("sheet").orderBy("r").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return cells.withColumn("hr", F.max(F.when(_is_header(F.col("v")), F.col("r"))).over(above))
 
 
 def subjects_above(cells: DataFrame, heads: DataFrame) -> DataFrame:
     """(sheet, r, start, subject): the nearest cell with text, three rows up and four columns right at most, rows before columns (TAB-03, JOI-08).
 
-    A range join, hash-partitioned by sheet: the band is a filter on pairs of one sheet's few headers and cells.
+    Each header is joined with the fifteen places it may look at, by equality of sheet, row and column.
     """
     v = trim(F.col("v"))
-    titles = cells.where((v != "") & ~F.startswith(F.lower(v), F.lit("comision"))).select("sheet", F.col("r").alias("tr"), F.col("c").alias("tc"), v.alias("t"))
-    near = heads.join(titles, "sheet").where("tr BETWEEN r - 3 AND r - 1 AND tc BETWEEN start AND start + 4")
-    best = near.groupBy("sheet", "r", "start").agg(F.min_by("t", F.struct(F.col("r") - F.col("tr"), F.col("tc"))).alias("t"))
-    return heads.select("sheet", "r", "start").join(best, ["sheet", "r", "start"], "left").select("sheet", "r", "start", F.coalesce(F.nullif(text.clean_subject(F.col("t")), F.lit("")), F.lit("Materia sin nombre")).alias("subject"))
+    titles = cells.where((v != "") & ~_is_header(F.col("v"))).select("sheet", F.col("r").alias("tr"), F.col("c").alias("tc"), v.alias("t"))
+    places = heads.select("sheet", "r", "start", F.explode(F.sequence(F.col("r") - 3, F.col("r") - 1)).alias("tr")).select("*", F.explode(F.sequence("start", F.col("start") + 4)).alias("tc"))
+    best = places.join(titles, ["sheet", "tr", "tc"], "left").groupBy("sheet", "r", "start").agg(F.min_by("t", F.when(F.col("t").isNotNull(), F.struct(F.col("r") - F.col("tr"), F.col("tc")))).alias("t"))
+    return best.select("sheet", "r", "start", F.coalesce(F.nullif(text.clean_subject(F.col("t")), F.lit("")), F.lit("Materia sin nombre")).alias("subject"))
 
 
 def schedule(cells: DataFrame) -> DataFrame:
     """(sheet, start, r, subject, commission, day, hours, teacher) below every header block (TAB-02, TAB-04).
 
-    Rows whose commission is another text are left out before values are carried down, so they carry nothing.
+    A cell's governing header row comes from a running maximum over its sheet, and the block's four columns
+    from a join by equality. Rows whose commission is another text are left out before values are carried
+    down, so they carry nothing.
     """
-    heads = headers(cells)
-    blocks = heads.join(subjects_above(cells, heads), ["sheet", "r", "start"]).withColumnRenamed("r", "hr")
+    blocks = subjects_above(cells, headers(cells)).select("sheet", F.col("r").alias("hr"), "start", "subject", F.explode(F.sequence("start", F.col("start") + 3)).alias("c"))
     v = F.nullif(trim(F.col("v")), F.lit(""))
-    inside = cells.join(blocks, "sheet").where("r > hr AND (next_r IS NULL OR r < next_r) AND c BETWEEN start AND start + 3")
-    rows = inside.groupBy("sheet", "hr", "start", "subject", "r").agg(*[F.max(F.when(F.col("c") - F.col("start") == k, v)).alias(n) for k, n in enumerate(("com", "day", "hours", "teach"))])
-    rows = rows.where("coalesce(com, day, hours, teach) IS NOT NULL").where(F.col("com").isNull() | F.col("com").rlike(COMMISSION))
+    inside = governed(cells).where("r > hr").select("sheet", "hr", "r", "c", v.alias("v")).where("v IS NOT NULL").join(blocks, ["sheet", "hr", "c"])
+    rows = inside.groupBy("sheet", "hr", "start", "subject", "r").agg(*[F.max(F.when(F.col("c") - F.col("start") == k, F.col("v"))).alias(n) for k, n in enumerate(("com", "day", "hours", "teach"))])
+    rows = rows.where(F.col("com").isNull() | F.col("com").rlike(COMMISSION))
     return _carried_entries(rows, ["sheet", "hr", "start"]).select("sheet", "start", "r", "subject", "commission", "day", "hours", "teacher")
 
 

@@ -15,19 +15,16 @@ HEADING = rf"^##{WS}+(.+?){WS}*$"
 def md_sections(docs: DataFrame, key: str, body: str) -> DataFrame:
     """(key, ord, name, body) of each ``##`` section (EXP-04), preface first; of equal names the last body at the first place.
 
-    Lines stay in an array until they are cut at headings inside the row, so nothing is shuffled but what
-    repeated names need.
+    Lines stay in an array and are cut at the places of its headings, each slice taken once, so a text costs
+    its length, and nothing is shuffled but what repeated names need.
     """
-    lines = F.transform(F.split(F.concat(F.lit(f"## {PREFACE}\n"), F.coalesce(F.col(body), F.lit(""))), "\n", -1), lambda x: F.struct(F.regexp_extract(x, HEADING, 1).alias("head"), x.alias("line")))
-    # each heading's slot collects what follows it
-    cut = F.aggregate(
-        lines,
-        F.expr("CAST(array() AS array<struct<name: string, body: string>>)"),
-        lambda done, l: F.when(l["head"] != "", F.concat(done, F.array(F.struct(l["head"].alias("name"), F.lit("").alias("body"))))).otherwise(
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(F.element_at(done, -1)["name"].alias("name"), F.concat(F.element_at(done, -1)["body"], F.lit("\n"), l["line"]).alias("body"))))
-        ),
-    )
-    rows = docs.select(key, F.posexplode(cut).alias("pos", "s")).select(key, "pos", trim(F.col("s.name")).alias("name"), trim(F.col("s.body")).alias("body"))
+    lines = F.split(F.concat(F.lit(f"## {PREFACE}\n"), F.coalesce(F.col(body), F.lit(""))), "\n", -1)
+    heads = F.transform(lines, lambda x, i: F.struct(i.alias("at"), F.regexp_extract(x, HEADING, 1).alias("name")))
+    found = docs.select(key, lines.alias("lines"), F.filter(heads, lambda h: h["name"] != "").alias("heads"))
+    ends = F.concat(F.transform(F.slice("heads", 2, F.size("heads")), lambda h: h["at"]), F.array(F.size("lines")))
+    # the lines between a heading and the next one, with a line break before each
+    cut = F.transform(F.arrays_zip(F.col("heads").alias("h"), ends.alias("end")), lambda p: F.struct(p.h["name"].alias("name"), F.array_join(F.slice("lines", p.h["at"] + 2, p.end - p.h["at"] - 1), "\n").alias("body")))
+    rows = found.select(key, F.posexplode(cut).alias("pos", "s")).select(key, "pos", trim(F.col("s.name")).alias("name"), trim(F.col("s.body")).alias("body"))
     once = rows.groupBy(key, "name").agg(F.min("pos").alias("first"), F.max_by("body", "pos").alias("body"))
     return once.withColumn("ord", (F.row_number().over(Window.partitionBy(key).orderBy("first")) - 1)).select(key, "ord", "name", "body")
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 #: UTC keeps timestamp text equal on every machine; ANSI mode stays on.
 SETTINGS = {
@@ -23,3 +25,19 @@ def build(master: str | None = None, shuffle_partitions: int | None = None, **mo
     for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in more.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the checkpoint folder and read again, so that no plan grows from round to round and lost executors cost nothing.
+
+    The folder is that of spark.checkpoint.dir, which driver and executors share. Only a session on one
+    machine that names none, as in tests, gets a folder of that machine.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="docmill-"))
+    return df.checkpoint()

@@ -30,7 +30,7 @@ from docmill.llm.common import fresh, slices, table
 from docmill.llm.memo import Memo
 
 #: Bytes that a worker keeps, in either generation, for chunks between white space, and for words.
-CHUNKS, WORDS = 24 << 20, 24 << 20
+CHUNKS, WORDS = 32 << 20, 32 << 20
 #: Characters of text after which a worker hands on what it has made.
 BATCH = 4 << 20
 #: Unicode's White_Space, which differs from what str.split takes by U+001C to U+001F.

@@ -3,8 +3,9 @@
 Layout of a set of files, all written by Spark's Parquet writer below one folder:
 ``tables`` holds the shared frequency table (id, frequency; the sum is 2**20), ``blocks`` one row per
 block. A block holds whole documents in ascending order of doc_id, is decoded by itself, and carries
-what encode_block() makes: interleaved lanes, checkpoints (lane states and word position, so that several
-readers may share a large block), and checksums of the coded words and of the ids.
+what encode_block() makes: interleaved lanes, checkpoints (lane states, word position, and a checksum of the
+words up to the next one, so that several readers may share a large block and each reads its part only), and
+a checksum of the ids.
 
 Documents are dealt by ranges of doc_id, so no task sees more than its share and no sort is global. Rows
 with a null doc_id come first, rows of one doc_id stand in order of their text; a null text is empty. A
@@ -14,6 +15,7 @@ document always ends with END, so an empty one has one token. An empty table giv
 from __future__ import annotations
 
 import functools
+import json
 import re
 import struct
 import zlib
@@ -36,9 +38,9 @@ BITS = 20
 LANES, EVERY, BLOCK = 4096, 256, 1 << 21
 LOW = np.uint64(1 << 31)
 #: Bytes that a worker keeps, in either generation, for words, and for pieces between spaces.
-WORDS, PIECES = 48 << 20, 80 << 20
+WORDS, PIECES = 64 << 20, 112 << 20
 HEAD = struct.Struct("<4sIIIQII")
-MAGIC = b"rns1"
+MAGIC = b"rns2"
 ADJACENT = re.compile(r" \s|\s ")
 
 
@@ -99,9 +101,10 @@ def encode_block(ids: np.ndarray, t: Table) -> bytes:
         if s % EVERY == 0:
             marks.append(x.copy())
     at = np.concatenate([[0], np.cumsum(sizes)])[:-1][::EVERY].astype("<u8") if steps else np.zeros(0, "<u8")
-    body = at.tobytes() + (np.concatenate(marks[::-1]) if marks else x[:0]).astype("<u8").tobytes()
-    body += (np.concatenate(words[::-1]) if words else np.zeros(0, np.uint32)).astype("<u4").tobytes()
-    return HEAD.pack(MAGIC, lanes, EVERY, len(at), n, zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(body)) + body
+    coded = (np.concatenate(words[::-1]) if words else np.zeros(0, np.uint32)).astype("<u4")
+    sums = np.array([zlib.crc32(coded[a:b]) for a, b in zip(at.tolist(), [*at.tolist()[1:], len(coded)], strict=False)], "<u4")
+    marked = at.tobytes() + sums.tobytes() + (np.concatenate(marks[::-1]) if marks else x[:0]).astype("<u8").tobytes()
+    return HEAD.pack(MAGIC, lanes, EVERY, len(at), n, zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(marked)) + marked + coded.tobytes()
 
 
 def checkpoints(block: bytes) -> int:
@@ -110,14 +113,19 @@ def checkpoints(block: bytes) -> int:
 
 
 def decode_part(block: bytes, t: Table, k: int) -> np.ndarray:
-    """The ids from checkpoint k up to the next one, without those before."""
+    """The ids from checkpoint k up to the next one, without those before; only this part's words are checked and read."""
     _, lanes, every, marks, n, _, crc = HEAD.unpack_from(block)
     body = memoryview(block)[HEAD.size :]
-    if zlib.crc32(body) != crc:
-        raise ValueError("a block's words don't match their checksum")
-    pos = int(np.frombuffer(body, "<u8", marks)[k])
-    x = np.frombuffer(body, "<u8", lanes, marks * 8 + k * lanes * 8).astype(np.uint64)
-    words = np.frombuffer(body, "<u4", offset=marks * 8 * (1 + lanes)).astype(np.uint64)
+    head = marks * (12 + 8 * lanes)
+    if zlib.crc32(body[:head]) != crc:
+        raise ValueError("a block's checkpoints don't match their checksum")
+    coded = body[head:]
+    places = [*np.frombuffer(body, "<u8", marks).tolist(), len(coded) // 4]
+    part = coded[4 * places[k] : 4 * places[k + 1]]
+    if zlib.crc32(part) != int(np.frombuffer(body, "<u4", marks, marks * 8)[k]):
+        raise ValueError("a part's words don't match their checksum")
+    x = np.frombuffer(body, "<u8", lanes, marks * 12 + k * lanes * 8).astype(np.uint64)
+    words, pos = np.frombuffer(part, "<u4").astype(np.uint64), 0
     first, last = k * every * lanes, min(n, (k + 1) * every * lanes)
     out = np.empty(last - first, np.uint32)
     mask, bits = np.uint64((1 << BITS) - 1), np.uint64(BITS)
@@ -153,12 +161,19 @@ class ByteBpe:
 
     In such files a single space starts a new piece wherever other than white space surrounds it, so a text
     whose spaces all stand so is cut there. Pieces of printable Latin-1 are cut on by the file's own pattern
-    and their words given to the library's model; all others, and other texts, go to the library whole.
+    and their words given to the library's model; all others, and other texts, go to the library whole. So
+    does everything if the file has a normalizer, a prefix space or a pattern of its own.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        cut, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        plain = not spec.get("normalizer") and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+        self.known = plain and model.get("type", "BPE") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+        del spec, model
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
@@ -194,14 +209,16 @@ class ByteBpe:
         return b"".join(map(self.words.__getitem__, self.cut.findall(piece)))
 
     def _piece(self, piece: str) -> bytes:
-        """The codes of a piece and the space before it."""
+        """The codes of a piece and the space before it; one of plain letters is one word."""
+        if piece.isascii() and piece.isalpha() and self.starts.isdisjoint(piece):
+            return self.words[f" {piece}"]
         return self._cut(f" {piece}")
 
     def ids(self, text: str | None) -> bytes:
         """All ids of a text, as little-endian unsigned integers of the dtype ``small``."""
         if not text:
             return b""
-        if ADJACENT.search(text) or any(" " in s for s in self.specials):
+        if not self.known or ADJACENT.search(text) or any(" " in s for s in self.specials):
             return self._whole(text)
         first, *rest = text.split(" ")
         return (self._cut(first) if first else b"") + b"".join(map(self.pieces.__getitem__, rest))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import re
 import sys
@@ -60,7 +61,7 @@ def test_word_bpe_operator(spark, messy, empty):
 
 def test_memo_keeps_what_is_asked_for():
     made = []
-    m = Memo(lambda k: made.append(k) or k * 2, 3 * 200)
+    m = Memo(lambda k: made.append(k) or k * 2, 3 * 220)
     for k in ("a", "b", "c", "a", "d", "a", "e", "f", "a", "g"):
         assert m[k] == k * 2
     assert made.count("a") == 1 and len(m) <= 4 and len(m.old) <= 4
@@ -95,6 +96,17 @@ def test_byte_bpe_equals_the_library(texts):
         assert np.frombuffer(own.ids(t), own.small).tolist() == lib.encode(t, add_special_tokens=False).ids, t[:60]
 
 
+def test_other_files_go_to_the_library(tmp_path):
+    spec = json.loads(open(token_files.default_path(), encoding="utf-8").read())
+    for name, change in (("prefix", {"pre_tokenizer": {**spec["pre_tokenizer"], "add_prefix_space": True}}), ("lower", {"normalizer": {"type": "Lowercase"}})):
+        path = str(tmp_path / f"{name}.json")
+        with open(path, "w", encoding="utf-8") as f:
+            json.dump(spec | change, f)
+        lib, own = Tokenizer.from_file(path), token_files.ByteBpe(path)
+        for t in ODD:
+            assert np.frombuffer(own.ids(t), own.small).tolist() == lib.encode(t, add_special_tokens=False).ids, t[:60]
+
+
 LARGE = token_files.LANES * token_files.EVERY + 1000
 
 
@@ -116,6 +128,11 @@ def test_blocks_round_trip(n):
         broken[-3] ^= 1
         with pytest.raises(ValueError):
             token_files.decode_block(bytes(broken), t)
+        # other parts don't see the damage, but see one of their checkpoint
+        assert all(np.array_equal(token_files.decode_part(bytes(broken), t, k), p) for k, p in enumerate(parts[::-1][:-1]))
+        broken[token_files.HEAD.size + 40] ^= 1
+        with pytest.raises(ValueError):
+            token_files.decode_part(bytes(broken), t, 0)
 
 
 def test_scale_keeps_every_symbol():

@@ -1,11 +1,15 @@
 """Toxicity by weak supervision.
 
-Many voters (one per lexicon term, and patterns) vote on the documents of a bounded training sample.
-A generative label model estimates by EM how often each voter fires in either class, and, given the
-class, how strongly voters are correlated, so that correlated voters share their weight. Its posteriors
-are the labels that a linear classifier learns from. Scoring is one pass without a shuffle.
-
-The lexicon is mined from labelled training rows only; labels, lang, source and doc_id never enter a
+Many voters (one per lexicon term, and patterns) vote on the documents of a bounded training sample, which
+holds labelled and unlabelled rows. The annotator is one more voter, who abstains on unlabelled rows. A
+generative label model of two hidden classes estimates by EM how often each class occurs, how often each
+voter (the annotator too) fires in either, and how voters depend on each other: within a class each may
+depend on one other voter, by the tree of largest conditional mutual information. The model's posteriors
+are the labels that a linear classifier learns from; they differ from the annotator's where the voters
+contradict an annotator as good as estimated. Scoring is one pass without a shuffle.
+
+The lexicon is mined from labelled training rows only, the annotator's labels start EM and so name the
+classes; rows held out are never read into the fit. labels, lang, source and doc_id never enter a
 score. Null and empty texts have no votes and get the score of such a text, near the classifier's
 lowest. Repeated rows get equal scores. Without labels of both classes nothing can be mined: the score
 is then 0.
@@ -20,14 +24,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docmill.llm.common import fresh, table
 
-#: At most so many labelled rows are learned from: those with the smallest hash of their id.
-TRAIN_ROWS = 8000
+#: At most so many labelled and unlabelled rows are learned from: those with the smallest hash of their id.
+TRAIN_ROWS, UNLABELLED_ROWS = 8000, 4000
 #: Of the mined terms, so many vote and so many are inputs of the classifier; each is at least ODDS times
 #: as frequent in toxic rows. A term is a word, or (with a mark before it) how a longer word begins.
 VOTERS, TERMS, ODDS = 300, 800, 5.0
@@ -55,61 +59,120 @@ def words(text: str | None) -> set[str]:
     return found.union(*({f"^{w[:n]}" for w in found if len(w) > n} for n in BEGINS))
 
 
-@dataclass
-class Voters:
-    """weights: log odds that a voter's firing and not firing add, after correlated voters share theirs."""
-
-    terms: list[str]
-    fires: np.ndarray
-    silent: np.ndarray
-    prior: float
-    correlation: np.ndarray
-
-    def posterior(self, votes: np.ndarray, gold: np.ndarray) -> np.ndarray:
-        z = np.log(self.prior / (1 - self.prior)) + votes @ self.fires + (1 - votes) @ self.silent
-        return 1 / (1 + np.exp(-np.clip(z + GOLD * (2 * gold - 1), -50, 50)))
+def _odds(one: np.ndarray, zero: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds for class 1 of silence and of firing, given the chance to fire in class 1 and 0."""
+    return np.log((1 - one) / (1 - zero)), np.log(one / zero)
 
 
-#: Log odds of the annotator's vote, which only training rows have; it anchors what EM calls class 1.
-GOLD = 8.0
+@dataclass
+class LabelModel:
+    """prior: chance of class 1. parent: the voter that each voter depends on, or -1. rates[c, u]: chance that a
+    voter fires in class c where its parent is silent (u = 0, also without a parent) or fires (1).
+    annotator[c]: chance that the annotator says 1 in class c."""
 
+    prior: float
+    parent: np.ndarray
+    rates: np.ndarray
+    annotator: np.ndarray
 
-def label_model(votes: np.ndarray, gold: np.ndarray, prior: float, rounds: int = 20) -> Voters:
-    """EM over the firing rates of each voter in either class; the annotator (gold, 0 or 1) is one more voter.
+    def parents(self, votes: np.ndarray) -> np.ndarray:
+        return np.where(self.parent >= 0, votes[:, self.parent], 0)
 
-    Every few rounds the voters' covariance given the posterior class yields correlations; a voter's log
-    odds are divided by one plus the sum of its correlations above 0.1, so that groups share their weight.
+    def posterior(self, votes: np.ndarray, gold: np.ndarray) -> np.ndarray:
+        """Chance of class 1 of each row; gold is nan where the annotator abstains."""
+        u = self.parents(votes)
+        (s0, f0), (s1, f1) = (_odds(self.rates[1, k], self.rates[0, k]) for k in (0, 1))
+        z = np.log(self.prior / (1 - self.prior)) + s0.sum() + votes @ (f0 - s0) + u @ (s1 - s0) + (votes * u) @ (f1 - s1 - f0 + s0)
+        silent, fires = _odds(self.annotator[1], self.annotator[0])
+        z = z + np.where(np.isnan(gold), 0, np.where(gold == 1, fires, silent))
+        return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+
+    def correlation(self, votes: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Correlations of the voters within the classes."""
+        cov = 0
+        for q in (p, 1 - p):
+            c = (votes - (q @ votes) / max(q.sum(), 1e-9)) * np.sqrt(q)[:, None]
+            cov = cov + c.T @ c
+        sd = np.sqrt(np.diag(cov)) + 1e-9
+        return cov / sd[:, None] / sd[None, :]
+
+
+#: A dependence is taken up from this conditional mutual information on, times twice the rows: chance alone gives 13.8 to one pair in a thousand.
+DEPENDS = 13.8
+
+
+def dependencies(votes: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Each voter's parent in the tree of largest mutual information given the class (p: chance of class 1), or -1."""
+    n, m = votes.shape
+    info = np.zeros((m, m))
+    for q in (p, 1 - p):
+        total = q.sum()
+        if total < 1:
+            continue
+        both, one = (votes * q[:, None]).T @ votes, q @ votes
+        for a, b, joint in ((1, 1, both), (1, 0, one[:, None] - both), (0, 1, one[None, :] - both), (0, 0, total - one[:, None] - one[None, :] + both)):
+            apart = np.outer(one if a else total - one, one if b else total - one) / total
+            ratio = np.divide(joint, apart, out=np.ones((m, m)), where=(joint > 1e-9) & (apart > 1e-9))
+            info += joint * np.log(np.maximum(ratio, 1e-300))
+    np.fill_diagonal(info, 0)
+    parent = np.full(m, -1)
+    best, of, inside = np.full(m, -np.inf), np.full(m, -1), np.zeros(m, bool)
+    for _ in range(m):  # the tree grows by its strongest edge
+        k = int(np.argmax(np.where(inside, -np.inf, best))) if inside.any() else int(np.argmax(info.max(1)))
+        inside[k] = True
+        if of[k] >= 0 and 2 * info[k, of[k]] >= DEPENDS:
+            parent[k] = of[k]
+        closer = (info[k] > best) & ~inside
+        best[closer], of[closer] = info[k][closer], k
+    return parent
+
+
+def _fitted(votes: np.ndarray, gold: np.ndarray, p: np.ndarray, parent: np.ndarray) -> LabelModel:
+    """The parameters that p (chance of class 1 of each row) makes likeliest, drawn a little to rates of both classes together."""
+    u = np.where(parent >= 0, votes[:, parent], 0)
+    rates, annotator, known = np.zeros((2, 2, votes.shape[1])), np.zeros(2), ~np.isnan(gold)
+    for c, q in ((0, 1 - p), (1, p)):
+        n, fired, up, both = q.sum(), q @ votes, q @ u, q @ (votes * u)
+        alone = (fired + 0.5 * votes.mean(0) + (0.01 if c else 1e-4)) / (n + 1)
+        rates[c, 0] = (fired - both + alone) / (n - up + 1)
+        rates[c, 1] = (both + alone) / (up + 1)
+        # as if ten rows more had been labelled, nine of them rightly
+        annotator[c] = (q[known] @ gold[known] + (9 if c else 1)) / (q[known].sum() + 10)
+    return LabelModel(float(np.clip(p.mean(), 1e-3, 1 - 1e-3)), parent, np.clip(rates, 1e-5, 1 - 1e-5), annotator)
+
+
+def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 20) -> LabelModel:
+    """EM over votes (0 or 1 by voter) and gold (0, 1, or nan where there is no label).
+
+    The labelled rows' labels, taken as right nine times in ten, give the first parameters; then all rows
+    take part, and every fifth round looks for dependences anew.
     """
-    p, m = np.clip(gold, 0.05, 0.95), votes.shape[1]
-    shrink = np.ones(m)
-    corr = np.zeros((m, m))
+    known = ~np.isnan(gold)
+    alone = np.full(votes.shape[1], -1)
+    model = _fitted(votes[known], gold[known], np.where(gold[known] == 1, 0.9, 0.1), alone)
+    parent = alone
     for k in range(rounds):
-        one, zero = p.sum() + 1e-9, (1 - p).sum() + 1e-9
-        rate1 = (p @ votes + 0.5 * votes.mean(0) + 0.01) / (one + 1)
-        rate0 = ((1 - p) @ votes + 0.5 * votes.mean(0) + 1e-4) / (zero + 1)
-        rate1, rate0 = np.clip(rate1, 1e-5, 1 - 1e-5), np.clip(rate0, 1e-5, 1 - 1e-5)
-        if k % 5 == 4:
-            c1, c0 = (votes - rate1) * np.sqrt(p)[:, None], (votes - rate0) * np.sqrt(1 - p)[:, None]
-            cov = (c1.T @ c1 + c0.T @ c0) / len(votes)
-            sd = np.sqrt(np.diag(cov)) + 1e-9
-            corr = cov / sd[:, None] / sd[None, :]
-            np.fill_diagonal(corr, 0)
-            shrink = 1 + np.where(corr > 0.1, corr, 0).sum(1)
-        model = Voters([], np.log(rate1 / rate0) / shrink, np.log((1 - rate1) / (1 - rate0)) / shrink, prior, corr)
         p = model.posterior(votes, gold)
+        if k % 5 == 2:
+            parent = dependencies(votes, p)
+        model = _fitted(votes, gold, p, parent)
     return model
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 12) -> tuple[np.ndarray, float]:
-    """Weights and bias of a ridge-penalised logistic regression on soft labels, by Newton's steps."""
-    full = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    penalty = np.full(full.shape[1], ridge)
+    """Weights and bias of a ridge-penalised logistic regression on soft labels, by Newton's steps; rows are taken in parts."""
+    d = x.shape[1] + 1
+    penalty = np.full(d, ridge)
     penalty[-1] = 1e-6
-    w = np.zeros(full.shape[1])
+    w = np.zeros(d)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(full @ w, -30, 30)))
-        h = (full * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ full + np.diag(penalty)
-        w -= np.linalg.solve(h, full.T @ (p - y) + penalty * w)
+        h, g = np.diag(penalty), penalty * w
+        for a in range(0, len(x), 2000):
+            full = np.concatenate([x[a : a + 2000], np.ones((len(x[a : a + 2000]), 1))], axis=1)
+            p = 1 / (1 + np.exp(-np.clip(full @ w, -30, 30)))
+            h = h + (full * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ full
+            g = g + full.T @ (p - y[a : a + 2000])
+        w = w - np.linalg.solve(h, g)
     return w[:-1], float(w[-1])
 
 
@@ -125,7 +188,7 @@ class Classifier:
 
 
 def inputs(texts: list[str | None], terms: dict[str, int]) -> np.ndarray:
-    """0 or 1 for each term that a text holds, then for each pattern, then for any term voter's absence."""
+    """0 or 1 for each term that a text holds, then for each pattern."""
     x = np.zeros((len(texts), len(terms) + len(PATTERNS)), np.float64)
     for i, text in enumerate(texts):
         if not text:
@@ -138,15 +201,18 @@ def inputs(texts: list[str | None], terms: dict[str, int]) -> np.ndarray:
     return x
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Classifier | None:
-    """A classifier from at most train_rows labelled rows that are not held out; None without both classes.
+def _crc() -> Column:
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
 
-    Term counts of the sample are summed by Spark; only terms found in three toxic rows or more reach the
-    driver, at most TERMS of them, ranked by their log likelihood ratio.
-    """
-    crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    chosen = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(crc % 4 != 2).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
-    # chosen has train_rows rows at most: a broadcast of known size
+
+def sample(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, unlabelled_rows: int = UNLABELLED_ROWS) -> DataFrame:
+    """(doc_id, y, words, patterns) of the rows to learn from; y is null where there is no label. No row is held out."""
+    asked = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(_crc() % 4 != 2).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
+    labelled = asked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").where(_crc() % 4 != 2)
+    others = ids.join(asked, "doc_id", "left_anti").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(unlabelled_rows).select("doc_id", F.lit(None).cast("int").alias("y"))
+    # train_rows + unlabelled_rows rows at most: a broadcast of known size
+    chosen = labelled.unionByName(others)
     got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
     out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("y", T.IntegerType()), T.StructField("words", T.ArrayType(T.StringType())), T.StructField("patterns", T.ArrayType(T.IntegerType()))])
 
@@ -156,16 +222,40 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Cla
             hit = [[k for k, p in enumerate(PATTERNS) if p.search(t or "")] for t in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([sorted(words(t)) for t in texts], pa.list_(pa.string())), pa.array(hit, pa.list_(pa.int32()))], schema=pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("words", pa.list_(pa.string())), ("patterns", pa.list_(pa.int32()))]))
 
-    sample = got.select("doc_id", "y", "text").mapInArrow(rows, out).persist()
+    return got.select("doc_id", "y", "text").mapInArrow(rows, out)
+
+
+@dataclass
+class Training:
+    """What the fit learns from: mined terms, inputs of each row (terms, then patterns), and gold (nan: none)."""
+
+    terms: list[str]
+    x: np.ndarray
+    gold: np.ndarray
+
+    def votes(self) -> np.ndarray:
+        """The voters' columns of x, and one voter more, who fires where no lexicon voter does."""
+        n = min(VOTERS, len(self.terms))
+        return np.concatenate([self.x[:, :n], self.x[:, len(self.terms) :], self.x[:, :n].sum(1, keepdims=True) == 0], axis=1).astype(np.float64)
+
+
+def training(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, unlabelled_rows: int = UNLABELLED_ROWS) -> Training | None:
+    """The sample's votes; None without labels of both classes.
+
+    Term counts of the labelled rows are summed by Spark; only terms found in three toxic rows or more reach
+    the driver, at most TERMS of them, ranked by their log likelihood ratio.
+    """
+    found = sample(docs, labels, train_rows, unlabelled_rows).persist()
     try:
-        sizes = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
-        if len(sizes) < 2:
+        sizes = {r.y: r.n for r in found.groupBy("y").agg(F.count("*").alias("n")).collect()}
+        if not sizes.get(0) or not sizes.get(1):
             return None
         n1, n0 = sizes[1], sizes[0]
         both, share = F.col("a") + F.col("c"), n1 / (n1 + n0)
         gain = F.col("a") * F.log(F.col("a") / (both * share)) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / (both * (1 - share)))).otherwise(0)
         ranked = (
-            sample.select("y", F.explode("words").alias("term"))
+            found.where("y IS NOT NULL")
+            .select("y", F.explode("words").alias("term"))
             .groupBy("term")
             .agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("c"))
             .where("a >= 3")
@@ -177,19 +267,24 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Cla
         )
         terms = {r.term: k for k, r in enumerate(ranked)}
         kept = F.filter("words", lambda w: w.isin(list(terms)))
-        data = sorted((r.doc_id, r.y, tuple(r.w), tuple(r.patterns)) for r in sample.select("doc_id", "y", kept.alias("w"), "patterns").collect())
+        data = sorted((r.doc_id, -1 if r.y is None else r.y, tuple(r.w), tuple(r.patterns)) for r in found.select("doc_id", "y", kept.alias("w"), "patterns").collect())
     finally:
-        sample.unpersist()
-    x = np.zeros((len(data), len(terms) + len(PATTERNS)))
-    for i, (_, _, found, hit) in enumerate(data):
-        x[i, [terms[w] for w in found]] = 1
+        found.unpersist()
+    x = np.zeros((len(data), len(terms) + len(PATTERNS)), np.float32)
+    for i, (_, _, held, hit) in enumerate(data):
+        x[i, [terms[w] for w in held]] = 1
         x[i, [len(terms) + k for k in hit]] = 1
-    y = np.array([r[1] for r in data], float)
-    voting = [*range(min(VOTERS, len(terms))), *range(len(terms), x.shape[1])]
-    votes = np.concatenate([x[:, voting], (x[:, : min(VOTERS, len(terms))].sum(1, keepdims=True) == 0)], axis=1)
-    model = label_model(votes, y, float(np.clip(y.mean(), 0.001, 0.999)))
-    weights, bias = logistic(x, model.posterior(votes, y))
-    return Classifier(terms, weights, bias)
+    return Training(list(terms), x, np.array([np.nan if r[1] < 0 else r[1] for r in data], float))
+
+
+def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, unlabelled_rows: int = UNLABELLED_ROWS) -> Classifier | None:
+    """A classifier of the label model's posteriors; None without labels of both classes."""
+    t = training(docs, labels, train_rows, unlabelled_rows)
+    if t is None:
+        return None
+    votes = t.votes()
+    weights, bias = logistic(t.x, label_model(votes, t.gold).posterior(votes, t.gold))
+    return Classifier({w: k for k, w in enumerate(t.terms)}, weights, bias)
 
 
 def score(docs: DataFrame, classifier: Classifier | None, least: float = 0.3) -> DataFrame:
@@ -210,6 +305,5 @@ def op2_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score and prediction of every document; labels of held-out rows are never read into the fit."""
     docs = table(spark, sf_dir, "documents")
     classifier = fit(docs, table(spark, sf_dir, "labels"))
-    crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    out = score(docs.select("doc_id", (crc % 4 == 2).alias("held_out"), "text"), classifier)
+    out = score(docs.select("doc_id", (_crc() % 4 == 2).alias("held_out"), "text"), classifier)
     return out.drop("text")

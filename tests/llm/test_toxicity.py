@@ -30,19 +30,103 @@ def test_labels_of_held_out_rows_change_nothing(spark):
     assert a.terms == b.terms and np.array_equal(a.weights, b.weights) and a.bias == b.bias
 
 
+def planted(n: int, seed: int):
+    """Hidden classes, voters of several accuracies (one nearly a copy of the first), and an annotator who errs in one of eight and abstains in a third."""
+    rng = np.random.default_rng(seed)
+    y = (rng.random(n) < 0.3).astype(float)
+    fires = lambda one, zero: (rng.random(n) < np.where(y == 1, one, zero)).astype(float)
+    good = fires(0.8, 0.05)
+    twin = np.where(rng.random(n) < 0.05, 1 - good, good)
+    votes = np.stack([good, twin, fires(0.4, 0.3), fires(0.5, 0.5), *[fires(0.6, 0.1) for _ in range(8)]], axis=1)
+    gold = np.where(rng.random(n) < 1 / 8, 1 - y, y)
+    gold[rng.random(n) < 1 / 3] = np.nan
+    return y, votes, gold
+
+
 def test_label_model_finds_accuracies_and_correlations():
-    rng = np.random.default_rng(3)
-    y = (rng.random(3000) < 0.3).astype(float)
-    good = (rng.random(3000) < np.where(y == 1, 0.8, 0.05)).astype(float)
-    twin = np.where(rng.random(3000) < 0.05, 1 - good, good)  # nearly a copy of good
-    weak = (rng.random(3000) < np.where(y == 1, 0.4, 0.3)).astype(float)
-    noise = (rng.random(3000) < 0.5).astype(float)
-    votes = np.stack([good, twin, weak, noise], axis=1)
-    m = toxicity.label_model(votes, y, 0.3)
-    assert m.correlation[0, 1] > 0.5 and abs(m.correlation[0, 3]) < 0.1
-    alone = toxicity.label_model(votes[:, [0, 2, 3]], y, 0.3)
-    assert m.fires[0] < 0.75 * alone.fires[0]  # twins share their weight
-    assert alone.fires[0] > alone.fires[1] > alone.fires[2] - 0.05
+    y, votes, gold = planted(4000, 3)
+    m = toxicity.label_model(votes, gold)
+    p = m.posterior(votes, gold)
+    assert abs(m.prior - 0.3) < 0.03 and abs(m.annotator[1] - 0.875) < 0.05 and abs(m.annotator[0] - 0.125) < 0.04
+    assert {int(m.parent[0]), int(m.parent[1])} & {0, 1} and (m.parent[4:] < 0).sum() >= 7  # twins depend on each other, others on none
+    c = m.correlation(votes, p)
+    assert c[0, 1] > 0.5 and abs(c[0, 3]) < 0.1
+    rate = lambda k, c: (m.rates[c, 0, k] if m.parent[k] < 0 else votes[:, k] @ np.where(c, p, 1 - p) / np.where(c, p, 1 - p).sum())
+    assert abs(rate(0, 1) - 0.8) < 0.05 and abs(rate(2, 1) - 0.4) < 0.05 and abs(rate(4, 0) - 0.1) < 0.03
+
+
+def test_wrong_labels_are_repaired():
+    y, votes, gold = planted(4000, 4)
+    p = toxicity.label_model(votes, gold).posterior(votes, gold)
+    wrong, none = ~np.isnan(gold) & (gold != y), np.isnan(gold)
+    assert wrong.sum() > 250 and ((p[wrong] > 0.5) == y[wrong]).mean() > 0.85
+    assert ((p[none] > 0.5) == y[none]).mean() > 0.95 and ((p > 0.5) == y).mean() > 0.96
+
+
+def test_posterior_equals_brute_force():
+    _, votes, gold = planted(400, 5)
+    m = toxicity.label_model(votes, gold)
+    want = []
+    for row, g in zip(votes, gold, strict=True):
+        both = []
+        for c in (0, 1):
+            chance = m.prior if c else 1 - m.prior
+            for k, v in enumerate(row):
+                r = m.rates[c, int(row[m.parent[k]]) if m.parent[k] >= 0 else 0, k]
+                chance *= r if v else 1 - r
+            both.append(chance * (1 if np.isnan(g) else m.annotator[c] if g else 1 - m.annotator[c]))
+        want.append(both[1] / sum(both))
+    assert np.allclose(m.posterior(votes, gold), want)
+
+
+def test_dependencies_equal_brute_force():
+    from itertools import combinations, product
+
+    _, votes, _ = planted(500, 6)
+    votes, p = votes[:, :5], np.random.default_rng(1).random(500)
+    info = {}
+    for a, b in combinations(range(5), 2):
+        info[a, b] = 0.0
+        for q in (p, 1 - p):
+            for x, y in product((0, 1), (0, 1)):
+                joint = q[(votes[:, a] == x) & (votes[:, b] == y)].sum()
+                info[a, b] += joint * np.log(joint * q.sum() / (q[votes[:, a] == x].sum() * q[votes[:, b] == y].sum()))
+    up = list(range(5))
+    find = lambda k: k if up[k] == k else find(up[k])
+    tree = set()
+    for a, b in sorted(info, key=info.get, reverse=True):
+        if find(a) != find(b):
+            up[find(a)] = find(b)
+            if 2 * info[a, b] >= toxicity.DEPENDS:
+                tree.add((a, b))
+    parent = toxicity.dependencies(votes, p)
+    assert {tuple(sorted((k, int(u)))) for k, u in enumerate(parent) if u >= 0} == tree and tree
+
+
+def test_query_scores_equal_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    t = toxicity.training(docs, labels)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    gold = {r.doc_id: r.toxic for r in labels.collect()}
+    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    own = [i for i in gold if i in texts and not held(i)]
+    assert int((~np.isnan(t.gold)).sum()) == len(own) and len(t.gold) == sum(not held(i) for i in texts)
+    for term in t.terms[:20]:  # mined where they are much more frequent in toxic rows
+        a, c = (sum(term in toxicity.words(texts[i]) for i in own if gold[i] == k) for k in (1, 0))
+        assert a >= 3 and (a + 0.5) * sum(gold[i] == 0 for i in own) >= toxicity.ODDS * (c + 0.5) * sum(gold[i] == 1 for i in own)
+    model = toxicity.fit(docs, labels)
+    for r in toxicity.op2_weak_toxicity(spark, sf).collect():
+        z = model.bias + sum(model.weights[k] for w, k in model.terms.items() if w in toxicity.words(texts[r.doc_id]))
+        z += sum(model.weights[len(model.terms) + k] for k, p in enumerate(toxicity.PATTERNS) if p.search(texts[r.doc_id]))
+        assert abs(r.score - 1 / (1 + np.exp(-z))) < 1e-9 and r.predicted == int(r.score >= 0.3) and r.held_out == held(r.doc_id)
+
+
+def test_posterior_differs_from_the_labels(spark):
+    t = toxicity.training(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
+    votes, known = t.votes(), ~np.isnan(t.gold)
+    p = toxicity.label_model(votes, t.gold).posterior(votes, t.gold)
+    assert 0.002 < np.abs(p - t.gold)[known].mean() < 0.1 and (~known).sum() > 1000 and 0.03 < p[~known].mean() < 0.3
 
 
 def test_edges(spark, messy, empty, labels):

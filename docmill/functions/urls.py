@@ -29,8 +29,8 @@ def path(url: Column) -> Column:
 def absolute(href: Column, base: Column) -> Column:
     """A reference resolved against a page (URL-01); null if it is empty or of a scheme that is no page.
 
-    Absolute, protocol-relative, root-relative, query, fragment and relative references are covered; dot
-    segments are resolved step by step, since each step is one expression.
+    Absolute, protocol-relative, root-relative, query, fragment and relative references are covered, with any
+    number of dot segments.
     """
     href = F.trim(href)
     root = origin(base)
@@ -44,10 +44,17 @@ def absolute(href: Column, base: Column) -> Column:
         .when(F.startswith(href, F.lit("#")), F.concat(F.regexp_replace(base, "#.*$", ""), href))
         .when(href != "", F.concat(root, folder, href))
     )
-    for _ in range(4):
-        joined = F.regexp_replace(joined, r"^([^?#]*)/\.(?=/|$)", "$1")
-        joined = F.regexp_replace(joined, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+(?:/[^/?#]+)*?)/(?!\.\.)[^/?#]+/\.\.(?=/|$)", "$1")
-    return joined
+    return F.when(joined.rlike(r"^[^?#]*/\.\.?(?:[/?#]|$)"), without_dots(joined)).otherwise(joined)
+
+
+def without_dots(url: Column) -> Column:
+    """An absolute URL with the dot segments of its path resolved; steps above the root stay at the root."""
+    parts = r"(?s)^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)([^?#]*)(.*)$"
+    steps = F.split(F.regexp_extract(url, parts, 2), "/", -1)
+    kept = F.aggregate(steps, F.expr("CAST(array() AS array<string>)"), lambda done, x: F.when(x == ".", done).when((x == "..") & (F.size(done) > 1), F.slice(done, 1, F.size(done) - 1)).when(x == "..", done).otherwise(F.array_append(done, x)))
+    # a path that ends in a dot segment names a folder
+    folder = F.when(F.element_at(steps, -1).isin(".", ".."), F.array_append(kept, F.lit(""))).otherwise(kept)
+    return F.concat(F.regexp_extract(url, parts, 1), F.array_join(folder, "/"), F.regexp_extract(url, parts, 3))
 
 
 def normalized(url: Column) -> Column:

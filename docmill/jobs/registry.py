@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmill.jobs import audits, catalogs, pages, sheets, texts
+from docmill.jobs import audits, catalogs, courses, pages, sheets, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-for _module in (pages, texts, catalogs, sheets, audits):
+for _module in (pages, texts, catalogs, sheets, courses, audits):
     QUERIES |= _module.QUERIES
     SQL |= _module.SQL

@@ -81,3 +81,29 @@ def upsert(index: DataFrame, added: DataFrame, removed: DataFrame, key: str = "p
     """index without removed rows, added rows replacing equal keys (SNK-04, SET-05, INC-05)."""
     out = removed.select(key).unionByName(added.select(key)).distinct()
     return index.join(out, key, "left_anti").unionByName(added)
+
+
+def bump(index: DataFrame, added: DataFrame, removed: DataFrame, version: int, today: str, key: str = "path") -> DataFrame:
+    """One row: version and last_updated of an index after upsert() (SNK-04); both move only if a row is new, other than before, or gone."""
+    old = index.select(key, F.struct(*index.columns).alias("old"))
+    new = added.select(key, F.struct(*index.columns).alias("new"))
+    moved = new.join(old, key, "left").where(~F.col("new").eqNullSafe(F.col("old"))).select(key).unionByName(removed.select(key).join(old, key, "left_semi"))
+    return moved.agg((F.lit(version) + F.when(F.count("*") > 0, 1).otherwise(0)).alias("version"), F.when(F.count("*") > 0, today).alias("last_updated"), F.countDistinct(key).alias("n_changed"))
+
+
+def apply(published: DataFrame, candidates: DataFrame, retired: DataFrame, key: str = "path") -> DataFrame:
+    """(key, md, action) once candidates (key, md) are promoted and retired keys deleted (SNK-08).
+
+    A row that is both is promoted: it was scraped again. Deleted rows stay in the result without a text, so
+    that whoever writes it can remove their state.
+    """
+    new = candidates.select(key, F.col("md").alias("new"), F.lit(True).alias("scraped"))
+    both = published.select(key, "md", F.lit(True).alias("known")).join(new, key, "full_outer").join(retired.select(key).distinct().withColumn("gone", F.lit(True)), key, "left")
+    action = (
+        F.when(F.col("scraped") & F.col("known").isNull(), "added")
+        .when(F.col("scraped") & F.col("md").eqNullSafe(F.col("new")), "unchanged")
+        .when(F.col("scraped"), "replaced")
+        .when(F.col("gone"), "deleted")
+        .otherwise("kept")
+    )
+    return both.select(key, F.when(F.col("scraped"), F.col("new")).when(F.col("gone"), F.lit(None)).otherwise(F.col("md")).alias("md"), action.alias("action"))

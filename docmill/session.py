@@ -27,17 +27,21 @@ def build(master: str | None = None, shuffle_partitions: int | None = None, **mo
     return builder.getOrCreate()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df written to the checkpoint folder and read again, so that no plan grows from round to round and lost executors cost nothing.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, which driver and executors share (spark.checkpoint.dir).
 
-    The folder is that of spark.checkpoint.dir, which driver and executors share. Only a session on one
-    machine that names none, as in tests, gets a folder of that machine.
+    Only a session on one machine that names none, as in tests, gets a folder of that machine.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="docmill-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read again, so that no plan grows from round to round and lost executors cost nothing."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

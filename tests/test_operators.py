@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from docmill.operators import catalog, checks, crawl, grid, reports, routing, sections, sync
@@ -148,7 +150,9 @@ def test_landed(spark, tmp_path):
     assert rows(landed.sheets(spark, str(tmp_path)), "sheet", "r", "c", "v") == [("s", 0, 0, "a"), ("s", 0, 1, "b\nc"), ("s", 1, 0, "d")]
     r = landed.registry(spark, str(tmp_path / "reg.json"))
     assert rows(r, "slug", "maxPages", "place") == [("x", 3, "sources[0]"), ("y", None, "sources[1]")]
-    assert list(landed.by_strategy(r, {"one": lambda s: s.select("slug")})) == ["one"]
+    assert rows(landed.by_strategy(r, {"one": lambda s: s.select("slug")}), "slug") == [("x",)]
+    with pytest.raises(ValueError, match="tbd"):
+        landed.by_strategy(r, {"one": lambda s: s.select("slug")}, skipped=())
     i = landed.index(spark, str(tmp_path / "index.json")).first()
     assert (i.title_key, i.slug) == ("a b", "a-b")
     hidden = tmp_path / "No_Indexar"

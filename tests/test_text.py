@@ -122,6 +122,10 @@ def test_dates(spark):
         ("HTTPS://C.org/D", "https://c.org/D"),
         ("?q", "https://a.org/b/c?q"),
         ("#top", "https://a.org/b/c#top"),
+        ("../../../../../../z", "https://a.org/z"),
+        ("d/e/f/g/h/i/../../../../../j", "https://a.org/b/d/j"),
+        ("d/..", "https://a.org/b/"),
+        ("x?y=/../z", "https://a.org/b/x?y=/../z"),
         ("mailto:x@y", None),
         ("", None),
     ],

@@ -37,7 +37,7 @@ from docmill.llm.components import components
 WORDS_PER_SHINGLE, LEAST = 5, 0.8
 COORDINATES, LEVELS, RECALL = 64, 3, 0.99
 #: Records that one node compares at once, and of a block; records of a block of exact sets.
-SMALL, BLOCK, EXACT = 256, 1024, 1024
+SMALL, BLOCK, EXACT = 256, 1024, 512
 #: Embeddings that agree in this share of coordinates make a candidate: four standard errors below LEAST.
 CANDIDATE = 0.6
 _MASK = (1 << 64) - 1

@@ -9,9 +9,12 @@ from docmill.functions import keys, urls
 from docmill.functions import text as tx
 from docmill.jobs import sqltext as s
 from docmill.operators import checks, reports, sections
+from docmill.sources import landed
 from docmill.sources.tables import table
 
 TODAY = "2026-05-21"
+#: The heading below which a made programme has its document's text; its dates are checked too.
+TEXT_BELOW = "Aranceles e inscripción"
 
 
 def _late(c: Column) -> Column:
@@ -20,17 +23,16 @@ def _late(c: Column) -> Column:
     return F.when(n % 28 == 0, F.concat(c, F.lit("\nEs un placer informarle"))).when(n % 28 == 7, F.concat(c, F.lit(" {Fecha de inicio}"))).when(n % 28 == 14, F.concat(c, F.lit("\n## Contenido\n```"))).when(n % 28 == 21, F.concat(c, F.lit(" Vence: 10/11/2024"))).otherwise(c)
 
 
-def _programmes(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+def _programmes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A programme per document: every heading but one in eleven, two of them swapped in one of thirteen, and other defects.
 
-    Below each heading stand the text's first 80 characters, or the whole text, to which one in seven adds a late defect.
+    The whole text, to which one in seven adds a late defect, stands below one heading, a remark below the others.
     """
     n = F.col("doc_id")
-    head = _late(F.col("text")) if whole else F.substr("text", F.lit(1), F.lit(80))
     cohort = F.concat(F.lit("Inicio: "), (n % 40 + 1995).cast("string"), F.lit("-"), F.lpad((n % 12 + 1).cast("string"), 2, "0"), F.when(n % 4 == 0, " a confirmar").otherwise(""))
     parts = []
     for k, name in enumerate(checks.REQUIRED):
-        body = cohort if name == "Próxima cohorte" else head
+        body = cohort if name == "Próxima cohorte" else _late(F.col("text")) if name == TEXT_BELOW else F.lit("Ver ficha")
         one = F.concat(F.lit(f"## {name}\n"), body, F.lit("\n"))
         parts.append(F.when(n % 11 != k, one).otherwise(F.lit("")))
     parts = [F.when(n % 13 == 0, parts[1]).otherwise(parts[0]), F.when(n % 13 == 0, parts[0]).otherwise(parts[1]), *parts[2:]]
@@ -45,19 +47,19 @@ def _programmes(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFr
     return table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars", body.alias("md"))
 
 
-def structure_check(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+def structure_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VAL-01, FLT-06."""
-    return _programmes(spark, sf_dir, whole).select("doc_id", F.array_join(checks.structure(F.col("md")), ";").alias("missing"))
+    return _programmes(spark, sf_dir).select("doc_id", F.array_join(checks.structure(F.col("md")), ";").alias("missing"))
 
 
-def prohibited_check(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+def prohibited_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VAL-02, VAL-04."""
-    return _programmes(spark, sf_dir, whole).select("doc_id", F.array_join(checks.prohibited(F.col("md")), ";").alias("prohibited"), checks.no_closing(F.col("md")).alias("no_closing"))
+    return _programmes(spark, sf_dir).select("doc_id", F.array_join(checks.prohibited(F.col("md")), ";").alias("prohibited"), checks.no_closing(F.col("md")).alias("no_closing"))
 
 
-def placeholder_check(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+def placeholder_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VAL-03, ORD-04."""
-    return _programmes(spark, sf_dir, whole).select("doc_id", F.array_join(checks.placeholders(F.col("md")), ";").alias("placeholders"), F.length(reports.preview(F.col("md"))).alias("preview_length"))
+    return _programmes(spark, sf_dir).select("doc_id", F.array_join(checks.placeholders(F.col("md")), ";").alias("placeholders"), F.length(reports.preview(F.col("md"))).alias("preview_length"))
 
 
 def size_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,42 +69,17 @@ def size_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(other, "doc_id", "left").select("doc_id", checks.size_gate(F.col("text"), F.col("current")).alias("gate"))
 
 
-def stale_dates(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+def stale_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VAL-05, DAT-05: past dates in dated sections."""
-    return checks.stale_dates(sections.md_sections(_programmes(spark, sf_dir, whole), "doc_id", "md"), "doc_id", TODAY)
+    return checks.stale_dates(sections.md_sections(_programmes(spark, sf_dir), "doc_id", "md"), "doc_id", TODAY)
 
 
-def document_check(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+def document_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VAL-08: all checks together, as counts."""
-    p = _programmes(spark, sf_dir, whole).withColumn("current", F.when(F.col("doc_id") % 9 == 0, F.repeat("md", F.lit(4))).when(F.col("doc_id") % 9 == 1, F.substr("md", F.lit(1), F.lit(100))))
+    p = _programmes(spark, sf_dir).withColumn("current", F.when(F.col("doc_id") % 9 == 0, F.repeat("md", F.lit(4))).when(F.col("doc_id") % 9 == 1, F.substr("md", F.lit(1), F.lit(100))))
     return checks.validate(p, "doc_id", "md", "current").select("doc_id", "ok", F.size("errors").alias("n_errors"), F.size("warnings").alias("n_warnings"))
 
 
-def whole_structure_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VAL-01, FLT-06 over programmes with whole texts."""
-    return structure_check(spark, sf_dir, True)
-
-
-def whole_prohibited_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VAL-02, VAL-04 over programmes with whole texts."""
-    return prohibited_check(spark, sf_dir, True)
-
-
-def whole_placeholder_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VAL-03, ORD-04 over programmes with whole texts."""
-    return placeholder_check(spark, sf_dir, True)
-
-
-def whole_stale_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VAL-05, DAT-05 over programmes with whole texts."""
-    return stale_dates(spark, sf_dir, True)
-
-
-def whole_document_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VAL-08 over programmes with whole texts."""
-    return document_check(spark, sf_dir, True)
-
-
 def _index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     n = F.col("doc_id")
     path = F.when(n % 41 == 0, F.concat(F.lit("docs/x"), n % 82, F.lit(".md"))).when(n % 50 == 3, F.concat(F.lit("docs/"), n, F.lit("/README.md"))).otherwise(F.concat(F.lit("docs/"), n, F.lit(".md")))
@@ -161,23 +138,19 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def listing_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-13, SRC-17, JOI-15: the longer of two extractions of each text, and whether a listed date is missing from it."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("layer"))
-    model = d.where("doc_id % 3 <> 0").select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.concat("layer", F.lit(" 2026-03-01"))).otherwise(F.substr("layer", F.lit(1), F.lit(50))).alias("model"))
+    model = d.where("doc_id % 3 <> 0").select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.concat("layer", F.lit(" 2026-03-01"))).otherwise(F.lit("")).alias("model"))
     both = d.join(model, "doc_id", "left").withColumn("model", F.coalesce("model", F.lit("")))
-    best = F.when(F.length("layer") >= F.length("model"), F.col("layer")).otherwise(F.col("model"))
+    best = landed.longer(F.col("layer"), F.col("model"))
     return both.select("doc_id", F.length(best).alias("length"), (~best.contains("2026-03-01")).alias("drifted"))
 
 
+_LATE = """text || CASE n % 28 WHEN 0 THEN chr(10) || 'Es un placer informarle' WHEN 7 THEN ' {{Fecha de inicio}}' WHEN 14 THEN chr(10) || '## Contenido' || chr(10) || '```' WHEN 21 THEN ' Vence: 10/11/2024' ELSE '' END"""
 _COHORT = "'Inicio: ' || (n % 40 + 1995) || '-' || lpad(CAST(n % 12 + 1 AS VARCHAR), 2, '0') || CASE WHEN n % 4 = 0 THEN ' a confirmar' ELSE '' END"
-_PARTS = [f"CASE WHEN n % 11 <> {k} THEN '## {name}' || chr(10) || {_COHORT if name == 'Próxima cohorte' else 'substr(text, 1, 80)'} || chr(10) ELSE '' END" for k, name in enumerate(checks.REQUIRED)]
+_PARTS = [f"CASE WHEN n % 11 <> {k} THEN '## {name}' || chr(10) || {_COHORT if name == 'Próxima cohorte' else f"({_LATE})" if name == TEXT_BELOW else "'Ver ficha'"} || chr(10) ELSE '' END" for k, name in enumerate(checks.REQUIRED)]
 _P = f"""p AS (SELECT doc_id, n, CASE WHEN n % 17 = 0 THEN '' ELSE '# Programme ' || n || chr(10) END || CASE WHEN n % 13 = 0 THEN {_PARTS[1]} || {_PARTS[0]} ELSE {_PARTS[0]} || {_PARTS[1]} END || {' || '.join(_PARTS[2:])}
   || CASE WHEN n % 6 = 0 THEN 'Quedamos a disposición' || chr(10) ELSE '' END || CASE WHEN n % 8 = 0 THEN '```' || chr(10) || 'code' || chr(10) || '```' || chr(10) ELSE '' END
   || CASE WHEN n % 5 = 0 THEN repeat('{{Nombre del curso}} ', CAST(n % 9 AS INTEGER)) || '{{a/b c}}' ELSE '' END || CASE WHEN n % 3 = 0 THEN '' ELSE '**Última revisión humana**: 2026-01-15' END AS md FROM (SELECT *, doc_id AS n FROM documents))"""
-# with the first two parts swapped, the second is found, and the first no more, unless either is left out
-_MISSING = f"""list_filter([CASE WHEN n % 17 = 0 THEN 'H1' END, CASE WHEN n % 11 = 0 THEN 'Identificación' END,
-  CASE WHEN n % 11 = 1 OR (n % 13 = 0 AND n % 11 <> 0) THEN 'Modalidad y duración' END, {', '.join(f"CASE WHEN n % 11 = {k} THEN '{name}' END" for k, name in enumerate(checks.REQUIRED) if k > 1)}], lambda x: x IS NOT NULL)"""
-# the same programmes with whole texts; every verdict is taken from md itself
-_LATE = """text || CASE n % 28 WHEN 0 THEN chr(10) || 'Es un placer informarle' WHEN 7 THEN ' {{Fecha de inicio}}' WHEN 14 THEN chr(10) || '## Contenido' || chr(10) || '```' WHEN 21 THEN ' Vence: 10/11/2024' ELSE '' END"""
-_WHOLE = _P.replace("substr(text, 1, 80)", f"({_LATE})").replace("{{", "{").replace("}}", "}")
+_P = _P.replace("{{", "{").replace("}}", "}")
 
 
 def _in_order(name: str, required: tuple[str, ...]) -> str:
@@ -191,7 +164,7 @@ def _in_order(name: str, required: tuple[str, ...]) -> str:
 
 
 _FOUND = r"list_filter(regexp_extract_all(md, '\{[A-ZÁÉÍÓÚÑa-záéíóúñ][^{}\n]{2,80}\}'), lambda x: NOT contains(x, '/') AND NOT contains(x, '@'))"
-_VERDICTS = f"""{_WHOLE}, {_in_order("prog", checks.REQUIRED)}, {_in_order("comp", checks.REQUIRED_COMPLEMENT)},
+_VERDICTS = f"""{_P}, {_in_order("prog", checks.REQUIRED)}, {_in_order("comp", checks.REQUIRED_COMPLEMENT)},
 v AS (SELECT doc_id, n, md, CASE WHEN coalesce(starts_with(list_filter(string_split(md, chr(10)), lambda x: {s.trim('x')} <> '')[1], '# '), false) THEN [] ELSE ['H1'] END || CASE WHEN contains(md, '## Contenido') THEN c.missing ELSE r.missing END AS missing,
   list_filter([{s.names(checks.PROHIBITED)}], lambda x: contains(md, x)) || CASE WHEN regexp_matches(md, '(?m)^```') THEN ['code'] ELSE [] END AS prohibited, {_FOUND}[1:5] || CASE WHEN len({_FOUND}) > 5 THEN [(len({_FOUND}) - 5) || ' more'] ELSE [] END AS placeholders,
   NOT contains(md, '## Contenido') AND NOT contains(md, '**Última revisión humana**') AS no_closing FROM p JOIN prog{len(checks.REQUIRED)} r USING (doc_id) JOIN comp{len(checks.REQUIRED_COMPLEMENT)} c USING (doc_id))"""
@@ -204,34 +177,24 @@ v AS (SELECT unnest(list_filter([CASE WHEN trim(title) = '' THEN {'severity': 'e
   CASE WHEN NOT there THEN {'severity': 'error', 'rule': 'no_file'} END, CASE WHEN NOT routed THEN {'severity': 'error', 'rule': 'not_routed'} END, CASE WHEN path LIKE '%/README.md' THEN {'severity': 'error', 'rule': 'aggregate'} END], lambda x: x IS NOT NULL)) AS s, path AS key FROM m),
 w AS (SELECT s.severity AS severity, key, s.rule AS rule FROM v UNION ALL SELECT 'warning', path, 'not_indexed' FROM (SELECT DISTINCT path FROM d WHERE n % 12 <> 5) WHERE path NOT IN (SELECT path FROM i))"""
 
-QUERIES = {f.__name__: f for f in (whole_structure_check, whole_prohibited_check, whole_placeholder_check, whole_stale_dates, whole_document_check, structure_check, prohibited_check, placeholder_check, size_gate, stale_dates, document_check, index_violations, course_violations, freshness_rank, candidate_documents, run_summary, listing_merge)}
+QUERIES = {f.__name__: f for f in (structure_check, prohibited_check, placeholder_check, size_gate, stale_dates, document_check, index_violations, course_violations, freshness_rank, candidate_documents, run_summary, listing_merge)}
 SQL = {
-    "structure_check": f"WITH {_P} SELECT doc_id, array_to_string({_MISSING}, ';') AS missing FROM p",
-    "prohibited_check": f"WITH {_P} SELECT doc_id, concat_ws(';', CASE WHEN n % 6 = 0 THEN 'Quedamos a disposición' END, CASE WHEN n % 8 = 0 THEN 'code' END) AS prohibited, n % 3 = 0 AS no_closing FROM p",
-    "placeholder_check": f"WITH {_P} SELECT doc_id, CASE WHEN n % 5 = 0 THEN concat_ws(';', nullif(array_to_string(list_transform(range(least(n % 9, 5)), lambda i: '{{Nombre del curso}}'), ';'), ''), CASE WHEN n % 9 > 5 THEN (n % 9 - 5) || ' more' END) ELSE '' END AS placeholders, length(array_to_string(string_split(md, chr(10))[1:8], chr(10))) AS preview_length FROM p".replace("{{", "{").replace("}}", "}"),
-    "whole_structure_check": f"WITH {_VERDICTS} SELECT doc_id, array_to_string(missing, ';') AS missing FROM v",
-    "whole_prohibited_check": f"WITH {_VERDICTS} SELECT doc_id, array_to_string(prohibited, ';') AS prohibited, no_closing FROM v",
-    "whole_placeholder_check": f"WITH {_VERDICTS} SELECT doc_id, array_to_string(placeholders, ';') AS placeholders, length(array_to_string(string_split(md, chr(10))[1:8], chr(10))) AS preview_length FROM v",
-    "whole_stale_dates": rf"""
-WITH {_WHOLE}, x AS (SELECT doc_id, unnest(string_split(md, chr(10))) AS line, unnest(range(len(string_split(md, chr(10))))) AS pos FROM p),
+    "structure_check": f"WITH {_VERDICTS} SELECT doc_id, array_to_string(missing, ';') AS missing FROM v",
+    "prohibited_check": f"WITH {_VERDICTS} SELECT doc_id, array_to_string(prohibited, ';') AS prohibited, no_closing FROM v",
+    "placeholder_check": f"WITH {_VERDICTS} SELECT doc_id, array_to_string(placeholders, ';') AS placeholders, length(array_to_string(string_split(md, chr(10))[1:8], chr(10))) AS preview_length FROM v",
+    "stale_dates": rf"""
+WITH {_P}, x AS (SELECT doc_id, unnest(string_split(md, chr(10))) AS line, unnest(range(len(string_split(md, chr(10))))) AS pos FROM p),
 h AS (SELECT *, nullif(regexp_extract(line, '^##{s.WS}+(.+?){s.WS}*$', 1), '') AS head FROM x), r AS (SELECT *, count(head) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM h),
 g AS (SELECT doc_id, run, max(head) AS name, string_agg(CASE WHEN head IS NULL THEN line END, chr(10) ORDER BY pos) AS body FROM r GROUP BY doc_id, run),
 o AS (SELECT doc_id, name, arg_max(coalesce(body, ''), run) AS body FROM g WHERE name IN ({s.names(checks.DATED)}) GROUP BY doc_id, name),
 f AS (SELECT doc_id, name, unnest(regexp_extract_all(body, '\d{{4}}-\d{{2}}(?:-\d{{2}})?') || regexp_extract_all(body, '\d{{2}}/\d{{2}}/\d{{4}}')) AS found FROM o WHERE NOT regexp_matches(body, '(?i)no publicado|consultar|cerrada|a confirmar|por confirmar')),
 y AS (SELECT *, CASE WHEN contains(found, '/') THEN string_split(found, '/') ELSE list_reverse(string_split(found || CASE WHEN length(found) = 7 THEN '-28' ELSE '' END, '-')) END AS a FROM f)
 SELECT doc_id, name, found FROM y WHERE CAST(a[3] AS INTEGER) BETWEEN 2000 AND 2100 AND make_date(CASE WHEN CAST(a[3] AS INTEGER) BETWEEN 2000 AND 2100 THEN CAST(a[3] AS INTEGER) ELSE 2000 END, 1, 1) + to_months(CAST(a[2] AS INTEGER) - 1) + to_days(CAST(a[1] AS INTEGER) - 1) < DATE '2026-05-21'""",
-    "whole_document_check": f"""
+    "document_check": f"""
 WITH {_VERDICTS}, u AS (SELECT *, length(md) / nullif(CASE WHEN n % 9 = 0 THEN 4 * length(md) WHEN n % 9 = 1 THEN least(length(md), 100) END, 0) AS ratio FROM v),
 e AS (SELECT doc_id, len(missing) + len(prohibited) + len(placeholders) + CASE WHEN no_closing THEN 1 ELSE 0 END + CASE WHEN ratio < 0.3 THEN 1 ELSE 0 END AS n_errors, CASE WHEN ratio > 3.0 THEN 1 ELSE 0 END + CASE WHEN regexp_matches(md, '(?i)PENDIENTE — draft autogenerado') THEN 1 ELSE 0 END AS n_warnings FROM u)
 SELECT doc_id, n_errors = 0 AS ok, n_errors, n_warnings FROM e""",
     "size_gate": "SELECT a.doc_id, CASE WHEN length(b.text) > 0 THEN CASE WHEN length(a.text) / length(b.text) < 0.3 THEN 'error' WHEN length(a.text) / length(b.text) > 3.0 THEN 'warning' ELSE 'ok' END END AS gate FROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id + 1",
-    "stale_dates": f"""
-WITH {_P}, c AS (SELECT doc_id, n, n % 40 + 1995 AS y, n % 12 + 1 AS m FROM p WHERE n % 11 <> 6 AND n % 4 <> 0)
-SELECT doc_id, 'Próxima cohorte' AS name, y || '-' || lpad(CAST(m AS VARCHAR), 2, '0') AS found FROM c WHERE y >= 2000 AND make_date(y, m, 28) < DATE '2026-05-21'""",
-    "document_check": f"""
-WITH {_P}, e AS (SELECT doc_id, len({_MISSING}) + CASE WHEN n % 6 = 0 THEN 1 ELSE 0 END + CASE WHEN n % 8 = 0 THEN 1 ELSE 0 END + CASE WHEN n % 5 = 0 THEN least(n % 9, 5) + CASE WHEN n % 9 > 5 THEN 1 ELSE 0 END ELSE 0 END
-  + CASE WHEN n % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN n % 9 = 0 THEN 1 ELSE 0 END AS n_errors, CASE WHEN n % 9 = 1 AND length(md) > 300 THEN 1 ELSE 0 END AS n_warnings FROM p)
-SELECT doc_id, n_errors = 0 AS ok, n_errors, n_warnings FROM e""",
     "index_violations": f"WITH {_INDEX} SELECT severity, key, rule FROM w",
     "course_violations": """
 WITH p AS (SELECT 'c' || (p_partkey % 1900) AS slug, p_partkey % 100 = 1 AS a, p_partkey % 70 = 1 AS b, p_partkey % 60 = 1 AS c FROM part)

@@ -61,33 +61,16 @@ def unindexed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG-01: index rows by category and top folder; whole_category_counts takes all documents."""
-    return _index(spark, sf_dir).groupBy(F.col("lang").alias("category"), F.substring_index("path", "/", 1).alias("folder")).agg(F.count("*").alias("n"))
-
-
-def sector_counts_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG-04: German index rows at places 4k + 1 by source, with zeros; whole_sector_counts_zero counts all."""
-    i = _index(spark, sf_dir)
-    return catalog.counts_with_zero(table(spark, sf_dir, "documents"), i.where("lang = 'de' AND pos % 4 = 1"), "source", "n")
-
-
-def dup_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WIN-04: index rows whose title or slug an earlier row has; whole_dup_flags takes all documents."""
-    i = _index(spark, sf_dir).select("pos", "title_key", "slug")
-    return catalog.duplicate_flags(i, {"title_key": "title", "slug": "slug"}, "pos").select("pos", "title_repeated", "title_first", "slug_repeated", "slug_first")
-
-
-def whole_category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-01: all documents by category and top folder."""
     return _all(spark, sf_dir).groupBy(F.col("lang").alias("category"), F.substring_index("path", "/", 1).alias("folder")).agg(F.count("*").alias("n"))
 
 
-def whole_sector_counts_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sector_counts_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-04: all German documents by source, with zeros."""
     return catalog.counts_with_zero(table(spark, sf_dir, "documents"), _all(spark, sf_dir).where("lang = 'de'"), "source", "n")
 
 
-def whole_dup_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dup_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WIN-04: all documents whose title or slug an earlier one has."""
     i = _all(spark, sf_dir).select("pos", "title_key", "slug")
     return catalog.duplicate_flags(i, {"title_key": "title", "slug": "slug"}, "pos").select("pos", "title_repeated", "title_first", "slug_repeated", "slug_first")
@@ -203,19 +186,16 @@ k AS (SELECT doc_id AS id, 1 AS modified, source AS slug, sha256(text) AS hash F
 f AS (SELECT coalesce(l.id, k.id) AS id, CASE WHEN l.id IS NULL THEN 'deleted' WHEN k.id IS NOT NULL AND l.modified = k.modified AND l.slug = k.slug THEN 'unchanged' WHEN l.id % 39 = 0 THEN 'error'
   WHEN k.id IS NOT NULL AND l.hash = k.hash THEN 'synchronized' WHEN l.id % 27 = 0 THEN 'skipped (duplicate)' ELSE 'candidate' END AS status FROM l FULL JOIN k ON l.id = k.id)"""
 
-QUERIES = {f.__name__: f for f in (catalog_match, catalog_missing, catalog_counters, retire_guard, unindexed, category_counts, whole_category_counts, sector_counts_zero, whole_sector_counts_zero, dup_flags, whole_dup_flags, insert_order, index_upsert, change_status, doc_compare, file_status, run_totals, set_hash, section_diff, diff_decision, run_decision)}
+QUERIES = {f.__name__: f for f in (catalog_match, catalog_missing, catalog_counters, retire_guard, unindexed, category_counts, sector_counts_zero, dup_flags, insert_order, index_upsert, change_status, doc_compare, file_status, run_totals, set_hash, section_diff, diff_decision, run_decision)}
 SQL = {
     "catalog_match": f"WITH {_MATCH} SELECT doc_id, status, index_path, index_title FROM m",
     "catalog_missing": f"WITH {_MATCH} SELECT path, title, slug FROM g",
     "catalog_counters": f"WITH {_MATCH} SELECT (SELECT count(*) FROM m) AS active, (SELECT count_if(status = 'indexed') FROM m) AS matched, (SELECT count_if(status = 'new_unindexed') FROM m) AS new, (SELECT count(*) FROM g) AS missing",
     "retire_guard": f"WITH {_MATCH} SELECT path, CASE WHEN (SELECT count(*) FROM a) = 0 THEN 'rejected' WHEN (SELECT count(*) FROM g) > (SELECT count(*) FROM a) THEN 'keep_for_review' ELSE 'retire' END AS action FROM g",
     "unindexed": "SELECT 'docs/' || doc_id || '.md' AS path FROM documents WHERE doc_id % 7 = 0",
-    "category_counts": "SELECT lang AS category, 'docs' AS folder, count(*) AS n FROM documents WHERE doc_id % 7 <> 0 GROUP BY lang",
-    "sector_counts_zero": "SELECT source, count_if(doc_id % 7 <> 0 AND lang = 'de' AND doc_id % 4 = 1) AS n FROM documents GROUP BY source",
-    "dup_flags": f"WITH {_TITLES}, {_INDEX} SELECT pos, row_number() OVER (PARTITION BY title_key ORDER BY pos) > 1 AS title_repeated, min(pos) OVER (PARTITION BY title_key) AS title_first, row_number() OVER (PARTITION BY slug ORDER BY pos) > 1 AS slug_repeated, min(pos) OVER (PARTITION BY slug) AS slug_first FROM i",
-    "whole_category_counts": "SELECT lang AS category, 'docs' AS folder, count(*) AS n FROM documents GROUP BY lang",
-    "whole_sector_counts_zero": "SELECT source, count_if(lang = 'de') AS n FROM documents GROUP BY source",
-    "whole_dup_flags": f"WITH {_TITLES}, i AS (SELECT doc_id AS pos, title_key, 's' || (doc_id % 400) AS slug FROM t) SELECT pos, row_number() OVER (PARTITION BY title_key ORDER BY pos) > 1 AS title_repeated, min(pos) OVER (PARTITION BY title_key) AS title_first, row_number() OVER (PARTITION BY slug ORDER BY pos) > 1 AS slug_repeated, min(pos) OVER (PARTITION BY slug) AS slug_first FROM i",
+    "category_counts": "SELECT lang AS category, 'docs' AS folder, count(*) AS n FROM documents GROUP BY lang",
+    "sector_counts_zero": "SELECT source, count_if(lang = 'de') AS n FROM documents GROUP BY source",
+    "dup_flags": f"WITH {_TITLES}, i AS (SELECT doc_id AS pos, title_key, 's' || (doc_id % 400) AS slug FROM t) SELECT pos, row_number() OVER (PARTITION BY title_key ORDER BY pos) > 1 AS title_repeated, min(pos) OVER (PARTITION BY title_key) AS title_first, row_number() OVER (PARTITION BY slug ORDER BY pos) > 1 AS slug_repeated, min(pos) OVER (PARTITION BY slug) AS slug_first FROM i",
     "insert_order": """
 WITH d AS (SELECT doc_id, source || '/' || doc_id || '.md' AS path, source FROM documents), l AS (SELECT source, max(doc_id) AS last FROM d WHERE doc_id % 7 <> 0 GROUP BY source),
 b AS (SELECT path, doc_id::DOUBLE AS place, 0 AS is_new FROM d WHERE doc_id % 7 <> 0 UNION ALL SELECT path, coalesce(last::DOUBLE, 'inf'::DOUBLE), 1 FROM d LEFT JOIN l USING (source) WHERE doc_id % 7 = 0)

@@ -36,27 +36,65 @@ def exam_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def schedule_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sheets of 200 orders with two blocks side by side, titles above headers, merged cells and notes."""
+def _schedule(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list]:
+    """Rows and columns of sheets of 200 orders with two blocks side by side, titles above headers, merged cells and notes."""
     o = table(spark, sf_dir, "orders").select(F.expr("o_orderkey div 200").alias("sheet"), (F.col("o_orderkey") % 200).cast("int").alias("r"), "o_orderkey", "o_orderpriority")
     k, r = F.col("r") % 11, F.col("r")
     data = (k > 1) & (k != 6)
     day = F.element_at(F.array(F.lit("Lunes"), F.lit("Martes"), F.lit("Jueves")), (r % 3 + 1).cast("int"))
     com = F.concat(F.lit("Com. N° "), (r % 4).cast("string"))
-    return _cells(
-        o,
-        [
-            F.when(k == 0, F.concat(F.lit("- Materia  "), (F.col("o_orderkey") % 17).cast("string"))).when(k == 1, " Comisiones").when(k == 6, "- Anual -").when(data & (r % 2 == 0), com),
-            F.when(k == 1, "Días").when((k == 6) | (data & (r % 5 != 0)), day),
-            F.when(k == 1, "Horario").when(data & (r % 3 != 0), F.concat((r % 24).cast("string"), F.lit(" hs"))),
-            F.when(k == 1, "Docente").when(k == 6, "nobody").when(data & (r % 4 == 0), F.col("o_orderpriority")),
-            F.lit(""),
-            F.when(k == 1, "Comisiones 2").when(data & (r % 3 == 0), com),
-            F.when(k == 1, "Días").when(data & (r % 7 == 0), day),
-            F.when((k == 0) & (F.col("o_orderkey") % 2 == 0), "Otra").when(k == 1, "Horario").when(data, "10 hs"),
-            F.when(k == 1, "Docente").when(data & (r % 5 == 0), "Dr. Roe, Jane"),
-        ],
-    )
+    values = [
+        F.when(k == 0, F.concat(F.lit("- Materia  "), (F.col("o_orderkey") % 17).cast("string"))).when(k == 1, " Comisiones").when(k == 6, "- Anual -").when(data & (r % 2 == 0), com),
+        F.when(k == 1, "Días").when((k == 6) | (data & (r % 5 != 0)), day),
+        F.when(k == 1, "Horario").when(data & (r % 3 != 0), F.concat((r % 24).cast("string"), F.lit(" hs"))),
+        F.when(k == 1, "Docente").when(k == 6, "nobody").when(data & (r % 4 == 0), F.col("o_orderpriority")),
+        F.lit(""),
+        F.when(k == 1, "Comisiones 2").when(data & (r % 3 == 0), com),
+        F.when(k == 1, "Días").when(data & (r % 7 == 0), day),
+        F.when((k == 0) & (F.col("o_orderkey") % 2 == 0), "Otra").when(k == 1, "Horario").when(data, "10 hs"),
+        F.when(k == 1, "Docente").when(data & (r % 5 == 0), "Dr. Roe, Jane"),
+    ]
+    return o, values
+
+
+def schedule_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cells(*_schedule(spark, sf_dir))
+
+
+def _texts(rows: DataFrame, values: list) -> DataFrame:
+    """(sheet, body): each sheet of 200 rows as a CSV text, cells quoted where they need it or stand in every third column; missing rows are empty lines."""
+    plain = [F.coalesce(v.cast("string"), F.lit("")) for v in values]
+    cells = [F.when(v.rlike('[",\\n]') | F.lit(k % 3 == 2), F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(v) for k, v in enumerate(plain)]
+    lines = rows.select("sheet", "r", F.concat_ws(",", *cells).alias("line")).groupBy("sheet").agg(F.map_from_entries(F.collect_list(F.struct("r", "line"))).alias("lines"))
+    return lines.select("sheet", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(199)), lambda r: F.coalesce(F.try_element_at("lines", r), F.lit(""))), "\r\n").alias("body"))
+
+
+def csv_schedule_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-08, SRC-10, TAB-02 to TAB-04: the same sheets written as CSV texts and read from them."""
+    return grid.schedule(grid.csv_cells(_texts(*_schedule(spark, sf_dir)), "sheet", "body"))
+
+
+def headless_schedule_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-10, TAB-05: CSV sheets without a header: notes, a title, then commissions, days, hours and teachers with gaps."""
+    o = table(spark, sf_dir, "orders").select(F.expr("o_orderkey div 200").alias("sheet"), (F.col("o_orderkey") % 200).cast("int").alias("r"), "o_orderkey", "o_orderpriority")
+    r, data = F.col("r"), F.col("r") > 3
+    values = [
+        F.when(r < 2, "nota").when(r == 2, F.concat(F.lit("- Materia  "), F.col("sheet").cast("string"))).when(data & (r % 4 == 1), F.concat(F.lit("Com. N° "), (r % 5).cast("string"))).when(data & (r % 11 == 0), "otra nota"),
+        F.when(data & (r % 3 != 0), F.element_at(F.array(F.lit("Lunes"), F.lit("Martes")), (r % 2 + 1).cast("int"))),
+        F.when(data & (r % 5 != 0), F.concat((r % 24).cast("string"), F.lit(" hs"))),
+        F.when(data & (r % 6 == 1), F.concat(F.lit("Roe, "), "o_orderpriority")),
+    ]
+    return grid.schedule_without_header(grid.csv_cells(_texts(o, values), "sheet", "body"))
+
+
+def elective_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-10, TAB-06, EXP-09: CSV sheets whose columns are found by name, which stand in another order on odd sheets; some hours hold several commissions."""
+    o = table(spark, sf_dir, "orders").select(F.expr("o_orderkey div 200").alias("sheet"), (F.col("o_orderkey") % 200).cast("int").alias("r"), "o_orderkey", "o_orderpriority")
+    r, odd = F.col("r"), F.col("sheet") % 2 == 1
+    subject = F.when(r == 0, "Nombre de la materia").when(r % 10 != 9, F.concat(F.lit('- "Optativa" '), F.col("o_orderkey").cast("string")))
+    teacher = F.when(r == 0, "Docente a cargo").when(r % 4 != 0, F.col("o_orderpriority"))
+    hours = F.when(r == 0, "Horarios").when(r % 3 == 0, "C1: Lunes 8 hs Profesor Ana Roe.\nC2 : Martes  9 hs;").when(r % 3 == 1, "Viernes 10 hs")
+    return grid.electives(grid.csv_cells(_texts(o, [F.when(odd, hours).otherwise(subject), teacher, F.when(odd, subject).otherwise(hours)]), "sheet", "body"))
 
 
 def exam_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,10 +226,25 @@ _ROUTED = """
 r AS (SELECT p_partkey, CASE WHEN lower(p_name) LIKE '%99%' THEN 'third' WHEN p_partkey % 10 = 0 THEN 'exact' WHEN lower(p_name) LIKE '%99%' THEN 'third' WHEN lower(p_brand) LIKE '%2%' THEN 'metal' WHEN lower(p_brand) LIKE 'brand#1%' THEN 'first'
   WHEN lower(p_name) LIKE '%7%' OR lower(p_type) LIKE '%steel%' OR lower(p_type) LIKE '%brass%' THEN 'metal' WHEN lower(p_brand) LIKE '%#3%' THEN 'third' WHEN lower(p_type) = 'promo tin' THEN 'exact' ELSE 'rest' END AS routed FROM part)"""
 
-QUERIES = {f.__name__: f for f in (exam_rows, schedule_rows, exam_tables, schedule_tables, fill_down, segment_runs, nearest_above, asof_header, keep_first, teacher_index, route_rules, routing_counts, alias_lookup, reply_sectors, token_overlap_top3)}
+QUERIES = {f.__name__: f for f in (exam_rows, schedule_rows, csv_schedule_rows, headless_schedule_rows, elective_rows, exam_tables, schedule_tables, fill_down, segment_runs, nearest_above, asof_header, keep_first, teacher_index, route_rules, routing_counts, alias_lookup, reply_sectors, token_overlap_top3)}
 SQL = {
     "exam_rows": f"WITH {_EXAM} SELECT * FROM exam",
     "schedule_rows": f"WITH {_SCHEDULE} SELECT sheet, start, r, subject, commission, day, hours, teacher FROM sched WHERE shown",
+    "csv_schedule_rows": f"WITH {_SCHEDULE} SELECT CAST(sheet AS VARCHAR) AS sheet, start, r, subject, commission, day, hours, teacher FROM sched WHERE shown",
+    "headless_schedule_rows": """
+WITH o AS (SELECT o_orderkey // 200 AS sheet, o_orderkey % 200 AS r, trim(o_orderpriority) AS p FROM orders),
+v AS (SELECT sheet, r, CASE WHEN r < 2 THEN 'nota' WHEN r = 2 THEN '- Materia  ' || sheet WHEN r > 3 AND r % 4 = 1 THEN 'Com. N° ' || (r % 5) WHEN r > 3 AND r % 11 = 0 THEN 'otra nota' END AS com, CASE WHEN r > 3 AND r % 3 <> 0 THEN ['Lunes', 'Martes'][r % 2 + 1] END AS day,
+  CASE WHEN r > 3 AND r % 5 <> 0 THEN (r % 24) || ' hs' END AS hours, CASE WHEN r > 3 AND r % 6 = 1 THEN 'Roe, ' || p END AS teach FROM o),
+f AS (SELECT sheet, min(r) AS first FROM v WHERE com LIKE 'Com.%' GROUP BY sheet), t AS (SELECT sheet, count_if(r = 2) > 0 AS titled FROM o GROUP BY sheet),
+b AS (SELECT v.*, CASE WHEN titled THEN 'Materia ' || sheet ELSE 'Materia sin nombre' END AS subject FROM v JOIN f USING (sheet) JOIN t USING (sheet) WHERE r >= first AND (com LIKE 'Com.%' OR day IS NOT NULL OR hours IS NOT NULL OR com IS NULL AND teach IS NOT NULL)),
+w AS (SELECT sheet, r, subject, last_value(com IGNORE NULLS) OVER c AS commission, day, hours, last_value(teach IGNORE NULLS) OVER c AS teacher FROM b WINDOW c AS (PARTITION BY sheet ORDER BY r ROWS UNBOUNDED PRECEDING))
+SELECT CAST(sheet AS VARCHAR) AS sheet, r, subject, coalesce(commission, 'N/D') AS commission, coalesce(day, 'N/D') AS day, coalesce(hours, 'N/D') AS hours, coalesce(teacher, 'N/D') AS teacher FROM w WHERE day IS NOT NULL OR hours IS NOT NULL""",
+    "elective_rows": """
+WITH o AS (SELECT o_orderkey // 200 AS sheet, o_orderkey % 200 AS r, o_orderkey AS k, trim(o_orderpriority) AS p FROM orders),
+v AS (SELECT o.*, CASE WHEN r % 4 <> 0 THEN p END AS t FROM o WHERE r > 0 AND r % 10 <> 9 AND sheet IN (SELECT sheet FROM o WHERE r = 0)),
+e AS (SELECT sheet, r, k, 'C1' AS commission, 'Lunes' AS day, '8 hs' AS hours, 'Ana Roe' AS teacher FROM v WHERE r % 3 = 0 UNION ALL SELECT sheet, r, k, 'C2', 'Martes', '9 hs', coalesce(t, 'N/D') FROM v WHERE r % 3 = 0
+  UNION ALL SELECT sheet, r, k, 'Única', 'Ver horarios', CASE WHEN r % 3 = 1 THEN 'Viernes 10 hs' ELSE '' END, coalesce(t, '') FROM v WHERE r % 3 <> 0)
+SELECT CAST(sheet AS VARCHAR) AS sheet, r, 'Optativa ' || k AS subject, commission, day, hours, teacher FROM e""",
     "exam_tables": f"WITH {_EXAM}, m AS (SELECT sheet, '| Fecha | Día | Código | Materia | Hora | Inscripción |' || chr(10) || '| :--- | :--- | :--- | :--- | :--- | :--- |' || chr(10) || string_agg('| ' || coalesce(nullif(date, ''), '-') || ' | ' || coalesce(nullif(day, ''), '-') || ' | ' || code || ' | ' || subject || ' | ' || coalesce(nullif(hour, ''), '-') || ' | ' || coalesce(nullif(enrolment, ''), '-') || ' |', chr(10) ORDER BY r) AS md FROM exam GROUP BY sheet) SELECT sheet, length(md) AS length, sha256(md) AS hash FROM m",
     "schedule_tables": f"WITH {_SCHEDULE}, m AS (SELECT sheet, subject, '| Comisión | Día | Horario | Docente |' || chr(10) || '| :--- | :--- | :--- | :--- |' || chr(10) || string_agg('| ' || commission || ' | ' || day || ' | ' || hours || ' | ' || teacher || ' |', chr(10) ORDER BY r, start) AS md FROM sched WHERE shown GROUP BY sheet, subject) SELECT sheet, subject, length(md) AS length, sha256(md) AS hash FROM m",
     "fill_down": f"SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) {_W} AS last_value FROM events",

@@ -21,9 +21,9 @@ def _head() -> Column:
 
 
 def slugify_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """KEY-01 to KEY-04: four kinds of slugs of each document's first line (dated_slug: of its first 60 characters; whole_dated_slug takes the whole line)."""
+    """KEY-01 to KEY-04: four kinds of slugs of each document's first line."""
     h = _head()
-    dated = F.concat(F.substr(h, F.lit(1), F.lit(60)), F.lit(" 2026"))
+    dated = F.concat(h, F.lit(" 2026"))
     return _docs(spark, sf_dir).select("doc_id", keys.slug(h).alias("slug"), keys.slug(h, None).alias("slug_or_empty"), keys.course_slug(h).alias("course_slug"), keys.dated_slug(dated).alias("dated_slug"))
 
 
@@ -66,12 +66,6 @@ def sanitize_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scrub_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """TXT-12: identity numbers, added to the first 200 characters of each text, removed; whole_scrub_ids takes whole texts."""
-    given = F.concat(F.substr("text", F.lit(1), F.lit(200)), F.lit(" DNI N° 23.701."), F.lpad((F.col("doc_id") % 1000).cast("string"), 3, "0"), F.lit(" y (D.N.I. 38.898.177) fin"))
-    return _docs(spark, sf_dir).select("doc_id", text.scrub_ids(given).alias("scrubbed"))
-
-
-def whole_scrub_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TXT-12 over whole texts, numbers added in front and behind, as length and hash."""
     number = F.lpad((F.col("doc_id") % 1000).cast("string"), 3, "0")
     given = F.concat(F.lit("DNI 23.701."), number, F.lit(" "), "text", F.lit(" DNI N° 23.701."), number, F.lit(" y (D.N.I. 38.898.177) fin"))
@@ -105,20 +99,10 @@ def cut_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def title_case(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """TXT-17: words of the first 80 characters of the first line with capitals, acronyms kept; whole_title_case takes the whole line."""
-    return _docs(spark, sf_dir).select("doc_id", text.title_case(F.concat(F.substr(_head(), F.lit(1), F.lit(80)), F.lit(" iva pyme"))).alias("titled"))
-
-
-def whole_title_case(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """TXT-17 over the whole first line."""
+    """TXT-17: words of the first line with capitals, acronyms kept."""
     return _docs(spark, sf_dir).select("doc_id", text.title_case(F.concat(_head(), F.lit(" iva pyme"))).alias("titled"))
 
 
-def whole_dated_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """KEY-04 over the whole first line."""
-    return _docs(spark, sf_dir).select("doc_id", keys.dated_slug(F.concat(_head(), F.lit(" 2026"))).alias("dated_slug"))
-
-
 def text_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DAT-01, DAT-02, DAT-05: dates written into each text, found again, missing days and overflows resolved."""
     d = F.col("doc_id")
@@ -174,10 +158,10 @@ _SCRUBBED = s.rr(s.rr(_GIVEN, _NUMBER, r"'\1DNI [omitido]'"), rf"(?i)\({s.WS}*D\
 
 QUERIES = {
     f.__name__: f
-    for f in (slugify_docs, title_key, token_set_key, folder_keys, doc_keywords, doc_hashes, sanitize_runs, scrub_ids, whole_scrub_ids, clean_length, fenced_text, table_cells, cut_noise, title_case, whole_title_case, whole_dated_slug, text_dates, weekday_cells, md_sections, named_sections, bullet_lines, name_lists)
+    for f in (slugify_docs, title_key, token_set_key, folder_keys, doc_keywords, doc_hashes, sanitize_runs, scrub_ids, clean_length, fenced_text, table_cells, cut_noise, title_case, text_dates, weekday_cells, md_sections, named_sections, bullet_lines, name_lists)
 }
 SQL = {
-    "slugify_docs": f"SELECT doc_id, {s.slug(_H)} AS slug, {s.slug(_H, None)} AS slug_or_empty, substr(replace({s.title_key(_H)}, ' ', '-'), 1, 120) AS course_slug, {s.slug(f'substr({_H}, 1, 60)', None)} AS dated_slug FROM documents",
+    "slugify_docs": f"SELECT doc_id, {s.slug(_H)} AS slug, {s.slug(_H, None)} AS slug_or_empty, substr(replace({s.title_key(_H)}, ' ', '-'), 1, 120) AS course_slug, {s.slug(_H, None)} AS dated_slug FROM documents",
     "title_key": f"SELECT doc_id, {s.title_key(_H)} AS title_key, sha256({s.title_key('text')}) AS text_key_hash FROM documents",
     "token_set_key": f"SELECT doc_id, {s.name_key(_H)} AS name_key FROM documents",
     "folder_keys": f"SELECT doc_id, folder, regexp_replace(folder, '^\\d+{s.WS}*[-_]{s.WS}*', '') AS folder_name FROM (SELECT doc_id, {s.folder_key("lpad(CAST(doc_id % 20 AS VARCHAR), 2, '0') || ' - ' || source || '_' || upper(lang)")} AS folder FROM documents)",
@@ -185,17 +169,14 @@ SQL = {
     "doc_hashes": "SELECT doc_id, sha256(text) AS text_hash, sha256(replace(text || chr(10) || 'Updated 2026-05-21', '2026-05-21', '{DATE}')) AS neutral_hash, sha256('=' || lang || chr(31) || '=' || source || chr(31) || '=' || n_chars) AS fields_hash FROM documents",
     "sanitize_runs": f"""
 SELECT doc_id, length(t) AS length, sha256(t) AS hash FROM (SELECT doc_id, {s.rr(s.rr(s.rr(s.rr(s.rr("text || chr(10) || '|:------|=====|' || repeat('-', CAST(doc_id % 90 AS INTEGER)) || repeat(' ', CAST(doc_id % 200 AS INTEGER)) || '|____|'", ":-{4,}", "':---'"), "-{4,}", "'---'"), "={4,}", "'==='"), "_{4,}", "'___'"), " {80,}", "' '")} AS t FROM documents)""",
-    "scrub_ids": "SELECT doc_id, substr(text, 1, 200) || ' DNI [omitido] y (DNI [omitido]) fin' AS scrubbed FROM documents",
-    "whole_scrub_ids": f"SELECT doc_id, length(t) AS length, sha256(t) AS hash FROM (SELECT doc_id, {_SCRUBBED} AS t FROM documents)",
+    "scrub_ids": f"SELECT doc_id, length(t) AS length, sha256(t) AS hash FROM (SELECT doc_id, {_SCRUBBED} AS t FROM documents)",
     "clean_length": f"""
 SELECT doc_id, length({s.squeeze('text')}) AS clean_length, length({s.normalize_spaces('text')}) AS spaced_length,
   sha256(array_to_string(list_filter(list_transform({s.lines(s.normalize_spaces('text'))}, lambda x: {s.normalize_spaces('x')}), lambda x: lower(x) NOT IN ('', 'image', 'iframe')), chr(10))) AS student_hash FROM documents""",
     "fenced_text": "SELECT doc_id, length(text) + CASE WHEN doc_id % 2 = 0 THEN length('# Title ' || doc_id) + 1 ELSE 0 END AS length, CASE WHEN doc_id % 2 = 0 THEN 'Title ' || doc_id ELSE 'untitled' END AS title FROM documents",
     "table_cells": f"SELECT doc_id, coalesce(nullif({s.squeeze(f'replace({_H}, chr(124), chr(47))')}, ''), 'N/D') AS cell, {s.squeeze(s.rr(s.rr(_H, '[“”' + chr(34) + chr(39) + ']'), f'^(?:-|{s.WS})+'))} AS subject FROM documents",
     "cut_noise": f"SELECT doc_id, length(b) AS length, sha256(b) AS hash FROM (SELECT doc_id, {s.normalize_spaces('CASE WHEN doc_id % 3 = 0 THEN ' + chr(39) + 'Requisitos' + chr(39) + ' || chr(10) || text ELSE ' + chr(39) + 'Inicio' + chr(39) + ' || chr(10) || text END')} AS b FROM documents)",
-    "title_case": f"SELECT doc_id, array_to_string([CASE WHEN upper(w) IN ('IVA', 'AFIP', 'PYME', 'TIC', 'RRHH') THEN upper(w) ELSE replace(upper(substr(w, 1, 1)), 'ẞ', 'SS') || substr(w, 2) END for w in string_split(lower(substr({_H}, 1, 80) || ' iva pyme'), ' ')], ' ') AS titled FROM documents",
-    "whole_title_case": f"SELECT doc_id, array_to_string([CASE WHEN upper(w) IN ('IVA', 'AFIP', 'PYME', 'TIC', 'RRHH') THEN upper(w) ELSE replace(upper(substr(w, 1, 1)), 'ẞ', 'SS') || substr(w, 2) END for w in string_split(lower({_H} || ' iva pyme'), ' ')], ' ') AS titled FROM documents",
-    "whole_dated_slug": f"SELECT doc_id, {s.slug(_H, None)} AS dated_slug FROM documents",
+    "title_case": f"SELECT doc_id, array_to_string([CASE WHEN upper(w) IN ('IVA', 'AFIP', 'PYME', 'TIC', 'RRHH') THEN upper(w) ELSE replace(upper(substr(w, 1, 1)), 'ẞ', 'SS') || substr(w, 2) END for w in string_split(lower({_H} || ' iva pyme'), ' ')], ' ') AS titled FROM documents",
     "text_dates": """
 WITH p AS (SELECT doc_id, doc_id % 28 + 1 AS d1, doc_id % 12 + 1 AS m1, doc_id % 150 + 1960 AS y, doc_id % 14 + 1 AS m, doc_id % 31 + 1 AS d FROM documents)
 SELECT doc_id, '2025-' || lpad(CAST(m1 AS VARCHAR), 2, '0') || '-' || lpad(CAST(d1 AS VARCHAR), 2, '0') AS start, '2024-02-' || lpad(CAST(d AS VARCHAR), 2, '0') AS iso,

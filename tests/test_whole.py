@@ -29,22 +29,22 @@ def documents(spark, tmp_path):
 
 def test_scrub_ids_late_in_the_text(spark, documents):
     sf = documents([(7, f"{FILLER}DNI 30.111.222 fin", "es", "a")])
-    got = registry.QUERIES["whole_scrub_ids"](spark, sf).first()
+    got = registry.QUERIES["scrub_ids"](spark, sf).first()
     want = f"DNI [omitido] {FILLER}DNI [omitido] fin DNI [omitido] y (DNI [omitido]) fin"
     assert (got.length, got.hash) == (len(want), hashlib.sha256(want.encode()).hexdigest())
 
 
 def test_title_case_and_slug_of_a_long_line(spark, documents):
     sf = documents([(7, f"{FILLER}final\nnext", "es", "a")])
-    assert registry.QUERIES["whole_title_case"](spark, sf).first().titled == f"{'Palabra ' * 60}Final IVA PYME"
-    assert registry.QUERIES["whole_dated_slug"](spark, sf).first().dated_slug == f"{'palabra-' * 60}final"
+    assert registry.QUERIES["title_case"](spark, sf).first().titled == f"{'Palabra ' * 60}Final IVA PYME"
+    assert registry.QUERIES["slugify_docs"](spark, sf).first().dated_slug == f"{'palabra-' * 60}final"
 
 
 def test_checks_see_the_end_of_a_text(spark, documents):
     # ids divisible by 28 get a late phrase, 28k + 7 a placeholder, 28k + 14 a fence and a heading, 28k + 21 a date
     sf = documents([(28, FILLER, "es", "a"), (35, FILLER, "es", "a"), (14, FILLER, "es", "a"), (21, FILLER, "es", "a"), (1, f"{FILLER}{{Nombre del alumno}}\n```\nReciba un cordial saludo", "es", "a")])
-    stale = {(r.doc_id, r.name, r.found) for r in registry.QUERIES["whole_stale_dates"](spark, sf).collect()}
-    rows = {name: {r.doc_id: r for r in registry.QUERIES[f"whole_{name}"](spark, sf).collect()} for name in ("structure_check", "prohibited_check", "placeholder_check", "document_check")}
+    stale = {(r.doc_id, r.name, r.found) for r in registry.QUERIES["stale_dates"](spark, sf).collect()}
+    rows = {name: {r.doc_id: r for r in registry.QUERIES[name](spark, sf).collect()} for name in ("structure_check", "prohibited_check", "placeholder_check", "document_check")}
     assert rows["prohibited_check"][28].prohibited == "Es un placer informarle"
     assert rows["prohibited_check"][1].prohibited == "Reciba un cordial saludo;code"
     assert rows["prohibited_check"][14].prohibited == "code"
@@ -84,6 +84,6 @@ def test_insert_positions_without_a_window_over_all_places(spark):
 
 def test_counts_and_flags_take_every_row(spark, documents):
     sf = documents([(7, "Same title", "de", "a"), (14, "Same title", "de", "a"), (8, "Other", "de", "a"), (1, "Third", "en", "b")])
-    assert {tuple(r) for r in registry.QUERIES["whole_sector_counts_zero"](spark, sf).select("source", "n").collect()} == {("a", 3), ("b", 0)}
-    assert {tuple(r) for r in registry.QUERIES["whole_category_counts"](spark, sf).select("category", "n").collect()} == {("de", 3), ("en", 1)}
-    assert {r.pos: (r.title_repeated, r.title_first) for r in registry.QUERIES["whole_dup_flags"](spark, sf).collect()} == {1: (False, 1), 7: (False, 7), 8: (False, 8), 14: (True, 7)}
+    assert {tuple(r) for r in registry.QUERIES["sector_counts_zero"](spark, sf).select("source", "n").collect()} == {("a", 3), ("b", 0)}
+    assert {tuple(r) for r in registry.QUERIES["category_counts"](spark, sf).select("category", "n").collect()} == {("de", 3), ("en", 1)}
+    assert {r.pos: (r.title_repeated, r.title_first) for r in registry.QUERIES["dup_flags"](spark, sf).collect()} == {1: (False, 1), 7: (False, 7), 8: (False, 8), 14: (True, 7)}

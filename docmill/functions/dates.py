@@ -27,6 +27,11 @@ def whole_days(later: Column, earlier: Column) -> Column:
     return F.floor((F.unix_millis(later.cast("timestamp")) - F.unix_millis(earlier.cast("timestamp"))) / F.lit(86_400_000)).cast("int")
 
 
+def date_in(instant: Column, zone: str) -> Column:
+    """The ISO date of a UTC instant in a zone (DAT-04); today is the date of an instant given by the caller."""
+    return F.date_format(F.from_utc_timestamp(instant.cast("timestamp"), zone), "yyyy-MM-dd")
+
+
 def dates_in(c: Column) -> Column:
     """array<struct<found, day>> of YYYY-MM[-DD] and DD/MM/YYYY from 2000 to 2100 (DAT-05): a missing day is 28, overflow rolls over."""
 

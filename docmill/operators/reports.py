@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docmill.functions.dates import whole_days
@@ -43,6 +43,11 @@ def by_name(df: DataFrame, column: str, locale: str = "es") -> DataFrame:
     return df.orderBy(F.expr(f"`{column}` COLLATE {locale}"))
 
 
+def name_rank(df: DataFrame, column: str, by: list[str], locale: str = "es") -> DataFrame:
+    """df with place, the order of by_name() inside each group (ORD-02)."""
+    return df.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(F.expr(f"`{column}` COLLATE {locale}"), column)))
+
+
 def md_row(*cells: Column) -> Column:
     """One line of a Markdown table; empty cells are a hyphen."""
     return F.concat(F.lit("| "), F.concat_ws(" | ", *[F.coalesce(F.nullif(c.cast("string"), F.lit("")), F.lit("-")) for c in cells]), F.lit(" |"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from docmill.functions import keys
 from docmill.functions.charset import trim
 from docmill.operators.grid import csv_cells
+from docmill.operators.routing import Match, Taxonomy
 
 SOURCE = T.StructType([T.StructField(c, T.StringType()) for c in ("slug", "indice_path", "url", "strategy", "sectionId", "sectionPrefix")] + [T.StructField(c, T.IntegerType()) for c in ("maxPages", "maxDepth")])
 ITEM = T.StructType([T.StructField(c, T.StringType()) for c in ("path", "title", "category", "sector", "canonicalUrl")])
@@ -34,6 +36,23 @@ def index(spark: SparkSession, path: str) -> DataFrame:
     return items.withColumn("title_key", keys.title_key(F.col("title"))).withColumn("slug", F.regexp_replace(F.regexp_replace("path", r"\.md$", ""), "^.*/", ""))
 
 
+def taxonomy(spark: SparkSession, path: str) -> Taxonomy:
+    """The rules of a taxonomy file (SRC-19), in its order: sectors with what they match and their folder names, a fallback, overrides.
+
+    A file of rules is small by nature; its rules become one expression (RUL-01).
+    """
+    spec = json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+    def match(rules: dict | None) -> Match:
+        rules = rules or {}
+        return Match(*[tuple(rules.get(k, ())) for k in ("pathPrefix", "pathIncludes", "titleIncludes", "categoryIncludes", "categoryEquals")])
+
+    sectors = {name: match(one.get("match")) for name, one in spec["sectors"].items()}
+    overrides = tuple((o["sector"], match(o.get("match")), bool(o.get("force"))) for o in spec.get("overrides", ()))
+    aliases = {name: tuple(one["aliases"]) for name, one in spec["sectors"].items() if one.get("aliases")}
+    return Taxonomy(sectors, spec["fallback"], overrides, aliases)
+
+
 def markdown(spark: SparkSession, *folders: str) -> DataFrame:
     """(path, markdown) of the Markdown files of some folders, not of those below them (SRC-16)."""
     files = spark.read.option("pathGlobFilter", "*.md").text(list(folders), wholetext=True)
@@ -87,4 +106,4 @@ def by_strategy(sources: DataFrame, plans: dict[str, Callable[[DataFrame], DataF
     return reduce(DataFrame.unionByName, [plan(sources.where(F.col("strategy") == name)) for name, plan in plans.items()])
 
 
-__all__ = ["by_strategy", "drive", "extract", "hydrate", "index", "longer", "markdown", "registry", "sheets"]
+__all__ = ["by_strategy", "drive", "extract", "hydrate", "index", "longer", "markdown", "registry", "sheets", "taxonomy"]

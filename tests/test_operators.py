@@ -153,6 +153,10 @@ def test_landed(spark, tmp_path):
     assert rows(landed.by_strategy(r, {"one": lambda s: s.select("slug")}), "slug") == [("x",)]
     with pytest.raises(ValueError, match="tbd"):
         landed.by_strategy(r, {"one": lambda s: s.select("slug")}, skipped=())
+    (tmp_path / "tax.json").write_text('{"fallback": "z", "sectors": {"a": {"match": {"pathPrefix": ["X/"]}, "aliases": ["Uno"]}, "b": {"match": {"titleIncludes": ["t"]}}}, "overrides": [{"sector": "b", "match": {"categoryEquals": ["c"]}, "force": true}]}')
+    t = landed.taxonomy(spark, str(tmp_path / "tax.json"))
+    d = spark.createDataFrame([("x/1", "t", "c", None), ("x/1", "t", "d", None), ("y", "T", "d", None), ("y", "", "d", "a"), ("y", "", "d", "q")], "path string, title string, category string, sector string")
+    assert [r.r for r in d.select(t.route().alias("r")).collect()] == ["b", "a", "b", "a", "z"] and t.aliases == {"a": ("Uno",)}
     i = landed.index(spark, str(tmp_path / "index.json")).first()
     assert (i.title_key, i.slug) == ("a b", "a-b")
     hidden = tmp_path / "No_Indexar"

@@ -24,6 +24,8 @@ from docmill.llm.common import fresh, table
 
 #: At most so many labelled rows are learned from: those with the smallest hash of their id.
 TRAIN_ROWS = 4000
+#: Words that a text may have for three of their numbers to fit one code.
+NARROW = 1 << 21
 SPACE = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -59,7 +61,7 @@ def repeat_words(words: list[bytes], ids: WordIds) -> tuple[int, int]:
     distinct = len(np.unique(got)) if n else 0
     if n < 3:
         return 0, distinct
-    if len(ids) < 1 << 21:
+    if len(ids) < NARROW:
         codes = got[:-2] << 42 | got[1:-1] << 21 | got[2:]
     else:  # one text with millions of distinct words: rank the pairs first
         pairs = np.unique(got[:-1] << 32 | got[1:], return_inverse=True)[1].reshape(-1)

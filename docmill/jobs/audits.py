@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmill.functions import keys, urls
@@ -117,8 +117,7 @@ def freshness_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = d.where("doc_id % 3 <> 0").select(n.cast("string").alias("path"), F.concat(F.lit("s"), n % 40).alias("slug"), n.alias("ord"))
     state = spark.range(0, 40).where("id % 4 <> 0").select(F.concat(F.lit("s"), "id").alias("slug"), F.expr("timestamp'2026-05-20 12:00:00' - make_dt_interval(CAST(id AS int))").alias("checked"))
     r = reports.freshness(items, sources, state, TODAY)
-    w = Window.partitionBy("category").orderBy("priority", F.desc_nulls_first("human_days"), F.desc_nulls_first("auto_days"), "path")
-    return r.withColumn("place", F.row_number().over(w)).select("path", "category", "review_status", "human_days", "auto_days", "human_icon", "auto_icon", "place")
+    return reports.urgency_place(r, "category").select("path", "category", "review_status", "human_days", "auto_days", "human_icon", "auto_icon", "place")
 
 
 def candidate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

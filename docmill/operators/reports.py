@@ -38,6 +38,20 @@ def by_urgency(report: DataFrame) -> DataFrame:
     return report.orderBy("priority", F.desc_nulls_first("human_days"), F.desc_nulls_first("auto_days"), "path")
 
 
+def urgency_place(report: DataFrame, by: str) -> DataFrame:
+    """report with place, its order by_urgency() within each group (ORD-01).
+
+    Rows of equal priority and days are counted first, and the running sums of these counts, which are few,
+    give where each such run starts; so a window holds one run of a group, never the group.
+    """
+    n = report.groupBy(by, "priority", "human_days").agg(F.count("*").alias("n"))
+    before = Window.partitionBy(by).orderBy("priority", F.desc_nulls_first("human_days")).rowsBetween(Window.unboundedPreceding, -1)
+    starts = n.select(F.col(by).alias("_by"), F.col("priority").alias("_priority"), F.col("human_days").alias("_days"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    same = F.col(by).eqNullSafe(F.col("_by")) & (F.col("priority") == F.col("_priority")) & F.col("human_days").eqNullSafe(F.col("_days"))
+    run = Window.partitionBy(by, "priority", "human_days").orderBy(F.desc_nulls_first("auto_days"), "path")
+    return report.withColumn("_run", F.row_number().over(run)).join(starts, same).withColumn("place", F.col("_start") + F.col("_run")).select(*report.columns, "place")
+
+
 def by_name(df: DataFrame, column: str, locale: str = "es") -> DataFrame:
     """In the order of a language, not of code points (ORD-02)."""
     return df.orderBy(F.expr(f"`{column}` COLLATE {locale}"))

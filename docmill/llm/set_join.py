@@ -395,7 +395,9 @@ def classify(rows: DataFrame, space: Space, recall: float) -> DataFrame:
     linked = classes.select(F.col("node").alias("rec"), "root").unionByName(classes.select(F.col("root").alias("rec"), "root").distinct())
     links = found.groupBy("rec").agg(F.sum("links").alias("links"))
     known = records.select("rec", "digest", "copies").join(linked, "rec", "left").join(links, "rec", "left")
-    return space.write(known.select("digest", "copies", "rec", "root", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "known")
+    out = space.write(known.select("digest", "copies", "rec", "root", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "known")
+    space.drop(records, banded, families, found)
+    return out
 
 
 def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
@@ -410,6 +412,7 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     known = classify(rows, space, recall)
     own = space.write(rows.select("doc_id", "digest").join(known, "digest", "left").select("doc_id", "n_links", "digest", F.coalesce("root", "rec").alias("class")), "classed")
     low = space.write(own.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("low")), "low")
+    space.drop(got, known)
     out = own.join(low, "class", "left").withColumn("class_id", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("low")))
     return out.select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("class_id").eqNullSafe(F.col("doc_id")).alias("is_representative"))
 

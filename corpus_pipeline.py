@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from docmill.llm import bpe, line_dedup, mixing, quality, set_join
-from docmill.llm.common import stage, table
+from docmill.llm.common import Space, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,10 +53,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; every stage but the last is written and read again."""
+    """All stages over documents; every stage but the last is written and read again, and deleted once the next one is written."""
+    space = Space(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for k, (name, f) in enumerate(STAGES):
-        docs = f(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stage(docs, name)
+        made = f(spark, docs, sf_dir)
+        if k == len(STAGES) - 1:
+            return made
+        before, docs = docs, space.write(made, name)
+        if k:
+            space.drop(before)
     return docs

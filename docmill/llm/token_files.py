@@ -38,10 +38,22 @@ BITS = 20
 LANES, EVERY, BLOCK = 4096, 256, 1 << 21
 LOW = np.uint64(1 << 31)
 #: Bytes that a worker keeps, in either generation, for words, and for pieces between spaces.
-WORDS, PIECES = 64 << 20, 112 << 20
+WORDS, PIECES = 64 << 20, 176 << 20
 HEAD = struct.Struct("<4sIIIQII")
 MAGIC = b"rns2"
 ADJACENT = re.compile(r" \s|\s ")
+#: White space that is seldom in texts; the rest is a space or a line break.
+SELDOM = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
+
+
+def adjacent(text: str) -> bool:
+    """Whether a space stands beside other white space: ADJACENT, found by plain searches in most texts."""
+    if "  " in text or " \n" in text or "\n " in text:
+        return True
+    for c in SELDOM:
+        if c in text:
+            return ADJACENT.search(text) is not None
+    return False
 
 
 @dataclass
@@ -184,6 +196,9 @@ class ByteBpe:
         self.specials = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.marks = re.compile("|".join(map(re.escape, self.specials)) or r"(?!)")
         self.starts = {s[0] for s in self.specials}
+        self.spaced = any(" " in s for s in self.specials)
+        # letters stand for themselves, and none starts a special string
+        self.letters, self.space = not any(c.isascii() and c.isalpha() for c in self.starts), self.byte[ord(" ")]
         self.model = self.lib.model
         # ids fit 16 bits in most vocabularies; a code is what one id looks like in a row of them
         self.small = np.dtype("<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4")
@@ -191,9 +206,12 @@ class ByteBpe:
         self.words = Memo(self._word, WORDS)
         self.pieces = Memo(self._piece, PIECES)
 
-    def _word(self, word: str) -> bytes:
+    def _coded(self, letters: str) -> bytes:
         code = self.code
-        return b"".join([code[t.id] for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.byte))])
+        return b"".join([code[t.id] for t in self.model.tokenize(letters)])
+
+    def _word(self, word: str) -> bytes:
+        return self._coded(word.encode().decode("latin-1").translate(self.byte))
 
     def _whole(self, text: str) -> bytes:
         code = self.code
@@ -210,15 +228,15 @@ class ByteBpe:
 
     def _piece(self, piece: str) -> bytes:
         """The codes of a piece and the space before it; one of plain letters is one word."""
-        if piece.isascii() and piece.isalpha() and self.starts.isdisjoint(piece):
-            return self.words[f" {piece}"]
+        if self.letters and piece.isascii() and piece.isalpha():
+            return self._coded(self.space + piece)
         return self._cut(f" {piece}")
 
     def ids(self, text: str | None) -> bytes:
         """All ids of a text, as little-endian unsigned integers of the dtype ``small``."""
         if not text:
             return b""
-        if not self.known or ADJACENT.search(text) or any(" " in s for s in self.specials):
+        if not self.known or self.spaced or adjacent(text):
             return self._whole(text)
         first, *rest = text.split(" ")
         return (self._cut(first) if first else b"") + b"".join(map(self.pieces.__getitem__, rest))

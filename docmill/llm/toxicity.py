@@ -64,6 +64,12 @@ def _odds(one: np.ndarray, zero: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.log((1 - one) / (1 - zero)), np.log(one / zero)
 
 
+def _pairs(votes: np.ndarray, parent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row and voter, whether its parent fires, and whether both do."""
+    u = np.where(parent >= 0, votes[:, parent], 0)
+    return u, votes * u
+
+
 @dataclass
 class LabelModel:
     """prior: chance of class 1. parent: the voter that each voter depends on, or -1. rates[c, u]: chance that a
@@ -75,14 +81,11 @@ class LabelModel:
     rates: np.ndarray
     annotator: np.ndarray
 
-    def parents(self, votes: np.ndarray) -> np.ndarray:
-        return np.where(self.parent >= 0, votes[:, self.parent], 0)
-
-    def posterior(self, votes: np.ndarray, gold: np.ndarray) -> np.ndarray:
-        """Chance of class 1 of each row; gold is nan where the annotator abstains."""
-        u = self.parents(votes)
+    def posterior(self, votes: np.ndarray, gold: np.ndarray, pairs: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """Chance of class 1 of each row; gold is nan where the annotator abstains. pairs: what _pairs() gives, if it is at hand."""
+        u, both = pairs or _pairs(votes, self.parent)
         (s0, f0), (s1, f1) = (_odds(self.rates[1, k], self.rates[0, k]) for k in (0, 1))
-        z = np.log(self.prior / (1 - self.prior)) + s0.sum() + votes @ (f0 - s0) + u @ (s1 - s0) + (votes * u) @ (f1 - s1 - f0 + s0)
+        z = np.log(self.prior / (1 - self.prior)) + s0.sum() + votes @ (f0 - s0) + u @ (s1 - s0) + both @ (f1 - s1 - f0 + s0)
         silent, fires = _odds(self.annotator[1], self.annotator[0])
         z = z + np.where(np.isnan(gold), 0, np.where(gold == 1, fires, silent))
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
@@ -127,12 +130,12 @@ def dependencies(votes: np.ndarray, p: np.ndarray) -> np.ndarray:
     return parent
 
 
-def _fitted(votes: np.ndarray, gold: np.ndarray, p: np.ndarray, parent: np.ndarray) -> LabelModel:
+def _fitted(votes: np.ndarray, gold: np.ndarray, p: np.ndarray, parent: np.ndarray, pairs: tuple[np.ndarray, np.ndarray]) -> LabelModel:
     """The parameters that p (chance of class 1 of each row) makes likeliest, drawn a little to rates of both classes together."""
-    u = np.where(parent >= 0, votes[:, parent], 0)
+    u, fire = pairs
     rates, annotator, known = np.zeros((2, 2, votes.shape[1])), np.zeros(2), ~np.isnan(gold)
     for c, q in ((0, 1 - p), (1, p)):
-        n, fired, up, both = q.sum(), q @ votes, q @ u, q @ (votes * u)
+        n, fired, up, both = q.sum(), q @ votes, q @ u, q @ fire
         alone = (fired + 0.5 * votes.mean(0) + (0.01 if c else 1e-4)) / (n + 1)
         rates[c, 0] = (fired - both + alone) / (n - up + 1)
         rates[c, 1] = (both + alone) / (up + 1)
@@ -149,13 +152,14 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 20) -> LabelM
     """
     known = ~np.isnan(gold)
     alone = np.full(votes.shape[1], -1)
-    model = _fitted(votes[known], gold[known], np.where(gold[known] == 1, 0.9, 0.1), alone)
-    parent = alone
+    model = _fitted(votes[known], gold[known], np.where(gold[known] == 1, 0.9, 0.1), alone, _pairs(votes[known], alone))
+    parent, pairs = alone, _pairs(votes, alone)
     for k in range(rounds):
-        p = model.posterior(votes, gold)
+        p = model.posterior(votes, gold, pairs)
         if k % 5 == 2:
             parent = dependencies(votes, p)
-        model = _fitted(votes, gold, p, parent)
+            pairs = _pairs(votes, parent)
+        model = _fitted(votes, gold, p, parent, pairs)
     return model
 
 

@@ -198,7 +198,8 @@ class ByteBpe:
         self.starts = {s[0] for s in self.specials}
         self.spaced = any(" " in s for s in self.specials)
         # letters stand for themselves, and none starts a special string
-        self.letters, self.space = not any(c.isascii() and c.isalpha() for c in self.starts), self.byte[ord(" ")]
+        self.letters, self.space = not any(c.isalpha() for c in self.starts), self.byte[ord(" ")]
+        self.ends = {c for c in ".,;:!?" if c not in self.starts}
         self.model = self.lib.model
         # ids fit 16 bits in most vocabularies; a code is what one id looks like in a row of them
         self.small = np.dtype("<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4")
@@ -227,9 +228,15 @@ class ByteBpe:
         return b"".join(map(self.words.__getitem__, self.cut.findall(piece)))
 
     def _piece(self, piece: str) -> bytes:
-        """The codes of a piece and the space before it; one of plain letters is one word."""
-        if self.letters and piece.isascii() and piece.isalpha():
-            return self._coded(self.space + piece)
+        """The codes of a piece and the space before it; letters are one word, and a mark behind them another."""
+        if self.letters:
+            if piece.isalpha():
+                if piece.isascii():
+                    return self._coded(self.space + piece)
+                if max(piece) <= "ÿ":
+                    return self._word(f" {piece}")
+            elif piece[-1:] in self.ends and piece[:-1].isalpha() and piece.isascii():
+                return self.words[f" {piece[:-1]}"] + self.words[piece[-1]]
         return self._cut(f" {piece}")
 
     def ids(self, text: str | None) -> bytes:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docmill.functions.charset import bind
+
 # Extensions of documents that are linked but not read, and of media that are neither.
 DOCUMENTS = r"(?i)\.(pdf|docx?|xlsx?|pptx?|odt|ods|odp|csv|zip|rar|7z)$"
 ASSETS = r"(?i)\.(jpe?g|png|gif|webp|svg|bmp|tiff?|ico|avif|mp4|webm|mov|avi|mp3|wav|ogg)$"
@@ -32,10 +34,13 @@ def absolute(href: Column, base: Column) -> Column:
     Absolute, protocol-relative, root-relative, query, fragment and relative references are covered, with any
     number of dot segments.
     """
-    href = F.trim(href)
+    return bind(F.trim(href), lambda h: bind(_joined(h, base), lambda x: F.when(x.rlike(r"^[^?#]*/\.\.?(?:[/?#]|$)"), without_dots(x)).otherwise(x)))
+
+
+def _joined(href: Column, base: Column) -> Column:
     root = origin(base)
     folder = F.regexp_extract(path(base), r"^(.*/)", 1)
-    joined = (
+    return (
         F.when(href.rlike(r"^(?i)[a-z][a-z0-9+.\-]*://"), F.concat(origin(href), F.substr(href, F.length(origin(href)) + 1)))
         .when(href.rlike(r"^(?i)[a-z][a-z0-9+.\-]*:"), F.lit(None).cast("string"))
         .when(F.startswith(href, F.lit("//")), F.concat(F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1), href))
@@ -44,7 +49,6 @@ def absolute(href: Column, base: Column) -> Column:
         .when(F.startswith(href, F.lit("#")), F.concat(F.regexp_replace(base, "#.*$", ""), href))
         .when(href != "", F.concat(root, folder, href))
     )
-    return F.when(joined.rlike(r"^[^?#]*/\.\.?(?:[/?#]|$)"), without_dots(joined)).otherwise(joined)
 
 
 def without_dots(url: Column) -> Column:

@@ -7,6 +7,7 @@ from docmill.llm.line_dedup import OP7_SQL, op7_line_dedup
 from docmill.llm.mixing import OP5_SQL, op5_poisson_mix
 from docmill.llm.pseudonyms import op10_feistel_pseudonyms
 from docmill.llm.quality import op1_quality_rules
+from docmill.llm.resampling import op13_importance_resampling
 from docmill.llm.set_join import op4_chosen_path_join
 from docmill.llm.token_files import op3_rans_token_files
 from docmill.llm.top_k import OP6_SQL, op6_exact_top_k
@@ -26,6 +27,7 @@ QUERIES = {
         op8_word_bpe,
         op9_url_filter,
         op10_feistel_pseudonyms,
+        op13_importance_resampling,
     )
 }
 SQL = {

@@ -35,11 +35,11 @@ from docmill.operators.ranks import numbered
 #: Bytes that aren't in words become blanks, A to Z small letters; bytes from 0x80 up belong to words.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 #: About so many bytes of text are looked at together.
-PIECE = 2 << 20
+PIECE = 1 << 20
 #: Features of more bytes, which are seldom of one length, are summed one by one.
 LONG = 200
 #: Cells of a matrix at most.
-CELLS = 4_000_000
+CELLS = 400_000
 
 
 def _steps() -> np.ndarray:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from docmill.llm.bpe import op8_word_bpe
+from docmill.llm.filter_audit import OP11_SQL, op11_filter_audit
 from docmill.llm.licenses import OP12_SQL, op12_license_scan
 from docmill.llm.line_dedup import OP7_SQL, op7_line_dedup
 from docmill.llm.mixing import OP5_SQL, op5_poisson_mix
@@ -28,6 +29,7 @@ QUERIES = {
         op8_word_bpe,
         op9_url_filter,
         op10_feistel_pseudonyms,
+        op11_filter_audit,
         op12_license_scan,
         op13_importance_resampling,
     )
@@ -37,5 +39,6 @@ SQL = {
     "op6_exact_top_k": OP6_SQL,
     "op7_line_dedup": OP7_SQL,
     "op9_url_filter": OP9_SQL,
+    "op11_filter_audit": OP11_SQL,
     "op12_license_scan": OP12_SQL,
 }

@@ -15,7 +15,7 @@ def test_matches_sql(spark, name):
 
 
 def test_a_query_for_each_operator():
-    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == [*range(1, 11), 12, 13]
+    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == [*range(1, 14)]
 
 
 def test_native_plans_hold_no_python(spark):

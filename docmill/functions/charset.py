@@ -13,6 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WS = r"[\t-\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+#: The characters of WS, for classes that hold more. A repeated class takes any run, where a repeated group of alternatives takes a stack frame for each repetition.
+WS_CHARS = WS[1:-1]
 END_WORD, START_WORD = r"(?![A-Za-z0-9_])", r"(?<![A-Za-z0-9_])"
 MARKS = r"[\x{300}-\x{36F}]"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docmill.functions.charset import WS, fold, trim
+from docmill.functions.charset import WS, WS_CHARS, fold, trim
 from docmill.functions.text import normalize_spaces
 
 # Titles before names, which are no part of a name.
@@ -58,7 +58,7 @@ def name_key(c: Column) -> Column:
 
 def folder_key(c: Column) -> Column:
     """Folder name with one kind of separator (KEY-07)."""
-    return F.regexp_replace(trim(fold(F.coalesce(c, F.lit("")))), f"(?:{WS}|[_-])+", "-")
+    return F.regexp_replace(trim(fold(F.coalesce(c, F.lit("")))), f"[{WS_CHARS}_-]+", "-")
 
 
 def without_number(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docmill.functions.charset import END_WORD, START_WORD, WS, bind, replace_each, squeeze, trim
+from docmill.functions.charset import END_WORD, START_WORD, WS, WS_CHARS, bind, replace_each, squeeze, trim
 
 # Named entities and what they stand for.
 ENTITIES = {
@@ -41,6 +41,8 @@ COURSE_HEADINGS = (
     "Docentes",
     "Costo",
 )
+# What a capital may follow in a title, and the letters that may get one.
+WORD_START = rf"(?:^|[{WS_CHARS}:—-])[a-záéíóúñü]"
 NOISE_STARTS = ("Fundamentación", "Destinatarios", "Requisitos", "Contenidos")
 NOISE_ENDS = ("\nCONSULTAS\n", "\nEntorno Virtual\n", "\nCursos de Formación\n", "\nCopyright ©")
 
@@ -132,7 +134,7 @@ def sanitize_runs(c: Column) -> Column:
 
 def scrub_ids(c: Column) -> Column:
     """National identity numbers removed (TXT-12)."""
-    c = F.regexp_replace(c, rf"(?i){START_WORD}D\.?{WS}*N\.?{WS}*I\.?{WS}*(?:N[°º]?|:)?{WS}*\d(?:\d|\.|{WS}){{5,}}\d", "DNI [omitido]")
+    c = F.regexp_replace(c, rf"(?i){START_WORD}D\.?{WS}*N\.?{WS}*I\.?{WS}*(?:N[°º]?|:)?{WS}*\d[\d.{WS_CHARS}]{{5,}}\d", "DNI [omitido]")
     return F.regexp_replace(c, rf"(?i)\({WS}*D\.?N\.?I\.?[^)]*\)", "(DNI [omitido])")
 
 
@@ -150,7 +152,7 @@ def strip_fence(c: Column) -> Column:
 def clean_subject(c: Column) -> Column:
     """A subject's name without line breaks, quotes and leading hyphens (TXT-15)."""
     c = F.regexp_replace(F.regexp_replace(c, r"[\r\n]+", " "), "[“”\"']", "")
-    return squeeze(F.regexp_replace(c, rf"^(?:-|{WS})+", ""))
+    return squeeze(F.regexp_replace(c, f"^[{WS_CHARS}\\-]+", ""))
 
 
 def clean_cell(c: Column) -> Column:
@@ -166,10 +168,12 @@ def cut_noise(c: Column) -> Column:
     return normalize_spaces(cut)
 
 
-def title_case(c: Column, acronyms: tuple[str, ...] = ("IVA", "AFIP", "PYME", "TIC", "RRHH")) -> Column:
-    """Each word with a capital, the given acronyms in capitals (TXT-17)."""
-    words = F.transform(F.split(F.lower(c), " "), lambda w: F.when(F.upper(w).isin(*acronyms), F.upper(w)).otherwise(F.concat(F.upper(F.substr(w, F.lit(1), F.lit(1))), F.substr(w, F.lit(2)))))
-    return F.array_join(words, " ")
+def title_case(c: Column, acronyms: tuple[str, ...] = ("IA",)) -> Column:
+    """Lower case, with a capital where a letter of WORD_START begins a word, and the given acronyms in capitals (TXT-17)."""
+    c = bind(F.lower(normalize_spaces(c)), lambda x: replace_each(x, WORD_START, F.upper))
+    for a in acronyms:
+        c = F.regexp_replace(c, f"{START_WORD}{a.capitalize()}{END_WORD}", a)
+    return c
 
 
 def h1_title(c: Column, fallback: Column) -> Column:

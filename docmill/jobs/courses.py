@@ -24,10 +24,10 @@ def _titled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _listing(p: Column, t: Column) -> Column:
     """Up to five cards: a full one; one that repeats its id on every fourth page; one without a link, without an id, and without a title on some."""
     n = lambda c: c.cast("string")
-    other = F.when(p % 4 == 0, p % 500).otherwise(p % 500 + 1000)
+    other = F.when(p % 4 == 0, p).otherwise(p + 1000)
     return F.concat(
         F.lit("<h1>Cursos</h1><div class='curso'><img src='img/encabezados/"), n(p), F.lit(".jpg'><b>"), t, F.lit(" &amp; más</b><br>Inicio: <b>"), n(p % 28 + 1), F.lit("/"), n(p % 12 + 1),
-        F.lit("/2026</b><a href='index.php?act=showSubcategoria&amp;id="), n(p % 500), F.lit("'>Más información</a><a href='index.php?act=showLogin&amp;x=1'>i</a></div>"),
+        F.lit("/2026</b><a href='index.php?act=showSubcategoria&amp;id="), n(p), F.lit("'>Más información</a><a href='index.php?act=showLogin&amp;x=1'>i</a></div>"),
         F.lit("<DIV CLASS='curso'><b> Segundo  <i>curso</i>\n"), n(p), F.lit('</b><a href="../ver?act=showSubcategoria&id='), n(other), F.lit('">+</a><a href="?act=showConsulta">?</a><a href="x?id_curso='), n(p), F.lit('">i</a></div>'),
         F.when(p % 3 == 0, "<div class='curso'><b>Sin detalle</b></div>").otherwise(""),
         F.when(p % 5 == 0, "<div class='curso'><b>Libre</b><a href='index.php?act=showSubcategoria'>+</a></div>").otherwise(""),
@@ -47,6 +47,10 @@ def course_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def postgraduate_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """EXP-07, DAT-02, KEY-04: the postgraduate cards of every listing; one in three has no id."""
+    return _postgraduate(spark, sf_dir).drop("pos", "raw_title")
+
+
+def _postgraduate(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("page_id")
     n = p.cast("string")
     html = F.concat(
@@ -55,29 +59,54 @@ def postgraduate_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(p % 3 < 2, F.concat(F.lit("<a href='i?act=showLogin&id_posgrado="), (p + 1).cast("string"), F.lit("'>P</a>"))).otherwise(""), F.lit("</div>\n </div>"),
     )
     pages = _titled(spark, sf_dir).select("page_id", html.alias("html"))
-    return listings.postgraduate_cards(pages, "page_id", "html", "/media/", "/login?id=").drop("pos", "raw_title")
+    return listings.postgraduate_cards(pages, "page_id", "html", "/media/", "/login?id=")
+
+
+FACTS, CONTACT, MAIL = {"Unidad académica": "Facultad", "Acreditación": "no aplica"}, {"Email": "cursos@example.org", "Teléfono": "+54 000 0000"}, "cursos@example.org"
 
 
 def course_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RND-04, TXT-17: a document for each card; its contents are the card's title again, on even pages."""
-    body = {"Plan de estudios / Contenidos": F.when(F.col("page_id") % 2 == 0, F.col("title")), "Objetivos": F.lit("")}
-    md = listings.course_document(body, TODAY, f"{SITE}lista.php")
+    """RND-04, TXT-17: a document for each card, of all twelve sections; their texts are made of the card's title where the page's id leaves one remainder or other."""
+    p, t = F.col("page_id"), F.col("title")
+    body = {
+        "Contenidos": F.when(p % 2 == 0, F.concat(t, F.lit("\n\n * módulo final\n- "), t)),
+        "Objetivos": F.lit(""),
+        "Docentes": F.when(p % 3 == 0, t),
+        "Datos clave del cursado": F.when(p % 5 == 0, t),
+        "Evaluación": F.when(p % 3 == 1, F.concat(F.lit("- "), t)),
+        "Certificación": F.when(p % 6 == 1, "Certificado"),
+        "Costo": F.when(p % 7 == 0, "Sin cargo"),
+        "Fundamentación": F.when(p % 4 == 0, t),
+    }
+    md = listings.course_document(body, TODAY, f"{SITE}lista.php", FACTS, CONTACT, MAIL)
     return _cards(spark, sf_dir).where("detail_id IS NOT NULL").select("page_id", "detail_id", F.length(md).alias("length"), keys.content_hash(md).alias("hash"))
 
 
+def postgraduate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RND-04, TXT-12: a document for each postgraduate card; every other one has a programme, made of its title."""
+    cards = _postgraduate(spark, sf_dir)
+    program = F.when(F.col("page_id") % 2 == 0, F.concat(F.col("title"), F.lit("\nDocente: X, DNI 23.456.789 \n")))
+    md = listings.postgraduate_document(program, TODAY, f"{SITE}posgrado", "la Facultad", MAIL, FACTS, CONTACT)
+    return cards.select("page_id", "id", F.length(md).alias("length"), keys.content_hash(md).alias("hash"))
+
+
 def course_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RUL-05, RUL-07, SRC-17, INC-01, JOI-01: cards are listed, hydrated with their page, compared with the last run, matched with the index, and decided on.
+    """RUL-05, RUL-07, SRC-17, INC-01, JOI-01: all cards are listed, hydrated with their page, compared with the last run, matched with the index, and decided on.
 
-    Landed: the details of even ids. The last run knew ids divisible by 3, of which those divisible by 9 have changed; the index knows the slugs of pages not divisible by 5.
+    A card is its page and place. Landed: the details of even ids. The last run knew the cards of pages divisible by 3, of which
+    those divisible by 9 have changed. The index knows the slugs of pages not divisible by 5, and the titles, with their page, of those divisible by 10.
     """
-    cards = _cards(spark, sf_dir).where("detail_id IS NOT NULL AND pos = 0").withColumn("id", F.col("page_id"))
-    details = table(spark, sf_dir, "pages").where("page_id % 2 = 0 AND page_id < 500").select(F.concat(F.lit(f"{SITE}index.php?act=showSubcategoria&id="), "page_id").alias("url"), F.concat(F.lit("detail "), "page_id").alias("text"))
+    named = F.concat("page_id", F.lit("-"), "pos")
+    cards = _cards(spark, sf_dir).where("detail_id IS NOT NULL").withColumn("id", named).withColumn("slug", F.concat("slug", F.lit("-"), named)).withColumn("title_key", F.concat("title_key", F.lit(" "), "page_id", F.lit(" "), "pos"))
+    details = table(spark, sf_dir, "pages").where("page_id % 2 = 0").select(F.concat(F.lit(f"{SITE}index.php?act=showSubcategoria&id="), "page_id").alias("url"), F.concat(F.lit("detail "), "page_id").alias("text"))
     full = landed.hydrate(cards, details, "detail_url").withColumn("content_hash", keys.fields_hash(F.col("title"), F.col("start_date"), F.col("detail_text")))
-    known = full.where("id % 3 = 0").select("id", F.when(F.col("id") % 9 == 0, "old").otherwise(F.col("content_hash")).alias("content_hash"))
+    known = full.where("page_id % 3 = 0").select("id", F.when(F.col("page_id") % 9 == 0, "old").otherwise(F.col("content_hash")).alias("content_hash"))
     status = sync.change_status(full, known, "id").select("id", "status")
-    index = cards.where("id % 5 <> 0").select(F.concat(F.lit("cursos/"), "id", F.lit(".md")).alias("path"), "title", F.lit(None).cast("string").alias("title_key"), F.concat("slug", F.lit("-"), "id").alias("slug"), F.col("id").alias("pos"))
-    matched = catalog.match(full.select("id", "title_key", F.concat("slug", F.lit("-"), "id").alias("slug")), index).select("id", F.col("status").alias("catalog"))
-    return full.join(status, "id").join(matched, "id").select("page_id", "detail_id", "status", "catalog", listings.decision().alias("decision"))
+    path, pos = F.concat(F.lit("cursos/"), "id", F.lit(".md")).alias("path"), (F.col("page_id") * 100 + F.col("pos")).alias("pos")
+    by_slug = cards.where("page_id % 5 <> 0").select(path, "title", F.lit(None).cast("string").alias("title_key"), "slug", pos)
+    by_title = cards.where("page_id % 10 = 0").select(path, "title", "title_key", F.lit(None).cast("string").alias("slug"), pos)
+    matched = catalog.match(full.select("id", "title_key", "slug"), by_slug.unionByName(by_title)).select("id", F.col("status").alias("catalog"), "index_path")
+    return full.join(status, "id").join(matched, "id").select("page_id", "pos", "detail_id", "status", "catalog", "index_path", listings.decision().alias("decision"))
 
 
 def source_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,13 +164,13 @@ _FIRST = s.normalize_spaces(s.html_to_text("(t || ' &amp; más')"))
 _CARDS = f"""
 {_T}, a AS (
   SELECT p, 0 AS pos, {_FIRST} AS title, '2026-' || lpad(CAST(p % 12 + 1 AS VARCHAR), 2, '0') || '-' || lpad(CAST(p % 28 + 1 AS VARCHAR), 2, '0') AS start_date, CAST(p AS VARCHAR) AS course_id,
-    '{SITE}index.php?act=showSubcategoria&id=' || (p % 500) AS detail_url, NULL AS query_url, '{SITE}index.php?act=showLogin&x=1' AS signup_url, CAST(p % 500 AS VARCHAR) AS detail_id FROM t
-  UNION ALL SELECT p, 1, 'Segundo curso' || chr(10) || p, NULL, CAST(p AS VARCHAR), 'https://www.example.org/ver?act=showSubcategoria&id=' || (p % 500 + 1000), '{SITE}lista.php?act=showConsulta', NULL, CAST(p % 500 + 1000 AS VARCHAR) FROM t WHERE p % 4 <> 0
+    '{SITE}index.php?act=showSubcategoria&id=' || p AS detail_url, NULL AS query_url, '{SITE}index.php?act=showLogin&x=1' AS signup_url, CAST(p AS VARCHAR) AS detail_id FROM t
+  UNION ALL SELECT p, 1, 'Segundo curso' || chr(10) || p, NULL, CAST(p AS VARCHAR), 'https://www.example.org/ver?act=showSubcategoria&id=' || (p + 1000), '{SITE}lista.php?act=showConsulta', NULL, CAST(p + 1000 AS VARCHAR) FROM t WHERE p % 4 <> 0
   UNION ALL SELECT p, 2, 'Libre', NULL, NULL, '{SITE}index.php?act=showSubcategoria', NULL, NULL, NULL FROM t WHERE p % 5 = 0
 ), c AS (SELECT p AS page_id, pos, title, {s.title_key('title')} AS title_key, substr(replace({s.title_key('title')}, ' ', '-'), 1, 120) AS slug, start_date, detail_id, course_id, detail_url, query_url, signup_url FROM a WHERE title <> '')"""
-_NOTHING = "No publicado en fuentes oficiales."
+_ASK = f"- No publicado en fuentes oficiales — consultar con {MAIL}."
 
-QUERIES = {f.__name__: f for f in (course_cards, postgraduate_cards, course_documents, course_plan, source_dispatch, longer_texts, apply_phase, index_version, catalog_json)}
+QUERIES = {f.__name__: f for f in (course_cards, postgraduate_cards, course_documents, postgraduate_documents, course_plan, source_dispatch, longer_texts, apply_phase, index_version, catalog_json)}
 SQL = {
     "course_cards": f"WITH {_CARDS} SELECT * EXCLUDE (pos) FROM c",
     "postgraduate_cards": f"""
@@ -151,17 +180,37 @@ SELECT p AS page_id, CAST(CASE WHEN p % 3 = 0 THEN p ELSE p + 1 END AS VARCHAR)
   CASE WHEN p % 2 = 0 THEN '05/03/2026' ELSE '5/3/2026' END AS start_raw, CASE WHEN p % 2 = 0 THEN '2026-03-05' END AS start_date, CASE WHEN p % 3 = 0 THEN '/media/' || p || '.pdf' END AS pdf_url, '/login?id=' || (p + 1) AS signup_url
 FROM w""",
     "course_documents": f"""
-WITH {_CARDS}, w AS (SELECT *, array_to_string(list_transform(string_split(lower(title), ' '), lambda w: CASE WHEN upper(w) IN ('IVA', 'AFIP', 'PYME', 'TIC', 'RRHH') THEN upper(w) ELSE upper(substr(w, 1, 1)) || substr(w, 2) END), ' ') AS h FROM c WHERE detail_id IS NOT NULL),
-m AS (SELECT page_id, detail_id, replace('# ' || h || '~~## Identificación~~- **Nombre oficial**: ' || title || '~- **Tipo**: Curso de formación profesional~- **ID página detalle**: ' || detail_id || '~- **ID inscripción**: ' || course_id
-  || CASE WHEN start_date IS NULL THEN '' ELSE '~~## Modalidad y duración~~- **Fecha de inicio publicada en listado**: ' || start_date END
-  || '~~## Plan de estudios / Contenidos~~' || CASE WHEN page_id % 2 = 0 THEN title ELSE '{_NOTHING}' END || '~~## Objetivos~~{_NOTHING}~~## Aranceles e inscripción~~- **Estado (al {TODAY})**: Inscripción abierta según listado oficial.'
+WITH {_CARDS}, w AS (SELECT *, {s.title_case('title')} AS h, regexp_replace(title, '^[-*]{s.WS}+', '') AS bare FROM c WHERE detail_id IS NOT NULL),
+l AS (SELECT *, array_to_string([CASE WHEN regexp_matches(x, '^[-*]{s.WS}+') THEN x ELSE '- ' || x END for x in list_filter([{s.normalize_spaces('y')} for y in string_split(title, chr(10))], lambda z: z <> '')], '~') AS items,
+  array_to_string(['  - ' || regexp_replace(x, '^[-*]{s.WS}+', '') for x in list_filter([{s.normalize_spaces('y')} for y in string_split(title, chr(10))], lambda z: z <> '')], '~') AS below FROM w),
+m AS (SELECT page_id, detail_id, replace('# ' || h || '~~## Identificación~~- **Nombre oficial**: ' || title || '~- **Tipo**: Curso de formación profesional~- **Unidad académica**: Facultad~- **Acreditación**: no aplica~- **ID página detalle**: ' || detail_id || coalesce('~- **ID inscripción**: ' || course_id, '')
+  || '~~## Modalidad y duración~~' || CASE WHEN page_id % 5 = 0 THEN items ELSE '{_ASK}' END || coalesce('~- **Fecha de inicio publicada en listado**: ' || start_date, '')
+  || '~~## Plan de estudios / Contenidos~~' || CASE WHEN page_id % 2 = 0 THEN items || '~* módulo final~' || '- ' || replace(title, chr(10), '~- ') ELSE '{_ASK}' END || '~~## Objetivos~~{_ASK}~~## Destinatarios~~{_ASK}'
+  || '~~## Cuerpo docente~~' || CASE WHEN page_id % 3 = 0 THEN items ELSE '{_ASK}' END || '~~## Requisitos de admisión~~{_ASK}'
+  || '~~## Metodología y evaluación~~' || CASE WHEN page_id % 3 = 1 THEN '- **Evaluación**:~  - ' || replace(title, chr(10), '~  - ') || CASE WHEN page_id % 6 = 1 THEN '~- **Certificación**:~  - Certificado' ELSE '' END ELSE '{_ASK}' END
+  || '~~## Aranceles e inscripción~~- **Costo**:~  - ' || CASE WHEN page_id % 7 = 0 THEN 'Sin cargo' ELSE 'Consultar a {MAIL}.' END || '~- **Estado (al {TODAY})**: Inscripción abierta según listado oficial.'
   || coalesce('~- **Sistema de inscripción**: ' || signup_url, '') || coalesce('~- **Formulario de consultas**: ' || query_url, '')
-  || '~~## Fuentes consultadas~~- Listado oficial de inscripciones abiertas: {SITE}lista.php~- Página oficial del curso: ' || detail_url || '~~---~~**Última revisión automática**: {TODAY}~**Revisión humana**: pendiente', '~', chr(10)) AS md FROM w)
+  || '~~## Contacto~~- **Email**: cursos@example.org~- **Teléfono**: +54 000 0000~~## Información adicional relevante~~' || CASE WHEN page_id % 4 = 0 THEN '- **Fundamentación**:~' || below ELSE '- No publicado en fuentes oficiales.' END
+  || '~~## Fuentes consultadas~~- Listado oficial de inscripciones abiertas: {SITE}lista.php~- Página oficial del curso: ' || detail_url || coalesce('~- Sistema de inscripción: ' || signup_url, '')
+  || '~~---~~**Última revisión automática**: {TODAY} (candidato generado por scraper determinístico de cursos)~**Revisión humana**: pendiente~', '~', chr(10)) AS md FROM l)
 SELECT page_id, detail_id, length(md) AS length, sha256(md) AS hash FROM m""",
+    "postgraduate_documents": f"""
+WITH {_T}, r AS (SELECT p, {s.squeeze(s.decode("(t || chr(10) || ' 2026.')"))} AS raw FROM t WHERE p % 3 < 2),
+w AS (SELECT p, CAST(CASE WHEN p % 3 = 0 THEN p ELSE p + 1 END AS VARCHAR) AS id, {s.trim(s.rr(s.rr('raw', chr(92) + '.' + chr(92) + 's*$'), f'{s.WS}+20[0-9]{{2}}{s.WS}*$'))} AS title FROM r),
+m AS (SELECT p, id, replace('# ' || title || '~~Curso de posgrado de la Facultad. Información extraída del catálogo oficial de cursos de posgrado y de la ficha publicada por la facultad.~~## Identificación~~- **Nombre oficial**: ' || title
+  || '~- **Tipo**: Curso de posgrado~- **Unidad académica**: Facultad~- **Acreditación**: no aplica~- **ID de inscripción**: ' || id || '~~## Modalidad y duración~~- **Fecha de inicio publicada**: ' || CASE WHEN p % 2 = 0 THEN '05/03/2026' ELSE '5/3/2026' END
+  || '~- **Modalidad y carga horaria**: ver detalle del programa más abajo (según la ficha oficial).~~## Programa (según ficha oficial)~~'
+  || CASE WHEN p % 2 = 0 THEN '> El siguiente contenido fue extraído del documento oficial del curso. Para el detalle formal, consultá la ficha publicada y la Secretaría de Posgrado.~~' || title || '~Docente: X, DNI [omitido]'
+     ELSE 'Detalle del programa no disponible en el documento al momento de la extracción. Consultá la ficha oficial o escribí a {MAIL}.' END
+  || '~~## Aranceles e inscripción~~- **Aranceles**: A consultar con la Secretaría de Posgrado la Facultad.~- **Estado de inscripción (al {TODAY})**: Curso publicado en el catálogo oficial de cursos de posgrado. Confirmá la apertura de inscripción con la Secretaría de Posgrado.~- **Pre-inscripción**: /login?id=' || (p + 1)
+  || '~~## Contacto~~- **Email de Secretaría de Posgrado la Facultad**: {MAIL}~- **Email**: cursos@example.org~- **Teléfono**: +54 000 0000~~## Fuentes consultadas~~- Catálogo oficial de cursos de posgrado: {SITE}posgrado' || CASE WHEN p % 3 = 0 THEN '~- Ficha oficial del curso: /media/' || p || '.pdf' ELSE '' END
+  || '~~---~~**Última revisión automática**: {TODAY} (candidato generado por scraper determinístico de cursos de posgrado)~**Revisión humana**: pendiente~', '~', chr(10)) AS md FROM w)
+SELECT p AS page_id, id, length(md) AS length, sha256(md) AS hash FROM m""",
     "course_plan": f"""
-WITH {_CARDS}, f AS (SELECT page_id, detail_id, (page_id % 500) % 2 = 0 AND EXISTS (SELECT 1 FROM pages g WHERE g.page_id = c.page_id % 500) AS landed,
-  CASE WHEN page_id % 3 <> 0 THEN 'new' WHEN page_id % 9 = 0 THEN 'changed' ELSE 'unchanged' END AS status, CASE WHEN page_id % 5 <> 0 THEN 'indexed' ELSE 'new_unindexed' END AS catalog FROM c WHERE pos = 0)
-SELECT page_id, detail_id, status, catalog, CASE WHEN NOT landed THEN 'requires_review' WHEN status = 'unchanged' THEN 'no_change' WHEN catalog = 'new_unindexed' THEN 'create' WHEN status = 'new' THEN 'restore' ELSE 'update' END AS decision FROM f""",
+WITH {_CARDS}, f AS (SELECT page_id, CAST(pos AS INTEGER) AS pos, detail_id, EXISTS (SELECT 1 FROM pages g WHERE g.page_id % 2 = 0 AND '{SITE}index.php?act=showSubcategoria&id=' || g.page_id = c.detail_url) AS landed,
+  CASE WHEN page_id % 3 <> 0 THEN 'new' WHEN page_id % 9 = 0 THEN 'changed' ELSE 'unchanged' END AS status, CASE WHEN page_id % 5 <> 0 OR page_id % 10 = 0 THEN 'indexed' ELSE 'new_unindexed' END AS catalog FROM c WHERE detail_id IS NOT NULL)
+SELECT page_id, pos, detail_id, status, catalog, CASE WHEN catalog = 'indexed' THEN 'cursos/' || page_id || '-' || pos || '.md' END AS index_path,
+  CASE WHEN NOT landed THEN 'requires_review' WHEN status = 'unchanged' THEN 'no_change' WHEN catalog = 'new_unindexed' THEN 'create' WHEN status = 'new' THEN 'restore' ELSE 'update' END AS decision FROM f""",
     "source_dispatch": f"""
 WITH {_T}, h AS (SELECT *, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#]*)', 1)) AS host, lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*)', 1)) AS origin FROM t),
 k AS (SELECT *, CASE WHEN starts_with(host, 'www.') THEN 'homepage' WHEN starts_with(host, 'blog.') THEN 'single_page' WHEN starts_with(host, 'm.') THEN 'tbd' ELSE 'microsite' END AS strategy FROM h)

@@ -35,6 +35,15 @@ def decode(e: str) -> str:
     return e
 
 
+def title_case(e: str, acronyms: tuple[str, ...] = ("IA",)) -> str:
+    """Pieces between the places of a capital, and these places."""
+    t, p = f"lower({normalize_spaces(e)})", q(text.WORD_START)
+    joined = f"array_to_string(list_transform(list_zip(string_split_regex({t}, {p}), regexp_extract_all({t}, {p})), lambda z: z[1] || coalesce(upper(z[2]), '')), '')"
+    for a in acronyms:
+        joined = rr(joined, rf"\b{a.capitalize()}\b", q(a))
+    return joined
+
+
 def html_to_text(e: str) -> str:
     e = rr(e, "(?s)<!--.*?-->")
     for tag in text.DROPPED:

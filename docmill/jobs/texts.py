@@ -98,9 +98,12 @@ def cut_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", F.length(body).alias("length"), keys.content_hash(body).alias("hash"))
 
 
+ACRONYMS = ("IVA", "AFIP", "PYME", "TIC", "RRHH")
+
+
 def title_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TXT-17: words of the first line with capitals, acronyms kept."""
-    return _docs(spark, sf_dir).select("doc_id", text.title_case(F.concat(_head(), F.lit(" iva pyme"))).alias("titled"))
+    return _docs(spark, sf_dir).select("doc_id", text.title_case(F.concat(_head(), F.lit(" iva pyme")), ACRONYMS).alias("titled"))
 
 
 def text_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +179,7 @@ SELECT doc_id, length({s.squeeze('text')}) AS clean_length, length({s.normalize_
     "fenced_text": "SELECT doc_id, length(text) + CASE WHEN doc_id % 2 = 0 THEN length('# Title ' || doc_id) + 1 ELSE 0 END AS length, CASE WHEN doc_id % 2 = 0 THEN 'Title ' || doc_id ELSE 'untitled' END AS title FROM documents",
     "table_cells": f"SELECT doc_id, coalesce(nullif({s.squeeze(f'replace({_H}, chr(124), chr(47))')}, ''), 'N/D') AS cell, {s.squeeze(s.rr(s.rr(_H, '[“”' + chr(34) + chr(39) + ']'), f'^(?:-|{s.WS})+'))} AS subject FROM documents",
     "cut_noise": f"SELECT doc_id, length(b) AS length, sha256(b) AS hash FROM (SELECT doc_id, {s.normalize_spaces('CASE WHEN doc_id % 3 = 0 THEN ' + chr(39) + 'Requisitos' + chr(39) + ' || chr(10) || text ELSE ' + chr(39) + 'Inicio' + chr(39) + ' || chr(10) || text END')} AS b FROM documents)",
-    "title_case": f"SELECT doc_id, array_to_string([CASE WHEN upper(w) IN ('IVA', 'AFIP', 'PYME', 'TIC', 'RRHH') THEN upper(w) ELSE replace(upper(substr(w, 1, 1)), 'ẞ', 'SS') || substr(w, 2) END for w in string_split(lower({_H} || ' iva pyme'), ' ')], ' ') AS titled FROM documents",
+    "title_case": f"SELECT doc_id, {s.title_case(f"({_H} || ' iva pyme')", ACRONYMS)} AS titled FROM documents",
     "text_dates": """
 WITH p AS (SELECT doc_id, doc_id % 28 + 1 AS d1, doc_id % 12 + 1 AS m1, doc_id % 150 + 1960 AS y, doc_id % 14 + 1 AS m, doc_id % 31 + 1 AS d FROM documents)
 SELECT doc_id, '2025-' || lpad(CAST(m1 AS VARCHAR), 2, '0') || '-' || lpad(CAST(d1 AS VARCHAR), 2, '0') AS start, '2024-02-' || lpad(CAST(d AS VARCHAR), 2, '0') AS iso,

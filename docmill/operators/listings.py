@@ -68,17 +68,66 @@ def item(name: str, value: Column) -> Column:
     return F.concat(F.lit(f"- **{name}**: "), value)
 
 
-def course_document(body: dict[str, Column], today: str, listing: str, missing: str = "No publicado en fuentes oficiales.") -> Column:
-    """The document of a course card (RND-04): columns of course_cards(), and body, the texts of its sections, for which a remark stands in where there is none."""
+def block(value: Column) -> Column:
+    """The lines of a section's text as list items; null if there are none."""
+    rows = F.filter(F.transform(F.split(text.normalize_spaces(F.coalesce(value, F.lit(""))), "\n", -1), text.normalize_spaces), lambda x: x != "")
+    items = F.transform(rows, lambda x: F.when(x.rlike(rf"^[-*]{WS}+"), x).otherwise(F.concat(F.lit("- "), x)))
+    return F.nullif(F.array_join(items, "\n"), F.lit(""))
+
+
+def named_block(name: str, value: Column) -> Column:
+    """An item with a section's name, and its lines as items below it; null if there are none."""
+    rows = F.filter(F.transform(F.split(text.normalize_spaces(F.coalesce(value, F.lit(""))), "\n", -1), text.normalize_spaces), lambda x: x != "")
+    items = F.transform(rows, lambda x: F.concat(F.lit("  - "), F.regexp_replace(x, rf"^[-*]{WS}+", "")))
+    return F.when(F.size(items) > 0, F.concat(F.lit(f"- **{name}**:\n"), F.array_join(items, "\n")))
+
+
+def course_document(sections: dict[str, Column], today: str, listing: str, facts: dict[str, str] | None = None, contact: dict[str, str] | None = None, mail: str = "") -> Column:
+    """The document of a course card, all twelve sections in their order (RND-04): columns of course_cards(), and sections, texts by the name of their heading (text.COURSE_HEADINGS).
+
+    facts are further items of the identification, contact the items of that section, mail is whom to ask
+    where nothing is published.
+    """
+    c = F.col
+    of = lambda name: F.nullif(sections.get(name, F.lit(None).cast("string")), F.lit(""))
+    missing = F.lit("- No publicado en fuentes oficiales" + (f" — consultar con {mail}." if mail else "."))
+    named = lambda *names: F.nullif(lines(*[named_block(n, of(n)) for n in names]), F.lit(""))
+    parts = {
+        "Identificación": lines(item("Nombre oficial", c("title")), item("Tipo", F.lit("Curso de formación profesional")), *[item(k, F.lit(v)) for k, v in (facts or {}).items()], item("ID página detalle", F.nullif("detail_id", F.lit(""))), item("ID inscripción", F.nullif("course_id", F.lit("")))),
+        "Modalidad y duración": lines(F.coalesce(block(of("Datos clave del cursado")), missing), item("Fecha de inicio publicada en listado", c("start_date"))),
+        "Plan de estudios / Contenidos": F.coalesce(block(of("Contenidos")), missing),
+        "Objetivos": F.coalesce(block(of("Objetivos")), missing),
+        "Destinatarios": F.coalesce(block(of("Destinatarios")), missing),
+        "Cuerpo docente": F.coalesce(block(of("Docentes")), missing),
+        "Requisitos de admisión": F.coalesce(block(of("Requisitos")), missing),
+        "Metodología y evaluación": F.coalesce(named("Modalidad de cursado", "Evaluación", "Certificación"), missing),
+        "Aranceles e inscripción": lines(named_block("Costo", F.coalesce(of("Costo"), F.lit(f"Consultar a {mail}." if mail else "Consultar."))), F.lit(f"- **Estado (al {today})**: Inscripción abierta según listado oficial."), item("Sistema de inscripción", c("signup_url")), item("Formulario de consultas", c("query_url"))),
+        **({"Contacto": lines(*[item(k, F.lit(v)) for k, v in contact.items()])} if contact else {}),
+        "Información adicional relevante": F.coalesce(named("Fundamentación", "Perfil de egreso"), F.lit("- No publicado en fuentes oficiales.")),
+        "Fuentes consultadas": lines(F.lit(f"- Listado oficial de inscripciones abiertas: {listing}"), F.concat(F.lit("- Página oficial del curso: "), c("detail_url")), F.concat(F.lit("- Sistema de inscripción: "), c("signup_url"))),
+    }
+    return reports.document(text.title_case(c("title")), parts, _closing(today, "cursos"))
+
+
+def _closing(today: str, what: str) -> Column:
+    return F.lit(f"---\n\n**Última revisión automática**: {today} (candidato generado por scraper determinístico de {what})\n**Revisión humana**: pendiente\n")
+
+
+def postgraduate_document(program: Column, today: str, catalog: str, unit: str, mail: str, facts: dict[str, str] | None = None, contact: dict[str, str] | None = None) -> Column:
+    """The document of a postgraduate card (RND-04): columns of postgraduate_cards(), and the text of its programme, without identity numbers; a remark stands in where there is none."""
     c = F.col
+    quote = "> El siguiente contenido fue extraído del documento oficial del curso. Para el detalle formal, consultá la ficha publicada y la Secretaría de Posgrado.\n\n"
+    none = f"Detalle del programa no disponible en el documento al momento de la extracción. Consultá la ficha oficial o escribí a {mail}."
     parts = {
-        "Identificación": lines(item("Nombre oficial", c("title")), item("Tipo", F.lit("Curso de formación profesional")), item("ID página detalle", c("detail_id")), item("ID inscripción", c("course_id"))),
-        "Modalidad y duración": lines(item("Fecha de inicio publicada en listado", c("start_date"))),
-        **{name: F.coalesce(F.nullif(trim(value), F.lit("")), F.lit(missing)) for name, value in body.items()},
-        "Aranceles e inscripción": lines(F.lit(f"- **Estado (al {today})**: Inscripción abierta según listado oficial."), item("Sistema de inscripción", c("signup_url")), item("Formulario de consultas", c("query_url"))),
-        "Fuentes consultadas": lines(F.lit(f"- Listado oficial de inscripciones abiertas: {listing}"), F.concat(F.lit("- Página oficial del curso: "), c("detail_url"))),
+        "Identificación": lines(item("Nombre oficial", c("title")), item("Tipo", F.lit("Curso de posgrado")), *[item(k, F.lit(v)) for k, v in (facts or {}).items()], item("ID de inscripción", c("id"))),
+        "Modalidad y duración": lines(item("Fecha de inicio publicada", F.coalesce(F.nullif("start_raw", F.lit("")), F.lit("A confirmar"))), item("Modalidad y carga horaria", F.lit("ver detalle del programa más abajo (según la ficha oficial)."))),
+        "Programa (según ficha oficial)": F.coalesce(F.concat(F.lit(quote), F.nullif(trim(text.scrub_ids(program)), F.lit(""))), F.lit(none)),
+        "Aranceles e inscripción": lines(item("Aranceles", F.lit(f"A consultar con la Secretaría de Posgrado {unit}.")), item(f"Estado de inscripción (al {today})", F.lit("Curso publicado en el catálogo oficial de cursos de posgrado. Confirmá la apertura de inscripción con la Secretaría de Posgrado.")), item("Pre-inscripción", c("signup_url"))),
+        **({"Contacto": lines(item(f"Email de Secretaría de Posgrado {unit}", F.lit(mail)), *[item(k, F.lit(v)) for k, v in contact.items()])} if contact else {}),
+        "Fuentes consultadas": lines(F.lit(f"- Catálogo oficial de cursos de posgrado: {catalog}"), F.concat(F.lit("- Ficha oficial del curso: "), c("pdf_url"))),
     }
-    return reports.document(text.title_case(c("title")), parts, F.lit(f"---\n\n**Última revisión automática**: {today}\n**Revisión humana**: pendiente"))
+    head = F.concat(c("title"), F.lit(f"\n\nCurso de posgrado de {unit}. Información extraída del catálogo oficial de cursos de posgrado y de la ficha publicada por la facultad."))
+    return reports.document(head, parts, _closing(today, "cursos de posgrado"))
 
 
 def decision() -> Column:

@@ -143,3 +143,45 @@ def test_urls(spark):
     assert [kind(u) for u in ("https://docs.google.com/spreadsheets/d/1", "https://x.org/a.PDF?x", "https://s.org/", "https://x.org/guarani", "https://w.i.org/", "https://x.org/")] == ["google_sheet", "pdf", "system", "system", "internal", "external"]
     assert [one(spark, urls.target_kind(F.col("u")), u=u) for u in ("https://x/wp-content/uploads/a.pdf", "https://x/a.png", "https://x/wp-content/uploads/a", "https://x/a")] == ["document", "media", "media", "page"]
     assert [one(spark, urls.safe_path(F.col("p"), ("cursos/",)), p=p) for p in ("cursos/a.md", "cursos/../a.md", "x/a.md", "cursos//a.md", "cursos/a.txt")] == ["cursos/a.md", None, None, None, None]
+
+
+@pytest.mark.parametrize(
+    "given, want",
+    [
+        ("curso: ética-fiscal", "Curso: Ética-Fiscal"),
+        ("ßVER  el\nÑANDÚ", "ßver El\nÑandú"),
+        ("IMPUESTOS — iVA e ia", "Impuestos — Iva E IA"),
+        ("éclair  über ÿes", "Éclair Über ÿes"),
+        ("", ""),
+    ],
+)
+def test_title_case(spark, given, want):
+    assert one(spark, text.title_case(F.col("t")), t=given) == want
+
+
+LONG = 214_000
+
+
+@pytest.mark.parametrize(
+    "column, given, want",
+    [
+        (lambda: text.scrub_ids(F.col("t")), "DNI 1" + ".2 " * LONG + "9", "DNI [omitido]"),
+        (lambda: text.clean_subject(F.col("t")), "- " * LONG + "tema", "tema"),
+        (lambda: keys.folder_key(F.col("t")), "a" + "- _" * LONG + "b", "a-b"),
+        (lambda: text.sanitize_runs(F.col("t")), "a" + "-" * LONG, "a---"),
+        (lambda: text.title_case(F.col("t")), "-a" * LONG, "-A" * LONG),
+        (lambda: text.clean_cell(F.col("t")), "|" * LONG, "/" * LONG),
+        (lambda: text.normalize_spaces(F.col("t")), "a" + "\n " * LONG + "b", "a\n\nb"),
+        (lambda: text.html_to_text(F.col("t")), "<b>" * LONG + "a" + "<li>" * 9, "a- - - - - - - - -"),
+        (lambda: text.decode_entities(F.col("t")), "&amp;" * LONG, "&" * LONG),
+        (lambda: keys.slug(F.col("t")), "a" + "/." * LONG + "b", "a-b"),
+        (lambda: keys.name_key(F.col("t")), "b," * LONG + "a", "a b"),
+        (lambda: keys.without_number(F.col("t")), "1" * LONG + " - b", "b"),
+        (lambda: text.cut_noise(F.col("t")), "Requisitos" + "-\n" * LONG, ("Requisitos" + "-\n" * LONG).strip()),
+        (lambda: text.for_diff(F.col("t")), "a\n" * LONG, ("a " * LONG).strip()),
+        (lambda: F.size(keys.keywords(F.col("t"))), "abc def " * LONG, 2 * LONG),
+    ],
+)
+def test_long_runs(spark, column, given, want):
+    """Java takes a stack frame for each repetition of a group of alternatives; none of these may."""
+    assert one(spark, column(), t=given) == want

@@ -56,6 +56,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # many small stores would each claim some MB of disk in advance
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmill.functions import keys
 from docmill.jobs import sqltext as s
-from docmill.operators import catalog, sections, sync
+from docmill.operators import catalog, file_tree, sections, sync
+from docmill.session import shared_folder
+from docmill.sources.published import Published
 from docmill.sources.tables import table
 
 
@@ -120,6 +124,27 @@ def file_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sync.file_status(*_files(spark, sf_dir))
 
 
+def file_tree_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INC-03, INC-04, FLT-07, SNK-01: a tree's state after two runs, the second of which reads what the first published.
+
+    The first finds ids not divisible by 5, the second, which writes no candidates, those not divisible by 7. In between those divisible
+    by 3 were touched, those by 13 moved, those by 9 rewritten.
+    """
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "source", "lang")
+    n = F.col("id")
+    fixed = [F.concat(F.lit("f"), "id").alias("name"), F.col("lang").alias("sector"), F.concat(F.lit("l"), "id").alias("link"), F.lit("like another").alias("explanation")]
+    first = d.where("id % 5 <> 0").select("id", *fixed, F.lit("2026-01-01").cast("timestamp").alias("modified"), F.concat("source", F.lit("/"), "id").alias("path"), F.col("source").alias("slug"), keys.content_hash(F.col("text")).alias("hash"), (n % 27 == 0).alias("duplicate"), F.when(n % 39 == 0, "unreadable").alias("error"))
+    second = d.where("id % 7 <> 0").select(
+        "id", *fixed, F.when(n % 3 == 0, "2026-02-02").otherwise("2026-01-01").cast("timestamp").alias("modified"), F.concat(F.when(n % 13 == 0, "moved").otherwise(F.col("source")), F.lit("/"), "id").alias("path"), F.when(n % 13 == 0, "moved").otherwise(F.col("source")).alias("slug"),
+        keys.content_hash(F.when(n % 9 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))).alias("hash"), (n % 54 == 0).alias("duplicate"), F.when(n % 26 == 0, "unreadable").alias("error"),
+    )
+    tree = Published(spark, f"{shared_folder(spark)}/tree-{uuid.uuid4().hex}")
+    nothing = file_tree.next_state(first.limit(0), first.limit(0).withColumn("status", F.lit("")), "2026-01-05").drop("outcome")
+    tree.publish({"state": file_tree.next_state(first, nothing, "2026-01-05").drop("outcome")}, tree.version())
+    tree.publish({"state": file_tree.next_state(second, tree.read("state"), "2026-02-05", write=False)}, tree.version())
+    return tree.read("state").select("id", "outcome", "status", "path", "slug", "sector", "hash", "explanation", "error", "link", F.date_format("modified", "yyyy-MM-dd").alias("modified"), F.date_format("last_processed", "yyyy-MM-dd").alias("last_processed"))
+
+
 def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-12."""
     return file_status(spark, sf_dir).groupBy("status").agg(F.count("*").alias("n"))
@@ -186,7 +211,7 @@ k AS (SELECT doc_id AS id, 1 AS modified, source AS slug, sha256(text) AS hash F
 f AS (SELECT coalesce(l.id, k.id) AS id, CASE WHEN l.id IS NULL THEN 'deleted' WHEN k.id IS NOT NULL AND l.modified = k.modified AND l.slug = k.slug THEN 'unchanged' WHEN l.id % 39 = 0 THEN 'error'
   WHEN k.id IS NOT NULL AND l.hash = k.hash THEN 'synchronized' WHEN l.id % 27 = 0 THEN 'skipped (duplicate)' ELSE 'candidate' END AS status FROM l FULL JOIN k ON l.id = k.id)"""
 
-QUERIES = {f.__name__: f for f in (catalog_match, catalog_missing, catalog_counters, retire_guard, unindexed, category_counts, sector_counts_zero, dup_flags, insert_order, index_upsert, change_status, doc_compare, file_status, run_totals, set_hash, section_diff, diff_decision, run_decision)}
+QUERIES = {f.__name__: f for f in (catalog_match, catalog_missing, catalog_counters, retire_guard, unindexed, category_counts, sector_counts_zero, dup_flags, insert_order, index_upsert, change_status, doc_compare, file_status, file_tree_runs, run_totals, set_hash, section_diff, diff_decision, run_decision)}
 SQL = {
     "catalog_match": f"WITH {_MATCH} SELECT doc_id, status, index_path, index_title FROM m",
     "catalog_missing": f"WITH {_MATCH} SELECT path, title, slug FROM g",
@@ -204,6 +229,17 @@ SELECT path, is_new, row_number() OVER (ORDER BY place, is_new, path) AS ord FRO
     "change_status": f"WITH {_VERSIONS} SELECT new.doc_id, CASE WHEN old.doc_id IS NULL THEN 'new' WHEN old.text = new.text THEN 'unchanged' ELSE 'changed' END AS status, sha256(new.text) AS content_hash, sha256(old.text) AS previous_hash FROM new LEFT JOIN old USING (doc_id)",
     "doc_compare": f"WITH {_VERSIONS} SELECT new.doc_id, CASE WHEN old.doc_id IS NULL THEN 'created' WHEN old.text = new.text THEN 'unchanged' ELSE 'updated' END AS action FROM new LEFT JOIN old USING (doc_id)",
     "file_status": f"WITH {_FILES} SELECT id, status FROM f",
+    "file_tree_runs": """
+WITH a AS (SELECT doc_id AS id, CASE WHEN doc_id % 39 = 0 THEN 'error' WHEN doc_id % 27 = 0 THEN 'skipped (duplicate)' ELSE 'candidate' END AS status, source || '/' || doc_id AS path, source AS slug, CASE WHEN doc_id % 39 > 0 AND doc_id % 27 > 0 THEN lang END AS sector,
+  CASE WHEN doc_id % 39 > 0 THEN sha256(text) END AS hash, CASE WHEN doc_id % 39 > 0 AND doc_id % 27 = 0 THEN 'like another' END AS explanation, CASE WHEN doc_id % 39 = 0 THEN 'unreadable' END AS error,
+  CASE WHEN doc_id % 39 > 0 AND doc_id % 27 > 0 THEN 'l' || doc_id END AS link, '2026-01-01' AS modified, '2026-01-05' AS last_processed FROM documents WHERE doc_id % 5 <> 0),
+b AS (SELECT doc_id AS n, lang, CASE WHEN doc_id % 13 = 0 THEN 'moved' ELSE source END || '/' || doc_id AS p, CASE WHEN doc_id % 13 = 0 THEN 'moved' ELSE source END AS s, sha256(CASE WHEN doc_id % 9 = 0 THEN text || '!' ELSE text END) AS h, CASE WHEN doc_id % 3 = 0 THEN '2026-02-02' ELSE '2026-01-01' END AS m FROM documents WHERE doc_id % 7 <> 0),
+o AS (SELECT *, CASE WHEN n IS NULL THEN 'deleted' WHEN id IS NOT NULL AND m = modified AND s = slug THEN 'unchanged' WHEN n % 26 = 0 THEN 'failed' WHEN h = hash THEN 'same' WHEN n % 54 = 0 THEN 'duplicate' ELSE 'processed' END AS outcome FROM a FULL JOIN b ON id = n),
+w AS (SELECT *, outcome IN ('deleted', 'unchanged', 'same') OR (outcome = 'failed' AND id IS NOT NULL) AS old FROM o)
+SELECT coalesce(id, n) AS id, outcome, CASE WHEN outcome = 'deleted' THEN 'deleted' WHEN old THEN status WHEN outcome = 'failed' THEN 'error' WHEN outcome = 'duplicate' THEN 'skipped (duplicate)' ELSE 'pending-write' END AS status,
+  CASE WHEN old AND outcome <> 'same' THEN path ELSE p END AS path, CASE WHEN old AND outcome <> 'same' THEN slug ELSE s END AS slug, CASE WHEN old THEN sector WHEN outcome = 'processed' THEN lang END AS sector, CASE WHEN old THEN hash WHEN outcome <> 'failed' THEN h END AS hash,
+  CASE WHEN old THEN explanation WHEN outcome = 'duplicate' THEN 'like another' END AS explanation, CASE WHEN old THEN error WHEN outcome = 'failed' THEN 'unreadable' END AS error, CASE WHEN old THEN link WHEN outcome = 'processed' THEN 'l' || n END AS link,
+  CASE WHEN old AND outcome <> 'same' THEN modified ELSE m END AS modified, CASE WHEN outcome = 'unchanged' OR (outcome = 'failed' AND old) THEN last_processed ELSE '2026-02-05' END AS last_processed FROM w""",
     "run_totals": f"WITH {_FILES} SELECT status, count(*) AS n FROM f GROUP BY status",
     "set_hash": "SELECT source, sha256(string_agg(doc_id || ':' || n_chars, '|' ORDER BY doc_id || ':' || n_chars)) AS set_hash, sha256(string_agg(CAST(n_chars AS VARCHAR), chr(10) ORDER BY doc_id)) AS list_hash FROM documents GROUP BY source",
     "section_diff": f"WITH {_DIFF} SELECT doc_id, name, change FROM d WHERE change IS NOT NULL",

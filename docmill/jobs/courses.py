@@ -12,6 +12,7 @@ from docmill.jobs import sqltext as s
 from docmill.operators import catalog, listings, sync
 from docmill.session import shared_folder
 from docmill.sources import landed
+from docmill.sources.published import Published
 from docmill.sources.tables import table
 
 SITE, TODAY = "https://www.example.org/cursos/", "2026-05-21"
@@ -136,13 +137,12 @@ def _documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
 
 
 def apply_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-08, SNK-01, INC-05: candidates promoted, retired documents deleted, and what was written read back; the state is written last."""
+    """SNK-08, SNK-01, INC-05: candidates promoted, retired documents deleted, published as one version together with their state, and read back."""
     done = catalog.apply(*_documents(spark, sf_dir))
-    out = f"{shared_folder(spark)}/apply-{uuid.uuid4().hex}"
+    out = Published(spark, f"{shared_folder(spark)}/apply-{uuid.uuid4().hex}")
     state = done.where("action <> 'deleted'").select("path", keys.content_hash(F.col("md")).alias("content_hash"))
-    sync.commit(spark, done, f"{out}/documents", state, f"{out}/state")
-    written = spark.read.parquet(f"{out}/documents").select("path", "action")
-    return written.join(spark.read.parquet(f"{out}/state"), "path", "left")
+    out.publish({"documents": done, "state": state}, out.version())
+    return out.read("documents").select("path", "action").join(out.read("state"), "path", "left")
 
 
 def index_version(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Incremental state: what is new, changed, unchanged or gone since the last run; a state that is written last."""
+"""Incremental state: what is new, changed, unchanged or gone since the last run."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from itertools import groupby
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,7 @@ def compare(candidate: DataFrame, published: DataFrame, key: str, body: str) ->
 
 
 def file_status(listing: DataFrame, state: DataFrame) -> DataFrame:
-    """(id, status) of listed and known files (JOI-06, INC-03, INC-04, FLT-07).
+    """(id, status): what a run does to listed and known files (JOI-06, FLT-07); the rows that it leaves are those of file_tree.next_state().
 
     listing: id, modified, slug, hash, duplicate (what a checker said; null: no), error. Cheap tests come
     first: a file with the same time and slug is skipped without looking at its text.
@@ -112,10 +112,3 @@ def ladder(*steps: tuple[Column, str]) -> Column:
     for condition, decision in steps:
         out = out.when(condition, decision)
     return out
-
-
-def commit(spark: SparkSession, result: DataFrame, out: str, state: DataFrame, state_path: str) -> None:
-    """Write result, and only then the state that tells the next run about it: a failure between the two is seen as a change again (SNK-01, INC-05)."""
-    result.write.mode("overwrite").parquet(out)
-    spark.read.parquet(out).limit(1).count()  # what was written can be read
-    state.write.mode("overwrite").parquet(state_path)

@@ -168,18 +168,6 @@ def test_landed(spark, tmp_path):
     assert got["w.doc"] == ("Hola mundo", None) and "x.txt" not in got and got["reg.json"] == (None, "no reader for json")
 
 
-def test_state_is_written_last(spark, tmp_path):
-    d = spark.createDataFrame([(1, "a")], "k int, h string")
-    bad = d.select("k", F.raise_error(F.lit("boom")).alias("h"))
-    try:
-        sync.commit(spark, bad, str(tmp_path / "out"), d, str(tmp_path / "state"))
-    except Exception:
-        pass
-    assert not (tmp_path / "state").exists()
-    sync.commit(spark, d, str(tmp_path / "out"), d, str(tmp_path / "state"))
-    assert spark.read.parquet(str(tmp_path / "state")).count() == 1
-
-
 def test_watch(spark, tmp_path):
     from docmill.streaming.changes import watch
 

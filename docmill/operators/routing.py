@@ -82,17 +82,59 @@ def parse_reply(reply: Column, sectors: tuple[str, ...], fallback: str, least: f
     return F.when(sector.isin(*sectors) & (F.coalesce(sure, F.lit(0.0)) >= least), sector).otherwise(fallback)
 
 
-def overlap(left: DataFrame, right: DataFrame, k: int = 3) -> DataFrame:
+def overlap(left: DataFrame, right: DataFrame, k: int = 3, frequent: int = 10_000) -> DataFrame:
     """(left_id, rank, right_id, score): rows of right that share most keywords with each row of left (JOI-07, ORD-03).
 
     Both have id and words. Repeated words of left count each time, those of right once; ties go to the
-    smaller id. Left words are counted before the join, so equal ones are joined once.
+    smaller id. Exact, and without a table of all pairs that share a word:
+
+    * equal lists of left words are looked up once;
+    * words in at most ``frequent`` rows of right give candidates by their rows;
+    * rows of right with the same frequent words are alike but for their other words, so of each such
+      signature only the k + 1 smallest ids can be among the best without sharing a rarer word, whatever the
+      number of rows;
+    * the score of the last of the best candidates bounds what frequent words must add: of a row's frequent words,
+      rarest first, only those are looked up from which on the rest can still reach it.
+
+    A row without words finds nothing and is not found.
     """
-    a = left.select(F.col("id").alias("left_id"), F.explode("words").alias("word")).groupBy("left_id", "word").agg(F.count("*").alias("times"))
+    top = k + 1  # a row may find itself
+    asked = left.select("id", F.array_sort(F.filter("words", lambda w: w.isNotNull())).alias("words")).withColumn("key", F.array_join("words", " "))
+    a = asked.where(F.size("words") > 0).select("key", "words").distinct().select("key", F.explode("words").alias("word")).groupBy("key", "word").agg(F.count("*").alias("times"))
     b = right.select(F.col("id").alias("right_id"), F.explode(F.array_distinct("words")).alias("word"))
-    scores = a.join(b, "word").where("left_id <> right_id").groupBy("left_id", "right_id").agg(F.sum("times").alias("score"))
-    best = Window.partitionBy("left_id").orderBy(F.desc("score"), "right_id")
-    return scores.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("left_id", "rank", "right_id", "score")
+    often = b.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") > frequent)
+    # each row of right with its frequent words; a word's own rows meet it in a join that Spark may split
+    marked = b.join(often, "word", "left")
+    rows = marked.groupBy("right_id").agg(F.array_sort(F.collect_list(F.when(F.col("n").isNotNull(), F.col("word")))).alias("signature"), F.collect_list(F.when(F.col("n").isNull(), F.col("word"))).alias("rare"))
+    query = a.join(often, "word", "left").groupBy("key").agg(F.array_sort(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("n", "word", "times")))).alias("often"))
+    adds = lambda signature: F.aggregate(F.filter("often", lambda w: F.array_contains(signature, w["word"])), F.lit(0).cast("long"), lambda s, w: s + w["times"])
+
+    by_rare = a.join(rows.select("right_id", "signature", F.explode("rare").alias("word")), "word").groupBy("key", "right_id").agg(F.sum("times").alias("score"), F.first("signature").alias("signature"))
+    near = best_of(by_rare.join(query, "key").select("key", "right_id", (F.col("score") + adds(F.col("signature"))).alias("score")), top)
+    bound = near.groupBy("key").agg(F.when(F.count("*") == top, F.min("score")).alias("least"))
+    left_over = query.where(F.size("often") > 0).join(bound, "key", "left").withColumn("least", F.coalesce("least", F.lit(1)))
+    wanted = left_over.select("key", "often", "least", F.expr("filter(often, (w, i) -> aggregate(slice(often, i + 1, size(often)), 0L, (s, x) -> s + x.times) >= least)").alias("asked"))
+    by_often = wanted.select("*", F.explode("asked").alias("ask")).select("key", "often", "least", "asked", "ask.word").join(signatures(rows, top), "word")
+    # a signature comes once, by the first of its words that is asked for
+    first = F.get(F.filter("asked", lambda w: F.array_contains(F.col("signature"), w["word"])), F.lit(0))["word"]
+    alike = by_often.where(first == F.col("word")).select("key", "ids", "least", adds(F.col("signature")).alias("score")).where("score >= least").select("key", F.explode("ids").alias("right_id"), "score")
+    both = near.unionByName(best_of(alike, top)).groupBy("key", "right_id").agg(F.max("score").alias("score"))
+    found = asked.select(F.col("id").alias("left_id"), "key").join(best_of(both, top), "key").where("left_id <> right_id")
+    place = Window.partitionBy("left_id").orderBy(F.desc("score"), "right_id")
+    return found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k).select("left_id", "rank", "right_id", "score")
+
+
+def best_of(scores: DataFrame, n: int) -> DataFrame:
+    """The n best rows of each key; Spark keeps no more of a key in any task before it deals them out."""
+    place = Window.partitionBy("key").orderBy(F.desc("score"), "right_id")
+    return scores.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= n).drop("_place")
+
+
+def signatures(rows: DataFrame, n: int) -> DataFrame:
+    """(word, signature, ids): each set of frequent words that some rows (right_id, signature) have, by each of its words, with the n smallest ids of these rows."""
+    place = Window.partitionBy("signature").orderBy("right_id")
+    few = rows.where(F.size("signature") > 0).select("signature", "right_id").withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= n)
+    return few.groupBy("signature").agg(F.collect_list("right_id").alias("ids")).select(F.explode("signature").alias("word"), "signature", "ids")
 
 
 def inverted_index(rows: DataFrame, name: str, order: str, columns: list[str]) -> DataFrame:

@@ -14,6 +14,7 @@ from docmill.functions import keys
 from docmill.functions.charset import trim
 from docmill.operators.grid import csv_cells
 from docmill.operators.routing import Match, Taxonomy
+from docmill.sources import tree
 
 SOURCE = T.StructType([T.StructField(c, T.StringType()) for c in ("slug", "indice_path", "url", "strategy", "sectionId", "sectionPrefix")] + [T.StructField(c, T.IntegerType()) for c in ("maxPages", "maxDepth")])
 ITEM = T.StructType([T.StructField(c, T.StringType()) for c in ("path", "title", "category", "sector", "canonicalUrl")])
@@ -90,6 +91,17 @@ def sheets(spark: SparkSession, folder: str) -> DataFrame:
     return csv_cells(files.select(F.regexp_extract("_metadata.file_path", r"([^/]+)\.csv$", 1).alias("sheet"), "value"), "sheet", "value")
 
 
+def tabs(spark: SparkSession, folder: str) -> DataFrame:
+    """(tab, ok, error, value) of every CSV file of a tree, at any depth (SRC-08, SRC-09): a tab that can't be read is a row that isn't ok."""
+    files = tree.read(spark, folder).where(F.endswith("path", F.lit(".csv")))
+    return files.select(F.regexp_extract("path", r"([^/]+)\.csv$", 1).alias("tab"), F.col("error").isNull().alias("ok"), "error", F.col("text").alias("value"))
+
+
+def tree_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    """(sheet, r, c, v) of the tabs of a tree that can be read (SRC-08, SRC-09, SRC-10)."""
+    return csv_cells(tabs(spark, folder).where("ok").select(F.col("tab").alias("sheet"), "value"), "sheet", "value")
+
+
 def hydrate(rows: DataFrame, pages: DataFrame, url: str) -> DataFrame:
     """rows with the text of the page at url, empty and with an error if it was not landed (SRC-17)."""
     texts = pages.select(F.col("url").alias(url), F.col("text").alias("detail_text"))
@@ -106,4 +118,4 @@ def by_strategy(sources: DataFrame, plans: dict[str, Callable[[DataFrame], DataF
     return reduce(DataFrame.unionByName, [plan(sources.where(F.col("strategy") == name)) for name, plan in plans.items()])
 
 
-__all__ = ["by_strategy", "drive", "extract", "hydrate", "index", "longer", "markdown", "registry", "sheets", "taxonomy"]
+__all__ = ["by_strategy", "drive", "extract", "hydrate", "index", "longer", "markdown", "registry", "sheets", "tabs", "taxonomy", "tree_sheets"]

@@ -177,6 +177,14 @@ def route_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("p_partkey", TAXONOMY.route().alias("routed"))
 
 
+def route_many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RUL-01, RUL-02, JOI-10: parts by a taxonomy of some thousands of rules: a sector for each size, with the keys of its parts as parts of titles."""
+    p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("path"), F.concat(F.col("p_partkey").cast("string"), F.lit(" "), "p_name").alias("title"), F.col("p_type").alias("category"), F.when(F.col("p_partkey") % 10 == 0, "z07").alias("sector"))
+    sectors = {f"z{k:02d}": routing.Match(title_includes=tuple(f"{j}" for j in range(100 + k, 3100, 40)), category_equals=(f"promo {k}",)) for k in range(40)}
+    many = routing.Taxonomy(sectors, "rest", (("z01", routing.Match(path_includes=("#55",)), True), ("z02", routing.Match(path_prefix=("brand#1",)), False)))
+    return many.assign(p, "routed").select("p_partkey", "routed")
+
+
 def routing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-04, SNK-05: parts per sector, with zeros."""
     dim = spark.createDataFrame([(x,) for x in (*TAXONOMY.sectors, "rest", "unused")], "routed string")
@@ -226,7 +234,7 @@ _ROUTED = """
 r AS (SELECT p_partkey, CASE WHEN lower(p_name) LIKE '%99%' THEN 'third' WHEN p_partkey % 10 = 0 THEN 'exact' WHEN lower(p_name) LIKE '%99%' THEN 'third' WHEN lower(p_brand) LIKE '%2%' THEN 'metal' WHEN lower(p_brand) LIKE 'brand#1%' THEN 'first'
   WHEN lower(p_name) LIKE '%7%' OR lower(p_type) LIKE '%steel%' OR lower(p_type) LIKE '%brass%' THEN 'metal' WHEN lower(p_brand) LIKE '%#3%' THEN 'third' WHEN lower(p_type) = 'promo tin' THEN 'exact' ELSE 'rest' END AS routed FROM part)"""
 
-QUERIES = {f.__name__: f for f in (exam_rows, schedule_rows, csv_schedule_rows, headless_schedule_rows, elective_rows, exam_tables, schedule_tables, fill_down, segment_runs, nearest_above, asof_header, keep_first, teacher_index, route_rules, routing_counts, alias_lookup, reply_sectors, token_overlap_top3)}
+QUERIES = {f.__name__: f for f in (exam_rows, schedule_rows, csv_schedule_rows, headless_schedule_rows, elective_rows, exam_tables, schedule_tables, fill_down, segment_runs, nearest_above, asof_header, keep_first, teacher_index, route_rules, route_many_rules, routing_counts, alias_lookup, reply_sectors, token_overlap_top3)}
 SQL = {
     "exam_rows": f"WITH {_EXAM} SELECT * FROM exam",
     "schedule_rows": f"WITH {_SCHEDULE} SELECT sheet, start, r, subject, commission, day, hours, teacher FROM sched WHERE shown",
@@ -256,6 +264,10 @@ SELECT CAST(sheet AS VARCHAR) AS sheet, r, 'Optativa ' || k AS subject, commissi
 WITH n AS (SELECT {_NAME} AS name, o_custkey % 50 AS subject, o_orderstatus AS "group", o_orderkey AS ord FROM orders), k AS (SELECT *, {s.name_key('name')} AS name_key FROM n), d AS (SELECT name_key, arg_min(name, ord) AS display FROM k GROUP BY 1)
 SELECT name_key, display, subject, "group", min(ord) AS ord FROM k JOIN d USING (name_key) WHERE name_key <> '' GROUP BY ALL""",
     "route_rules": f"WITH {_ROUTED} SELECT p_partkey, routed FROM r",
+    "route_many_rules": """
+WITH t AS (SELECT p_partkey, p_brand, p_partkey || ' ' || lower(p_name) AS title FROM part), n AS (SELECT CAST(j AS VARCHAR) AS needle, (j - 100) % 40 AS k FROM range(100, 3100) x(j)),
+f AS (SELECT p_partkey, min(k) AS k FROM t JOIN n ON contains(title, needle) GROUP BY p_partkey)
+SELECT p_partkey, CASE WHEN lower(p_brand) LIKE '%#55%' THEN 'z01' WHEN p_partkey % 10 = 0 THEN 'z07' WHEN lower(p_brand) LIKE 'brand#1%' THEN 'z02' WHEN k IS NOT NULL THEN 'z' || lpad(CAST(k AS VARCHAR), 2, '0') ELSE 'rest' END AS routed FROM t LEFT JOIN f USING (p_partkey)""",
     "routing_counts": f"WITH {_ROUTED} SELECT d.routed, count(r.routed) AS n FROM (VALUES ('first'), ('metal'), ('third'), ('exact'), ('rest'), ('unused')) d(routed) LEFT JOIN r ON d.routed = r.routed GROUP BY d.routed",
     "alias_lookup": "SELECT doc_id, CASE lang WHEN 'en' THEN 'metal' WHEN 'fr' THEN 'third' WHEN 'de' THEN 'third' END AS sector FROM documents",
     "reply_sectors": "SELECT doc_id, CASE WHEN doc_id % 7 <> 0 AND doc_id % 10 >= 6 AND doc_id % 3 < 2 THEN ['first', 'metal'][doc_id % 3 + 1] ELSE 'rest' END AS sector FROM documents",

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docmill.functions import keys
 
@@ -33,6 +36,46 @@ class Match:
         return out
 
 
+#: The rank of a row's own sector among Taxonomy.rules().
+OWN = 0
+
+
+class FirstRules:
+    """The rule of smallest rank that holds, by one automaton for the needles of each field."""
+
+    def __init__(self, rules: list[tuple[int, str, str, str, str]]) -> None:
+        import ahocorasick
+
+        self.sector, self.always, self.machines = {}, [], {}
+        told: dict[str, dict[str, dict[str, int]]] = {}
+        for rank, field_, kind, needle, sector in rules:
+            self.sector[rank] = sector
+            if not needle:  # holds everywhere, or for empty values
+                self.always.append((rank, field_ if kind == "equals" else None))
+                continue
+            best = told.setdefault(field_, {}).setdefault(needle, {})
+            best[kind] = min(rank, best.get(kind, rank))
+        for field_, needles in told.items():
+            machine = ahocorasick.Automaton()
+            for needle, best in needles.items():
+                machine.add_word(needle, (len(needle), best))
+            machine.make_automaton()
+            self.machines[field_] = machine
+
+    def of(self, values: dict[str, str], own: str | None) -> str | None:
+        ranks = [r for r, field_ in self.always if field_ is None or not values[field_]]
+        best = min(ranks, default=None)
+        if own is not None and (best is None or best > OWN):
+            best = OWN
+        for field_, machine in self.machines.items():
+            value = values[field_]
+            for end, (length, by_kind) in machine.iter(value):
+                for kind, rank in by_kind.items():
+                    if (best is None or rank < best) and (kind == "includes" or end + 1 == length and (kind == "prefix" or length == len(value))):
+                        best = rank
+        return own if best == OWN else self.sector.get(best)
+
+
 @dataclass(frozen=True)
 class Taxonomy:
     """sectors in the order in which they are tried; overrides are (sector, match, force)."""
@@ -59,6 +102,39 @@ class Taxonomy:
             out = out.when(match.holds(), sector)
         return out.otherwise(self.fallback)
 
+    def rules(self) -> list[tuple[int, str, str, str, str]]:
+        """(rank, field, kind, needle, sector): route() as a list, in which the smallest rank that holds decides. OWN is the rank of the row's own sector."""
+        forced = [(s, m) for s, m, force in self.overrides if force]
+        later = [(s, m) for s, m, _ in self.overrides] + list(self.sectors.items())
+        steps = [(k - len(forced), s, m) for k, (s, m) in enumerate(forced)] + [(OWN + 1 + k, s, m) for k, (s, m) in enumerate(later)]
+        kinds = (("path", "prefix", "path_prefix"), ("path", "includes", "path_includes"), ("title", "includes", "title_includes"), ("category", "includes", "category_includes"), ("category", "equals", "category_equals"))
+        return [(rank, field_, kind, needle.lower(), sector) for rank, sector, m in steps for field_, kind, name in kinds for needle in getattr(m, name)]
+
+    def assign(self, df: DataFrame, name: str, given: str = "sector", most: int = 200) -> DataFrame:
+        """df with the sector of each row (RUL-01, RUL-02, JOI-10), as route() finds it, for any number of rules.
+
+        Up to ``most`` needles are one CASE expression. More of them, which no plan survives as an expression, go
+        into one automaton per field, which meets all needles in one pass over a value.
+        """
+        rules = self.rules()
+        if len(rules) <= most:
+            return df.withColumn(name, self.route(given))
+        known = {*self.sectors, self.fallback}
+        fallback = self.fallback
+        fields = [F.lower(F.coalesce(c, F.lit(""))).alias(f"_{c}") for c in ("path", "title", "category")]
+        schema = T.StructType([*df.schema.fields, T.StructField(name, T.StringType())])
+        n = len(df.columns)
+
+        def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            first = FirstRules(rules)
+            for b in batches:
+                own = b.column(n + 3).to_pylist()
+                values = zip(*(b.column(n + k).to_pylist() for k in range(3)), own, strict=True)
+                out = [first.of({"path": p, "title": t, "category": c}, o if o in known else None) or fallback for p, t, c, o in values]
+                yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(out, pa.string())], names=[*b.schema.names[:n], name])
+
+        return df.select("*", *fields, F.col(given).cast("string").alias("_own")).mapInArrow(routed, schema)
+
     def by_folder(self, files: DataFrame, folder: str) -> DataFrame:
         """files with sector: the first one in order with an alias equal to the folder, either with or without its number (JOI-14). Null if none."""
         order = list(self.sectors)

@@ -75,36 +75,50 @@ def stale_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VAL-08: all checks together, as counts."""
+    """VAL-08, VAL-05, EXP-10: all checks together, as counts."""
     p = _programmes(spark, sf_dir).withColumn("current", F.when(F.col("doc_id") % 9 == 0, F.repeat("md", F.lit(4))).when(F.col("doc_id") % 9 == 1, F.substr("md", F.lit(1), F.lit(100))))
-    return checks.validate(p, "doc_id", "md", "current").select("doc_id", "ok", F.size("errors").alias("n_errors"), F.size("warnings").alias("n_warnings"))
+    return checks.validate(p, "doc_id", "md", "current", TODAY).select("doc_id", "ok", F.size("errors").alias("n_errors"), F.size("warnings").alias("n_warnings"), F.size("urls").alias("n_urls"))
+
+
+FOLDERS, FORBIDDEN = ("docs", "cursos", "more"), ("docs/x0.md",)
 
 
 def _index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """An index, files and routing with defects of all kinds, by remainders of doc_id."""
     n = F.col("doc_id")
-    path = F.when(n % 41 == 0, F.concat(F.lit("docs/x"), n % 82, F.lit(".md"))).when(n % 50 == 3, F.concat(F.lit("docs/"), n, F.lit("/README.md"))).otherwise(F.concat(F.lit("docs/"), n, F.lit(".md")))
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", path.alias("path"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    name = n.cast("string")
+    path = (
+        F.when(n % 43 == 2, F.lit(None)).when(n % 41 == 0, F.concat(F.lit("docs/x"), n % 82, F.lit(".md"))).when(n % 50 == 3, F.concat(F.lit("cursos/"), F.element_at(F.array(F.lit("overview"), F.lit("Listado-Cursos"), name), (n / 50 % 3 + 1).cast("int")), F.lit(".md")))
+        .when(n % 37 == 5, F.concat(F.lit("/abs/"), name, F.lit(".md"))).when(n % 37 == 6, F.concat(F.lit("docs/../"), name, F.lit(".md"))).when(n % 37 == 7, F.concat(F.lit("docs/"), name, F.lit(".txt"))).when(n % 37 == 8, F.concat(F.lit("docs\\"), name, F.lit(".md")))
+        .when(n % 47 == 4, F.concat(F.lit("other/"), name, F.lit(".md"))).when(n % 6 == 1, F.concat(F.lit("more/deep/"), name, F.lit(".md"))).otherwise(F.concat(F.lit("docs/"), name, F.lit(".md")))
+    )
+    d = d.withColumn("path", path)
+    head = F.substring_index("text", "\n", 1)
     index = d.where("doc_id % 10 <> 7").select(
-        "path", F.when(n % 19 == 0, " ").otherwise(F.concat(F.lit("T"), n % 300)).alias("title"), F.when(n % 23 == 0, F.lit(None)).otherwise(F.col("lang")).alias("category"),
-        F.when(n % 29 == 0, "nowhere").when(n % 2 == 0, "a").alias("sector"), F.when(n % 31 == 0, "ftp://x").when(n % 3 == 0, "https://example.org/x").alias("url"), n.alias("pos"),
+        "path", F.when(n % 19 == 0, F.lit(None)).when(n % 19 == 1, " - ").when(n % 2 == 0, F.upper(head)).otherwise(head).alias("title"), F.when(n % 23 == 0, F.lit(None)).otherwise(F.col("lang")).alias("category"),
+        F.when(n % 31 == 0, "ftp://x").when(n % 31 == 1, "").when(n % 3 == 0, "https://example.org/x").alias("url"), n.alias("pos"),
     )
-    files = d.where("doc_id % 12 <> 5").select("path").distinct()
-    return index, files, d.where("doc_id % 14 <> 2").select("path", F.lit("a").alias("sector")).distinct()
+    files = d.where("doc_id % 12 <> 5 AND path IS NOT NULL").groupBy("path").agg((F.max(n) % 8 != 0).alias("is_file"))
+    return index, files, d.where("doc_id % 14 <> 2 AND path IS NOT NULL").groupBy("path").agg(F.when(F.max(n) % 9 == 0, "nowhere").otherwise("a").alias("sector"))
 
 
 def index_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VAL-09, JOI-12, JOI-13, FLT-05, WIN-04."""
     index, files, routing = _index(spark, sf_dir)
-    return checks.index_violations(index, ("a", "b"), files, routing)
+    return checks.index_violations(index, ("a", "b"), FOLDERS, files, routing, 0, "2026-5-1", FORBIDDEN)
 
 
 def course_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VAL-11, AGG-13."""
+    """VAL-11, AGG-13: parts as a catalog, with defects by remainders of their keys."""
     n = F.col("p_partkey")
     p = table(spark, sf_dir, "part").select(
-        F.concat(F.lit("c"), n % 1900).alias("slug"), F.when(n % 100 == 1, "").otherwise(F.col("p_name")).alias("title"), F.when(n % 70 == 1, "x").otherwise(F.lit("https://example.org/c")).alias("url"), F.when(n % 60 == 1, "1/2/2026").when(n % 2 == 0, "2026-02-01").alias("start_date")
+        n.alias("pos"), F.when(n % 90 == 1, F.lit(None)).otherwise(F.concat(F.lit("c"), n % 1900)).alias("slug"), F.when(n % 100 == 1, "").otherwise(F.col("p_name")).alias("title"), keys.title_key(F.when(n % 100 == 1, "").otherwise(F.col("p_name"))).alias("title_key"),
+        F.when(n % 70 == 1, "x").when(n % 70 == 2, F.lit(None)).otherwise(F.lit("https://example.org/c")).alias("detail_url"), F.when(n % 80 == 1, "mailto:x").when(n % 80 == 2, "").alias("signup_url"), F.when(n % 85 == 1, "/q").when(n % 2 == 0, "http://example.org/q").alias("query_url"),
+        F.when(n % 60 == 1, "1/2/2026").when(n % 60 == 3, "").when(n % 2 == 0, "2026-02-01").alias("start_date"),
     )
-    return checks.catalog_violations(p, F.lit(-1))
+    counts = p.agg((F.count("*") - 1).alias("active"), F.lit(-1).alias("matched"), F.count_if(F.col("slug").isNull()).alias("new"), F.lit(None).cast("int").alias("missing"))
+    return checks.catalog_violations(p, counts)
 
 
 def freshness_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,14 +181,27 @@ _VERDICTS = f"""{_P}, {_in_order("prog", checks.REQUIRED)}, {_in_order("comp", c
 v AS (SELECT doc_id, n, md, CASE WHEN coalesce(starts_with(list_filter(string_split(md, chr(10)), lambda x: {s.trim('x')} <> '')[1], '# '), false) THEN [] ELSE ['H1'] END || CASE WHEN contains(md, '## Contenido') THEN c.missing ELSE r.missing END AS missing,
   list_filter([{s.names(checks.PROHIBITED)}], lambda x: contains(md, x)) || CASE WHEN regexp_matches(md, '(?m)^```') THEN ['code'] ELSE [] END AS prohibited, {_FOUND}[1:5] || CASE WHEN len({_FOUND}) > 5 THEN [(len({_FOUND}) - 5) || ' more'] ELSE [] END AS placeholders,
   NOT contains(md, '## Contenido') AND NOT contains(md, '**Última revisión humana**') AS no_closing FROM p JOIN prog{len(checks.REQUIRED)} r USING (doc_id) JOIN comp{len(checks.REQUIRED_COMPLEMENT)} c USING (doc_id))"""
-_INDEX = """
-d AS (SELECT doc_id AS n, lang, CASE WHEN doc_id % 41 = 0 THEN 'docs/x' || (doc_id % 82) || '.md' WHEN doc_id % 50 = 3 THEN 'docs/' || doc_id || '/README.md' ELSE 'docs/' || doc_id || '.md' END AS path FROM documents),
-i AS (SELECT path, CASE WHEN n % 19 = 0 THEN ' ' ELSE 'T' || (n % 300) END AS title, CASE WHEN n % 23 = 0 THEN NULL ELSE lang END AS category, CASE WHEN n % 29 = 0 THEN 'nowhere' WHEN n % 2 = 0 THEN 'a' END AS sector, CASE WHEN n % 31 = 0 THEN 'ftp://x' WHEN n % 3 = 0 THEN 'https://example.org/x' END AS url, n AS pos FROM d WHERE n % 10 <> 7),
-m AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY pos) > 1 AS pa, row_number() OVER (PARTITION BY title ORDER BY pos) > 1 AS ta, path IN (SELECT path FROM d WHERE n % 12 <> 5) AS there, path IN (SELECT path FROM d WHERE n % 14 <> 2) AS routed FROM i),
-v AS (SELECT unnest(list_filter([CASE WHEN trim(title) = '' THEN {'severity': 'error', 'rule': 'no_title'} END, CASE WHEN coalesce(trim(category), '') = '' THEN {'severity': 'error', 'rule': 'no_category'} END, CASE WHEN pa THEN {'severity': 'error', 'rule': 'path_repeated'} END,
-  CASE WHEN ta THEN {'severity': 'warning', 'rule': 'title_repeated'} END, CASE WHEN sector = 'nowhere' THEN {'severity': 'error', 'rule': 'unknown_sector'} END, CASE WHEN url = 'ftp://x' THEN {'severity': 'error', 'rule': 'bad_url'} END,
-  CASE WHEN NOT there THEN {'severity': 'error', 'rule': 'no_file'} END, CASE WHEN NOT routed THEN {'severity': 'error', 'rule': 'not_routed'} END, CASE WHEN path LIKE '%/README.md' THEN {'severity': 'error', 'rule': 'aggregate'} END], lambda x: x IS NOT NULL)) AS s, path AS key FROM m),
-w AS (SELECT s.severity AS severity, key, s.rule AS rule FROM v UNION ALL SELECT 'warning', path, 'not_indexed' FROM (SELECT DISTINCT path FROM d WHERE n % 12 <> 5) WHERE path NOT IN (SELECT path FROM i))"""
+_INDEX = f"""
+d AS (SELECT doc_id AS n, lang, split_part(text, chr(10), 1) AS head, CASE WHEN doc_id % 43 = 2 THEN NULL WHEN doc_id % 41 = 0 THEN 'docs/x' || (doc_id % 82) || '.md' WHEN doc_id % 50 = 3 THEN 'cursos/' || ['overview', 'Listado-Cursos', doc_id::VARCHAR][(doc_id // 50) % 3 + 1] || '.md'
+  WHEN doc_id % 37 = 5 THEN '/abs/' || doc_id || '.md' WHEN doc_id % 37 = 6 THEN 'docs/../' || doc_id || '.md' WHEN doc_id % 37 = 7 THEN 'docs/' || doc_id || '.txt' WHEN doc_id % 37 = 8 THEN 'docs\\' || doc_id || '.md'
+  WHEN doc_id % 47 = 4 THEN 'other/' || doc_id || '.md' WHEN doc_id % 6 = 1 THEN 'more/deep/' || doc_id || '.md' ELSE 'docs/' || doc_id || '.md' END AS path FROM documents),
+i AS (SELECT n, path, CASE WHEN n % 19 = 0 THEN NULL WHEN n % 19 = 1 THEN ' - ' WHEN n % 2 = 0 THEN replace(upper(head), 'ẞ', 'SS') ELSE head END AS title, CASE WHEN n % 23 <> 0 THEN lang END AS category, CASE WHEN n % 31 = 0 THEN 'ftp://x' WHEN n % 31 = 1 THEN '' WHEN n % 3 = 0 THEN 'https://example.org/x' END AS url FROM d WHERE n % 10 <> 7),
+f AS (SELECT path, max(n) % 8 <> 0 AS is_file FROM d WHERE n % 12 <> 5 AND path IS NOT NULL GROUP BY path), g AS (SELECT path, CASE WHEN max(n) % 9 = 0 THEN 'nowhere' ELSE 'a' END AS routed FROM d WHERE n % 14 <> 2 AND path IS NOT NULL GROUP BY path),
+k AS (SELECT i.*, f.is_file, g.routed, {s.title_key('title')} AS tk FROM i LEFT JOIN f USING (path) LEFT JOIN g USING (path) WHERE path IS NOT NULL),
+m AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY n) > 1 AS pa, tk <> '' AND row_number() OVER (PARTITION BY tk ORDER BY n) > 1 AS ta FROM k),
+w AS (SELECT 'error' AS severity, path AS key, 'no_title' AS rule FROM m WHERE coalesce(title, '') = '' UNION ALL SELECT 'error', path, 'no_category' FROM m WHERE category IS NULL UNION ALL SELECT 'error', path, 'not_markdown' FROM m WHERE path NOT LIKE '%.md'
+  UNION ALL SELECT 'error', path, 'unsafe_path' FROM m WHERE path LIKE '/%' OR path LIKE '%..%' OR contains(path, '\\') UNION ALL SELECT 'error', path, 'forbidden' FROM m WHERE path = 'docs/x0.md'
+  UNION ALL SELECT 'warning', path, 'unknown_folder' FROM m WHERE split_part(path, '/', 1) NOT IN ('docs', 'cursos', 'more') UNION ALL SELECT 'error', path, 'no_file' FROM m WHERE is_file IS NULL UNION ALL SELECT 'error', path, 'not_a_file' FROM m WHERE NOT is_file
+  UNION ALL SELECT 'error', path, 'bad_url' FROM m WHERE url IN ('', 'ftp://x') UNION ALL SELECT 'error', path, 'not_routed' FROM m WHERE routed IS NULL UNION ALL SELECT 'error', path, 'bad_sector' FROM m WHERE routed = 'nowhere'
+  UNION ALL SELECT 'error', path, 'aggregate' FROM m WHERE path IN ('cursos/overview.md', 'cursos/Listado-Cursos.md') UNION ALL SELECT 'error', path, 'path_repeated' FROM m WHERE pa UNION ALL SELECT 'warning', path, 'title_repeated' FROM m WHERE ta
+  UNION ALL SELECT 'error', 'items[' || n || ']', 'no_path' FROM i WHERE path IS NULL UNION ALL SELECT 'error', 'index', 'version' UNION ALL SELECT 'error', 'index', 'last_updated'
+  UNION ALL SELECT 'warning', path, 'not_indexed' FROM f WHERE is_file AND regexp_matches(path, '^(docs|cursos|more)/[^/]*\.md$') AND path NOT IN (SELECT path FROM k))"""
+_DATES = "".join(f""",
+s{k} AS (SELECT doc_id, regexp_extract(md, '(?ms)^##{s.WS}+{name}{s.WS}*?$(.*?)(?:^##{s.WS}|\z)', 1) AS body FROM v),
+x{k} AS (SELECT doc_id, unnest(regexp_extract_all(body, '[0-9]{{4}}-[0-9]{{2}}(?:-[0-9]{{2}})?') || regexp_extract_all(body, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}')) AS found FROM s{k} WHERE NOT regexp_matches(body, '(?i)no publicado|consultar|cerrada|a confirmar|por confirmar'))""" for k, name in enumerate(checks.DATED)) + """,
+xs AS (SELECT * FROM x0 UNION ALL SELECT * FROM x1),
+ys AS (SELECT doc_id, CASE WHEN contains(found, '/') THEN string_split(found, '/') ELSE list_reverse(string_split(found || CASE WHEN length(found) = 7 THEN '-28' ELSE '' END, '-')) END AS a FROM xs),
+past AS (SELECT doc_id, count(*) AS n_past FROM ys WHERE CAST(a[3] AS INTEGER) BETWEEN 2000 AND 2100 AND make_date(CASE WHEN CAST(a[3] AS INTEGER) BETWEEN 2000 AND 2100 THEN CAST(a[3] AS INTEGER) ELSE 2000 END, 1, 1) + to_months(CAST(a[2] AS INTEGER) - 1) + to_days(CAST(a[1] AS INTEGER) - 1) < DATE '2026-05-21' GROUP BY doc_id)"""
 
 QUERIES = {f.__name__: f for f in (structure_check, prohibited_check, placeholder_check, size_gate, stale_dates, document_check, index_violations, course_violations, freshness_rank, candidate_documents, run_summary, listing_merge)}
 SQL = {
@@ -190,15 +217,18 @@ f AS (SELECT doc_id, name, unnest(regexp_extract_all(body, '\d{{4}}-\d{{2}}(?:-\
 y AS (SELECT *, CASE WHEN contains(found, '/') THEN string_split(found, '/') ELSE list_reverse(string_split(found || CASE WHEN length(found) = 7 THEN '-28' ELSE '' END, '-')) END AS a FROM f)
 SELECT doc_id, name, found FROM y WHERE CAST(a[3] AS INTEGER) BETWEEN 2000 AND 2100 AND make_date(CASE WHEN CAST(a[3] AS INTEGER) BETWEEN 2000 AND 2100 THEN CAST(a[3] AS INTEGER) ELSE 2000 END, 1, 1) + to_months(CAST(a[2] AS INTEGER) - 1) + to_days(CAST(a[1] AS INTEGER) - 1) < DATE '2026-05-21'""",
     "document_check": f"""
-WITH {_VERDICTS}, u AS (SELECT *, length(md) / nullif(CASE WHEN n % 9 = 0 THEN 4 * length(md) WHEN n % 9 = 1 THEN least(length(md), 100) END, 0) AS ratio FROM v),
-e AS (SELECT doc_id, len(missing) + len(prohibited) + len(placeholders) + CASE WHEN no_closing THEN 1 ELSE 0 END + CASE WHEN ratio < 0.3 THEN 1 ELSE 0 END AS n_errors, CASE WHEN ratio > 3.0 THEN 1 ELSE 0 END + CASE WHEN regexp_matches(md, '(?i)PENDIENTE — draft autogenerado') THEN 1 ELSE 0 END AS n_warnings FROM u)
-SELECT doc_id, n_errors = 0 AS ok, n_errors, n_warnings FROM e""",
+WITH {_VERDICTS}{_DATES}, u AS (SELECT v.*, coalesce(n_past, 0) AS n_past, length(md) / nullif(CASE WHEN n % 9 = 0 THEN 4 * length(md) WHEN n % 9 = 1 THEN least(length(md), 100) END, 0) AS ratio FROM v LEFT JOIN past USING (doc_id)),
+e AS (SELECT doc_id, len(missing) + len(prohibited) + len(placeholders) + CASE WHEN no_closing THEN 1 ELSE 0 END + CASE WHEN ratio < 0.3 THEN 1 ELSE 0 END AS n_errors, n_past + CASE WHEN ratio > 3.0 THEN 1 ELSE 0 END + CASE WHEN regexp_matches(md, '(?i)PENDIENTE — draft autogenerado') THEN 1 ELSE 0 END AS n_warnings,
+  len(list_distinct(regexp_extract_all(regexp_extract(md, '(?ms)^##{s.WS}+Fuentes consultadas{s.WS}*?$.*', 0), 'https?://[^\s)<>"''`]+[^\s)<>"''`.,;:]'))) AS n_urls FROM u)
+SELECT doc_id, n_errors = 0 AS ok, n_errors, n_warnings, n_urls FROM e""",
     "size_gate": "SELECT a.doc_id, CASE WHEN length(b.text) > 0 THEN CASE WHEN length(a.text) / length(b.text) < 0.3 THEN 'error' WHEN length(a.text) / length(b.text) > 3.0 THEN 'warning' ELSE 'ok' END END AS gate FROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id + 1",
     "index_violations": f"WITH {_INDEX} SELECT severity, key, rule FROM w",
-    "course_violations": """
-WITH p AS (SELECT 'c' || (p_partkey % 1900) AS slug, p_partkey % 100 = 1 AS a, p_partkey % 70 = 1 AS b, p_partkey % 60 = 1 AS c FROM part)
-SELECT 'error' AS severity, slug AS key, 'no_title' AS rule FROM p WHERE a UNION ALL SELECT 'error', slug, 'bad_url' FROM p WHERE b UNION ALL SELECT 'warning', slug, 'bad_date' FROM p WHERE c
-UNION ALL SELECT 'error', slug, 'slug_repeated' FROM p GROUP BY slug HAVING count(*) > 1 UNION ALL SELECT 'error', 'catalog', 'counter'""",
+    "course_violations": f"""
+WITH p AS (SELECT p_partkey AS n, 'active[' || p_partkey || ']' AS key, CASE WHEN p_partkey % 90 <> 1 THEN 'c' || (p_partkey % 1900) END AS slug, CASE WHEN p_partkey % 100 = 1 THEN '' ELSE {s.title_key('p_name')} END AS tk FROM part),
+m AS (SELECT *, slug IS NOT NULL AND row_number() OVER (PARTITION BY slug ORDER BY n) > 1 AS sa, tk <> '' AND row_number() OVER (PARTITION BY tk ORDER BY n) > 1 AS ta FROM p)
+SELECT 'error' AS severity, key, 'no_title' AS rule FROM m WHERE n % 100 = 1 UNION ALL SELECT 'error', key, 'no_slug' FROM m WHERE slug IS NULL UNION ALL SELECT 'error', key, 'bad_detail_url' FROM m WHERE n % 70 IN (1, 2) UNION ALL SELECT 'error', key, 'bad_signup_url' FROM m WHERE n % 80 = 1
+UNION ALL SELECT 'error', key, 'bad_query_url' FROM m WHERE n % 85 = 1 UNION ALL SELECT 'error', key, 'bad_date' FROM m WHERE n % 60 = 1 UNION ALL SELECT 'error', key, 'slug_repeated' FROM m WHERE sa UNION ALL SELECT 'warning', key, 'title_repeated' FROM m WHERE ta
+UNION ALL SELECT 'error', 'catalog', unnest(['matched_count', 'missing_count', 'rows']) UNION ALL SELECT 'warning', 'catalog', 'new_rows'""",
     "freshness_rank": """
 WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS path, source AS category, doc_id AS n, CASE WHEN doc_id % 5 < 3 THEN DATE '2025-06-01' + CAST(doc_id % 300 AS INTEGER) END AS day FROM documents),
 r AS (SELECT path, category, CASE WHEN n % 5 = 0 THEN 'draft' WHEN n % 5 < 3 THEN 'reviewed' ELSE 'pending' END AS review_status, CAST(DATE '2026-05-21' - day AS INTEGER) AS human_days, CASE WHEN n % 3 <> 0 AND (n % 40) % 4 <> 0 THEN CAST(n % 40 AS INTEGER) END AS auto_days FROM d)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docmill.functions import keys
 from docmill.jobs import sqltext as s
-from docmill.operators import catalog, file_tree, sections, sync
+from docmill.operators import catalog, file_tree, sections, sync, unique
 from docmill.session import shared_folder
 from docmill.sources.published import Published
 from docmill.sources.tables import table
@@ -77,7 +77,7 @@ def sector_counts_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dup_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WIN-04: all documents whose title or slug an earlier one has."""
     i = _all(spark, sf_dir).select("pos", "title_key", "slug")
-    return catalog.duplicate_flags(i, {"title_key": "title", "slug": "slug"}, "pos").select("pos", "title_repeated", "title_first", "slug_repeated", "slug_first")
+    return unique.flags(i, {"title_key": "title", "slug": "slug"}, "pos").select("pos", "title_repeated", "title_first", "slug_repeated", "slug_first")
 
 
 def insert_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,7 +220,7 @@ SQL = {
     "unindexed": "SELECT 'docs/' || doc_id || '.md' AS path FROM documents WHERE doc_id % 7 = 0",
     "category_counts": "SELECT lang AS category, 'docs' AS folder, count(*) AS n FROM documents GROUP BY lang",
     "sector_counts_zero": "SELECT source, count_if(lang = 'de') AS n FROM documents GROUP BY source",
-    "dup_flags": f"WITH {_TITLES}, i AS (SELECT doc_id AS pos, title_key, 's' || (doc_id % 400) AS slug FROM t) SELECT pos, row_number() OVER (PARTITION BY title_key ORDER BY pos) > 1 AS title_repeated, min(pos) OVER (PARTITION BY title_key) AS title_first, row_number() OVER (PARTITION BY slug ORDER BY pos) > 1 AS slug_repeated, min(pos) OVER (PARTITION BY slug) AS slug_first FROM i",
+    "dup_flags": f"WITH {_TITLES}, i AS (SELECT doc_id AS pos, title_key, 's' || (doc_id % 400) AS slug FROM t) SELECT pos, title_key <> '' AND row_number() OVER (PARTITION BY title_key ORDER BY pos) > 1 AS title_repeated, CASE WHEN title_key <> '' THEN min(pos) OVER (PARTITION BY title_key) ELSE pos END AS title_first, row_number() OVER (PARTITION BY slug ORDER BY pos) > 1 AS slug_repeated, min(pos) OVER (PARTITION BY slug) AS slug_first FROM i",
     "insert_order": """
 WITH d AS (SELECT doc_id, source || '/' || doc_id || '.md' AS path, source FROM documents), l AS (SELECT source, max(doc_id) AS last FROM d WHERE doc_id % 7 <> 0 GROUP BY source),
 b AS (SELECT path, doc_id::DOUBLE AS place, 0 AS is_new FROM d WHERE doc_id % 7 <> 0 UNION ALL SELECT path, coalesce(last::DOUBLE, 'inf'::DOUBLE), 1 FROM d LEFT JOIN l USING (source) WHERE doc_id % 7 = 0)

@@ -39,14 +39,6 @@ def retire(active: DataFrame, gone: DataFrame) -> DataFrame:
     return gone.crossJoin(F.broadcast(n)).select(*gone.columns, action.alias("action"))
 
 
-def duplicate_flags(df: DataFrame, keys: dict[str, str], order: str) -> DataFrame:
-    """df with one flag per key column: whether an earlier row has the same value, and that row's place (WIN-04)."""
-    for key, name in keys.items():
-        w = Window.partitionBy(key).orderBy(order)
-        df = df.withColumn(f"{name}_repeated", F.row_number().over(w) > 1).withColumn(f"{name}_first", F.first(order).over(w))
-    return df
-
-
 def counts_with_zero(dimension: DataFrame, facts: DataFrame, key: str, name: str) -> DataFrame:
     """Counts by key with a zero for keys without rows (AGG-04); facts are counted before they are joined."""
     return dimension.select(key).distinct().join(facts.groupBy(key).agg(F.count("*").alias(name)), key, "left").withColumn(name, F.coalesce(name, F.lit(0)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,15 +82,23 @@ def with_headings(docs: DataFrame, every: int = 3) -> DataFrame:
     return docs.withColumn("md", F.array_join(marked, "\n"))
 
 
-def in_order(md: Column, required: tuple[str, ...]) -> Column:
-    """Required headings that are missing or out of order (VAL-01): a missing one leaves the place where the search goes on."""
+def headings(md: Column, names: tuple[str, ...]) -> Column:
+    """The headings of a text that are among names, in order: one scan of the text."""
+    listed = "|".join(re.escape(n) for n in names)
+    return F.regexp_extract_all(md, F.lit(rf"(?m)^##{WS}+({listed}){WS}*$"), F.lit(1))
+
+
+def in_order(found: Column, required: tuple[str, ...]) -> Column:
+    """Required headings that are missing from headings() or out of order (VAL-01): a missing one leaves the place where the search goes on."""
 
     def step(state: Column, name: Column) -> Column:
-        rest = F.substr(md, state.at)
-        pattern = F.concat(F.lit(rf"(?m)^##{WS}+"), name, F.lit(rf"{WS}*$"))
-        found = F.regexp_instr(rest, pattern)
-        size = F.length(F.regexp_substr(rest, pattern))
-        return F.struct(F.when(found > 0, state.at + found - 1 + size).otherwise(state.at).alias("at"), F.when(found > 0, state.missing).otherwise(F.concat(state.missing, F.array(name))).alias("missing"))
+        at = F.array_position(F.slice(found, state.at, F.size(found)), name)
+        return F.struct((state.at + at).alias("at"), F.when(at > 0, state.missing).otherwise(F.concat(state.missing, F.array(name))).alias("missing"))
 
-    start = F.struct(F.lit(1).alias("at"), F.expr("CAST(array() AS array<string>)").alias("missing"))
+    start = F.struct(F.lit(1).cast("long").alias("at"), F.expr("CAST(array() AS array<string>)").alias("missing"))
     return F.aggregate(F.array(*[F.lit(r) for r in required]), start, step, lambda s: s.missing)
+
+
+def section_text(md: Column, name: str) -> Column:
+    """What stands below the first heading of a name, up to the next heading; empty if there is none."""
+    return F.regexp_extract(md, rf"(?ms)^##{WS}+{re.escape(name)}{WS}*?$(.*?)(?:^##{WS}|\z)", 1)

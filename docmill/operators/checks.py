@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docmill.functions import keys, urls
-from docmill.functions.charset import WS, bind, trim
+from docmill.functions.charset import WS, bind
 from docmill.functions.dates import dates_in
 from docmill.operators.sections import headings, in_order, section_text
 from docmill.operators.unique import repeats
@@ -52,8 +52,7 @@ def is_complement(md: Column) -> Column:
 
 def structure(md: Column) -> Column:
     """Names of what is missing: H1 in front, and required headings that are absent or out of order (VAL-01)."""
-    first = F.get(F.filter(F.split(md, "\n", -1), lambda x: trim(x) != ""), F.lit(0))
-    no_title = F.when(F.coalesce(F.startswith(first, F.lit("# ")), F.lit(False)), F.array().cast("array<string>")).otherwise(F.array(F.lit("H1")))
+    no_title = F.when(md.rlike(rf"\A(?:{WS}*\n)?# "), F.array().cast("array<string>")).otherwise(F.array(F.lit("H1")))
     found = headings(md, tuple(dict.fromkeys((*REQUIRED, *REQUIRED_COMPLEMENT))))
     missing = bind(F.struct(md.alias("md"), found.alias("found")), lambda x: F.when(is_complement(x["md"]), in_order(x["found"], REQUIRED_COMPLEMENT)).otherwise(in_order(x["found"], REQUIRED)))
     return F.concat(no_title, missing)

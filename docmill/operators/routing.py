@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docmill.functions import keys
+from docmill.session import cut
 
 
 @dataclass(frozen=True)
@@ -158,7 +159,7 @@ def parse_reply(reply: Column, sectors: tuple[str, ...], fallback: str, least: f
     return F.when(sector.isin(*sectors) & (F.coalesce(sure, F.lit(0.0)) >= least), sector).otherwise(fallback)
 
 
-def overlap(left: DataFrame, right: DataFrame, k: int = 3, frequent: int = 10_000) -> DataFrame:
+def overlap(left: DataFrame, right: DataFrame, k: int = 3, frequent: int = 2_000) -> DataFrame:
     """(left_id, rank, right_id, score): rows of right that share most keywords with each row of left (JOI-07, ORD-03).
 
     Both have id and words. Repeated words of left count each time, those of right once; ties go to the
@@ -172,28 +173,32 @@ def overlap(left: DataFrame, right: DataFrame, k: int = 3, frequent: int = 10_00
     * the score of the last of the best candidates bounds what frequent words must add: of a row's frequent words,
       rarest first, only those are looked up from which on the rest can still reach it.
 
-    A row without words finds nothing and is not found.
+    A row without words finds nothing and is not found. The rows of right and the best by rare words are written,
+    as several steps read them.
     """
     top = k + 1  # a row may find itself
     asked = left.select("id", F.array_sort(F.filter("words", lambda w: w.isNotNull())).alias("words")).withColumn("key", F.array_join("words", " "))
     a = asked.where(F.size("words") > 0).select("key", "words").distinct().select("key", F.explode("words").alias("word")).groupBy("key", "word").agg(F.count("*").alias("times"))
-    b = right.select(F.col("id").alias("right_id"), F.explode(F.array_distinct("words")).alias("word"))
+    b = cut(right.select(F.col("id").alias("right_id"), F.array_distinct("words").alias("words"))).select("right_id", F.explode("words").alias("word"))
     often = b.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") > frequent)
     # each row of right with its frequent words; a word's own rows meet it in a join that Spark may split
     marked = b.join(often, "word", "left")
-    rows = marked.groupBy("right_id").agg(F.array_sort(F.collect_list(F.when(F.col("n").isNotNull(), F.col("word")))).alias("signature"), F.collect_list(F.when(F.col("n").isNull(), F.col("word"))).alias("rare"))
-    query = a.join(often, "word", "left").groupBy("key").agg(F.array_sort(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("n", "word", "times")))).alias("often"))
-    adds = lambda signature: F.aggregate(F.filter("often", lambda w: F.array_contains(signature, w["word"])), F.lit(0).cast("long"), lambda s, w: s + w["times"])
+    rows = cut(marked.groupBy("right_id").agg(F.array_sort(F.collect_list(F.when(F.col("n").isNotNull(), F.col("word")))).alias("signature"), F.collect_list(F.when(F.col("n").isNull(), F.col("word"))).alias("rare")))
+    common = a.join(often, "word")
+    # words that count once or more, twice or more, ...: what a signature adds is the sum of what it shares with each
+    of_times = lambda t: F.transform(F.filter("often", lambda w: w["times"] >= t), lambda w: w["word"])
+    query = common.groupBy("key").agg(F.collect_list(F.struct("word", "times")).alias("often"), F.max("times").alias("most")).select("key", F.transform(F.sequence(F.lit(1).cast("long"), "most"), of_times).alias("levels"))
+    adds = F.coalesce(F.aggregate("levels", F.lit(0).cast("long"), lambda s, level: s + F.size(F.array_intersect("signature", level))), F.lit(0))
 
     by_rare = a.join(rows.select("right_id", "signature", F.explode("rare").alias("word")), "word").groupBy("key", "right_id").agg(F.sum("times").alias("score"), F.first("signature").alias("signature"))
-    near = best_of(by_rare.join(query, "key").select("key", "right_id", (F.col("score") + adds(F.col("signature"))).alias("score")), top)
+    near = cut(best_of(by_rare.join(query, "key", "left").select("key", "right_id", (F.col("score") + adds).alias("score")), top))
     bound = near.groupBy("key").agg(F.when(F.count("*") == top, F.min("score")).alias("least"))
-    left_over = query.where(F.size("often") > 0).join(bound, "key", "left").withColumn("least", F.coalesce("least", F.lit(1)))
-    wanted = left_over.select("key", "often", "least", F.expr("filter(often, (w, i) -> aggregate(slice(often, i + 1, size(often)), 0L, (s, x) -> s + x.times) >= least)").alias("asked"))
-    by_often = wanted.select("*", F.explode("asked").alias("ask")).select("key", "often", "least", "asked", "ask.word").join(signatures(rows, top), "word")
+    rarest = Window.partitionBy("key").orderBy("n", "word").rowsBetween(0, Window.unboundedFollowing)
+    wanted = common.withColumn("rest", F.sum("times").over(rarest)).join(bound, "key", "left").where(F.col("rest") >= F.coalesce("least", F.lit(1)))
+    asked_for = wanted.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "word"))), lambda w: w["word"]).alias("words"), F.coalesce(F.first("least"), F.lit(1)).alias("least"))
     # a signature comes once, by the first of its words that is asked for
-    first = F.get(F.filter("asked", lambda w: F.array_contains(F.col("signature"), w["word"])), F.lit(0))["word"]
-    alike = by_often.where(first == F.col("word")).select("key", "ids", "least", adds(F.col("signature")).alias("score")).where("score >= least").select("key", F.explode("ids").alias("right_id"), "score")
+    by_often = wanted.select("key", "word").join(signatures(rows, top), "word").join(asked_for, "key").where(F.col("word") == F.get(F.array_intersect("words", "signature"), F.lit(0)))
+    alike = by_often.join(query, "key").select("key", "ids", "least", adds.alias("score")).where("score >= least").select("key", F.explode("ids").alias("right_id"), "score")
     both = near.unionByName(best_of(alike, top)).groupBy("key", "right_id").agg(F.max("score").alias("score"))
     found = asked.select(F.col("id").alias("left_id"), "key").join(best_of(both, top), "key").where("left_id <> right_id")
     place = Window.partitionBy("left_id").orderBy(F.desc("score"), "right_id")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docmill.functions import keys, text
-from docmill.functions.charset import WS, trim
+from docmill.functions.charset import WS, bind, trim
 
 PREFACE = "__preface__"
 HEADING = rf"^##{WS}+(.+?){WS}*$"
@@ -101,4 +101,11 @@ def in_order(found: Column, required: tuple[str, ...]) -> Column:
 
 def section_text(md: Column, name: str) -> Column:
     """What stands below the first heading of a name, up to the next heading; empty if there is none."""
-    return F.regexp_extract(md, rf"(?ms)^##{WS}+{re.escape(name)}{WS}*?$(.*?)(?:^##{WS}|\z)", 1)
+    heading = F.lit(rf"(?m)^##{WS}+{re.escape(name)}{WS}*?$")
+    below = bind(F.regexp_instr(md, heading), lambda at: F.when(at > 0, F.substr(md, at + F.length(F.regexp_substr(md, heading)))).otherwise(""))
+
+    def cut(rest: Column) -> Column:
+        end = F.regexp_instr(rest, F.lit(rf"(?m)^##{WS}"))
+        return bind(end, lambda at: F.when(at > 0, F.substr(rest, F.lit(1), at - 1)).otherwise(rest))
+
+    return bind(below, cut)

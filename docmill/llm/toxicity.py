@@ -1,25 +1,28 @@
 """Toxicity by weak supervision.
 
-Many voters (one per lexicon term, and patterns) vote on the documents of a bounded training sample, which
-holds labelled and unlabelled rows. The annotator is one more voter, who abstains on unlabelled rows. A
-generative label model of two hidden classes estimates by EM how often each class occurs, how often each
-voter (the annotator too) fires in either, and how voters depend on each other: within a class each may
-depend on one other voter, by the tree of largest conditional mutual information. The model's posteriors
-are the labels that a linear classifier learns from; they differ from the annotator's where the voters
-contradict an annotator as good as estimated. Scoring is one pass without a shuffle.
-
-The lexicon is mined from labelled training rows only, the annotator's labels start EM and so name the
-classes; rows held out are never read into the fit. labels, lang, source and doc_id never enter a
-score. Null and empty texts have no votes and get the score of such a text, near the classifier's
-lowest. Repeated rows get equal scores. Without labels of both classes nothing can be mined: the score
-is then 0.
+Many voters (one per lexicon term, and patterns) vote on every document that isn't held out, labelled or not.
+The annotator is one more voter, who abstains where there is no label. A generative label model of two hidden
+classes estimates by EM how often each class occurs, how often each voter (the annotator too) fires in either,
+and how voters depend on each other: within a class each may depend on one other voter, by the tree of largest
+conditional mutual information. EM sees a document as the list of voters that fire and the label: Spark counts
+equal ones, keeps that table, and adds up each round's sums over it, so all rows count and none is drawn. The
+posteriors are the labels that a linear classifier learns from, on a bounded sample of labelled rows; they differ
+from the annotator's where the voters contradict an annotator as good as estimated. Scoring is one pass without
+a shuffle.
+
+The lexicon is mined from the labelled sample, the annotator's labels start EM and so name the classes; rows held
+out are never read into the fit. labels, lang, source and doc_id never enter a score. Bounds, all of the fitted
+model and none of the corpus: TRAIN_ROWS labelled rows, TERMS inputs of the classifier, VOTERS of them in the
+label model. Null and empty texts have no votes and get the score of such a text, near the classifier's lowest.
+Repeated rows get equal scores. Rows without a doc_id are scored and not learned from. Without labels of both
+classes nothing can be mined: the score is then 0.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,10 +31,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docmill.llm.common import fresh, table
+from docmill.llm.common import Space, fresh, table
 
-#: At most so many labelled and unlabelled rows are learned from: those with the smallest hash of their id.
-TRAIN_ROWS, UNLABELLED_ROWS = 8000, 4000
+#: At most so many labelled rows are mined and teach the classifier: those with the smallest hash of their id.
+TRAIN_ROWS = 8000
 #: Of the mined terms, so many vote and so many are inputs of the classifier; each is at least ODDS times
 #: as frequent in toxic rows. A term is a word, or (with a mark before it) how a longer word begins.
 VOTERS, TERMS, ODDS = 300, 800, 5.0
@@ -105,14 +108,18 @@ DEPENDS = 13.8
 
 
 def dependencies(votes: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Each voter's parent in the tree of largest mutual information given the class (p: chance of class 1), or -1."""
-    n, m = votes.shape
+    """tree() of votes whose chance of class 1 is p."""
+    each = (1 - p, p)
+    return tree([q.sum() for q in each], [q @ votes for q in each], [(votes * q[:, None]).T @ votes for q in each])
+
+
+def tree(totals: list[float], ones: list[np.ndarray], joints: list[np.ndarray]) -> np.ndarray:
+    """Each voter's parent in the tree of largest mutual information given the class, or -1. By class: rows, rows in which each voter fires, and each two do."""
+    m = len(ones[0])
     info = np.zeros((m, m))
-    for q in (p, 1 - p):
-        total = q.sum()
+    for total, one, both in zip(totals, ones, joints, strict=True):
         if total < 1:
             continue
-        both, one = (votes * q[:, None]).T @ votes, q @ votes
         for a, b, joint in ((1, 1, both), (1, 0, one[:, None] - both), (0, 1, one[None, :] - both), (0, 0, total - one[:, None] - one[None, :] + both)):
             apart = np.outer(one if a else total - one, one if b else total - one) / total
             ratio = np.divide(joint, apart, out=np.ones((m, m)), where=(joint > 1e-9) & (apart > 1e-9))
@@ -130,39 +137,77 @@ def dependencies(votes: np.ndarray, p: np.ndarray) -> np.ndarray:
     return parent
 
 
-def _fitted(votes: np.ndarray, gold: np.ndarray, p: np.ndarray, parent: np.ndarray, pairs: tuple[np.ndarray, np.ndarray]) -> LabelModel:
-    """The parameters that p (chance of class 1 of each row) makes likeliest, drawn a little to rates of both classes together."""
-    u, fire = pairs
-    rates, annotator, known = np.zeros((2, 2, votes.shape[1])), np.zeros(2), ~np.isnan(gold)
-    for c, q in ((0, 1 - p), (1, p)):
-        n, fired, up, both = q.sum(), q @ votes, q @ u, q @ fire
-        alone = (fired + 0.5 * votes.mean(0) + (0.01 if c else 1e-4)) / (n + 1)
-        rates[c, 0] = (fired - both + alone) / (n - up + 1)
-        rates[c, 1] = (both + alone) / (up + 1)
-        # as if ten rows more had been labelled, nine of them rightly
-        annotator[c] = (q[known] @ gold[known] + (9 if c else 1)) / (q[known].sum() + 10)
-    return LabelModel(float(np.clip(p.mean(), 1e-3, 1 - 1e-3)), parent, np.clip(rates, 1e-5, 1 - 1e-5), annotator)
-
-
-def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 20) -> LabelModel:
-    """EM over votes (0 or 1 by voter) and gold (0, 1, or nan where there is no label).
-
-    The labelled rows' labels, taken as right nine times in ten, give the first parameters; then all rows
-    take part, and every fifth round looks for dependences anew.
-    """
-    known = ~np.isnan(gold)
-    alone = np.full(votes.shape[1], -1)
-    model = _fitted(votes[known], gold[known], np.where(gold[known] == 1, 0.9, 0.1), alone, _pairs(votes[known], alone))
-    parent, pairs = alone, _pairs(votes, alone)
+@dataclass
+class Tally:
+    """Sums over rows that a round of EM needs, as one array: by class (0, 1) the rows, those that each voter fires in, its parent, and both,
+    those that the annotator judges, and calls 1; then all rows by voter; then, if asked for, rows by class and two voters."""
+
+    values: np.ndarray
+    m: int
+
+    @classmethod
+    def of(cls, votes: np.ndarray, gold: np.ndarray, n: np.ndarray, model: LabelModel | None, parent: np.ndarray, joint: bool) -> Tally:
+        """Of rows that stand for n each. Without a model the labelled rows alone count, and their labels are right nine times in ten."""
+        pairs, known = _pairs(votes, parent), ~np.isnan(gold)
+        if model is None:
+            n, p = np.where(known, n, 0), np.where(gold == 1, 0.9, 0.1)
+        else:
+            p = model.posterior(votes, gold, _pairs(votes, model.parent))
+        said, parts = np.where(known, gold, 0), []
+        for q in ((1 - p) * n, p * n):
+            parts += [[q.sum()], q @ votes, q @ pairs[0], q @ pairs[1], [q @ known], [q @ said]]
+        parts += [[n.sum()], n @ votes]
+        if joint:
+            parts += [((votes * q[:, None]).T @ votes).ravel() for q in ((1 - p) * n, p * n)]
+        return cls(np.concatenate(parts), votes.shape[1])
+
+    def by_class(self, c: int) -> tuple:
+        """Rows, fired, parents, both, judged, called 1."""
+        m, size = self.m, 3 * self.m + 3
+        v = self.values[c * size : (c + 1) * size]
+        return v[0], v[1 : m + 1], v[m + 1 : 2 * m + 1], v[2 * m + 1 : 3 * m + 1], v[-2], v[-1]
+
+    def tree(self) -> np.ndarray:
+        m, at = self.m, 7 * self.m + 7
+        joints = [self.values[at + c * m * m : at + (c + 1) * m * m].reshape(m, m) for c in (0, 1)]
+        return tree([self.by_class(c)[0] for c in (0, 1)], [self.by_class(c)[1] for c in (0, 1)], joints)
+
+    def fitted(self, parent: np.ndarray) -> LabelModel:
+        """The likeliest parameters, drawn a little to rates of both classes together."""
+        m, at = self.m, 6 * self.m + 6
+        total, mean = self.values[at], self.values[at + 1 : at + 1 + m] / max(self.values[at], 1e-9)
+        rates, annotator = np.zeros((2, 2, m)), np.zeros(2)
+        for c in (0, 1):
+            n, fired, up, both, judged, called = self.by_class(c)
+            alone = (fired + 0.5 * mean + (0.01 if c else 1e-4)) / (n + 1)
+            rates[c, 0] = (fired - both + alone) / (n - up + 1)
+            rates[c, 1] = (both + alone) / (up + 1)
+            # as if ten rows more had been labelled, nine of them rightly
+            annotator[c] = (called + (9 if c else 1)) / (judged + 10)
+        return LabelModel(float(np.clip(self.by_class(1)[0] / max(total, 1e-9), 1e-3, 1 - 1e-3)), parent, np.clip(rates, 1e-5, 1 - 1e-5), annotator)
+
+
+#: A tally of all rows, given the model (None: by labels alone), the parents to count, and whether to count voters by twos.
+Tallies = Callable[[LabelModel | None, np.ndarray, bool], Tally]
+
+
+def expect(tallies: Tallies, m: int, rounds: int = 20) -> LabelModel:
+    """EM over m voters: the labelled rows give the first parameters; then all rows take part, and every fifth round looks for dependences anew."""
+    parent = np.full(m, -1)
+    model = tallies(None, parent, False).fitted(parent)
     for k in range(rounds):
-        p = model.posterior(votes, gold, pairs)
         if k % 5 == 2:
-            parent = dependencies(votes, p)
-            pairs = _pairs(votes, parent)
-        model = _fitted(votes, gold, p, parent, pairs)
+            parent = tallies(model, parent, True).tree()
+        model = tallies(model, parent, False).fitted(parent)
     return model
 
 
+def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 20) -> LabelModel:
+    """expect() over votes (0 or 1 by voter) and gold (0, 1, or nan where there is no label) at hand."""
+    n = np.ones(len(votes))
+    return expect(lambda model, parent, joint: Tally.of(votes, gold, n, model, parent, joint), votes.shape[1], rounds)
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 12) -> tuple[np.ndarray, float]:
     """Weights and bias of a ridge-penalised logistic regression on soft labels, by Newton's steps; rows are taken in parts."""
     d = x.shape[1] + 1
@@ -209,14 +254,15 @@ def _crc() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
 
 
-def sample(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, unlabelled_rows: int = UNLABELLED_ROWS) -> DataFrame:
-    """(doc_id, y, words, patterns) of the rows to learn from; y is null where there is no label. No row is held out."""
-    asked = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(_crc() % 4 != 2).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
-    labelled = asked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").where(_crc() % 4 != 2)
-    others = ids.join(asked, "doc_id", "left_anti").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(unlabelled_rows).select("doc_id", F.lit(None).cast("int").alias("y"))
-    # train_rows + unlabelled_rows rows at most: a broadcast of known size
-    chosen = labelled.unionByName(others)
+def asked_for(labels: DataFrame) -> DataFrame:
+    """(doc_id, y): a label for each labelled row that isn't held out, the larger of several."""
+    return labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(_crc() % 4 != 2).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("y"))
+
+
+def sample(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """(doc_id, y, words, patterns) of the labelled rows to mine and to learn from. No row is held out."""
+    chosen = asked_for(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
+    # train_rows rows at most: a broadcast of known size
     got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
     out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("y", T.IntegerType()), T.StructField("words", T.ArrayType(T.StringType())), T.StructField("patterns", T.ArrayType(T.IntegerType()))])
 
@@ -231,25 +277,29 @@ def sample(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, unl
 
 @dataclass
 class Training:
-    """What the fit learns from: mined terms, inputs of each row (terms, then patterns), and gold (nan: none)."""
+    """The labelled sample: mined terms, inputs of each row (terms, then patterns), and labels."""
 
     terms: list[str]
     x: np.ndarray
     gold: np.ndarray
 
     def votes(self) -> np.ndarray:
-        """The voters' columns of x, and one voter more, who fires where no lexicon voter does."""
-        n = min(VOTERS, len(self.terms))
-        return np.concatenate([self.x[:, :n], self.x[:, len(self.terms) :], self.x[:, :n].sum(1, keepdims=True) == 0], axis=1).astype(np.float64)
+        return ballots(self.x, len(self.terms)).astype(np.float64)
+
 
+def ballots(x: np.ndarray, n_terms: int) -> np.ndarray:
+    """The voters' columns of inputs(), and one voter more, who fires where no lexicon voter does."""
+    n = min(VOTERS, n_terms)
+    return np.concatenate([x[:, :n], x[:, n_terms:], x[:, :n].sum(1, keepdims=True) == 0], axis=1)
 
-def training(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, unlabelled_rows: int = UNLABELLED_ROWS) -> Training | None:
-    """The sample's votes; None without labels of both classes.
 
-    Term counts of the labelled rows are summed by Spark; only terms found in three toxic rows or more reach
-    the driver, at most TERMS of them, ranked by their log likelihood ratio.
+def training(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Training | None:
+    """The labelled sample; None without labels of both classes.
+
+    Term counts are summed by Spark; only terms found in three toxic rows or more reach the driver, at most
+    TERMS of them, ranked by their log likelihood ratio.
     """
-    found = sample(docs, labels, train_rows, unlabelled_rows).persist()
+    found = sample(docs, labels, train_rows).persist()
     try:
         sizes = {r.y: r.n for r in found.groupBy("y").agg(F.count("*").alias("n")).collect()}
         if not sizes.get(0) or not sizes.get(1):
@@ -258,8 +308,7 @@ def training(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, u
         both, share = F.col("a") + F.col("c"), n1 / (n1 + n0)
         gain = F.col("a") * F.log(F.col("a") / (both * share)) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / (both * (1 - share)))).otherwise(0)
         ranked = (
-            found.where("y IS NOT NULL")
-            .select("y", F.explode("words").alias("term"))
+            found.select("y", F.explode("words").alias("term"))
             .groupBy("term")
             .agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("c"))
             .where("a >= 3")
@@ -271,23 +320,69 @@ def training(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, u
         )
         terms = {r.term: k for k, r in enumerate(ranked)}
         kept = F.filter("words", lambda w: w.isin(list(terms)))
-        data = sorted((r.doc_id, -1 if r.y is None else r.y, tuple(r.w), tuple(r.patterns)) for r in found.select("doc_id", "y", kept.alias("w"), "patterns").collect())
+        data = sorted((r.doc_id, r.y, tuple(r.w), tuple(r.patterns)) for r in found.select("doc_id", "y", kept.alias("w"), "patterns").collect())
     finally:
         found.unpersist()
     x = np.zeros((len(data), len(terms) + len(PATTERNS)), np.float32)
     for i, (_, _, held, hit) in enumerate(data):
         x[i, [terms[w] for w in held]] = 1
         x[i, [len(terms) + k for k in hit]] = 1
-    return Training(list(terms), x, np.array([np.nan if r[1] < 0 else r[1] for r in data], float))
+    return Training(list(terms), x, np.array([r[1] for r in data], float))
+
 
+def vote_table(docs: DataFrame, labels: DataFrame, terms: list[str]) -> DataFrame:
+    """(fired, y, n): how many rows that aren't held out have a list of voters that fire, and a label (null: none)."""
+    at = {w: k for k, w in enumerate(terms)}
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, unlabelled_rows: int = UNLABELLED_ROWS) -> Classifier | None:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            # a thousand rows of inputs at a time
+            for part in (b.slice(k, 1000) for k in range(0, b.num_rows, 1000)):
+                fired = [np.flatnonzero(v).tolist() for v in ballots(inputs(part.column(1).to_pylist(), at), len(at))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fired, pa.list_(pa.int16()))], names=["doc_id", "fired"])
+
+    learned = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL").where(_crc() % 4 != 2)
+    voted = learned.mapInArrow(rows, "doc_id long, fired array<smallint>").join(asked_for(labels), "doc_id", "left")
+    return voted.groupBy("fired", "y").agg(F.count("*").alias("n"))
+
+
+def spread_tallies(table_: DataFrame, m: int) -> Tallies:
+    """Tallies of a vote table: each task adds its rows up, Spark the tasks; as many numbers come to the driver as the model has."""
+
+    def tallies(model: LabelModel | None, parent: np.ndarray, joint: bool) -> Tally:
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = 0
+            for b in batches:
+                for part in (b.slice(k, 2000) for k in range(0, b.num_rows, 2000)):
+                    lists = part.column(0)
+                    votes = np.zeros((len(lists), m))
+                    sizes = np.diff(lists.offsets.to_numpy())
+                    votes[np.repeat(np.arange(len(lists)), sizes), lists.flatten().to_numpy()] = 1
+                    gold = part.column(1).cast(pa.float64()).to_numpy(zero_copy_only=False)
+                    total = total + Tally.of(votes, gold, part.column(2).to_numpy().astype(float), model, parent, joint).values
+            if not isinstance(total, int):
+                some = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["at", "value"])
+
+        got = table_.mapInArrow(rows, "at int, value double").groupBy("at").agg(F.round(F.sum("value"), 6).alias("value")).toArrow()
+        values = np.zeros(7 * m + 7 + (2 * m * m if joint else 0))
+        values[got.column(0).to_numpy()] = got.column(1).to_numpy()
+        return Tally(values, m)
+
+    return tallies
+
+
+def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Classifier | None:
     """A classifier of the label model's posteriors; None without labels of both classes."""
-    t = training(docs, labels, train_rows, unlabelled_rows)
+    t = training(docs, labels, train_rows)
     if t is None:
         return None
-    votes = t.votes()
-    weights, bias = logistic(t.x, label_model(votes, t.gold).posterior(votes, t.gold))
+    votes, space = t.votes(), Space(docs.sparkSession, "toxicity")
+    # a file for each task that may run at once
+    counted = space.write(vote_table(docs, labels, t.terms).repartition(docs.sparkSession.sparkContext.defaultParallelism), "votes")
+    model = expect(spread_tallies(counted, votes.shape[1]), votes.shape[1])
+    space.drop(counted)
+    weights, bias = logistic(t.x, model.posterior(votes, t.gold))
     return Classifier({w: k for k, w in enumerate(t.terms)}, weights, bias)
 
 

@@ -27,7 +27,8 @@ def accents() -> tuple[str, str]:
 
 
 def trim(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    # a run inside is looked at from its start only, or a long one would cost the square of its length
+    return F.regexp_replace(c, f"^{WS}+|(?<!{WS}){WS}+$", "")
 
 
 def squeeze(c: Column) -> Column:

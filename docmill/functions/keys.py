@@ -56,6 +56,13 @@ def name_key(c: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(F.filter(words, lambda w: (w != "") & ~w.isin(*HONORIFICS)))), " ")
 
 
+def split_names(c: Column) -> Column:
+    """Names that stand in one cell, by line breaks, semicolons, and hyphens between spaces (EXP-08); hyphens at their ends go, N/D and empty names too."""
+    parts = F.split(F.regexp_replace(F.coalesce(c, F.lit("")), rf"(?i)<br{WS}*/?>", "\n"), rf"[\n;]+|(?<!{WS}){WS}+-{WS}+")
+    bare = F.transform(parts, lambda x: trim(F.regexp_replace(x, rf"^[-{WS_CHARS}]+|(?<![-{WS_CHARS}])[-{WS_CHARS}]+$", "")))
+    return F.filter(bare, lambda x: (x != "") & (F.upper(x) != "N/D"))
+
+
 def folder_key(c: Column) -> Column:
     """Folder name with one kind of separator (KEY-07)."""
     return F.regexp_replace(trim(fold(F.coalesce(c, F.lit("")))), f"[{WS_CHARS}_-]+", "-")

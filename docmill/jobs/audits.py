@@ -195,9 +195,9 @@ w AS (SELECT 'error' AS severity, path AS key, 'no_title' AS rule FROM m WHERE c
   UNION ALL SELECT 'error', path, 'bad_url' FROM m WHERE url IN ('', 'ftp://x') UNION ALL SELECT 'error', path, 'not_routed' FROM m WHERE routed IS NULL UNION ALL SELECT 'error', path, 'bad_sector' FROM m WHERE routed = 'nowhere'
   UNION ALL SELECT 'error', path, 'aggregate' FROM m WHERE path IN ('cursos/overview.md', 'cursos/Listado-Cursos.md') UNION ALL SELECT 'error', path, 'path_repeated' FROM m WHERE pa UNION ALL SELECT 'warning', path, 'title_repeated' FROM m WHERE ta
   UNION ALL SELECT 'error', 'items[' || n || ']', 'no_path' FROM i WHERE path IS NULL UNION ALL SELECT 'error', 'index', 'version' UNION ALL SELECT 'error', 'index', 'last_updated'
-  UNION ALL SELECT 'warning', path, 'not_indexed' FROM f WHERE is_file AND regexp_matches(path, '^(docs|cursos|more)/[^/]*\.md$') AND path NOT IN (SELECT path FROM k))"""
+  UNION ALL SELECT 'warning', path, 'not_indexed' FROM f WHERE is_file AND regexp_matches(path, '^(docs|cursos|more)/[^/]*[.]md$') AND path NOT IN (SELECT path FROM k))"""
 _DATES = "".join(f""",
-s{k} AS (SELECT doc_id, regexp_extract(md, '(?ms)^##{s.WS}+{name}{s.WS}*?$(.*?)(?:^##{s.WS}|\z)', 1) AS body FROM v),
+s{k} AS (SELECT doc_id, regexp_extract(md, '(?ms)^##{s.WS}+{name}{s.WS}*?$(.*?)(?:^##{s.WS}|\\z)', 1) AS body FROM v),
 x{k} AS (SELECT doc_id, unnest(regexp_extract_all(body, '[0-9]{{4}}-[0-9]{{2}}(?:-[0-9]{{2}})?') || regexp_extract_all(body, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}')) AS found FROM s{k} WHERE NOT regexp_matches(body, '(?i)no publicado|consultar|cerrada|a confirmar|por confirmar'))""" for k, name in enumerate(checks.DATED)) + """,
 xs AS (SELECT * FROM x0 UNION ALL SELECT * FROM x1),
 ys AS (SELECT doc_id, CASE WHEN contains(found, '/') THEN string_split(found, '/') ELSE list_reverse(string_split(found || CASE WHEN length(found) = 7 THEN '-28' ELSE '' END, '-')) END AS a FROM xs),
@@ -219,7 +219,7 @@ SELECT doc_id, name, found FROM y WHERE CAST(a[3] AS INTEGER) BETWEEN 2000 AND 2
     "document_check": f"""
 WITH {_VERDICTS}{_DATES}, u AS (SELECT v.*, coalesce(n_past, 0) AS n_past, length(md) / nullif(CASE WHEN n % 9 = 0 THEN 4 * length(md) WHEN n % 9 = 1 THEN least(length(md), 100) END, 0) AS ratio FROM v LEFT JOIN past USING (doc_id)),
 e AS (SELECT doc_id, len(missing) + len(prohibited) + len(placeholders) + CASE WHEN no_closing THEN 1 ELSE 0 END + CASE WHEN ratio < 0.3 THEN 1 ELSE 0 END AS n_errors, n_past + CASE WHEN ratio > 3.0 THEN 1 ELSE 0 END + CASE WHEN regexp_matches(md, '(?i)PENDIENTE — draft autogenerado') THEN 1 ELSE 0 END AS n_warnings,
-  len(list_distinct(regexp_extract_all(regexp_extract(md, '(?ms)^##{s.WS}+Fuentes consultadas{s.WS}*?$.*', 0), 'https?://[^\s)<>"''`]+[^\s)<>"''`.,;:]'))) AS n_urls FROM u)
+  len(list_distinct(regexp_extract_all(regexp_extract(md, '(?ms)^##{s.WS}+Fuentes consultadas{s.WS}*?$.*', 0), 'https?://[^\\s)<>"''`]+[^\\s)<>"''`.,;:]'))) AS n_urls FROM u)
 SELECT doc_id, n_errors = 0 AS ok, n_errors, n_warnings, n_urls FROM e""",
     "size_gate": "SELECT a.doc_id, CASE WHEN length(b.text) > 0 THEN CASE WHEN length(a.text) / length(b.text) < 0.3 THEN 'error' WHEN length(a.text) / length(b.text) > 3.0 THEN 'warning' ELSE 'ok' END END AS gate FROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id + 1",
     "index_violations": f"WITH {_INDEX} SELECT severity, key, rule FROM w",

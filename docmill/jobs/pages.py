@@ -139,8 +139,8 @@ p AS (SELECT page_id, url, {_HOST} AS host, {s.rr(_PATH, '/+$')} AS path, {s.htm
 b AS (SELECT *, list_filter(string_split(CASE WHEN starts_with(lower(path), '/en') THEN substr(path, 4) ELSE path END, '/'), lambda x: x <> '' AND lower(x) <> 'categorias') AS parts,
   list_contains(list_transform(string_split(path, '/'), lambda x: lower(x)), 'categorias') AS archive FROM p),
 d AS (SELECT *, CASE WHEN len(parts) = 0 THEN 'english' ELSE {s.slug("array_to_string(parts, '-')")} END AS base FROM b),
-x AS (SELECT page_id, host, 'english-' || base AS slug, 'kb/' || base || '.md' AS path, row_number() OVER (PARTITION BY base ORDER BY page_id) > 1 AS collision,
-  CASE WHEN text = '' THEN 'errored' WHEN archive THEN 'archive' WHEN length({s.squeeze('text')}) >= 200 THEN 'important' ELSE 'low' END AS class FROM d)"""
+k AS (SELECT page_id, host, base, CASE WHEN text = '' THEN 'errored' WHEN archive THEN 'archive' WHEN length({s.squeeze('text')}) >= 200 THEN 'important' ELSE 'low' END AS class FROM d),
+x AS (SELECT page_id, host, 'english-' || base AS slug, 'kb/' || base || '.md' AS path, class, class = 'important' AND row_number() OVER (PARTITION BY base, class = 'important' ORDER BY page_id) > 1 AS collision FROM k)"""
 
 QUERIES = {f.__name__: f for f in (page_extract, page_blog_extract, page_landing, menu_links, section_links, page_links, link_kinds, page_signals, section_documents, section_counts, crawl_reach, crawl_capped, crawl_site, raw_envelope, url_checks)}
 SQL = {

@@ -162,6 +162,19 @@ def teacher_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.inverted_index(rows, "name", "ord", ["subject", "group"])
 
 
+def teacher_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-07, EXP-08, ORD-02, STR-02: the index of teachers as a document in blocks of 100 lines; every third cell holds two names."""
+    o = table(spark, sf_dir, "orders")
+    n = F.col("o_orderkey")
+    one = F.concat(F.when(n % 3 == 0, "Dra. ").otherwise(""), F.when(n % 2 == 0, F.concat(F.lit("Pérez "), F.trim("o_orderpriority"))).otherwise(F.concat(F.trim("o_orderpriority"), F.lit(", PEREZ"))))
+    rows = o.select(
+        F.when(n % 3 == 1, F.concat(one, F.lit(" - roe "), F.lower("o_orderstatus"), F.lit(" -"))).when(n % 11 == 0, "N/D").otherwise(one).alias("teacher"), F.concat(F.lit("Materia | "), F.col("o_custkey") % 50).alias("subject"),
+        F.when(n % 4 > 0, F.concat(F.lit("Com.<br>"), n % 4)).alias("commission"), F.when(n % 5 == 0, "Ver horarios").otherwise("Lunes").alias("day"), F.when(n % 7 > 0, F.concat(n % 7, F.lit(" hs"))).alias("hours"), n.alias("ord"),
+    )
+    blocks = routing.teacher_table(rows, size=100)
+    return blocks.select("block", "n_lines", F.length("md").alias("length"), F.sha2("md", 256).alias("hash"))
+
+
 #: Rules over parts: their brand is the path, their name the title, their type the category.
 TAXONOMY = routing.Taxonomy(
     sectors={"first": routing.Match(path_prefix=("brand#1",)), "metal": routing.Match(category_includes=("steel", "brass"), title_includes=("7",)), "third": routing.Match(path_includes=("#3",)), "exact": routing.Match(category_equals=("promo tin",))},
@@ -234,7 +247,7 @@ _ROUTED = """
 r AS (SELECT p_partkey, CASE WHEN lower(p_name) LIKE '%99%' THEN 'third' WHEN p_partkey % 10 = 0 THEN 'exact' WHEN lower(p_name) LIKE '%99%' THEN 'third' WHEN lower(p_brand) LIKE '%2%' THEN 'metal' WHEN lower(p_brand) LIKE 'brand#1%' THEN 'first'
   WHEN lower(p_name) LIKE '%7%' OR lower(p_type) LIKE '%steel%' OR lower(p_type) LIKE '%brass%' THEN 'metal' WHEN lower(p_brand) LIKE '%#3%' THEN 'third' WHEN lower(p_type) = 'promo tin' THEN 'exact' ELSE 'rest' END AS routed FROM part)"""
 
-QUERIES = {f.__name__: f for f in (exam_rows, schedule_rows, csv_schedule_rows, headless_schedule_rows, elective_rows, exam_tables, schedule_tables, fill_down, segment_runs, nearest_above, asof_header, keep_first, teacher_index, route_rules, route_many_rules, routing_counts, alias_lookup, reply_sectors, token_overlap_top3)}
+QUERIES = {f.__name__: f for f in (exam_rows, schedule_rows, csv_schedule_rows, headless_schedule_rows, elective_rows, exam_tables, schedule_tables, fill_down, segment_runs, nearest_above, asof_header, keep_first, teacher_index, teacher_document, route_rules, route_many_rules, routing_counts, alias_lookup, reply_sectors, token_overlap_top3)}
 SQL = {
     "exam_rows": f"WITH {_EXAM} SELECT * FROM exam",
     "schedule_rows": f"WITH {_SCHEDULE} SELECT sheet, start, r, subject, commission, day, hours, teacher FROM sched WHERE shown",
@@ -263,6 +276,16 @@ SELECT CAST(sheet AS VARCHAR) AS sheet, r, 'Optativa ' || k AS subject, commissi
     "teacher_index": f"""
 WITH n AS (SELECT {_NAME} AS name, o_custkey % 50 AS subject, o_orderstatus AS "group", o_orderkey AS ord FROM orders), k AS (SELECT *, {s.name_key('name')} AS name_key FROM n), d AS (SELECT name_key, arg_min(name, ord) AS display FROM k GROUP BY 1)
 SELECT name_key, display, subject, "group", min(ord) AS ord FROM k JOIN d USING (name_key) WHERE name_key <> '' GROUP BY ALL""",
+    "teacher_document": f"""
+WITH o AS (SELECT o_orderkey AS n, {_NAME.replace('o_orderpriority', 'trim(o_orderpriority)')} AS one, lower(o_orderstatus) AS st, o_custkey FROM orders),
+r AS (SELECT n, CASE WHEN n % 3 = 1 THEN [one, 'roe ' || st] WHEN n % 11 = 0 THEN [] ELSE [one] END AS names, 'Materia / ' || (o_custkey % 50) AS subject, CASE WHEN n % 4 > 0 THEN 'Com. ' || (n % 4) ELSE 'N/D' END AS commission,
+  CASE WHEN n % 5 > 0 AND n % 7 > 0 THEN 'Lunes — ' || (n % 7) || ' hs' WHEN n % 5 > 0 THEN 'Lunes' WHEN n % 7 > 0 THEN (n % 7) || ' hs' ELSE 'N/D' END AS time FROM o),
+e AS (SELECT n, unnest(names) AS name, unnest(range(len(names))) AS i, subject, commission, time FROM r), k AS (SELECT *, {s.name_key('name')} AS key FROM e),
+d AS (SELECT key, arg_min(name, n * 10 + i) AS display FROM k GROUP BY key), u AS (SELECT key, subject, commission, time, min(n * 10 + i) AS ord FROM k GROUP BY ALL),
+p AS (SELECT '| ' || display || ' | ' || subject || ' | ' || commission || ' | ' || time || ' |' AS line, row_number() OVER (ORDER BY key, ord, subject, commission, time) AS place FROM u JOIN d USING (key)),
+b AS (SELECT (place - 1) // 100 + 1 AS block, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY place) AS md FROM p GROUP BY 1
+  UNION ALL SELECT 0, count(*), '| Docente | Materia | Comisión | Día y Horario |' || chr(10) || '| :--- | :--- | :--- | :--- |' FROM p)
+SELECT block, n_lines, length(md) AS length, sha256(md) AS hash FROM b""",
     "route_rules": f"WITH {_ROUTED} SELECT p_partkey, routed FROM r",
     "route_many_rules": """
 WITH t AS (SELECT p_partkey, p_brand, p_partkey || ' ' || lower(p_name) AS title FROM part), n AS (SELECT CAST(j AS VARCHAR) AS needle, (j - 100) % 40 AS k FROM range(100, 3100) x(j)),

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmill.functions import dates, keys, text
-from docmill.functions.charset import WS, squeeze
 from docmill.jobs import sqltext as s
 from docmill.operators import sections
 from docmill.sources.tables import table
@@ -146,11 +145,9 @@ def bullet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def name_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """EXP-08: names in one cell apart (line breaks, semicolons, hyphens between spaces; commas stay)."""
-    cell = F.concat(_head(), F.lit(" ; N/D - "), F.substring_index("text", " ", 2), F.lit("<br/>x, y"))
-    parts = F.split(F.regexp_replace(cell, rf"(?i)<br{WS}*/?>", "\n"), rf"\n|;|{WS}-{WS}")
-    clean = F.filter(F.transform(parts, squeeze), lambda x: (x != "") & (F.upper(x) != "N/D"))
-    return _docs(spark, sf_dir).select("doc_id", F.posexplode(clean).alias("ord", "name"))
+    """EXP-08: names in one cell apart (line breaks, semicolons, hyphens between spaces; commas stay), without hyphens at their ends."""
+    cell = F.concat(F.lit("- "), _head(), F.lit(" -; N/D  - "), F.substring_index("text", " ", 2), F.lit("<br/>x, y-"))
+    return _docs(spark, sf_dir).select("doc_id", F.posexplode(keys.split_names(cell)).alias("ord", "name"))
 
 
 _H = "split_part(text, chr(10), 1)"
@@ -207,6 +204,7 @@ o AS (SELECT doc_id, name, arg_max(body, run) AS body FROM g WHERE body <> '' GR
 SELECT doc_id, name, length(body) AS length, sha256(body) AS hash FROM o""",
     "bullet_lines": f"SELECT doc_id, len(b) AS n_items, sha256(array_to_string(b, chr(10))) AS hash FROM (SELECT doc_id, [CASE WHEN regexp_matches(x, '^[-*]{s.WS}+') THEN x ELSE '- ' || x END for x in list_filter([{s.squeeze('y')} for y in string_split(coalesce(text, ''), chr(10))], lambda z: z <> '')] AS b FROM documents)",
     "name_lists": f"""
-WITH c AS (SELECT doc_id, list_filter([{s.squeeze('y')} for y in string_split({s.rr(f"{_H} || ' ; N/D - ' || array_to_string(string_split(text, ' ')[1:2], ' ') || chr(10) || 'x, y'", f';|{s.WS}-{s.WS}', 'chr(10)')}, chr(10))], lambda z: z <> '' AND upper(z) <> 'N/D') AS p FROM documents)
+WITH g AS (SELECT doc_id, '- ' || {_H} || ' -; N/D  - ' || array_to_string(string_split(text, ' ')[1:2], ' ') || chr(10) || 'x, y-' AS cell FROM documents),
+c AS (SELECT doc_id, list_filter([{s.trim(s.rr('y', f'^[-{s.WS[1:-1]}]+|[-{s.WS[1:-1]}]+$'))} for y in string_split({s.rr('cell', f'[;' + chr(92) + f'n]+|{s.WS}+-{s.WS}+', 'chr(10)')}, chr(10))], lambda z: z <> '' AND upper(z) <> 'N/D') AS p FROM g)
 SELECT doc_id, unnest(p) AS name, CAST(unnest(range(len(p))) AS INTEGER) AS ord FROM c""",
 }

@@ -7,9 +7,21 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docmill.operators.ranks import numbered
 from docmill.session import cut
 
 
+#: Up to so many rows are numbered by one task; more of them in ranges (ranks.numbered).
+ONE_TASK = 100_000
+
+
+def placed(df: DataFrame, order: list[str], most: int, name: str) -> DataFrame:
+    """The first ``most`` rows of df in the order of some columns, with their places from 0."""
+    if most <= ONE_TASK:
+        return df.orderBy(*order).limit(most).withColumn(name, F.row_number().over(Window.orderBy(*order)) - 1)
+    return numbered(df, order, name).where(F.col(name) <= most).withColumn(name, F.col(name) - 1)
+
+
 def reach(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """(node, depth) of all that can be reached from roots, however deep; edges are (src, dst)."""
     level = cut(roots.select("node").distinct())
@@ -32,11 +44,10 @@ def crawl(pages: DataFrame, links: DataFrame, roots: DataFrame, max_depth: int,
     A level takes its pages in the order in which they were found, as far as the budget goes. A page whose
     final address was fetched before is dropped, with its links; a failed one uses up budget. A link is
     queued while fetched and queued pages together are below the budget, else it is pending, as is all that
-    is queued when depth or budget end. Ranks are taken among max_pages rows at most; links are joined by
-    Spark, whatever their number.
+    is queued when depth or budget end. Places in a level are taken among max_pages rows at most, in ranges if
+    these are many; links are joined by Spark, whatever their number.
     """
-    place = lambda *c: F.row_number().over(Window.orderBy(*c)) - 1
-    queue = cut(roots.groupBy("node").agg(F.min("ord").alias("ord")).orderBy("ord", "node").limit(max_pages).select("node", place("ord", "node").alias("pos")))
+    queue = cut(placed(roots.groupBy("node").agg(F.min("ord").alias("ord")), ["ord", "node"], max_pages, "pos").select("node", "pos"))
     visited = queue.select("node")
     finals = cut(queue.select(F.col("node").alias("final")).limit(0))
     done, pending, n = [], [], 0
@@ -49,7 +60,7 @@ def crawl(pages: DataFrame, links: DataFrame, roots: DataFrame, max_depth: int,
         read = got.where("NOT failed").groupBy("final").agg(F.min("pos").alias("pos")).join(finals, "final", "left_anti")
         good = read.select("pos", F.col("final").alias("node"), F.lit("fetched").alias("status"))
         bad = got.where("failed").select("pos", "node", F.lit("failed").alias("status"))
-        counted = cut(good.unionByName(bad).withColumn("so_far", place("pos") + 1 + n))
+        counted = cut(placed(good.unionByName(bad), ["pos"], max_pages, "so_far").withColumn("so_far", F.col("so_far") + 1 + n))
         done.append(counted.select("node", F.lit(depth).alias("depth"), "status"))
         fetched = counted.where("status = 'fetched'").select("pos", "node", "so_far")
         # a page's own final address counts as visited from its turn on
@@ -57,8 +68,8 @@ def crawl(pages: DataFrame, links: DataFrame, roots: DataFrame, max_depth: int,
         seen = links.join(fetched, "node").select("pos", "so_far", "ord", "dst").join(visited.withColumnRenamed("node", "dst"), "dst", "left_anti")
         seen = seen.join(turn, "dst", "left").where("turn IS NULL OR turn > pos").groupBy("dst").agg(F.min(F.struct("pos", "ord", "so_far")).alias("at"))
         # all links up to the first that finds no room are queued, so only max_pages of them can be
-        first = seen.orderBy("at.pos", "at.ord", "dst").limit(max_pages).select("dst", "at.so_far", place("at.pos", "at.ord", "dst").alias("pos"))
         seen, n = cut(seen), n + counted.count()
+        first = placed(seen.select("dst", "at.so_far", F.col("at.pos").alias("from"), F.col("at.ord").alias("ord")), ["from", "ord", "dst"], max_pages, "pos")
         queue = cut(first.where(F.col("so_far") + F.col("pos") < max_pages).select(F.col("dst").alias("node"), "pos"))
         pending.append(seen.select(F.col("dst").alias("node")).join(queue, "node", "left_anti"))
         finals = cut(finals.unionByName(fetched.select(F.col("node").alias("final"))))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from docmill.functions import keys, text, urls
 from docmill.functions.charset import END_WORD, squeeze
+from docmill.operators.unique import repeats
+from docmill.session import cut
 
 HREF = rf"""(?i)<a{END_WORD}[^>]*href\s*=\s*["']([^"']+)["']"""
 ANCHOR = rf"""(?is)<a{END_WORD}[^>]*href\s*=\s*["']([^"']+)["'][^>]*>(.*?)</a>"""
@@ -72,14 +74,16 @@ def host_signals(pages: DataFrame, word: str, second: str) -> DataFrame:
 
 
 def section_candidates(pages: DataFrame, prefix: str, section_id: str, folder: str, least: int = 200) -> DataFrame:
-    """Slug, path, class and path collision of each page of a section (RUL-04); later pages of a path collide (WIN-04)."""
+    """Slug, path, class and path collision of each page of a section (RUL-04); of important pages, which become documents, later ones of a path collide (WIN-04)."""
     path = F.regexp_replace(urls.path("url"), "/+$", "")
     base = keys.section_slug(path, prefix, section_id)
     archive = F.array_contains(F.transform(F.split(path, "/"), F.lower), "categorias")
     t = pages.select("page_id", urls.host("url").alias("host"), base.alias("base"), archive.alias("archive"), text.html_to_text(text.crop_main(F.col("html"))).alias("text"))
     kind = F.when(F.col("text") == "", "errored").when(F.col("archive"), "archive").when(text.clean_length(F.col("text")) >= least, "important").otherwise("low")
-    first = Window.partitionBy("base").orderBy("page_id")
-    return t.select("page_id", "host", F.concat(F.lit(f"{section_id}-"), "base").alias("slug"), F.concat(F.lit(f"{folder}/"), "base", F.lit(".md")).alias("path"), kind.alias("class"), (F.row_number().over(first) > 1).alias("collision"))
+    # the class costs a page's whole text, so it is worked out once
+    known = cut(t.select("page_id", "host", F.concat(F.lit(f"{section_id}-"), "base").alias("slug"), F.concat(F.lit(f"{folder}/"), "base", F.lit(".md")).alias("path"), kind.alias("class")))
+    again = repeats(known.where("class = 'important'"), {"path": F.col("path")}, "page_id").select(F.col("place").alias("page_id"), F.lit(True).alias("again"))
+    return known.join(again, "page_id", "left").withColumn("collision", F.coalesce("again", F.lit(False))).drop("again")
 
 
 def check_urls(parts: list[DataFrame]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docmill.functions.dates import whole_days
+from docmill.operators.ranks import numbered
 
 DRAFT = r"(?iu)PENDIENTE — draft autogenerado(?: el)? (\d{4}-\d{2}-\d{2})"
 REVIEWED = r"(?iu)\*\*Última revisión humana\*\*:?\s*(\d{4}-\d{2}-\d{2})"
@@ -74,6 +75,19 @@ def md_table(rows: DataFrame, by: list[str], order: list[str], header: dict[str,
     return rows.groupBy(*by).agg(F.concat(F.lit(head), F.array_join(lines, "\n")).alias("md"))
 
 
+def blocks(lines: DataFrame, order: list[str], header: str, size: int = 1000, empty: str = "") -> DataFrame:
+    """(block, n_lines, md): a document whose lines may be more than a task holds, in the order of some columns (AGG-07, ORD-02).
+
+    lines: a column line, and those of the order. Block 0 is the manifest: the header, or the text for an empty
+    document, and the number of all lines. Blocks 1, 2, ... hold ``size`` lines each; all blocks joined by line breaks are
+    the document. Places come from ranges of the order, so no task sees more than its range or block.
+    """
+    placed = numbered(lines.select(*order, "line"), order, "place")
+    body = placed.groupBy((F.floor((F.col("place") - 1) / size) + 1).alias("block")).agg(F.count("*").alias("n_lines"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "line"))), lambda x: x.line), "\n").alias("md"))
+    head = lines.agg(F.count("*").alias("n_lines")).select(F.lit(0).cast("long").alias("block"), "n_lines", F.when(F.col("n_lines") > 0, header).otherwise(empty).alias("md"))
+    return head.unionByName(body)
+
+
 def document(title: Column, parts: dict[str, Column], closing: Column) -> Column:
     """A Markdown document: title, one section for each part that isn't empty, closing line (RND-03 to RND-05, SNK-02)."""
     body = [F.when(F.coalesce(p, F.lit("")) != "", F.concat(F.lit(f"## {name}\n\n"), p)) for name, p in parts.items()]

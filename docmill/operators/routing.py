@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docmill.functions import keys
+from docmill.functions.charset import WS, squeeze
+from docmill.functions.dates import join_weekday
+from docmill.operators import reports
 from docmill.session import cut
 
 
@@ -224,3 +227,28 @@ def inverted_index(rows: DataFrame, name: str, order: str, columns: list[str]) -
     shown = keyed.groupBy("name_key").agg(F.min_by(name, order).alias("display"))
     once = keyed.groupBy("name_key", *columns).agg(F.min(order).alias("ord"))
     return once.join(shown, "name_key").select("name_key", "display", *columns, "ord")
+
+
+# The head of the teachers' table.
+TEACHERS = "| Docente | Materia | Comisión | Día y Horario |\n| :--- | :--- | :--- | :--- |"
+
+
+def teacher_table(rows: DataFrame, size: int = 1000, locale: str = "es") -> DataFrame:
+    """The index of teachers as a document in blocks (AGG-07, EXP-08, STR-02, ORD-02); see reports.blocks().
+
+    rows: teacher (a cell that may hold several names), subject, commission, day, hours, ord. Each name, whichever way it
+    is written, is shown as it is first; its cleaned rows stand once, in the order of their first occurrence, and names in
+    the order of a language.
+    """
+    each = rows.select(F.posexplode(keys.split_names(F.col("teacher"))).alias("at", "name"), cell(F.col("subject")).alias("subject"), cell(F.col("commission")).alias("commission"), cell(join_weekday(F.col("day"), F.col("hours"))).alias("time"), F.struct("ord").alias("place"))
+    each = each.select("name", "subject", "commission", "time", F.struct("place.ord", "at").alias("ord"))
+    index = inverted_index(each, "name", "ord", ["subject", "commission", "time"])
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", "display", "subject", "commission", "time"), F.lit(" |"))
+    lines = index.select(F.expr(f"name_key COLLATE {locale}").alias("k1"), F.col("name_key").alias("k2"), F.col("ord.ord").alias("k3"), F.col("ord.at").alias("k4"), line.alias("line"))
+    return reports.blocks(lines, ["k1", "k2", "k3", "k4", "line"], TEACHERS, size, "_No hay docentes registrados en la planilla._")
+
+
+def cell(c: Column) -> Column:
+    """A value for a table: line breaks and white space to one blank, bars to slashes, N/D for nothing."""
+    c = F.replace(F.regexp_replace(F.coalesce(c, F.lit("")), rf"(?i)<br{WS}*/?>", " "), F.lit("|"), F.lit("/"))
+    return F.coalesce(F.nullif(squeeze(c), F.lit("")), F.lit("N/D"))

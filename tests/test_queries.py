@@ -65,8 +65,10 @@ def test_crawl_with_faults_equals_a_loop(spark):
     assert got == loop(*lists(*site(spark, SF)), 6, 200)
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_crawls_of_random_sites_equal_a_loop(spark, seed):
+@pytest.mark.parametrize(("seed", "one_task"), [(0, 100_000), (1, 100_000), (2, 100_000), (3, 100_000), (1, 2)])
+def test_crawls_of_random_sites_equal_a_loop(spark, monkeypatch, seed, one_task):
+    """Also with places that are numbered in ranges, as those of large levels are."""
+    monkeypatch.setattr(crawl, "ONE_TASK", one_task)
     rng = random.Random(seed)
     n = 40
     pages = [(k, rng.choice([k, k, k, rng.randrange(n)]), rng.random() < 0.15) for k in range(n - 5)]

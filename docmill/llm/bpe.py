@@ -6,7 +6,8 @@ follows the file's own steps (NFC, white space, lower case, split, byte letters)
 worker keeps the codes of short ones it has met, up to a number of bytes, and gives out rows by bytes too.
 
 Null and empty texts have no codes: n_tokens 0, and the digests of empty strings. Texts are encoded
-whole, one by one; repeated rows give equal rows, and there is no shuffle.
+whole, one by one; repeated rows give equal rows, and there is no shuffle. Characters of which Python's Unicode tables
+say other than the tokenizers library's (most of them newer than either) are cut and lower-cased by the library.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 from docmill.llm.common import fresh, slices, table
 from docmill.llm.memo import Memo
@@ -120,6 +122,10 @@ class WordBpe:
         contractions = "'s|'t|'re|'ve|'m|'ll|'d"
         self.ascii = re.compile(rf"{contractions}|[a-z]+|[0-9]|[^a-z0-9]+")
         self.any = regex.compile(rf"{contractions}|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
+        # three sets of Unicode tables meet here: a character counts as known once Python's say of it what the library's do
+        library = Tokenizer.from_file(path)
+        self.library_form, self.library_split = library.normalizer, library.pre_tokenizer[0]
+        self.agreed, self.odd = set(map(chr, range(128))), set()
         # memos hold codes as bytes, which take a quarter of what lists or texts of them take
         size = max(self.strings) + 1
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
@@ -134,15 +140,31 @@ class WordBpe:
         ids[-1] = self.last[data[-1]]
         return b"".join([code[i] for i in merge(ids, self.after)])
 
+    def _cut(self, chunk: str) -> list[str]:
+        """The words of a chunk by Python's Unicode tables."""
+        if not unicodedata.is_normalized("NFC", chunk):
+            chunk = unicodedata.normalize("NFC", chunk)
+        return self.any.findall("".join(c.lower() for c in chunk) if "Σ" in chunk else chunk.lower())
+
+    def _library_cut(self, chunk: str) -> list[str]:
+        """The words of a chunk by the tokenizers library's tables."""
+        return [w for w, _ in self.library_split.pre_tokenize_str(self.library_form.normalize_str(chunk))]
+
+    def _agrees(self, c: str) -> bool:
+        """Whether the tables of both sides say the same of a character; one that Python doesn't know is left to the library."""
+        return unicodedata.category(c) != "Cn" and all(self._cut(x) == self._library_cut(x) for x in (c, f"1{c}1", f"a{c}.", f"{c}a", f"é{c}"))
+
     def _plain(self, chunk: str) -> bytes:
         """Codes of a chunk without white space and special strings."""
         if chunk.isascii():
             found = self.ascii.findall(chunk.lower())
+        elif self.agreed.issuperset(chunk):
+            found = self._cut(chunk)
         else:
-            if not unicodedata.is_normalized("NFC", chunk):
-                chunk = unicodedata.normalize("NFC", chunk)
-            chunk = "".join(c.lower() for c in chunk) if "Σ" in chunk else chunk.lower()
-            found = self.any.findall(chunk)
+            # each character is asked about once
+            for c in set(chunk) - self.agreed - self.odd:
+                (self.agreed if self._agrees(c) else self.odd).add(c)
+            found = self._cut(chunk) if self.agreed.issuperset(chunk) else self._library_cut(chunk)
         return self.words[found[0]] if len(found) == 1 else b"".join(map(self.words.__getitem__, found))
 
     def _chunk(self, chunk: str) -> bytes:

@@ -8,6 +8,7 @@ import sys
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
@@ -31,6 +32,17 @@ def test_word_bpe_equals_the_library(texts):
         assert own.text(t) == (len(e.ids), " ".join(map(str, e.ids)), lib.decode(e.ids, skip_special_tokens=False)), t[:60]
 
 
+def test_word_bpe_equals_the_library_for_every_code_point():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), bpe.WordBpe(path)
+    texts = [f"1{c}1 a {c}." for n in range(0x20, 0x110000) if n < 0x33480 or 0xE0000 <= n < 0xE0200 for c in (chr(n),) if not 0xD800 <= n < 0xE000]
+    library.no_truncation()
+    library.no_padding()
+    for k in range(0, len(texts), 20_000):
+        some = texts[k : k + 20_000]
+        assert [own.text(x)[1] for x in some] == [" ".join(map(str, e.ids)) for e in library.encode_batch(some, add_special_tokens=False)]
+
+
 def test_merge_takes_ranks_then_places():
     after = bpe.followers(8, [(2, 2, 3), (1, 1, 2), (2, 1, 4)])
     assert bpe.merge([1, 1, 1, 1], after) == [3]

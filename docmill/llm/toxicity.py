@@ -330,20 +330,32 @@ def training(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
     return Training(list(terms), x, np.array([r[1] for r in data], float))
 
 
-def vote_table(docs: DataFrame, labels: DataFrame, terms: list[str]) -> DataFrame:
-    """(fired, y, n): how many rows that aren't held out have a list of voters that fire, and a label (null: none)."""
+def marked(docs: DataFrame, terms: list[str]) -> DataFrame:
+    """docs with marks, the columns of inputs() that are 1, in place of the text: all that a text says to the voters and the classifier."""
     at = {w: k for k, w in enumerate(terms)}
+    column = docs.columns.index("text")
+    schema = T.StructType([*(f for f in docs.schema.fields if f.name != "text"), T.StructField("marks", T.ArrayType(T.ShortType()))])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             # a thousand rows of inputs at a time
             for part in (b.slice(k, 1000) for k in range(0, b.num_rows, 1000)):
-                fired = [np.flatnonzero(v).tolist() for v in ballots(inputs(part.column(1).to_pylist(), at), len(at))]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fired, pa.list_(pa.int16()))], names=["doc_id", "fired"])
+                marks = [np.flatnonzero(x).tolist() for x in inputs(part.column(column).to_pylist(), at)]
+                yield pa.RecordBatch.from_arrays([*(c for k, c in enumerate(part.columns) if k != column), pa.array(marks, pa.list_(pa.int16()))], names=schema.names)
 
-    learned = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL").where(_crc() % 4 != 2)
-    voted = learned.mapInArrow(rows, "doc_id long, fired array<smallint>").join(asked_for(labels), "doc_id", "left")
-    return voted.groupBy("fired", "y").agg(F.count("*").alias("n"))
+    return docs.mapInArrow(rows, schema)
+
+
+def vote_table(marks: DataFrame, labels: DataFrame, n_terms: int) -> DataFrame:
+    """(fired, y, n): of marks (doc_id, marks), how many rows that aren't held out have a list of voters that fire, and a label (null: none).
+
+    Voters are numbered as ballots() has them: terms, patterns, and the one who fires where no term does.
+    """
+    n = min(VOTERS, n_terms)
+    lexicon, patterns = F.filter("marks", lambda m: m < n), F.transform(F.filter("marks", lambda m: m >= n_terms), lambda m: m - n_terms + n)
+    silent = F.when(F.size(lexicon) == 0, F.array(F.lit(n + len(PATTERNS)))).otherwise(F.array().cast("array<int>"))
+    voted = marks.where("doc_id IS NOT NULL").where(_crc() % 4 != 2).select("doc_id", F.concat(lexicon.cast("array<int>"), patterns.cast("array<int>"), silent).cast("array<smallint>").alias("fired"))
+    return voted.join(asked_for(labels), "doc_id", "left").groupBy("fired", "y").agg(F.count("*").alias("n"))
 
 
 def spread_tallies(table_: DataFrame, m: int) -> Tallies:
@@ -374,16 +386,43 @@ def spread_tallies(table_: DataFrame, m: int) -> Tallies:
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Classifier | None:
     """A classifier of the label model's posteriors; None without labels of both classes."""
+    space = Space(docs.sparkSession, "toxicity")
+    made = learn(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels, space, train_rows)
+    if made is None:
+        return None
+    space.drop(made[1])
+    return made[0]
+
+
+def learn(docs: DataFrame, labels: DataFrame, space: Space, train_rows: int = TRAIN_ROWS) -> tuple[Classifier, DataFrame] | None:
+    """The classifier, and marked() of all docs (doc_id, text, ...), which is written, so that texts are read once; None without labels of both classes."""
     t = training(docs, labels, train_rows)
     if t is None:
         return None
-    votes, space = t.votes(), Space(docs.sparkSession, "toxicity")
+    votes, marks = t.votes(), space.write(marked(docs, t.terms), "marks")
     # a file for each task that may run at once
-    counted = space.write(vote_table(docs, labels, t.terms).repartition(docs.sparkSession.sparkContext.defaultParallelism), "votes")
+    counted = space.write(vote_table(marks, labels, len(t.terms)).repartition(docs.sparkSession.sparkContext.defaultParallelism), "votes")
     model = expect(spread_tallies(counted, votes.shape[1]), votes.shape[1])
     space.drop(counted)
     weights, bias = logistic(t.x, model.posterior(votes, t.gold))
-    return Classifier({w: k for k, w in enumerate(t.terms)}, weights, bias)
+    return Classifier({w: k for k, w in enumerate(t.terms)}, weights, bias), marks
+
+
+def score_marks(marks: DataFrame, classifier: Classifier, least: float = 0.3) -> DataFrame:
+    """marked() rows with score and predicted in place of the marks."""
+    weights, bias = classifier.weights, classifier.bias
+    kept = [f for f in marks.schema.fields if f.name != "marks"]
+    schema = T.StructType([*kept, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column(len(kept))
+            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            z = bias + np.bincount(row, weights[lists.flatten().to_numpy()], len(lists))
+            s = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], pa.array(s), pa.array((s >= least).astype(np.int32))], names=schema.names)
+
+    return marks.select(*(f.name for f in kept), "marks").mapInArrow(rows, schema)
 
 
 def score(docs: DataFrame, classifier: Classifier | None, least: float = 0.3) -> DataFrame:
@@ -402,7 +441,6 @@ def score(docs: DataFrame, classifier: Classifier | None, least: float = 0.3) ->
 
 def op2_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score and prediction of every document; labels of held-out rows are never read into the fit."""
-    docs = table(spark, sf_dir, "documents")
-    classifier = fit(docs, table(spark, sf_dir, "labels"))
-    out = score(docs.select("doc_id", (_crc() % 4 == 2).alias("held_out"), "text"), classifier)
-    return out.drop("text")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), (_crc() % 4 == 2).alias("held_out"), "text")
+    made = learn(docs, table(spark, sf_dir, "labels"), Space(spark, "toxicity"))
+    return score(docs, None).drop("text") if made is None else score_marks(made[1], made[0])

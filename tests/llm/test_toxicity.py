@@ -131,7 +131,7 @@ def test_em_over_all_rows_equals_em_at_hand(spark):
     gold = {r.doc_id: r.toxic for r in labels.collect()}
     votes = toxicity.ballots(toxicity.inputs(list(texts.values()), {w: k for k, w in enumerate(t.terms)}), len(t.terms))
     y = np.array([gold.get(i, np.nan) for i in texts], float)
-    table = toxicity.vote_table(docs, labels, t.terms)
+    table = toxicity.vote_table(toxicity.marked(docs.select("doc_id", "text"), t.terms), labels, len(t.terms))
     assert sum(r.n for r in table.collect()) == len(texts) > (~np.isnan(y)).sum()
     tallies, m = toxicity.spread_tallies(table.cache(), votes.shape[1]), votes.shape[1]
     mine, spread = toxicity.label_model(votes, y, rounds=4), toxicity.expect(tallies, m, rounds=4)

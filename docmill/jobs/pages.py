@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docmill.functions import keys, text, urls
 from docmill.jobs import sqltext as s
 from docmill.operators import crawl, links, sync
+from docmill.operators import section_documents as section_docs
 from docmill.sources.tables import table
 
 
@@ -59,6 +60,18 @@ def section_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.section_candidates(table(spark, sf_dir, "pages"), prefix="/en", section_id="english", folder="kb").select("page_id", "slug", "path", "class", "collision")
 
 
+def site_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RUL-04, RND-05, KEY-08, FLT-03: every host as a crawled section, with its documents, landing row and appendices; some pages are thin or failed, some have a document or a pending link."""
+    n = F.col("page_id")
+    p = table(spark, sf_dir, "pages").withColumn("section", F.coalesce(F.nullif(urls.host(F.col("url")), F.lit("")), F.lit("none")))
+    read = F.when(n % 3 == 0, "corto").otherwise(text.html_to_text(text.crop_main(F.col("html"))))
+    pages = p.select("section", n.alias("ord"), "url", text.title(F.col("html")).alias("title"), read.alias("text"), F.when(n % 13 == 5, "HTTP 500").alias("error"))
+    found = p.where("page_id % 6 = 0").select("section", n.alias("ord"), F.lit("document").alias("kind"), F.concat("url", F.lit(".pdf")).alias("url")).unionByName(p.where("page_id % 7 = 0").select("section", n.alias("ord"), F.lit("pending").alias("kind"), F.concat("url", F.lit("/more")).alias("url")))
+    about = p.select("section").distinct().select("section", F.replace("section", F.lit("."), F.lit("-")).alias("section_id"), F.concat(F.lit("Sitio "), "section").alias("name"), F.lit("kb").alias("folder"), F.lit("/en").alias("prefix"), (F.length("section") % 2 == 0).alias("truncated"))
+    docs = section_docs.candidates(pages, found, about, "2026-05-21", "el sitio", "el asistente")
+    return docs.select("section", "slug", "path", "url", "is_root", F.size("review_reasons").alias("n_reasons"), F.length("md").alias("length"), keys.content_hash(F.col("md")).alias("hash"))
+
+
 def section_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-03: pages of each class per host."""
     found = links.section_candidates(table(spark, sf_dir, "pages"), prefix="/en", section_id="english", folder="kb")
@@ -142,7 +155,7 @@ d AS (SELECT *, CASE WHEN len(parts) = 0 THEN 'english' ELSE {s.slug("array_to_s
 k AS (SELECT page_id, host, base, CASE WHEN text = '' THEN 'errored' WHEN archive THEN 'archive' WHEN length({s.squeeze('text')}) >= 200 THEN 'important' ELSE 'low' END AS class FROM d),
 x AS (SELECT page_id, host, 'english-' || base AS slug, 'kb/' || base || '.md' AS path, class, class = 'important' AND row_number() OVER (PARTITION BY base, class = 'important' ORDER BY page_id) > 1 AS collision FROM k)"""
 
-QUERIES = {f.__name__: f for f in (page_extract, page_blog_extract, page_landing, menu_links, section_links, page_links, link_kinds, page_signals, section_documents, section_counts, crawl_reach, crawl_capped, crawl_site, raw_envelope, url_checks)}
+QUERIES = {f.__name__: f for f in (page_extract, page_blog_extract, page_landing, menu_links, section_links, page_links, link_kinds, page_signals, section_documents, site_sections, section_counts, crawl_reach, crawl_capped, crawl_site, raw_envelope, url_checks)}
 SQL = {
     "page_extract": _pages_sql(s.crop_main("html")),
     "page_blog_extract": _pages_sql(s.blog_content("html"), "(SELECT page_id, url, replace(html, '<article>', '<div class=\"post blog-content\">') AS html FROM pages)"),
@@ -167,6 +180,29 @@ WITH t AS (SELECT {_HOST} AS host, html, lower({s.squeeze(s.html_to_text('html')
 SELECT host, bool_or(regexp_matches(html, '(?i)<iframe\b')) AS has_iframe, bool_or(regexp_matches(text, '(?i)(nicht|pour)') AND regexp_matches(text, '(?i)(und|une)')) AS personal_data, count(*) AS n_pages,
   count_if(length(text) >= 80) AS n_useful FROM t GROUP BY host""",
     "section_documents": f"WITH {_SECTION} SELECT page_id, slug, path, class, collision FROM x",
+    "site_sections": rf"""
+WITH p AS (SELECT page_id AS ord, url, coalesce(nullif({_HOST}, ''), 'none') AS section, {s.rr(_PATH, '/+$')} AS path, {s.title('html')} AS title, CASE WHEN page_id % 3 = 0 THEN 'corto' ELSE {s.html_to_text(s.crop_main('html'))} END AS text, page_id % 13 = 5 AS bad,
+  lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)', 1)) || coalesce(nullif({s.rr(_PATH, '/+$')}, ''), '/') AS norm FROM pages),
+b AS (SELECT *, list_filter(string_split(CASE WHEN starts_with(lower(path), '/en') THEN substr(path, 4) ELSE path END, '/'), lambda x: x <> '') AS steps, replace(section, '.', '-') AS sid FROM p),
+k AS (SELECT *, CASE WHEN len(list_filter(steps, lambda x: lower(x) <> 'categorias')) = 0 THEN sid ELSE {s.slug("array_to_string(list_filter(steps, lambda x: lower(x) <> 'categorias'), '-')")} END AS base,
+  CASE WHEN bad THEN 'errored' WHEN list_contains(list_transform(steps, lambda x: lower(x)), 'categorias') THEN 'archive' WHEN length({s.squeeze('text')}) >= 200 THEN 'important' ELSE 'low' END AS kind FROM b),
+r AS (SELECT section, sid, arg_min(norm, ord) AS root, arg_min(base, ord) AS root_base, length(section) % 2 = 0 AS truncated, string_agg('  - ' || url || '.pdf', '~' ORDER BY ord) FILTER (ord % 6 = 0) AS documents, string_agg('  - ' || coalesce(nullif(title, ''), '(sin título)') || ': ' || url, '~' ORDER BY ord) FILTER (kind = 'low') AS low,
+  string_agg('  - ' || url || ' (HTTP 500)', '~' ORDER BY ord) FILTER (kind = 'errored') AS failed, string_agg('  - ' || url || '/more', '~' ORDER BY ord) FILTER (ord % 7 = 0) AS pending FROM k GROUP BY section, sid),
+a AS (SELECT *, coalesce(documents, low, failed, CASE WHEN truncated THEN pending END) IS NOT NULL AS material, CASE WHEN coalesce(documents, low, failed, pending) IS NOT NULL THEN '## Enlaces relacionados (no ingeridos)~~el asistente debe entregar estos enlaces para que el usuario los abra; no se incorporó su contenido al documento.~'
+  || coalesce('~- **Documentos (PDF / planillas / ofimática)** — link-only, pueden contener datos personales:~' || documents, '') || coalesce('~- **Subpáginas sin contenido textual suficiente** (revisar si conviene incluirlas):~' || low, '')
+  || coalesce('~- **Subpáginas que no se pudieron descargar** durante la revisión automática:~' || failed, '')
+  || CASE WHEN truncated THEN coalesce('~- ⚠️ **Crawl truncado**: se alcanzó el tope de páginas o profundidad. Estas URLs quedaron sin bajar y deben revisarse (ampliar maxPages/maxDepth si hay contenido útil):~' || pending, '') ELSE '' END END AS appendix FROM r),
+i AS (SELECT k.*, norm = root AS is_root, appendix, coalesce(nullif(title, ''), 'Sitio ' || section) AS named, row_number() OVER (PARTITION BY section, base ORDER BY ord) > 1 AS again,
+  regexp_matches({s.squeeze('text')}, '(?i)nombre y apellido') OR (regexp_matches({s.squeeze('text')}, '(?i)(?:dni|documento)') AND regexp_matches({s.squeeze('text')}, '(?i)listado|lista|nómina|nomina|alumnos|estudiantes|inscriptos')) AS personal,
+  array_to_string([CASE WHEN regexp_matches(x, '^[-*]{s.WS}+') THEN x ELSE '- ' || x END for x in list_filter([{s.squeeze('y')} for y in string_split(text, chr(10))], lambda z: z <> '')], chr(10)) AS items FROM k JOIN a USING (section, sid) WHERE kind = 'important'),
+d AS (SELECT section, sid || '-' || base AS slug, 'kb/' || base || '.md' AS path, url, is_root, personal::INT + again::INT AS n_reasons, '# ' || named || replace('~~## Para qué sirve~~- Documento del sector **Sitio ' || section || '** generado automáticamente desde el sitio.~- Es un candidato automático: debe pasar por revisión humana antes de mergearse a `indice.json`.~~## Información publicada~~', '~', chr(10)) || items
+  || CASE WHEN is_root THEN coalesce(chr(10) || chr(10) || replace(appendix, '~', chr(10)), '') ELSE '' END || replace('~~## Advertencias para el asistente~~' || CASE WHEN personal THEN '- Requiere revisión humana: posibles datos personales/listados nominales.~' ELSE '' END
+  || CASE WHEN again THEN '- Requiere revisión humana: colisión de ruta: kb/' || base || '.md ya fue derivado de otra subpágina.~' ELSE '' END || CASE WHEN NOT personal AND NOT again THEN '- No se detectaron señales automáticas de datos personales; la revisión humana sigue siendo obligatoria.~' ELSE '' END
+  || '- No responder con datos personalizados ni detrás de login; derivar al sistema o enlace oficial correspondiente.~~## Fuentes consultadas~~- ', '~', chr(10)) || named || ': ' || url
+  || replace('~~---~~**Última revisión automática**: 2026-05-21 (candidato generado por el scraper de secciones WordPress)~**Revisión humana**: pendiente~', '~', chr(10)) AS md FROM i
+  UNION ALL SELECT section, sid || '-' || root_base, 'kb/' || root_base || '.md', root, true, 0, replace('# Sitio ' || section || '~~## Para qué sirve~~- Índice de enlaces del sector **Sitio ' || section || '**. La página principal no tenía contenido textual propio suficiente.~- Candidato automático: requiere revisión humana antes de mergearse.~~' || appendix
+  || '~~## Advertencias para el asistente~~- Entregar los enlaces de arriba para que el usuario los abra; no se ingirió su contenido.~~---~~**Última revisión automática**: 2026-05-21 (landing de sección)~**Revisión humana**: pendiente~', '~', chr(10)) FROM a WHERE material AND section NOT IN (SELECT section FROM i WHERE is_root))
+SELECT section, slug, path, url, is_root, n_reasons, length(md) AS length, sha256(md) AS hash FROM d""",
     "section_counts": f"WITH {_SECTION} SELECT host, count_if(class = 'important') AS important, count_if(class = 'low') AS low, count_if(class = 'archive') AS archive, count_if(class = 'errored') AS errored FROM x GROUP BY host",
     "crawl_reach": "WITH RECURSIVE r AS (SELECT page_id AS node, 0 AS depth FROM pages WHERE page_id = 0 UNION ALL SELECT p.page_id, r.depth + 1 FROM pages p JOIN r ON p.page_id > 0 AND (p.page_id - 1) // 3 = r.node) SELECT node, CAST(depth AS INTEGER) AS depth FROM r",
     "crawl_capped": """

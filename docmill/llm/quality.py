@@ -20,10 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docmill.llm.common import fresh, table
+from docmill.llm.common import fresh, slices, table
 
 #: At most so many labelled rows are learned from: those with the smallest hash of their id.
 TRAIN_ROWS = 4000
+#: Bytes of texts that a worker looks at together.
+BATCH = 4 << 20
 #: Words that a text may have for three of their numbers to fit one code.
 NARROW = 1 << 21
 SPACE = b" \t\n\r\x0b\x0c"
@@ -232,7 +234,7 @@ def judge(docs: DataFrame, forest: Forest | None, least: float = 0.5, keep_only:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = WordIds()
-        for b in batches:
+        for b in slices(batches, at, BATCH):
             counts, x = statistics(b.column(at).to_pylist(), ids)
             failed = (counts[:, 0] < 50) | (100 * counts[:, 4] > 50 * counts[:, 0])
             score = np.full(len(x), np.nan) if forest is None else forest.score(x)

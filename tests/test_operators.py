@@ -173,9 +173,11 @@ def test_watch(spark, tmp_path):
 
     src = tmp_path / "src"
     paths = [str(tmp_path / x) for x in ("out", "state", "check")]
-    for part in ([(1, "a"), (2, "b")], [(1, "a"), (2, "c"), (3, "d")]):
+    for part in ([(1, "a"), (2, "b")], [(1, "a"), (2, "c"), (3, "d")], [(4, "e")]):
         spark.createDataFrame(part, "k int, t string").coalesce(1).write.mode("append").parquet(str(src))
         stream = spark.readStream.schema("k int, t string").parquet(str(src))
         watch(stream, "k", "t", *paths).awaitTermination(60)
     got = rows(spark.read.parquet(paths[0]), "batch", "k", "status")
-    assert got == [(0, 1, "new"), (0, 2, "new"), (1, 1, "unchanged"), (1, 2, "changed"), (1, 3, "new")]
+    assert got == [(0, 1, "new"), (0, 2, "new"), (1, 1, "unchanged"), (1, 2, "changed"), (1, 3, "new"), (2, 4, "new")]
+    state = spark.read.parquet(paths[1])
+    assert [(r.batch, r.k) for r in state.where("batch > 0").orderBy("batch", "k").collect()] == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 2), (2, 3), (2, 4)]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docmill.functions.charset import WS, WS_CHARS, fold, trim
-from docmill.functions.text import normalize_spaces
 
 # Titles before names, which are no part of a name.
 HONORIFICS = ("dr", "dra", "dres", "lic", "mg", "mgtr", "esp", "cr", "cra", "cp", "cpn", "c", "p", "n", "prof", "ing", "arq", "ph", "phd", "msc")
@@ -32,8 +34,13 @@ def slug(c: Column, empty: str | None = "index") -> Column:
 
 
 def title_key(c: Column) -> Column:
-    """Lower-case words without accents or signs (KEY-05)."""
-    return trim(F.regexp_replace(fold(normalize_spaces(F.coalesce(c, F.lit("")))), "[^a-z0-9]+", " "))
+    """Lower-case words without accents or signs (KEY-05); white space needs no step of its own, being one of the signs."""
+    return F.trim(F.regexp_replace(fold(F.coalesce(c, F.lit(""))), "[^a-z0-9 ][^a-z0-9]*| [^a-z0-9]+", " "))
+
+
+def title_key_of(s: str) -> str:
+    """title_key() of a fixed value."""
+    return " ".join(re.findall("[a-z0-9]+", "".join(c for c in unicodedata.normalize("NFD", s.lower()) if not unicodedata.combining(c))))
 
 
 def course_slug(c: Column) -> Column:

@@ -109,14 +109,14 @@ def blog_content(c: Column) -> Column:
 
 
 def normalize_spaces(c: Column) -> Column:
-    """No-break spaces to spaces, runs to one, at most one empty line (TXT-08)."""
-    c = F.regexp_replace(F.replace(c, F.lit(" "), F.lit(" ")), r"[ \t]+", " ")
-    return trim(F.regexp_replace(F.regexp_replace(c, r"\n[ \t]+", "\n"), r"\n{3,}", "\n\n"))
+    """No-break spaces to spaces, runs to one, at most one empty line (TXT-08); single spaces, which are most, are not touched."""
+    c = F.regexp_replace(F.replace(c, F.lit("\xa0"), F.lit(" ")), r" [ \t]+|\t[ \t]*", " ")
+    return trim(F.regexp_replace(F.replace(c, F.lit("\n "), F.lit("\n")), r"\n{3,}", "\n\n"))
 
 
 def student_text(c: Column) -> Column:
-    """Normalized lines without empty ones and image or iframe markers (TXT-09)."""
-    lines = F.transform(F.split(normalize_spaces(c), "\n", -1), normalize_spaces)
+    """Normalized lines without empty ones and image or iframe markers (TXT-09); within a line only its ends are left to do."""
+    lines = F.transform(F.split(normalize_spaces(c), "\n", -1), trim)
     return F.array_join(F.filter(lines, lambda x: ~F.lower(x).isin("", "image", "iframe")), "\n")
 
 
@@ -183,9 +183,9 @@ def h1_title(c: Column, fallback: Column) -> Column:
 
 
 def for_diff(c: Column) -> Column:
-    """Text without lines that carry a review or update date, white space collapsed (TXT-20)."""
-    lines = F.filter(F.split(c, "\n", -1), lambda x: ~x.rlike(r"(?iu)\*\*Última (?:revisión humana|actualización del dato)\*\*"))
-    return squeeze(F.array_join(lines, "\n"))
+    """Text without lines that carry a review or update date, white space collapsed (TXT-20); a text without ``**`` has no such line."""
+    lines = lambda x: F.filter(F.split(x, "\n", -1), lambda y: ~y.rlike(r"(?iu)\*\*Última (?:revisión humana|actualización del dato)\*\*"))
+    return squeeze(bind(c, lambda x: F.when(F.contains(x, F.lit("**")), F.array_join(lines(x), "\n")).otherwise(x)))
 
 
 def bullets(c: Column) -> Column:

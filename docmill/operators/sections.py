@@ -23,23 +23,31 @@ def md_sections(docs: DataFrame, key: str, body: str) -> DataFrame:
     lines = F.split(F.concat(F.lit(f"## {PREFACE}\n"), F.coalesce(F.col(body), F.lit(""))), "\n", -1)
     heads = F.transform(lines, lambda x, i: F.struct(i.alias("at"), F.regexp_extract(x, HEADING, 1).alias("name")))
     found = docs.select(key, lines.alias("lines"), F.filter(heads, lambda h: h["name"] != "").alias("heads"))
-    ends = F.concat(F.transform(F.slice("heads", 2, F.size("heads")), lambda h: h["at"]), F.array(F.size("lines")))
-    # the lines between a heading and the next one, with a line break before each
-    cut = F.transform(F.arrays_zip(F.col("heads").alias("h"), ends.alias("end")), lambda p: F.struct(p.h["name"].alias("name"), F.array_join(F.slice("lines", p.h["at"] + 2, p.end - p.h["at"] - 1), "\n").alias("body")))
-    rows = found.select(key, F.posexplode(cut).alias("pos", "s")).select(key, "pos", trim(F.col("s.name")).alias("name"), trim(F.col("s.body")).alias("body"))
+    rows = found.select(key, F.posexplode(_between("heads", "lines")).alias("pos", "s")).select(key, "pos", trim(F.col("s.name")).alias("name"), trim(F.col("s.body")).alias("body"))
     once = rows.groupBy(key, "name").agg(F.min("pos").alias("first"), F.max_by("body", "pos").alias("body"))
     return once.withColumn("ord", (F.row_number().over(Window.partitionBy(key).orderBy("first")) - 1)).select(key, "ord", "name", "body")
 
 
 def named_sections(docs: DataFrame, key: str, body: str, headings: tuple[str, ...] = text.COURSE_HEADINGS, other: str = "Información adicional") -> DataFrame:
-    """(key, name, body) of a text whose lines are headings if they match a known name (EXP-05); empty sections are dropped, the last of equal names wins."""
-    lines = docs.select(key, F.posexplode(F.split(F.coalesce(F.col(body), F.lit("")), "\n", -1)).alias("pos", "line")).select(key, "pos", text.normalize_spaces(F.col("line")).alias("line")).where("line <> ''")
-    known = F.create_map(*[x for h in headings for x in (keys.title_key(F.lit(h)), F.lit(h))])
-    marked = lines.withColumn("head", F.try_element_at(known, keys.title_key(F.col("line"))))
-    run = Window.partitionBy(key).orderBy("pos")
-    marked = marked.withColumn("run", F.sum(F.col("head").isNotNull().cast("int")).over(run))
-    parts = marked.groupBy(key, "run").agg(F.coalesce(F.max("head"), F.lit(other)).alias("name"), F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("head").isNull(), F.struct("pos", "line")))), lambda s: s.line), "\n").alias("body"))
-    return parts.where("body <> ''").groupBy(key, "name").agg(F.max_by("body", "run").alias("body"))
+    """(key, name, body) of a text whose lines are headings if they match a known name (EXP-05); empty sections are dropped, the last of equal names wins.
+
+    Each row is cut by itself, as in md_sections(), and as known names are few, nothing is shuffled.
+    """
+    lines = F.filter(F.transform(F.split(F.coalesce(F.col(body), F.lit("")), "\n", -1), text.normalize_spaces), lambda x: x != "")
+    known = F.create_map(*[F.lit(x) for h in headings for x in (keys.title_key_of(h), h)])
+    named = F.transform("lines", lambda x, i: F.struct(i.alias("at"), F.try_element_at(known, keys.title_key(x)).alias("name")))
+    start = F.array(F.struct(F.lit(-1).alias("at"), F.lit(other).alias("name")))
+    found = docs.select(key, lines.alias("lines")).select(key, "lines", F.concat(start, F.filter(named, lambda h: h["name"].isNotNull())).alias("heads"))
+    parts = found.select(key, F.filter(_between("heads", "lines"), lambda p: p["body"] != "").alias("parts"))
+    names = F.array(*[F.lit(n) for n in dict.fromkeys((*headings, other))])
+    last = F.transform(names, lambda n: F.try_element_at(F.filter("parts", lambda p: p["name"] == n), F.lit(-1)))
+    return parts.select(key, F.explode(F.filter(last, lambda p: p.isNotNull())).alias("p")).select(key, "p.name", "p.body")
+
+
+def _between(heads: str, lines: str) -> Column:
+    """array<struct<name, body>>: the lines between each heading (at, name) and the next one, joined; a text costs its length."""
+    ends = F.concat(F.transform(F.slice(heads, 2, F.size(heads)), lambda h: h["at"]), F.array(F.size(lines)))
+    return F.transform(F.arrays_zip(F.col(heads).alias("h"), ends.alias("end")), lambda p: F.struct(p.h["name"].alias("name"), F.array_join(F.slice(lines, p.h["at"] + 2, p.end - p.h["at"] - 1), "\n").alias("body")))
 
 
 def diff_sections(candidate: DataFrame, current: DataFrame, key: str) -> DataFrame:

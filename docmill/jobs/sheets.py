@@ -15,6 +15,10 @@ def _cells(rows: DataFrame, values: list) -> DataFrame:
     return rows.select("sheet", "r", F.posexplode(F.array(*[F.coalesce(v.cast("string"), F.lit("")) for v in values])).alias("c", "v"))
 
 
+def _rows(rows: DataFrame, values: list) -> DataFrame:
+    return rows.select("sheet", "r", grid.filled(F.array(*[F.coalesce(v.cast("string"), F.lit("")) for v in values])).alias("cells")).where(F.size("cells") > 0)
+
+
 def exam_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sheets of 200 orders: a day row, an enrolment row, a heading, then exams."""
     o = table(spark, sf_dir, "orders").select(F.expr("o_orderkey div 200").alias("sheet"), (F.col("o_orderkey") % 200).cast("int").alias("r"), "o_orderkey", "o_orderdate", "o_orderpriority")
@@ -57,8 +61,8 @@ def _schedule(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list]:
     return o, values
 
 
-def schedule_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cells(*_schedule(spark, sf_dir))
+def schedule_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rows(*_schedule(spark, sf_dir))
 
 
 def _texts(rows: DataFrame, values: list) -> DataFrame:
@@ -71,7 +75,7 @@ def _texts(rows: DataFrame, values: list) -> DataFrame:
 
 def csv_schedule_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-08, SRC-10, TAB-02 to TAB-04: the same sheets written as CSV texts and read from them."""
-    return grid.schedule(grid.csv_cells(_texts(*_schedule(spark, sf_dir)), "sheet", "body"))
+    return grid.schedule_of(grid.csv_rows(_texts(*_schedule(spark, sf_dir)), "sheet", "body"))
 
 
 def headless_schedule_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +98,7 @@ def elective_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     subject = F.when(r == 0, "Nombre de la materia").when(r % 10 != 9, F.concat(F.lit('- "Optativa" '), F.col("o_orderkey").cast("string")))
     teacher = F.when(r == 0, "Docente a cargo").when(r % 4 != 0, F.col("o_orderpriority"))
     hours = F.when(r == 0, "Horarios").when(r % 3 == 0, "C1: Lunes 8 hs Profesor Ana Roe.\nC2 : Martes  9 hs;").when(r % 3 == 1, "Viernes 10 hs")
-    return grid.electives(grid.csv_cells(_texts(o, [F.when(odd, hours).otherwise(subject), teacher, F.when(odd, subject).otherwise(hours)]), "sheet", "body"))
+    return grid.electives_of(grid.csv_rows(_texts(o, [F.when(odd, hours).otherwise(subject), teacher, F.when(odd, subject).otherwise(hours)]), "sheet", "body"))
 
 
 def exam_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +108,7 @@ def exam_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def schedule_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TAB-02, TAB-03, TAB-04, JOI-08, JOI-09, WIN-02."""
-    return grid.schedule(schedule_cells(spark, sf_dir))
+    return grid.schedule_of(schedule_sheet(spark, sf_dir))
 
 
 def exam_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +120,7 @@ def exam_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def schedule_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RND-02, AGG-06: one Markdown table per sheet and subject."""
-    e = grid.schedule(schedule_cells(spark, sf_dir))
+    e = grid.schedule_of(schedule_sheet(spark, sf_dir))
     out = reports.md_table(e, ["sheet", "subject"], ["r", "start"], {"Comisión": F.col("commission"), "Día": F.col("day"), "Horario": F.col("hours"), "Docente": F.col("teacher")})
     return out.select("sheet", "subject", F.length("md").alias("length"), keys.content_hash(F.col("md")).alias("hash"))
 
@@ -137,8 +141,7 @@ def segment_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nearest_above(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TAB-03, JOI-08: nearest title above each header, as cells."""
-    cells = schedule_cells(spark, sf_dir)
-    return grid.subjects_above(cells, grid.headers(cells))
+    return grid.subjects_above(schedule_sheet(spark, sf_dir))
 
 
 def asof_header(spark: SparkSession, sf_dir: str) -> DataFrame:

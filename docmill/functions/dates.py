@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docmill.functions.charset import WS, trim
+from docmill.functions.charset import WS, bind, trim
 
 
 def start_date(c: Column) -> Column:
@@ -52,7 +52,10 @@ WEEKDAYS = ("lunes", "martes", "miércoles", "miercoles", "jueves", "viernes", "
 
 def split_weekday(c: Column) -> Column:
     """struct<day, hours>: a leading weekday and the rest; N/D for what is missing (STR-01)."""
-    c = trim(F.regexp_replace(F.coalesce(c, F.lit("")), f"{WS}+", " "))
+    return bind(trim(F.regexp_replace(F.coalesce(c, F.lit("")), f"{WS}+", " ")), _weekday_first)
+
+
+def _weekday_first(c: Column) -> Column:
     first = F.substring_index(c, " ", 1)
     rest = trim(F.substr(c, F.length(first) + 1))
     known = F.lower(first).isin(*WEEKDAYS)
